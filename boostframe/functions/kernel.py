@@ -133,10 +133,8 @@ def margins(forest: Forest, X: np.ndarray, base: np.ndarray, n_groups: int,
     leaves = route(forest, X)
     w = forest.tree_weight if tree_mask is None else forest.tree_weight * tree_mask
     vals = forest.value[leaves] * w[None, :]
-    for k in range(n_groups):
-        sel = forest.tree_class == k
-        if sel.any():
-            out[:, k] += vals[:, sel].sum(axis=1)
+    for t in range(forest.n_trees):  # tree order, as the training state accumulates
+        out[:, forest.tree_class[t]] += vals[:, t]
     return out
 
 

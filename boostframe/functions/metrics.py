@@ -157,7 +157,8 @@ def cumulative_sum(df: DataFrame, group: list[str], order: str, value: str, out_
         mat[r["__pid"], kidx[r["__gk"]]] = r["t"]
     offs = np.cumsum(mat, axis=0) - mat
     src = layout.withColumn("__gk", gk)
-    schema = src.schema.add(out_col, "double", False)
+    from pyspark.sql import types as T
+    schema = T.StructType(list(src.schema.fields) + [T.StructField(out_col, T.DoubleType(), False)])
 
     def kernel(batches):
         running = {}

@@ -229,8 +229,8 @@ def _make_update_kernel(ctx: dict):
             _, Xn, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold)
             leaves = K.route(forest, Xn)
             vals = forest.value[leaves] * forest.tree_weight[None, :]
-            for c in np.unique(tree_col):
-                M[:, c] += vals[:, tree_col == c].sum(axis=1)
+            for t in range(tree_col.shape[0]):
+                M[:, tree_col[t]] += vals[:, t]
             cols = list(batch.columns)
             names = batch.schema.names
             for j in range(n_margin):
