@@ -127,8 +127,17 @@ def with_margins(prep: Prepared, specs: list[ModelSpec]) -> DataFrame:
         for k in range(s.n_groups):
             cols.append(F.lit(float(s.base[k])).alias(f"__m{j}"))
             j += 1
-    state = prep.state.select("*", *cols).persist(StorageLevel.MEMORY_AND_DISK)
-    return state
+    state = prep.state.select("*", *cols)
+    # every core should hold a slice of the state: only a small input (few file splits) is spread out
+    spark = state.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    try:
+        have = state.rdd.getNumPartitions()
+    except Exception:
+        have = want
+    if have < want:
+        state = state.repartition(want)
+    return state.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def target_sums(prep: Prepared) -> dict:

@@ -191,13 +191,32 @@ def encode_features(batch: pa.RecordBatch, infos: list[FeatureInfo], value_space
     return X
 
 
-def bin_column_names(n: int) -> list[str]:
-    return [f"__b{j}" for j in range(n)]
+BINS_COL = "__bins"
+
+
+def pack_bins(X: np.ndarray) -> pa.Array:
+    """Bin codes ``[rows, F]`` → one BINARY value per row (F little-endian SMALLINTs): the cached state
+    then converts one column per row to Arrow instead of F."""
+    n, f = X.shape
+    data = np.ascontiguousarray(X.astype(np.int16))
+    offsets = np.arange(0, (n + 1) * 2 * f, 2 * f, dtype=np.int32)[: n + 1]
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def unpack_bins(col: pa.Array, n_feat: int) -> np.ndarray:
+    """Inverse of ``pack_bins`` → int16 ``[rows, F]``."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    n = len(col)
+    bufs = col.buffers()
+    offs = np.frombuffer(bufs[1], dtype=np.int32, count=col.offset + n + 1)[col.offset:]
+    raw = np.frombuffer(bufs[2], dtype=np.uint8)[offs[0]:offs[-1]]
+    return raw.view(np.int16).reshape(n, n_feat)
 
 
 def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bool = False) -> DataFrame:
     """``__rid`` (row hash, partitioning-independent), ``__y`` (target or class code), ``[__id]``,
-    ``__b0..`` SMALLINT bins. Narrow: no shuffle."""
+    ``__bins`` (packed SMALLINT bin codes). Narrow: no shuffle."""
     infos = stats.features
     classes = stats.classes
     target = stats.target
@@ -209,7 +228,7 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
     id_field = [T.StructField("__id", df.schema[id_col].dataType, True)] if id_col else []
     out_schema = T.StructType([T.StructField("__rid", T.LongType(), False),
                                T.StructField("__y", T.DoubleType(), False)] + id_field +
-                              [T.StructField(b, T.ShortType(), False) for b in bin_column_names(len(infos))] +
+                              [T.StructField(BINS_COL, T.BinaryType(), False)] +
                               ([T.StructField(f"__x{j}", T.DoubleType(), False) for j in range(len(infos))]
                                if keep_raw else []))
     def kernel(batches):
@@ -226,14 +245,14 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
             cols = [batch.column("__rid"), pa.array(y, pa.float64())]
             if id_col:
                 cols.append(batch.column("__id"))
-            cols += [pa.array(X[:, j].astype(np.int16)) for j in range(len(infos))]
+            cols.append(pack_bins(X))
             if keep_raw:
                 R = encode_features(batch, infos, value_space=True)
                 cols += [pa.array(R[:, j], pa.float64()) for j in range(len(infos))]
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
                 [pa.field("__rid", pa.int64(), False), pa.field("__y", pa.float64(), False)]
                 + ([pa.field("__id", batch.column("__id").type)] if id_col else [])
-                + [pa.field(b, pa.int16(), False) for b in bin_column_names(len(infos))]
+                + [pa.field(BINS_COL, pa.binary(), False)]
                 + ([pa.field(f"__x{j}", pa.float64(), False) for j in range(len(infos))] if keep_raw else [])))
 
     return inp.mapInArrow(kernel, out_schema)

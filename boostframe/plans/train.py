@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernel as K
-from .binning import DataStats, bin_column_names
+from .binning import BINS_COL, DataStats, unpack_bins
 
 log = logging.getLogger(__name__)
 
@@ -141,9 +141,7 @@ def _colsample(rng: np.random.RandomState, allowed: np.ndarray, frac: float) ->
 
 def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool):
     cols = batch.schema.names
-    X = np.empty((batch.num_rows, n_feat), dtype=np.float64)
-    for j, name in enumerate(bin_column_names(n_feat)):
-        X[:, j] = batch.column(cols.index(name)).to_numpy(zero_copy_only=False)
+    X = unpack_bins(batch.column(cols.index(BINS_COL)), n_feat).astype(np.float64)
     Xn = np.where(X < 0, np.nan, X)
     M = np.empty((batch.num_rows, n_margin), dtype=np.float64)
     for j in range(n_margin):
@@ -188,6 +186,8 @@ def _make_hist_kernel(ctx: dict):
             leaves = K.route(forest, Xn)
             slots = slot_of[leaves]                              # [n, T]
             valid = (slots >= lo) & (slots < hi)
+            # (row, tree) pairs that feed this slot batch, in chunks bounded in memory
+            rows_all, cols_all = [], []
             for t, (mcol, test_fold, sub, salt) in enumerate(ctx["trees"]):
                 v = valid[:, t]
                 if test_fold >= 0:
@@ -195,18 +195,25 @@ def _make_hist_kernel(ctx: dict):
                 if sub < 1.0:
                     v &= K.uniform(rid, *salt) < sub
                 r = np.nonzero(v)[0]
-                if r.size == 0:
-                    continue
-                base = (slots[r, t] - lo).astype(np.int64) * TB
-                step = max(1, (1 << 22) // max(F_, 1))
-                for s in range(0, r.size, step):
-                    rr = r[s:s + step]
-                    keys = (base[s:s + step, None] + binfix[rr]).ravel()
-                    g = np.repeat(Gf[rr, mcol], F_)
-                    h = np.repeat(Hf[rr, mcol], F_)
-                    acc_g += np.rint(np.bincount(keys, weights=g, minlength=size)).astype(np.int64)
-                    acc_h += np.rint(np.bincount(keys, weights=h, minlength=size)).astype(np.int64)
-                    acc_n += np.bincount(keys, minlength=size).astype(np.int64)
+                if r.size:
+                    rows_all.append(r)
+                    cols_all.append(np.full(r.size, t, dtype=np.int64))
+            if not rows_all:
+                continue
+            rr_all = np.concatenate(rows_all)
+            tt_all = np.concatenate(cols_all)
+            mcols = np.asarray([tc[0] for tc in ctx["trees"]], dtype=np.int64)
+            step = max(1, (1 << 22) // max(F_, 1))
+            for s in range(0, rr_all.size, step):
+                rr, tt = rr_all[s:s + step], tt_all[s:s + step]
+                base = (slots[rr, tt] - lo).astype(np.int64) * TB
+                keys = (base[:, None] + binfix[rr]).ravel()
+                mc = mcols[tt]
+                g = np.repeat(Gf[rr, mc], F_)
+                h = np.repeat(Hf[rr, mc], F_)
+                acc_g += np.rint(np.bincount(keys, weights=g, minlength=size)).astype(np.int64)
+                acc_h += np.rint(np.bincount(keys, weights=h, minlength=size)).astype(np.int64)
+                acc_n += np.bincount(keys, minlength=size).astype(np.int64)
         nz = np.nonzero(acc_n)[0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(nz.astype(np.int64) + lo * TB), pa.array(acc_g[nz]), pa.array(acc_h[nz]),
