@@ -173,6 +173,11 @@ def _make_hist_kernel(ctx: dict):
             if n == 0:
                 continue
             X, Xn, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold)
+            drop = ctx.get("drop_forest")
+            if drop is not None:   # dart: gradients at the margins without this round's dropped trees
+                dv = drop.value[K.route(drop, Xn)] * drop.tree_weight[None, :]
+                for t, c in enumerate(ctx["drop_col"]):
+                    M[:, c] -= dv[:, t]
             binfix = np.where(X < 0, nb[None, :], X).astype(np.int64) + off[None, :]
             # gradients for every (model, group) margin column, fixed point
             Gf = np.empty_like(M)
@@ -414,6 +419,21 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                     g = Grower(mi, k, p, allowed)
                     g.add(0.0, 0.0, 0, 0)
                     growers.append(g)
+        # dart: trees dropped for this round, per model (indices into trees[m])
+        drop_sets: dict[int, list[int]] = {}
+        for mi, s in enumerate(specs):
+            if s.params["booster"] == "dart" and rnd < s.rounds and trees[mi] and s.params["rate_drop"] > 0:
+                if rngs[mi].rand() >= s.params["skip_drop"]:
+                    mask = rngs[mi].rand(len(trees[mi])) < s.params["rate_drop"]
+                    if mask.any():
+                        drop_sets[mi] = [int(i) for i in np.nonzero(mask)[0]]
+        drop_trees = [(mi, i) for mi, idx in drop_sets.items() for i in idx]
+        drop_forest = None
+        drop_col = []
+        if drop_trees:
+            drop_forest = K.build_forest([trees[mi][i][0].bin_tree() for mi, i in drop_trees], [0] * len(drop_trees),
+                                         [trees[mi][i][1] for mi, i in drop_trees])
+            drop_col = [int(col0[mi] + trees[mi][i][0].group) for mi, i in drop_trees]
         # per-tree contexts: margin column, held-out fold, subsample, sampling salt
         tree_ctx = []
         for g in growers:
@@ -447,7 +467,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                     level_allowed[lk] = _colsample(rngs[g.model], g.allowed, s.params["colsample_bylevel"])
                 allowed[i] = _colsample(rngs[g.model], level_allowed[lk], s.params["colsample_bynode"])
             results = _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ctx, nb, off,
-                                       TB, n_margin, has_fold)
+                                       TB, n_margin, has_fold, drop_forest, drop_col)
             best, Gt, Ht, Nt = None, None, None, None
             Gd, Hd, Nd = results
             best, Gt, Ht, Nt = _best_splits(Gd, Hd, Nd, frontier, stats, nb, off, specs, growers, allowed)
@@ -482,10 +502,32 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             _prune(g, s.params["gamma"], s.params)
             cg = _compact(g)
             done.append(cg)
-            trees[g.model].append((cg, 1.0))
+        # dart "tree" normalisation: new trees weigh 1/(k+lr), dropped trees are scaled by k/(k+lr)
+        new_w = []
+        for cg in done:
+            s = specs[cg.model]
+            k = len(drop_sets.get(cg.model, []))
+            lr = s.params["learning_rate"] / (s.n_groups * s.parallel)
+            new_w.append(1.0 / (k + lr) if k else 1.0)
+        upd_trees = [cg.bin_tree() for cg in done]
+        upd_w = list(new_w)
+        upd_col = [int(col0[cg.model] + cg.group) for cg in done]
+        for mi, idx in drop_sets.items():
+            s = specs[mi]
+            k = len(idx)
+            lr = s.params["learning_rate"] / (s.n_groups * s.parallel)
+            factor = k / (k + lr)
+            for i in idx:
+                g_old, w_old = trees[mi][i]
+                trees[mi][i] = (g_old, w_old * factor)
+                upd_trees.append(g_old.bin_tree())
+                upd_w.append(w_old * factor - w_old)
+                upd_col.append(int(col0[mi] + g_old.group))
+        for cg, w in zip(done, new_w):
+            trees[cg.model].append((cg, w))
         # margin update: new persisted state (first read by the next round's root pass)
-        forest = K.build_forest([g.bin_tree() for g in done], [0] * len(done), [1.0] * len(done))
-        tree_col = np.asarray([int(col0[g.model] + g.group) for g in done], dtype=np.int64)
+        forest = K.build_forest(upd_trees, [0] * len(upd_trees), upd_w)
+        tree_col = np.asarray(upd_col, dtype=np.int64)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "forest": forest,
                "tree_col": tree_col}
         last = rnd == max_rounds - 1
@@ -515,7 +557,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
 
 
 def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ctx, nb, off, TB, n_margin,
-                     has_fold):
+                     has_fold, drop_forest=None, drop_col=None):
     """One data pass per slot batch; returns dense (G, H, N) float arrays [slots, TB]."""
     n_feat = len(stats.features)
     S = len(frontier)
@@ -531,7 +573,7 @@ def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ct
         hi = min(S, lo + per_pass)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
                "slot_lo": lo, "slot_hi": hi, "forest": forest, "slot_of": slot_of, "trees": tree_ctx,
-               "models": models_ctx}
+               "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or []}
         hist = (state.mapInArrow(_make_hist_kernel(ctx), "key long, g long, h long, n long")
                 .groupBy("key")
                 .agg(F.sum(F.col("g").cast("decimal(38,0)")).alias("g"),

@@ -286,3 +286,14 @@ def test_gblinear_and_rf_and_dart(spark, li_reg):
     dart = bf.fit(li_reg, target="target", estimator="xgb_regressor",
                   params={"booster": "dart", "n_estimators": 3, "max_depth": 2}).first()
     assert dart["train_score"] > 0.5
+
+
+def test_dart_weights_consistent_with_state(spark, li_reg):
+    from boostframe.functions.metrics import score
+    m = bf.fit_model(li_reg, target="target", estimator="xgb_regressor",
+                     params={"booster": "dart", "n_estimators": 6, "max_depth": 2, "rate_drop": 0.5})
+    assert any(abs(w - 1.0) > 1e-12 for w in m.tree_weight)     # some trees were re-weighted
+    p = bf.predict(li_reg, model=m, id="target").select(F.col("target").alias("y"), F.col("prediction").alias("pred"),
+                                                          F.lit(0).alias("g"))
+    r2 = score(p, "r2", ["g"]).first()["score"]
+    assert abs(r2 - m.meta.train_score) < 1e-9
