@@ -24,7 +24,9 @@ from .features import categorical_mask, feature_columns
 MAX_CATEGORIES = 1024     # per categorical feature; free text must fail, not be collected
 MAX_CLASSES = 1000        # classification labels
 EXACT_BIN_LIMIT = 32000   # SMALLINT bin codes
-_RSD = 0.01               # relative error of the distinct-count sketch
+_RSD = 0.05               # relative error of the distinct-count sketch (exact counts follow)
+_SLACK = 1.2              # distinct-count sketch slack before a column is treated as continuous
+_QUANTILE_GROUP = 16      # quantile sketches per aggregation job (bounds task memory on wide tables)
 
 
 @dataclass
@@ -89,12 +91,28 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
                  F.min(yv).alias("y_min"), F.max(yv).alias("y_max")]
     else:
         aggs.append(F.approx_count_distinct(F.col(target), _RSD).alias("n_labels"))
-    for i, (name, c) in enumerate(zip(feats, cat)):
-        col = F.col(name) if c else F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
-        aggs.append(F.approx_count_distinct(col, _RSD).alias(f"d{i}"))
-        if not c:
-            aggs.append(F.percentile_approx(col, qs, 10000).alias(f"q{i}"))
-    row = df.agg(*aggs).first()
+    row = df.agg(*aggs).first().asDict()
+    # distinct-count sketches, a bounded number per job (one fixed-size buffer per sketch)
+    for g0 in range(0, len(feats), _QUANTILE_GROUP):
+        group = list(range(g0, min(len(feats), g0 + _QUANTILE_GROUP)))
+        drow = df.agg(*[F.approx_count_distinct(
+            F.col(feats[i]) if cat[i] else F.nanvl(F.col(feats[i]).cast("double"), F.lit(None).cast("double")),
+            _RSD).alias(f"d{i}") for i in group]).first()
+        for i in group:
+            row[f"d{i}"] = drow[f"d{i}"]
+    accuracy = max(1000, 8 * bins_wanted)
+
+    def quantiles(idx: list[int]) -> None:
+        """Quantile sketches only where the distinct count exceeds the bins, a bounded number per job."""
+        for q0 in range(0, len(idx), _QUANTILE_GROUP):
+            group = idx[q0:q0 + _QUANTILE_GROUP]
+            qrow = df.agg(*[F.percentile_approx(F.nanvl(F.col(feats[i]).cast("double"),
+                                                        F.lit(None).cast("double")), qs, accuracy).alias(f"q{i}")
+                            for i in group]).first()
+            for i in group:
+                row[f"q{i}"] = qrow[f"q{i}"]
+
+    quantiles([i for i, c in enumerate(cat) if not c and int(row[f"d{i}"]) > bins_wanted * _SLACK])
     n = int(row["n"])
     if n == 0:
         raise ValueError("received no rows to fit on")
@@ -108,12 +126,12 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
     for i, c in enumerate(cat):
         approx_d = int(row[f"d{i}"])
         if c:
-            if approx_d > MAX_CATEGORIES * 1.05:
+            if approx_d > MAX_CATEGORIES * _SLACK:
                 raise ValueError(
                     f"categorical feature {feats[i]!r} has about {approx_d} distinct values, more than the "
                     f"limit of {MAX_CATEGORIES}; a free-text column cannot be a feature, drop or bucket it")
             exact_idx.append(i)
-        elif approx_d <= bins_wanted * 1.05:
+        elif approx_d <= bins_wanted * _SLACK:
             exact_idx.append(i)
     distinct: dict[int, list] = {i: [] for i in exact_idx}
     if exact_idx:
@@ -136,6 +154,12 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
             sel = np.nonzero(fcol == i)[0]
             distinct[i] = [scol[j] for j in sel] if cat[i] else [dcol[j] for j in sel]
 
+    # sketch said "few values" but there are more than the bins: quantile cuts after all
+    late = [i for i in exact_idx if not cat[i] and len(distinct[i]) > bins_wanted]
+    quantiles(late)
+    for i in late:
+        distinct.pop(i)
+
     infos: list[FeatureInfo] = []
     for i, (name, c) in enumerate(zip(feats, cat)):
         if c:
@@ -148,7 +172,7 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
             vals_sorted = np.unique(np.asarray(distinct[i], dtype=np.float64))
             infos.append(FeatureInfo(name, False, cuts=vals_sorted[1:]))
         else:
-            q = row[f"q{i}"]
+            q = row.get(f"q{i}")
             arr = np.unique(np.asarray([v for v in (q or []) if v is not None], dtype=np.float64))
             infos.append(FeatureInfo(name, False, cuts=arr))
 
