@@ -427,10 +427,31 @@ def entry(spark: SparkSession) -> DataFrame:
             .orderBy("l_returnflag"))
 
 
+def _corpus_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the ``llm`` subpackage and of the pipeline over it; none where they are not installed."""
+    try:
+        from boostframe.llm.queries import ORACLE_SQL, QUERIES as corpus
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith("boostframe.llm"):
+            raise
+        return {}, {}
+    found, sql = dict(corpus), dict(ORACLE_SQL)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as error:
+        if error.name != "corpus_pipeline":
+            raise
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _wrap(v) for k, v in QUERIES.items()}
+    return {k: _wrap(v) for k, v in {**QUERIES, **_corpus_queries()[0]}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from sql_oracles import sql_for
-    return sql_for()
+    return {**sql_for(), **_corpus_queries()[1]}
