@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from boostframe.session import ensure_checkpoint_dir, ensure_session
 
@@ -36,6 +38,11 @@ def cut(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def arrow_schema(ddl: str):
+    """The Arrow schema of Spark columns, for batches made in tasks (where no session exists)."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def prepare(spark: SparkSession) -> None:
     ensure_session(spark)
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, simhash
+from . import line_dedup, mixing, simhash, tokens, warc
 
 QUERIES = {
+    "op1_tokens": tokens.query,
     "op2_mixing": mixing.query,
+    "op3_warc": warc.query,
     "op5_line_dedup": line_dedup.query,
     "op7_simhash": simhash.query,
 }
 
 ORACLE_SQL = {
     "op2_mixing": mixing.SQL,
+    "op3_warc": warc.SQL,
     "op5_line_dedup": line_dedup.SQL,
 }
