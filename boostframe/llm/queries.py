@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, simhash, tokens, warc
+from . import line_dedup, mixing, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_tokens": tokens.query,
     "op2_mixing": mixing.query,
     "op3_warc": warc.query,
+    "op4_toxicity": toxicity.query,
     "op5_line_dedup": line_dedup.query,
     "op7_simhash": simhash.query,
 }
