@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, simhash, tokens, toxicity, warc
+from . import chat, embedding_dedup, html_text, line_dedup, mixing, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_tokens": tokens.query,
@@ -10,11 +10,16 @@ QUERIES = {
     "op3_warc": warc.query,
     "op4_toxicity": toxicity.query,
     "op5_line_dedup": line_dedup.query,
+    "op6_chat": chat.query,
     "op7_simhash": simhash.query,
+    "op9_embedding_dedup": embedding_dedup.query,
+    "op10_html_text": html_text.query,
 }
 
 ORACLE_SQL = {
     "op2_mixing": mixing.SQL,
     "op3_warc": warc.SQL,
     "op5_line_dedup": line_dedup.SQL,
+    "op6_chat": chat.SQL,
+    "op9_embedding_dedup": embedding_dedup.SQL,
 }
