@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, embedding_dedup, html_text, line_dedup, mixing, simhash, tokens, toxicity, warc
+from . import chat, decontaminate, embedding_dedup, html_text, line_dedup, mixing, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_tokens": tokens.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_line_dedup": line_dedup.query,
     "op6_chat": chat.query,
     "op7_simhash": simhash.query,
+    "op8_decontaminate": decontaminate.query,
     "op9_embedding_dedup": embedding_dedup.query,
     "op10_html_text": html_text.query,
 }
