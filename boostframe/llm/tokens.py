@@ -29,51 +29,85 @@ from .common import arrow_schema, prepare, shared_path, table
 END_ID = 1
 SHARD_TOKENS = 2_000_000
 ROUNDS, PAIRS_A_ROUND, MIN_COUNT = 5, 1500, 16
-KNOWN_WORDS = 1_200_000
+KNOWN_UNITS = 1_200_000
 
 
 class WordEncoder:
-    """Whole texts to ids, through an encoder that handles every white-space-separated word by itself.
+    """Whole texts to ids, for tokenizers that drop white space, lower-case, split letters from signs and mark word ends.
 
-    The tokenizers used here drop white space and never merge across it, so the ids of a text are those of its words in
-    turn; words seen before are looked up. At most ``KNOWN_WORDS`` words are remembered.
+    The ids of a text are then those of its words in turn, and those of a word that ends in signs are those of its front
+    and of its signs. Units seen before are looked up, so the tokenizer encodes each distinct unit once; at most
+    ``KNOWN_UNITS`` are remembered. Runs of letters are encoded many at a time and told apart by the ids that end a word;
+    any other unit is encoded by itself, and so is a run whose ends don't add up.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size()
+        vocabulary = self.tokenizer.get_vocab()
+        self.vocabulary = max(vocabulary.values()) + 1
+        self.ends_word = np.zeros(self.vocabulary, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.known: defaultdict[str, int] = defaultdict(count().__next__)    # word -> place, in order of arrival
+        self.known: defaultdict[str, int] = defaultdict(count().__next__)    # unit -> place, in order of arrival
         self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
+    def _one_by_one(self, units: list[str]):
+        done = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
+        return np.array(done.ids, np.uint32), np.bincount(np.array(done.word_ids, np.int64), minlength=len(units))
+
+    def _letters(self, units: list[str]):
+        ids = np.array(self.tokenizer.encode("\n".join(units), add_special_tokens=False).ids, np.uint32)
+        stops = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(stops) != len(units) or stops[-1] != len(ids):
+            return self._one_by_one(units)
+        return ids, np.diff(stops, prepend=0)
+
     def _learn(self) -> None:
-        ids, counts = [self.ids], [np.empty(0, np.int64)]
-        words = list(islice(self.known, len(self.starts) - 1, None))
-        for at in range(0, len(words), 4096):
-            part = words[at:at + 4096]
-            done = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(done.ids, np.uint32))
-            counts.append(np.bincount(np.array(done.word_ids, np.int64), minlength=len(part)))
-        self.ids = np.concatenate(ids)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(counts))])
+        units = list(islice(self.known, len(self.starts) - 1, None))
+        if not units:
+            return
+        plain = pc.match_substring_regex(pa.array(units, pa.string()), r"^\pL+$").to_numpy(zero_copy_only=False)
+        ids, counts = [self.ids], np.empty(len(units), np.int64)
+        order = np.argsort(~plain, kind="stable")
+        for mine, encode, step in ((order[:plain.sum()], self._letters, 128), (order[plain.sum():], self._one_by_one, 1024)):
+            for at in range(0, len(mine), step):
+                got, counts[mine[at:at + step]] = encode([units[i] for i in mine[at:at + step]])
+                ids.append(got)
+        place = np.empty(len(units), np.int64)                # ids lie in the order of encoding, units in that of arrival
+        place[order] = np.cumsum(counts[order]) - counts[order]
+        fresh = _gather(np.concatenate(ids[1:]), place, counts)
+        self.ids = np.concatenate([self.ids, fresh])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+
+    def _places(self, units: pa.Array) -> np.ndarray:
+        coded = units.dictionary_encode()
+        place = np.fromiter(map(self.known.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        return place[coded.indices.to_numpy()]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, END_ID after each, and the number of ids of each text (null: no words)."""
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > KNOWN_UNITS:
             self._forget()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         n_words = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-        words = split.flatten().dictionary_encode()
-        place = np.fromiter(map(self.known.__getitem__, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        words = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))   # special tokens keep their case
+        cut = pc.extract_regex(words, r"^(?P<front>.*\pL)(?P<signs>[.,;:!?%#$&*]+)$")
+        front = pc.coalesce(pc.struct_field(cut, "front"), words)
+        signs = pc.fill_null(pc.struct_field(cut, "signs"), "")
+        units = np.stack([self._places(front), self._places(signs)], 1)
         self._learn()
-        at = place[words.indices.to_numpy()]
-        lens = np.diff(self.starts)[at]
+        size = np.diff(self.starts)[units]
+        of_word = _gather(self.ids, self.starts[units].reshape(-1), size.reshape(-1))
+        size = size.sum(1)
+        starts, at = np.cumsum(size) - size, coded.indices.to_numpy()
+        lens = size[at]
         upto = np.concatenate(([0], np.cumsum(lens)))[np.cumsum(n_words)]
-        flat = _gather(self.ids, self.starts[at], lens)
-        return np.insert(flat, upto, END_ID), np.diff(upto, prepend=0) + 1
+        return np.insert(_gather(of_word, starts[at], lens), upto, END_ID), np.diff(upto, prepend=0) + 1
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -113,15 +147,17 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, p
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        bucket = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
+        bucket = seq[:-1] * np.uint32(0x9E3779B1)
+        bucket += seq[1:] * np.uint32(0x85EBCA77)
+        bucket >>= np.uint32(32 - bits)
         bucket[last[:-1]] = 1 << bits                                   # pairs across documents do not count
         held = np.bincount(bucket, minlength=(1 << bits) + 1)[:-1]
         full = min(pairs, len(held) - 1)
         floor = max(min_count, int(np.partition(held, -full - 1)[-full - 1]))
         rich = np.append(held >= floor, False)
         at = np.flatnonzero(rich[bucket])
-        found, which, count = np.unique(code[at], return_inverse=True, return_counts=True)
+        code = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+        found, which, count = np.unique(code, return_inverse=True, return_counts=True)
         best = np.argsort(-count, kind="stable")[:pairs]
         best = best[count[best] >= min_count]
         if not len(best):
@@ -242,7 +278,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int =
     ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
 
 
-def _slices(batch: pa.RecordBatch, most: int = 4 << 20):
+def _slices(batch: pa.RecordBatch, most: int = 16 << 20):
     """Parts of a batch of about ``most`` bytes of text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
