@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, prepare, shared_path, table
 
 END_ID = 1
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS, SLICE_BYTES = 6_000_000, 16 << 20
 ROUNDS, PAIRS_A_ROUND, MIN_COUNT = 5, 1500, 16
 KNOWN_UNITS = 1_200_000
 
@@ -262,7 +262,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int =
 
         for batch in batches:
             encoder = _encoder(tokenizer)
-            for piece in _slices(batch):
+            for piece in _slices(batch, min(SLICE_BYTES, 3 * shard_tokens)):
                 got, n = encoder.encode(piece.column("text"))
                 keys += piece.column("doc_id").to_pylist()
                 ids.append(got), counts.append(n)
@@ -278,7 +278,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int =
     ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
 
 
-def _slices(batch: pa.RecordBatch, most: int = 16 << 20):
+def _slices(batch: pa.RecordBatch, most: int):
     """Parts of a batch of about ``most`` bytes of text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0

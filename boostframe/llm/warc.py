@@ -54,6 +54,7 @@ def pack(records: list[bytes], dict_bytes: int = DICT_BYTES, level: int = LEVEL)
     total = sum(map(len, records))
     step = max(1, -(-total // SAMPLE_BYTES))
     samples = [r[:SAMPLE_BYTES // 8] for r in records[::step]]
+    dict_bytes = min(dict_bytes, max(1024, total // 16))              # a small archive gets a small dictionary
     try:
         made = zstandard.train_dictionary(dict_bytes, samples, k=512, d=8).as_bytes()
     except zstandard.ZstdError:
