@@ -146,10 +146,82 @@ def q_fit_stumps_nodes(spark, sf_dir):
     return _node_cols(node_table(spark, model=_stump_model(spark, sf_dir)))
 
 
+def li_reg_id(spark, sf_dir):
+    """``li_reg`` with ``id``, the row's position in the order of all columns."""
+    li = with_row_id(_t(spark, sf_dir, "lineitem"), LI_ALL_COLS)
+    return li.select("id", *[F.col(c).cast("double").alias(c) for c in LI_REG_FEATURES],
+                     (F.col("l_quantity") * (1 - F.col("l_discount"))).cast("double").alias("target"))
+
+
 def q_predict_stumps(spark, sf_dir):
     from boostframe import predict
     m = _stump_model(spark, sf_dir)
-    return predict(li_reg(spark, sf_dir), model=m).select(_r("prediction"))
+    return predict(li_reg_id(spark, sf_dir), model=m, id="id").select("id", _r("prediction"))
+
+
+def q_predict_dart_rate0(spark, sf_dir):
+    from boostframe import fit_model, predict
+    m = fit_model(li_reg(spark, sf_dir), target="target", estimator="xgb_regressor", params={**STUMP_PARAMS, "booster": "dart"})
+    return predict(li_reg_id(spark, sf_dir), model=m, id="id").select("id", _r("prediction"))
+
+
+def q_predict_rf_stumps(spark, sf_dir):
+    from boostframe import fit_model, predict
+    m = fit_model(li_reg(spark, sf_dir), target="target", estimator="xgb_rf_regressor",
+                  params={"n_estimators": 4, "max_depth": 1, "subsample": 1.0, "colsample_bynode": 1.0})
+    return predict(li_reg_id(spark, sf_dir), model=m, id="id").select("id", _r("prediction"))
+
+
+def q_objective_stumps(spark, sf_dir):
+    from boostframe import fit_model
+    from boostframe.operators.importance import node_table
+    out = None
+    for objective in ("reg:squarederror", "count:poisson", "reg:gamma", "reg:tweedie", "reg:pseudohubererror",
+                      "reg:squaredlogerror"):
+        m = fit_model(li_reg(spark, sf_dir), target="target", estimator="xgb_regressor",
+                      params={"n_estimators": 1, "max_depth": 1, "objective": objective})
+        part = _node_cols(node_table(spark, model=m)).select(F.lit(objective).alias("objective"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_fit_large_target(spark, sf_dir):
+    """Targets near 5e10: the gradient grid follows their size."""
+    from boostframe import fit_model, predict
+    big = li_reg(spark, sf_dir).withColumn("target", F.col("target") * 1e9)
+    m = fit_model(big, target="target", estimator="xgb_regressor", params=STUMP_PARAMS)
+    return (predict(li_reg_id(spark, sf_dir), model=m, id="id")
+            .select("id", F.round(F.col("prediction") / 1e9, 6).alias("prediction")))
+
+
+def q_gblinear_line(spark, sf_dir):
+    """A linear model of one column meets the least-squares line."""
+    from boostframe import fit_model
+    m = fit_model(li_reg(spark, sf_dir).select("l_quantity", "target"), target="target", estimator="xgb_regressor",
+                  params={"booster": "gblinear", "n_estimators": 400})
+    line = (float(m.meta.linear_weights[0][0]), float(m.meta.base_margin[0] + m.meta.linear_bias[0]))
+    return spark.createDataFrame([line], "weight double, bias double").select(_r("weight", 4), _r("bias", 4))
+
+
+def q_many_categories(spark, sf_dir):
+    """A string feature with thousands of values and a target with thousands of labels fit without a limit."""
+    from boostframe import fit_model
+    li = _t(spark, sf_dir, "lineitem")
+    wide = li.select(F.col("l_orderkey").cast("string").alias("order"), F.col("l_quantity").cast("double").alias("target"))
+    m = fit_model(wide, target="target", estimator="xgb_regressor", params={"n_estimators": 1, "max_depth": 2})
+    from boostframe.operators.stages import class_codes
+    labels = class_codes(li.select((F.col("l_orderkey") % 2500).alias("label")), "label")
+    return labels.agg(F.lit(len(m.meta.categories[0])).cast("long").alias("n_categories"),
+                      F.count(F.lit(1)).alias("n_labels"), F.lit(m.meta.n_samples).cast("long").alias("n_rows"))
+
+
+def q_exact_bins(spark, sf_dir):
+    """``tree_method='exact'``: every distinct value of a continuous column is a cut."""
+    from boostframe.plans.binning import collect_stats
+    li = _t(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").cast("double"), F.col("l_tax").cast("double").alias("target"))
+    info = collect_stats(li, "target", "", "regression", tree_method="exact").features[0]
+    return (spark.createDataFrame([(b, float(v)) for b, v in enumerate(info.cuts)], "bin long, threshold double")
+            .select("bin", _r("threshold")))
 
 
 def q_regression_metrics(spark, sf_dir):
@@ -188,7 +260,7 @@ def q_partial_dependence(spark, sf_dir):
 def q_explain(spark, sf_dir):
     from boostframe.operators.explain import explain
     m = _stump_model(spark, sf_dir)
-    return explain(li_reg(spark, sf_dir), model=m).select("feature", _r("shap_value"), _r("base_value"))
+    return explain(li_reg_id(spark, sf_dir), model=m, id="id").select("id", "feature", _r("shap_value"), _r("base_value"))
 
 
 def _cat_stump(spark, sf_dir):
@@ -242,9 +314,10 @@ def q_folds_plain(spark, sf_dir):
 
 
 def q_make_regression(spark, sf_dir):
+    """A sample for every order, drawn by its key."""
     from boostframe.sources.datasets import make_regression
-    n = _t(spark, sf_dir, "orders").count()
-    d = make_regression(spark, n_samples=n, n_features=3, n_informative=2, noise=0.5, random_state=7)
+    keys = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
+    d = make_regression(spark, n_features=3, n_informative=2, noise=0.5, random_state=7, rows=keys)
     return d.select("sample_id", *[_r(c) for c in ["feature_0", "feature_1", "feature_2", "target"]])
 
 
@@ -299,28 +372,34 @@ def q_fit_emb_any(spark, sf_dir):
 
 def q_cross_val_predict(spark, sf_dir):
     from boostframe.operators.evaluate import cross_val_predict
-    d = with_row_id(li_bin(spark, sf_dir), LI_REG_FEATURES + ["target"])
-    return cross_val_predict(d, target="target", id="id", params={"n_estimators": 3, "max_depth": 2}, cv=3)
+    d = with_row_id(_t(spark, sf_dir, "lineitem"), LI_ALL_COLS).select(
+        "id", *[F.col(c).cast("double").alias(c) for c in LI_REG_FEATURES],
+        F.expr("CASE WHEN l_quantity > 25 AND l_discount >= 0.05 THEN 1 ELSE 0 END").alias("target"))
+    return cross_val_predict(d, target="target", id="id", params=STUMP_PARAMS, cv=3)
 
 
 def q_cross_val_score(spark, sf_dir):
     from boostframe.operators.evaluate import cross_val_score
-    return cross_val_score(li_reg(spark, sf_dir), target="target", estimator="xgb_regressor",
-                           params={"n_estimators": 3, "max_depth": 2}, cv=3)
+    return cross_val_score(li_reg_id(spark, sf_dir), target="target", estimator="xgb_regressor", id="id",
+                           params=STUMP_PARAMS, cv=3).select("fold", _r("score"))
+
+
+def _board(df: DataFrame) -> DataFrame:
+    return df.select("estimator", "params", _r("mean_test_score"), _r("std_test_score"), "rank")
 
 
 def q_grid_search(spark, sf_dir):
     from boostframe.operators.evaluate import grid_search
-    return grid_search(li_bin(spark, sf_dir), {"xgb_classifier": {"max_depth": [1, 2], "n_estimators": [2, 4]}},
-                       target="target", cv=3).drop("model")
+    return _board(grid_search(li_reg_id(spark, sf_dir), {"xgb_regressor": {
+        "learning_rate": [0.1, 0.3], "max_depth": [1], "n_estimators": [1, 2]}}, target="target", id="id", cv=3))
 
 
 def q_randomized_search(spark, sf_dir):
+    """As many draws as the grid has entries, so every seed gives the same board."""
     from boostframe.operators.evaluate import randomized_search
-    return randomized_search(li_reg(spark, sf_dir),
-                             {"xgb_regressor": {"learning_rate": [0.1, 0.3], "max_depth": [1, 2, 3],
-                                                "n_estimators": [5]}},
-                             target="target", n_iter=3, cv=3, random_state=1).drop("model")
+    return _board(randomized_search(li_reg_id(spark, sf_dir), {"xgb_regressor": {
+        "learning_rate": [0.1, 0.3], "max_depth": [1], "n_estimators": [2]}}, target="target", id="id", n_iter=2, cv=3,
+        random_state=1))
 
 
 def q_permutation_importance(spark, sf_dir):
@@ -353,10 +432,13 @@ def q_fit_typed_classifier(spark, sf_dir):
 
 
 def q_stream_predict(spark, sf_dir):
+    """A model of ``value`` by event type and user, fitted on the batch table, scores the same table as a file stream."""
+    from boostframe import fit_model
     from boostframe.streaming.stream import score_files_once
-    ev = _t(spark, sf_dir, "events").select("value", "event_type", F.col("value").alias("target"))
-    return score_files_once(spark, f"{sf_dir}/events.parquet", ev, ["value", "event_type"], "event_id",
-                            _ckdir(spark) + "/ev_stream")
+    ev = _t(spark, sf_dir, "events").select("event_type", "user_id", F.col("value").cast("double").alias("target"))
+    model = fit_model(ev, target="target", estimator="xgb_regressor", params={"n_estimators": 3, "max_depth": 2})
+    scored = score_files_once(spark, f"{sf_dir}/events.parquet", model, "event_id", _ckdir(spark))
+    return scored.select("event_id", _r("prediction"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -396,6 +478,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_gblinear": q_fit_gblinear,
     "fit_typed_classifier": q_fit_typed_classifier,
     "stream_predict": q_stream_predict,
+    "predict_dart_rate0": q_predict_dart_rate0,
+    "predict_rf_stumps": q_predict_rf_stumps,
+    "objective_stumps": q_objective_stumps,
+    "fit_large_target": q_fit_large_target,
+    "gblinear_line": q_gblinear_line,
+    "many_categories": q_many_categories,
+    "exact_bins": q_exact_bins,
 }
 
 

@@ -105,36 +105,59 @@ def go_left(forest: Forest, idx: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def route(forest: Forest, X: np.ndarray, tree_ids: np.ndarray | None = None) -> np.ndarray:
-    """Global leaf index for every (row, tree): int array ``[rows, trees]``."""
-    roots = forest.roots if tree_ids is None else forest.roots[tree_ids]
-    n = X.shape[0]
-    idx = np.broadcast_to(roots, (n, roots.shape[0])).copy()
-    if n == 0 or roots.shape[0] == 0:
-        return idx
-    rows = np.arange(n)[:, None]
-    for _ in range(forest.depth):
-        f = forest.feat[idx]
-        inner = f >= 0
-        if not inner.any():
-            break
-        x = X[rows, np.maximum(f, 0)]
-        left = go_left(forest, idx, x)
-        nxt = np.where(left, forest.left[idx], forest.right[idx])
-        idx = np.where(inner, nxt, idx)
-    return idx
+    """Global leaf index for every (row, tree): int array ``[rows, trees]``. One tree at a time, so its node arrays stay
+    in cache; leaves are their own children, so no row has to be masked out."""
+    trees = np.arange(forest.n_trees) if tree_ids is None else np.asarray(tree_ids)
+    n, width = X.shape
+    out = np.empty((n, len(trees)), dtype=np.int32)
+    if n == 0:
+        return out
+    flat, start = np.ascontiguousarray(X).ravel(), np.arange(n, dtype=np.int64) * width
+    miss = np.isnan(flat)
+    some_missing = bool(miss.any())
+    ends = np.append(forest.offsets[1:], len(forest.feat))
+    for j, t in enumerate(trees):
+        lo, hi = int(forest.offsets[t]), int(ends[t])
+        feat = forest.feat[lo:hi]
+        inner = feat >= 0
+        own = np.arange(hi - lo)
+        child = np.stack([np.where(inner, forest.right[lo:hi] - lo, own), np.where(inner, forest.left[lo:hi] - lo, own)],
+                         1).ravel()
+        feat, thr, dleft = np.where(inner, feat, 0), forest.thr[lo:hi], forest.dleft[lo:hi]
+        cats = forest.catrow[lo:hi]
+        by_category = bool((cats >= 0).any())
+        at = np.full(n, int(forest.roots[t]) - lo)
+        levels = _tree_depth(*(np.where(inner, side[lo:hi] - lo, -1).tolist() for side in (forest.left, forest.right)))
+        for _ in range(levels):
+            cell = start + feat[at]
+            x = flat[cell]
+            left = x < thr[at]
+            if by_category:
+                left = _category_left(forest, cats[at], x, left)
+            if some_missing:
+                left = np.where(miss[cell], dleft[at], left)
+            at = child[2 * at + left]
+        out[:, j] = at + lo
+    return out
+
+
+def _category_left(forest: Forest, rows: np.ndarray, x: np.ndarray, left: np.ndarray) -> np.ndarray:
+    width = forest.catbits.shape[1]
+    known = (x >= 0) & (x < width)
+    bits = forest.catbits[np.maximum(rows, 0), np.where(known, x, 0).astype(np.int64)] & known
+    return np.where(rows >= 0, bits, left)
 
 
 def margins(forest: Forest, X: np.ndarray, base: np.ndarray, n_groups: int,
-            tree_mask: np.ndarray | None = None) -> np.ndarray:
-    """Raw margins ``[rows, n_groups]`` = base + Σ tree_weight · leaf value per output group."""
+            trees: np.ndarray | None = None) -> np.ndarray:
+    """Raw margins ``[rows, n_groups]`` = base + Σ tree_weight · leaf value per output group, of all or of some trees."""
     out = np.tile(np.asarray(base, dtype=np.float64), (X.shape[0], 1))
-    if forest.n_trees == 0 or X.shape[0] == 0:
+    trees = np.arange(forest.n_trees) if trees is None else trees
+    if len(trees) == 0 or X.shape[0] == 0:
         return out
-    leaves = route(forest, X)
-    w = forest.tree_weight if tree_mask is None else forest.tree_weight * tree_mask
-    vals = forest.value[leaves] * w[None, :]
-    for t in range(forest.n_trees):  # tree order, as the training state accumulates
-        out[:, forest.tree_class[t]] += vals[:, t]
+    leaves = route(forest, X, trees)
+    for j, t in enumerate(trees):  # tree order, as the training state accumulates
+        out[:, forest.tree_class[t]] += forest.value[leaves[:, j]] * forest.tree_weight[t]
     return out
 
 
@@ -148,31 +171,79 @@ def softmax(m: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def gradients(objective: str, margin: np.ndarray, y: np.ndarray, scale_pos_weight: float = 1.0
-              ) -> tuple[np.ndarray, np.ndarray]:
-    """First and second derivatives ``[rows, groups]`` of the loss at the current margins."""
+LOG_LINK = ("count:poisson", "reg:gamma", "reg:tweedie")
+
+
+def link(objective: str, margin: np.ndarray) -> np.ndarray:
+    """A regression margin in the units of the target."""
+    if objective in LOG_LINK:
+        return np.exp(margin)
+    return sigmoid(margin) if objective == "reg:logistic" else margin
+
+
+def gradients(objective: str, margin: np.ndarray, y: np.ndarray, scale_pos_weight: float = 1.0, power: float = 1.5,
+              slope: float = 1.0, max_step: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivatives ``[rows, groups]`` of the loss at the current margins. ``power``: of the Tweedie
+    variance; ``slope``: of the pseudo-Huber loss; ``max_step`` (0.7 if not set) steadies Poisson's second derivative."""
+    t = y[:, None]
     if objective == "reg:squarederror":
-        g = margin - y[:, None]
+        g = margin - t
         h = np.ones_like(g)
-    elif objective in ("binary:logistic", "binary:logitraw"):
+    elif objective in ("binary:logistic", "binary:logitraw", "reg:logistic"):
         p = sigmoid(margin)
-        g = p - y[:, None]
+        g = p - t
         h = np.maximum(p * (1.0 - p), 1e-16)
         if scale_pos_weight != 1.0:
             w = np.where(y == 1.0, scale_pos_weight, 1.0)[:, None]
             g = g * w
             h = h * w
+    elif objective == "binary:hinge":
+        sign = 2.0 * t - 1.0
+        inside = margin * sign < 1.0
+        g = np.where(inside, -sign, 0.0)
+        h = np.where(inside, 1.0, 1e-16)
+    elif objective == "reg:squaredlogerror":
+        p = np.maximum(margin, -1 + 1e-6) + 1.0
+        gap = np.log(p) - np.log1p(t)
+        g = gap / p
+        h = np.maximum((1.0 - gap) / (p * p), 1e-6)
+    elif objective == "reg:pseudohubererror":
+        z = margin - t
+        root = np.sqrt(1.0 + (z / slope) ** 2)
+        g = z / root
+        h = 1.0 / root ** 3
+    elif objective == "count:poisson":
+        mean = np.exp(margin)
+        g = mean - t
+        h = mean * np.exp(max_step or 0.7)
+    elif objective == "reg:gamma":
+        h = t * np.exp(-margin)
+        g = 1.0 - h
+    elif objective == "reg:tweedie":
+        low, high = t * np.exp((1.0 - power) * margin), np.exp((2.0 - power) * margin)
+        g = high - low
+        h = (2.0 - power) * high - (1.0 - power) * low
     else:  # multi:softprob / multi:softmax
         p = softmax(margin)
-        onehot = (np.arange(margin.shape[1])[None, :] == y[:, None]).astype(np.float64)
+        onehot = (np.arange(margin.shape[1])[None, :] == t).astype(np.float64)
         g = p - onehot
         h = np.maximum(2.0 * p * (1.0 - p), 1e-16)
     return g, h
 
 
-def to_fixed(v: np.ndarray) -> np.ndarray:
+def scale_for(largest: float) -> float:
+    """Fixed-point scale, a power of two, for sums of values up to ``largest``: 2^20 for ordinary magnitudes, else such
+    that the largest value takes about 32 bits, so a task can add 2^30 of them."""
+    exponent = int(np.frexp(largest)[1]) if largest > 0 else 0
+    return FIXED_SCALE if -4 <= exponent <= 12 else float(2.0 ** (32 - exponent))
+
+
+def to_fixed(v: np.ndarray, scale: float = FIXED_SCALE) -> np.ndarray:
     """Round to the fixed-point grid (half up, as SQL ``floor(x + 0.5)``)."""
-    return np.floor(v * FIXED_SCALE + 0.5)
+    out = np.floor(v * scale + 0.5)
+    if out.size and not np.abs(out).max() < 2.0 ** 36:
+        raise OverflowError("a gradient is too large for exact sums: rescale the target or lower learning_rate")
+    return out
 
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)

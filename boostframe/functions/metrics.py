@@ -11,26 +11,39 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import CLASSIFICATION
 
+# Scorer names.
 CLASSIFICATION_SCORERS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "precision_macro",
                           "precision_micro", "precision_weighted", "recall_macro", "recall_micro",
-                          "recall_weighted", "f1_macro", "f1_micro", "f1_weighted", "roc_auc", "neg_log_loss"]
+                          "recall_weighted", "f1_macro", "f1_micro", "f1_weighted", "roc_auc", "roc_auc_ovr",
+                          "average_precision", "neg_brier_score", "matthews_corrcoef", "neg_log_loss"]
 REGRESSION_SCORERS = ["r2", "explained_variance", "neg_mean_squared_error", "neg_root_mean_squared_error",
-                      "neg_mean_absolute_error", "neg_median_absolute_error", "max_error"]
-PROBA_SCORERS = {"roc_auc", "neg_log_loss"}
+                      "neg_mean_absolute_error", "neg_median_absolute_error", "neg_mean_absolute_percentage_error",
+                      "max_error"]
+PROBA_SCORERS = {"roc_auc", "roc_auc_ovr", "average_precision", "neg_brier_score", "neg_log_loss"}
+BINARY_SCORERS = {"precision", "recall", "f1", "roc_auc", "average_precision", "neg_brier_score"}
 _EPS = float(np.finfo(np.float64).eps)
 
 
 def check_scoring(scoring: str, task: str) -> str:
-    """'' → the task's default scorer; unknown → error listing the valid names."""
+    """'' → the task's default scorer; a name of the other task or of none → error listing the valid ones."""
     if not scoring:
         return "accuracy" if task == CLASSIFICATION else "r2"
-    valid = CLASSIFICATION_SCORERS + REGRESSION_SCORERS
-    if scoring not in valid:
-        raise ValueError(f"unknown scoring {scoring!r}; valid scorers: {', '.join(valid)}")
-    return scoring
+    valid = CLASSIFICATION_SCORERS if task == CLASSIFICATION else REGRESSION_SCORERS
+    if scoring in valid:
+        return scoring
+    if scoring in CLASSIFICATION_SCORERS + REGRESSION_SCORERS:
+        raise ValueError(f"scoring {scoring!r} does not fit a {task} target; valid scorers: {', '.join(valid)}")
+    raise ValueError(f"unknown scoring {scoring!r}; valid scorers: {', '.join(valid)}")
+
+
+def check_classes(scoring: str, classes: list | None) -> None:
+    if scoring in BINARY_SCORERS and len(classes or ()) != 2:
+        raise ValueError(f"scoring {scoring!r} is defined for two classes, the target has {len(classes or ())}; "
+                         f"take an averaged scorer such as 'f1_macro' or 'roc_auc_ovr'")
 
 
 def needs_proba(scoring: str) -> bool:
@@ -50,8 +63,19 @@ def score(df: DataFrame, scoring: str, group: list[str], n_classes: int = 2) ->
     if scoring.split("_")[0] in ("precision", "recall", "f1"):
         metric, avg = scoring.split("_")
         return _multi_prf(df, metric, avg, group)
+    if scoring == "matthews_corrcoef":
+        return _matthews(df, group)
     if scoring == "roc_auc":
         return roc_auc(df, group)
+    if scoring == "average_precision":
+        return average_precision(df, group)
+    if scoring == "neg_brier_score":
+        return df.groupBy(*g).agg((-F.avg((F.col("p1") - (y == 1).cast("double")) ** 2)).alias("score"))
+    if scoring == "roc_auc_ovr":
+        each = F.explode(F.array(*[F.struct(F.lit(j).alias("__class"), (y == j).cast("double").alias("y"),
+                                            F.col(f"p{j}").alias("p1")) for j in range(max(n_classes, 2))]))
+        per = roc_auc(df.select(*g, each.alias("e")).select(*g, "e.*"), [*group, "__class"])
+        return per.groupBy(*g).agg(F.avg("score").alias("score"))
     if scoring == "neg_log_loss":
         k = max(n_classes, 2)
         ps = [F.col(f"p{j}") for j in range(k)]
@@ -63,11 +87,9 @@ def score(df: DataFrame, scoring: str, group: list[str], n_classes: int = 2) ->
         return df.groupBy(*g).agg((-F.avg(-F.log(clipped))).alias("score"))
     e = y - pred
     if scoring == "r2":
-        a = df.groupBy(*g).agg(F.sum(e * e).alias("sse"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
-                               F.count(F.lit(1)).alias("n"))
-        sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-        return a.select(*g, F.when(sst <= 0, F.when(F.col("sse") == 0, 1.0).otherwise(0.0))
-                        .otherwise(F.lit(1.0) - F.col("sse") / sst).alias("score"))
+        a = df.groupBy(*g).agg(F.sum(e * e).alias("sse"), (F.var_pop(y) * F.count(F.lit(1))).alias("sst"))
+        return a.select(*g, F.when(F.col("sst") <= 0, F.when(F.col("sse") == 0, 1.0).otherwise(0.0))
+                        .otherwise(F.lit(1.0) - F.col("sse") / F.col("sst")).alias("score"))
     if scoring == "explained_variance":
         a = df.groupBy(*g).agg(F.var_pop(e).alias("ve"), F.var_pop(y).alias("vy"))
         return a.select(*g, F.when(F.col("vy") <= 0, F.when(F.col("ve") == 0, 1.0).otherwise(0.0))
@@ -81,6 +103,8 @@ def score(df: DataFrame, scoring: str, group: list[str], n_classes: int = 2) ->
     if scoring == "neg_median_absolute_error":
         # sketch with rank error ≤ n / 10^6 (an exact median would hold a whole group in one task)
         return df.groupBy(*g).agg((-F.percentile_approx(F.abs(e), 0.5, 1000000)).alias("score"))
+    if scoring == "neg_mean_absolute_percentage_error":
+        return df.groupBy(*g).agg((-F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(_EPS)))).alias("score"))
     if scoring == "max_error":
         return df.groupBy(*g).agg((-F.max(F.abs(e))).alias("score"))
     raise ValueError(f"unknown scoring {scoring!r}")
@@ -104,11 +128,13 @@ def _binary_prf(df: DataFrame, metric: str, g: list[Column]) -> DataFrame:
 def _multi_prf(df: DataFrame, metric: str, avg: str, group: list[str]) -> DataFrame:
     g = [F.col(c) for c in group]
     y, pred = F.col("y"), F.col("pred")
-    # per class: tp, fp, fn (classes = labels seen in y or pred)
-    as_true = df.groupBy(*g, y.alias("c")).agg(F.count(F.lit(1)).alias("support"),
-                                               F.sum((y == pred).cast("long")).alias("tp"))
-    as_pred = df.groupBy(*g, pred.alias("c")).agg(F.count(F.lit(1)).alias("npred"))
-    per = as_true.join(as_pred, on=group + ["c"], how="full").na.fill(0, ["support", "tp", "npred"])
+    # per class: tp, fp, fn (classes = labels seen in y or pred), all from one count of the pairs
+    pairs = df.groupBy(*g, y.alias("y"), pred.alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(y == pred, F.col("n")).otherwise(0)
+    ends = F.explode(F.array(F.struct(y.alias("c"), F.col("n").alias("support"), F.lit(0).cast("long").alias("npred"), hit.cast("long").alias("tp")),
+                             F.struct(pred.alias("c"), F.lit(0).cast("long").alias("support"), F.col("n").alias("npred"), F.lit(0).cast("long").alias("tp"))))
+    per = (pairs.select(*g, ends.alias("e")).groupBy(*g, F.col("e.c").alias("c"))
+           .agg(F.sum("e.support").alias("support"), F.sum("e.npred").alias("npred"), F.sum("e.tp").alias("tp")))
     tp, sup, npred = F.col("tp"), F.col("support"), F.col("npred")
     fp, fn = npred - tp, sup - tp
     if avg == "micro":
@@ -125,57 +151,90 @@ def _multi_prf(df: DataFrame, metric: str, avg: str, group: list[str]) -> DataFr
     return per.groupBy(*g).agg(_safe_div(F.sum(F.col("v") * F.col("s")), F.sum("s")).alias("score"))
 
 
+def _matthews(df: DataFrame, group: list[str]) -> DataFrame:
+    """Correlation of true and predicted classes, from the counts of the pairs."""
+    g = [F.col(c) for c in group]
+    pairs = df.groupBy(*g, "y", "pred").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    ends = F.explode(F.array(F.struct(F.col("y").alias("c"), F.col("n").alias("t"), F.lit(0.0).alias("p")),
+                             F.struct(F.col("pred").alias("c"), F.lit(0.0).alias("t"), F.col("n").alias("p"))))
+    per = (pairs.select(*g, F.when(F.col("y") == F.col("pred"), F.col("n") / 2).otherwise(0.0).alias("hit"), ends.alias("e"))
+           .groupBy(*g, F.col("e.c").alias("c")).agg(F.sum("e.t").alias("t"), F.sum("e.p").alias("p"), F.sum("hit").alias("hit")))
+    a = per.groupBy(*g).agg(F.sum("hit").alias("c"), F.sum("t").alias("s"), F.sum(F.col("t") * F.col("p")).alias("tp"),
+                            F.sum(F.col("t") ** 2).alias("tt"), F.sum(F.col("p") ** 2).alias("pp"))
+    below = F.sqrt((F.col("s") ** 2 - F.col("pp")) * (F.col("s") ** 2 - F.col("tt")))
+    return a.select(*g, F.when(below > 0, (F.col("c") * F.col("s") - F.col("tp")) / below).otherwise(F.lit(0.0)).alias("score"))
+
+
+def _by_score(df: DataFrame, group: list[str], highest_first: bool) -> DataFrame:
+    """Positives and negatives per distinct score; ``rank`` orders them."""
+    at = -F.col("p1") if highest_first else F.col("p1")
+    return df.groupBy(*[F.col(c) for c in group], at.alias("rank")).agg(
+        F.sum((F.col("y") == 1).cast("long")).alias("pos"), F.sum((F.col("y") != 1).cast("long")).alias("neg"))
+
+
+def _finished(scores: DataFrame, layout: DataFrame) -> DataFrame:
+    """The scores, a row per group, computed now, so the layout they come from can go."""
+    rows, schema = scores.collect(), scores.schema
+    layout.unpersist()
+    return scores.sparkSession.createDataFrame(rows, schema)
+
+
 def roc_auc(df: DataFrame, group: list[str]) -> DataFrame:
     """Binary ROC AUC by rank sums with averaged ties: Σ over positives of (#neg below + ½ #neg equal),
     over #pos·#neg. Counts are first aggregated per distinct score; the running count of negatives is
     a distributed cumulative sum (range-partitioned), so no group is held in one task."""
     g = [F.col(c) for c in group]
-    per = df.groupBy(*g, F.col("p1").alias("s")).agg(F.sum((F.col("y") == 1).cast("long")).alias("pos"),
-                                                      F.sum((F.col("y") != 1).cast("long")).alias("neg"))
-    cum, layout = cumulative_sum(per, group, "s", "neg", "neg_before")
+    cum, layout = cumulative_sums(_by_score(df, group, False), group, "rank", ["neg"])
     a = cum.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5)).alias("u"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    out = a.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P") * F.col("N")))
-                   .otherwise(F.lit(float("nan"))).alias("score"))
-    return out
+    return _finished(a.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P") * F.col("N")))
+                              .otherwise(F.lit(float("nan"))).alias("score")), layout)
 
 
-def cumulative_sum(df: DataFrame, group: list[str], order: str, value: str, out_col: str):
-    """``out_col`` = Σ ``value`` over earlier rows (by ``order``) of the same group, exclusive."""
+def average_precision(df: DataFrame, group: list[str]) -> DataFrame:
+    """Σ over distinct scores, highest first, of the recall gained times the precision reached."""
+    g = [F.col(c) for c in group]
+    cum, layout = cumulative_sums(_by_score(df, group, True), group, "rank", ["pos", "neg"])
+    upto = F.col("pos_before") + F.col("pos")
+    a = cum.groupBy(*g).agg(F.sum(F.col("pos") * upto / (upto + F.col("neg_before") + F.col("neg"))).alias("u"),
+                            F.sum("pos").alias("P"))
+    return _finished(a.select(*g, F.when(F.col("P") > 0, F.col("u") / F.col("P")).otherwise(F.lit(0.0)).alias("score")), layout)
+
+
+def cumulative_sums(df: DataFrame, group: list[str], order: str, values: list[str]):
+    """``<value>_before`` = Σ ``value`` over earlier rows (by ``order``) of the same group, exclusive, for each of
+    ``values``; and the persisted layout. The driver sees a row per (partition, group)."""
     key = group + [order]
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    layout = (df.repartitionByRange(parts, *[F.col(c) for c in key]).sortWithinPartitions(*key)
-              .withColumn("__pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK))
     gk = F.to_json(F.struct(*[F.col(c) for c in group])) if group else F.lit("")
-    tot = layout.groupBy("__pid", gk.alias("__gk")).agg(F.sum(value).alias("t")).collect()
-    pids = sorted({r["__pid"] for r in tot})
-    keys = sorted({r["__gk"] for r in tot})
-    kidx = {k: i for i, k in enumerate(keys)}
-    mat = np.zeros((max(pids + [0]) + 1, max(len(keys), 1)))
+    layout = (df.withColumn("__gk", gk).repartitionByRange(*[F.col(c) for c in key]).sortWithinPartitions(*key)
+              .withColumn("__pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK))
+    tot = layout.groupBy("__pid", "__gk").agg(*[F.sum(v).alias(v) for v in values]).collect()
+    keys = {k: i for i, k in enumerate(sorted({r["__gk"] for r in tot}))}
+    sums = np.zeros((max([r["__pid"] for r in tot] + [0]) + 1, max(len(keys), 1), len(values)))
     for r in tot:
-        mat[r["__pid"], kidx[r["__gk"]]] = r["t"]
-    offs = np.cumsum(mat, axis=0) - mat
-    src = layout.withColumn("__gk", gk)
-    from pyspark.sql import types as T
-    schema = T.StructType(list(src.schema.fields) + [T.StructField(out_col, T.DoubleType(), False)])
+        sums[r["__pid"], keys[r["__gk"]]] = [r[v] for v in values]
+    before = np.cumsum(sums, axis=0) - sums
+    schema = T.StructType([*layout.schema.fields, *(T.StructField(f"{v}_before", T.DoubleType(), False) for v in values)])
 
     def kernel(batches):
-        running = {}
+        running = None
         for b in batches:
             if b.num_rows == 0:
                 continue
-            pid = int(b.column("__pid")[0].as_py())
-            gks = b.column("__gk").to_pylist()
-            vals = b.column(value).to_numpy(zero_copy_only=False).astype(np.float64)
-            out = np.empty(b.num_rows)
-            for i, (k, v) in enumerate(zip(gks, vals)):
-                base = running.get(k)
-                if base is None:
-                    base = offs[pid, kidx[k]]
-                out[i] = base
-                running[k] = base + v
-            yield pa.RecordBatch.from_arrays(b.columns + [pa.array(out, pa.float64())],
-                                             names=b.schema.names + [out_col])
-
-    return src.mapInArrow(kernel, schema).drop("__pid", "__gk"), layout
+            if running is None:
+                running = before[int(b.column("__pid")[0].as_py())].copy()
+            coded = b.column("__gk").dictionary_encode()
+            place = np.array([keys[k] for k in coded.dictionary.to_pylist()])
+            at = coded.indices.to_numpy()
+            add = np.stack([b.column(v).to_numpy(zero_copy_only=False).astype(np.float64) for v in values], 1)
+            out = np.empty_like(add)
+            for k, p in enumerate(place):
+                mine = np.flatnonzero(at == k)
+                upto = np.cumsum(add[mine], axis=0)
+                out[mine] = running[p] + upto - add[mine]
+                running[p] += upto[-1]
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(out[:, j]) for j in range(len(values)))],
+                                             names=[*b.schema.names, *(f"{v}_before" for v in values)])
+
+    return layout.mapInArrow(kernel, schema).drop("__pid", "__gk"), layout

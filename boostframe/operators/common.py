@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.kernel import FIXED_SCALE
+from ..functions.kernel import LOG_LINK
 from ..model import Model
 from ..plans import ranks
-from ..plans.binning import DataStats, binned_table, collect_stats
+from ..plans.binning import DataStats, binned_table, collect_stats, sum_value, target_sum
 from ..plans.train import ModelSpec
 from ..schemas import CLASSIFICATION
 from ..sources import registry
 
 
+#: Below this many rows the binned table is dealt over all cores: its file splits may be fewer. The result is the same.
+SPREAD_ROWS = 5_000_000
+
+
 def resolve_model(spark: SparkSession, model_name: str = "", model: Any = None, prefer: str = "name",
                   root: str | None = None) -> Model:
     """A model from the registry name or from a value (bytes / Model). ``prefer`` decides when both."""
@@ -51,16 +55,34 @@ def objective_for(task: str, n_classes: int | None, params: dict) -> tuple[str,
 
 
 def base_margin(objective: str, n_groups: int, params: dict, y_sum: float, n: int) -> np.ndarray:
-    """Starting margin: mean target (regression), log-odds of the positive rate (binary), 0 (multiclass)."""
+    """Starting margin: mean target (its logarithm or log-odds under such a link), 0 per class or for hinge."""
     bs = params.get("base_score")
-    if objective == "reg:squarederror":
-        v = bs if bs is not None else ((y_sum / FIXED_SCALE) / n if n else 0.0)
-        return np.array([v])
-    if objective.startswith("binary:"):
-        p = bs if bs is not None else ((y_sum / n) if n else 0.5)
-        v = math.log(p / (1.0 - p)) if 0.0 < p < 1.0 else 0.0
-        return np.array([v])
-    return np.full(n_groups, bs if bs is not None else 0.0)
+    if objective.startswith("multi:") or objective == "binary:hinge":
+        return np.full(n_groups, bs if bs is not None else 0.0)
+    mean = bs if bs is not None else (y_sum / n if n else 0.0)
+    if objective.startswith("binary:") or objective == "reg:logistic":
+        return np.array([math.log(mean / (1.0 - mean)) if 0.0 < mean < 1.0 else 0.0])
+    if objective in LOG_LINK:
+        return np.array([math.log(mean) if mean > 0 else 0.0])
+    return np.array([mean])
+
+
+#: Ranges of the target that an objective is defined on.
+_TARGETS = {"reg:logistic": (0.0, 1.0, True), "count:poisson": (0.0, math.inf, True), "reg:tweedie": (0.0, math.inf, True),
+            "reg:gamma": (0.0, math.inf, False), "reg:squaredlogerror": (-1.0, math.inf, False)}
+
+
+def check_target_range(objective: str | None, low: float, high: float) -> None:
+    lo, hi, closed = _TARGETS.get(objective or "", (-math.inf, math.inf, True))
+    if low < lo or high > hi or (low == lo and not closed and lo > -math.inf):
+        raise ValueError(f"objective {objective!r} is not defined for targets from {low} to {high}")
+
+
+def value_column(margin: Column, objective: str) -> Column:
+    """A regression margin in the units of the target."""
+    if objective in LOG_LINK:
+        return F.exp(margin)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) if objective == "reg:logistic" else margin
 
 
 @dataclass
@@ -68,7 +90,6 @@ class Prepared:
     stats: DataStats
     state: DataFrame           # persisted: __rid, __y, [__id], __b*, [__fold], __m*
     has_fold: bool
-    fold_sums: dict            # fold → (n, Σy fixed or Σy)
     release: list              # persisted frames to unpersist at the end
 
 
@@ -83,9 +104,12 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
         raise ValueError(f"id column {id_col!r} not found in input; columns: {', '.join(df.columns)}")
     if stats is None:
         stats = collect_stats(df, target, id_col, task, params["max_bin"], params["tree_method"])
+    if task != CLASSIFICATION:
+        check_target_range(params.get("objective"), stats.y_min, stats.y_max)
     binned = binned_table(df, stats, id_col, keep_raw=params.get("booster") == "gblinear")
     release = []
     has_fold = cv is not None
+    order = (["__id"] if id_col else []) + ["__rid"]
     if has_fold:
         if cv < 2:
             raise ValueError(f"cv must be at least 2, got {cv}")
@@ -93,10 +117,16 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
             raise ValueError(f"cv={cv} is greater than the number of rows ({stats.n_rows})")
         if task == CLASSIFICATION and all(c < cv for c in stats.class_counts):
             raise ValueError(f"cv={cv} cannot be greater than the number of members in each class")
-        order = (["__id"] if id_col else []) + ["__rid"]
         ranked, info, layout = ranks.with_rank(binned, order, "__y" if task == CLASSIFICATION else None)
         release.append(layout)
-        if task == CLASSIFICATION:
+        if not id_col:
+            # without an id the rows have no order of their own: equal ones lie side by side in the ranking, so they
+            # are dealt to the folds in turn, which gives every fold the size it has with an id
+            start = F.lit(0)
+            if task == CLASSIFICATION:
+                start = F.coalesce(*[F.when(F.col("__y") == float(g), F.lit(n)) for g, n in ranks.class_starts(info).items()])
+            fold_col = (start + F.col("__rank")) % cv
+        elif task == CLASSIFICATION:
             bounds = ranks.stratified_bounds(info, cv)
             cases = None
             for g, b in bounds.items():
@@ -106,9 +136,13 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
             fold_col = cases.otherwise(F.lit(0))
         else:
             fold_col = _fold_expr(F.col("__rank"), ranks.plain_bounds(stats.n_rows, cv))
-        binned = ranked.withColumn("__fold", fold_col.cast("int")).drop("__rank", "__pid")
-    fold_sums = {}
-    return Prepared(stats, binned, has_fold, fold_sums, release)
+        binned = ranked.withColumn("__fold", fold_col.cast("int"))
+    elif params.get("subsample", 1.0) < 1.0 and params.get("booster") != "gblinear":
+        binned, _, layout = ranks.with_rank(binned, order)
+        release.append(layout)
+    if release:       # equal rows get numbers of their own, so each is sampled for itself
+        binned = binned.withColumn("__rid", F.xxhash64("__rid", "__rank")).drop("__rank", "__pid")
+    return Prepared(stats, binned, has_fold, release)
 
 
 def _fold_expr(rank: Column, bounds: np.ndarray) -> Column:
@@ -128,36 +162,27 @@ def with_margins(prep: Prepared, specs: list[ModelSpec]) -> DataFrame:
             cols.append(F.lit(float(s.base[k])).alias(f"__m{j}"))
             j += 1
     state = prep.state.select("*", *cols)
-    # every core should hold a slice of the state: only a small input (few file splits) is spread out
-    spark = state.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    try:
-        have = state.rdd.getNumPartitions()
-    except Exception:
-        have = want
-    if have < want:
-        state = state.repartition(want)
+    # every core should hold a slice of the state, also of an input with few file splits
+    if prep.stats.n_rows < SPREAD_ROWS and not prep.release:
+        state = state.repartition(state.sparkSession.sparkContext.defaultParallelism)
     return state.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def target_sums(prep: Prepared) -> dict:
-    """Per fold (or -1 for all rows): (rows, Σ fixed-point y for regression / Σ y for classification)."""
-    ycol = F.col("__y")
-    if prep.stats.task == CLASSIFICATION:
-        ysum = F.sum(ycol).cast("double")
-    else:
-        ysum = F.sum(F.floor(ycol * F.lit(FIXED_SCALE) + F.lit(0.5)).cast("decimal(38,0)"))
+    """Per fold (or -1 for all rows): (rows, Σy)."""
     if not prep.has_fold:
-        return {-1: (prep.stats.n_rows, prep.stats.y_sum_fixed if prep.stats.task != CLASSIFICATION
-                     else None)}
-    rows = prep.state.groupBy("__fold").agg(F.count(F.lit(1)).alias("n"), ysum.alias("s")).collect()
-    return {int(r["__fold"]): (int(r["n"]), r["s"]) for r in rows}
+        return {-1: (prep.stats.n_rows, prep.stats.y_sum)}
+    rows = prep.state.groupBy("__fold").agg(F.count(F.lit(1)).alias("n"), target_sum(F.col("__y")).alias("s")).collect()
+    return {int(r["__fold"]): (int(r["n"]), sum_value(r["s"])) for r in rows}
 
 
 # ------------------------------------------------------------------ prediction expressions
 
 def proba_columns(margins: list[Column], objective: str) -> list[Column]:
     """Class probabilities from margin columns (JVM-side expressions)."""
+    if objective == "binary:hinge":
+        p1 = (margins[0] > 0).cast("double")
+        return [F.lit(1.0) - p1, p1]
     if objective.startswith("binary:"):
         p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-margins[0]))
         return [F.lit(1.0) - p1, p1]

@@ -1,8 +1,10 @@
 """``partial_dependence``: average model output as one numeric feature sweeps a grid.
 
-The grid is computed by one aggregation (distinct count, then either the distinct values or an even
-grid between the 5th and 95th percentiles). Each Arrow batch then emits ``(grid index, class, Σ, n)``
-partials for every grid value — rows × grid is never materialised — and ``groupBy`` averages them.
+The grid is the feature's distinct values if they are fewer than its resolution (found exactly: each
+task gives up on the first value beyond), else evenly spaced between the 5th and 95th percentiles.
+Between two neighbouring thresholds of the feature the output is the same, so each Arrow batch scores
+the trees without the feature once and the others once per interval that the grid meets; it emits
+``(grid index, class, Σ, n)`` partials and ``groupBy`` averages them. Rows × grid is never materialised.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import kernel as K
+from ..plans.binning import distinct_values
 from ..plans.features import require_features
 from ..schemas import CLASSIFICATION, PD_SCHEMA
 from .common import resolve_model
@@ -21,19 +25,25 @@ from .predict import Scorer, _broadcast
 
 
 def pd_grid(df: DataFrame, feature: str, grid_resolution: int) -> np.ndarray:
-    col = F.nanvl(F.col(feature).cast("double"), F.lit(None).cast("double"))
-    row = df.agg(F.approx_count_distinct(col, 0.01).alias("d"),
-                 F.percentile_approx(col, [0.05, 0.95], 10000).alias("q")).first()
-    if row["d"] is not None and row["d"] <= grid_resolution * 1.05 + 1:
-        vals = [r[0] for r in df.select(col.alias("v")).where(F.col("v").isNotNull()).distinct().collect()]
-        if len(vals) < grid_resolution:
-            return np.unique(np.asarray(vals, dtype=np.float64))
-    lo, hi = row["q"] if row["q"] else (None, None)
-    if lo is None:
+    values = distinct_values(df, [feature], [False], grid_resolution - 1)[0]
+    if values:
+        return np.asarray(values, dtype=np.float64)
+    if values is not None:
         raise ValueError(f"feature {feature!r} has no non-missing values")
+    col = F.nanvl(F.col(feature).cast("double"), F.lit(None).cast("double"))
+    lo, hi = df.agg(F.percentile_approx(col, [0.05, 0.95], 10000).alias("q")).first()["q"]
     return np.linspace(float(lo), float(hi), grid_resolution)
 
 
+def _intervals(scorer: Scorer, j: int, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a grid value for each interval between the feature's thresholds that the grid meets, interval of each grid value)."""
+    if scorer.linear:
+        return grid, np.arange(len(grid))
+    cuts = np.unique(scorer.forest.thr[scorer.forest.feat == j])
+    _, first, which = np.unique(np.searchsorted(cuts, grid, side="right"), return_index=True, return_inverse=True)
+    return grid[first], which
+
+
 def partial_dependence(df: DataFrame, model_name: str = "", model: Any = None, feature: str = "",
                        grid_resolution: int = 100, root: str | None = None) -> DataFrame:
     spark = df.sparkSession
@@ -53,7 +63,7 @@ def partial_dependence(df: DataFrame, model_name: str = "", model: Any = None, f
     if data.isEmpty():
         raise ValueError("partial_dependence received no rows")
     grid = pd_grid(data, feature, grid_resolution)
-    G = grid.shape[0]
+    G = len(grid)
     scorer = _broadcast(spark, Scorer(m))
     is_cls = m.meta.task == CLASSIFICATION
     n_cls = len(m.meta.classes or [])
@@ -61,25 +71,23 @@ def partial_dependence(df: DataFrame, model_name: str = "", model: Any = None, f
 
     def kernel(batches):
         sc: Scorer = scorer.value
-        acc = None
-        n = 0
+        values, which = _intervals(sc, j, grid)
+        uses = None if sc.linear else np.array([bool((sc.forest.feat[a:b] == j).any()) for a, b in zip(
+            sc.forest.offsets, np.append(sc.forest.offsets[1:], len(sc.forest.feat)))], dtype=bool)
+        acc, n = None, 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = sc.matrix(batch)
             n += batch.num_rows
-            for gi in range(G):
-                X[:, j] = grid[gi]
-                M = sc.margins(X)
-                if not is_cls:
-                    out = M[:, :1]
-                else:
-                    Pm = sc.proba(M)
-                    out = Pm if multi else Pm[:, 1:2]
-                s = out.sum(axis=0)
-                if acc is None:
-                    acc = np.zeros((G, s.shape[0]))
-                acc[gi] += s
+            rest = None if sc.linear else K.margins(sc.forest, X, sc.base, sc.K, np.flatnonzero(~uses))
+            sums = []
+            for v in values:
+                X[:, j] = v
+                M = sc.margins(X) if sc.linear else rest + K.margins(sc.forest, X, np.zeros(sc.K), sc.K, np.flatnonzero(uses))
+                out = sc.values(M)[:, None] if not is_cls else sc.proba(M) if multi else sc.proba(M)[:, 1:2]
+                sums.append(out.sum(axis=0))
+            acc = (0 if acc is None else acc) + np.stack(sums)[which]
         if acc is None:
             return
         gi, c = np.meshgrid(np.arange(G), np.arange(acc.shape[1]), indexing="ij")

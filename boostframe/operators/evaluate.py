@@ -20,7 +20,7 @@ from .. import params as P
 from ..functions import metrics as MX
 from ..schemas import CLASSIFICATION, CV_SCORE_SCHEMA, SEARCH_SCHEMA, label_type_for
 from ..sources import registry
-from .common import code_column, decode_column, prepare, proba_columns
+from .common import check_target_range, code_column, decode_column, prepare, proba_columns, value_column
 from .fit import build_model, make_specs, train_specs
 
 MAX_MODELS_PER_PASS = 64
@@ -69,7 +69,7 @@ def cross_val_predict(df: DataFrame, target: str = "", estimator: str = "xgb_cla
     if task == CLASSIFICATION:
         pred = decode_column(code_column(ms, specs[0].objective), prep.stats.classes, label_t)
     else:
-        pred = ms[0]
+        pred = value_column(ms[0], specs[0].objective)
     out = final.select(*([F.col("__id").alias(id)] if id else []), pred.alias("prediction"))
     # materialise before the training state is released
     cached = _materialise(out)
@@ -107,7 +107,7 @@ def _fold_scores(final: DataFrame, prep, specs: list, combos: int, cv: int, scor
                 pr = proba_columns(ms, specs[c * cv].objective)
                 fields += [v.alias(f"p{j}") for j, v in enumerate(pr)]
         else:
-            fields.append(ms[0].alias("pred"))
+            fields.append(value_column(ms[0], specs[c * cv].objective).alias("pred"))
         parts.append(F.struct(*fields))
     long = final.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
     n_cls = len(prep.stats.classes) if prep.stats.classes else 2
@@ -124,6 +124,7 @@ def cross_val_score(df: DataFrame, target: str = "", estimator: str = "xgb_class
     task, p = P.resolve(estimator, params)
     scoring = MX.check_scoring(scoring, task)
     _, prep, specs = _cv_run(df, target, estimator, id, [p], cv)
+    MX.check_classes(scoring, prep.stats.classes)
     _, final, release = train_specs(prep, specs)
     try:
         s = _fold_scores(final, prep, specs, 1, cv, scoring)[0]
@@ -148,23 +149,19 @@ def parse_grid(estimator: Any) -> tuple[str, dict[str, list]]:
     P.check_estimator(name)
     grid = dict(grid or {})
     for k, v in grid.items():
-        if not isinstance(v, (list, tuple)):
+        if v is not None and not isinstance(v, (list, tuple)):
             raise ValueError(f"grid values for {k!r} must be a list")
     return name, grid
 
 
-def expand_grid(grid: dict[str, list]) -> list[dict]:
-    """Only listed parameters; keys sorted, last key varies fastest; '' objective/booster dropped."""
-    keys = sorted(grid)
-    combos = []
-    for values in itertools.product(*[list(grid[k]) for k in keys]):
-        c = {}
-        for k, v in zip(keys, values):
-            if k in ("objective", "booster") and (v is None or v == ""):
-                continue
-            c[k] = v
-        combos.append(c)
-    return combos or [{}]
+def expand_grid(grid: dict[str, list | None]) -> list[dict]:
+    """All combinations, keys sorted, the last varying fastest. A parameter without a list, with an empty one or only with
+    "" for objective or booster keeps its default and is not searched; single "" values there are left out."""
+    def usable(key: str) -> list:
+        return [v for v in grid[key] or () if not (key in ("objective", "booster") and v in (None, ""))]
+
+    axes = [[(key, v) for v in usable(key)] for key in sorted(grid) if usable(key)]
+    return [dict(choice) for choice in itertools.product(*axes)]
 
 
 def _search(df: DataFrame, combos: list[dict], estimator: str, target: str, id_col: str, cv: int,
@@ -186,6 +183,10 @@ def _search(df: DataFrame, combos: list[dict], estimator: str, target: str, id_c
     stats = None
     for _, idx in groups.items():
         prep = prepare(df, target, id_col, task, resolved[idx[0]], cv=cv)
+        MX.check_classes(scoring, prep.stats.classes)
+        for i in idx[1:]:
+            if task != CLASSIFICATION:
+                check_target_range(resolved[i].get("objective"), prep.stats.y_min, prep.stats.y_max)
         per = max(1, MAX_MODELS_PER_PASS // cv)
         try:
             for b in range(0, len(idx), per):

@@ -1,4 +1,5 @@
-"""``explain``: per-row SHAP contributions in long form; Σ shap + base = raw margin."""
+"""``explain``: per-row SHAP contributions in long form; Σ shap + base = raw margin. A linear model's contributions are its
+terms, weight × value (0 where the value is missing)."""
 
 from __future__ import annotations
 
@@ -21,8 +22,6 @@ def explain(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
     """Rows ``[id,] [class,] feature, shap_value, base_value``; ``class`` only for > 2 classes."""
     spark = df.sparkSession
     m = resolve_model(spark, model_name, model, prefer="value", root=root)
-    if m.meta.booster == "gblinear":
-        raise ValueError("explain needs a tree booster; this model is gblinear")
     feats = m.meta.feature_names
     if id and id not in df.columns:
         raise ValueError(f"id column {id!r} not found in input; columns: {', '.join(df.columns)}")
@@ -40,11 +39,13 @@ def explain(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
     arrow_schema = _arrow_schema(schema)
     scorer = Scorer(m)
     cover = np.asarray(m.nodes["cover"], dtype=np.float64)
-    forest = scorer.forest
     K = scorer.K
     base = np.array(scorer.base, dtype=np.float64)
-    for t in range(forest.n_trees):
-        base[forest.tree_class[t]] += S.expected_value(forest, cover, t)
+    if scorer.linear:
+        base = base + scorer.B
+    else:
+        for t in range(scorer.forest.n_trees):
+            base[scorer.forest.tree_class[t]] += S.expected_value(scorer.forest, cover, t)
     bc = _broadcast(spark, (scorer, cover, base))
     n_feat = len(feats)
     names = pa.array(feats, pa.string())
@@ -59,8 +60,11 @@ def explain(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
                 continue
             X = sc.matrix(batch)
             phi = np.zeros((K, n, n_feat))
-            for t in range(fr.n_trees):
-                S.tree_shap(fr, cov, X, t, phi[fr.tree_class[t]])
+            if sc.linear:
+                phi = np.nan_to_num(X)[None] * sc.W.T[:, None, :]
+            else:
+                for t in range(fr.n_trees):
+                    S.tree_shap(fr, cov, X, t, phi[fr.tree_class[t]])
             out_k = range(K) if multiclass else [0]
             parts = []
             for k in out_k:

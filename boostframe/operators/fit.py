@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions.kernel import FIXED_SCALE, scale_for
 from ..model import Model, ModelMeta, now_utc
 from ..plans.train import ModelSpec, train
 from ..schemas import CLASSIFICATION, FIT_SCHEMA, label_type_for
 from ..sources import registry
 from .common import (Prepared, base_margin, code_column, objective_for, prepare, target_sums,
-                     with_margins)
+                     value_column, with_margins)
 from .linear import train_linear
 
 
@@ -33,15 +34,25 @@ def make_specs(prep: Prepared, estimator: str, plist: list[dict], folds: list[in
                 if stats.task == CLASSIFICATION:
                     ys = float(stats.class_counts[1]) if len(stats.class_counts) > 1 else 0.0
                 else:
-                    ys = float(stats.y_sum_fixed)
+                    ys = stats.y_sum
             else:
                 n = sum(v[0] for fk, v in sums.items() if fk != f)
-                ys = float(sum(float(v[1] or 0) for fk, v in sums.items() if fk != f))
-            specs.append(ModelSpec(p, rounds, parallel, objective, k, base_margin(objective, k, p, ys, n),
-                                   test_fold=f, seed=int(p["random_state"])))
+                ys = sum(v[1] for fk, v in sums.items() if fk != f)
+            base = base_margin(objective, k, p, ys, n)
+            specs.append(ModelSpec(p, rounds, parallel, objective, k, base, test_fold=f, n_train=n,
+                                   seed=int(p["random_state"]), g_scale=_gradient_scale(stats, objective, base)))
     return specs
 
 
+def _gradient_scale(stats, objective: str, base: np.ndarray) -> float:
+    """Fixed-point scale of the gradients: they stay within the spread of the target around the starting margin where the
+    loss is squared or its mean has a logarithmic link; elsewhere they are ordinary numbers."""
+    if stats.task == CLASSIFICATION or objective not in ("reg:squarederror", "count:poisson", "reg:tweedie"):
+        return FIXED_SCALE
+    centre = float(base[0]) if objective == "reg:squarederror" else 0.0
+    return scale_for(max(abs(stats.y_max - centre), abs(stats.y_min - centre), stats.y_max - stats.y_min))
+
+
 def train_specs(prep: Prepared, specs: list[ModelSpec]):
     """Train (tree or linear boosters) and return ``(per-model results, final state, cleanup)``."""
     state = with_margins(prep, specs)
@@ -70,7 +81,8 @@ def in_sample_score(final: DataFrame, spec: ModelSpec, cols: list[str], task: st
         code = code_column(ms, spec.objective)
         row = final.agg(F.avg((code.cast("double") == F.col("__y")).cast("double")).alias("acc")).first()
         return float(row["acc"])
-    row = final.agg(F.sum((F.col("__y") - ms[0]) ** 2).alias("sse"),
+    value = value_column(ms[0], spec.objective)
+    row = final.agg(F.sum((F.col("__y") - value) ** 2).alias("sse"),
                     F.sum((F.col("__y") - F.lit(y_mean)) ** 2).alias("sst")).first()
     sse, sst = float(row["sse"]), float(row["sst"])
     if sst == 0.0:
@@ -109,7 +121,7 @@ def fit_model(df: DataFrame, target: str = "", estimator: str = "xgb_classifier"
     specs = make_specs(prep, estimator, [p], None)
     results, final, release = train_specs(prep, specs)
     try:
-        y_mean = (prep.stats.y_sum_fixed / float(1 << 20)) / prep.stats.n_rows if task != CLASSIFICATION else 0.0
+        y_mean = prep.stats.y_sum / prep.stats.n_rows
         score = in_sample_score(final, specs[0], margin_cols(specs, 0), task, y_mean)
     finally:
         release()
@@ -139,9 +151,9 @@ def _typed(estimator: str):
     def fit_typed(df: DataFrame, target: str = "", model_name: str = "", id: str = "",
                   root: str | None = None, **hyper: Any) -> DataFrame:
         p = P.typed_params(**hyper)
-        if estimator.startswith("xgb_rf"):
-            # random-forest presets apply unless the caller changed the typed value
-            p = {k: v for k, v in p.items() if not (k in P.RF_OVERRIDES and v == P.TYPED_PARAMS[k])}
+        # presets of the estimator (random forest) or booster (linear) stand where the caller gave no value
+        p = {k: v for k, v in p.items() if k in hyper or not (
+            (k in P.RF_OVERRIDES and estimator.startswith("xgb_rf")) or (k in P.LINEAR_DEFAULTS and p.get("booster") == "gblinear"))}
         return fit(df, target=target, model_name=model_name, estimator=estimator, id=id, params=p, root=root)
 
     fit_typed.__name__ = f"fit_{estimator}"
@@ -156,4 +168,4 @@ fit_xgb_rf_classifier = _typed("xgb_rf_classifier")
 fit_xgb_rf_regressor = _typed("xgb_rf_regressor")
 
 __all__ = ["fit", "fit_model", "fit_xgb_classifier", "fit_xgb_regressor", "fit_xgb_rf_classifier",
-           "fit_xgb_rf_regressor", "np"]
+           "fit_xgb_rf_regressor"]

@@ -6,6 +6,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,11 +60,10 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
                            id: str = "", root: str | None = None) -> DataFrame:
     """Baseline score − score with one feature's values permuted across rows, per (feature, repeat).
 
-    Rows get a global rank r (range-partitioned, no single-task window). For (feature j, repeat k)
-    the permutation is r → (a·r + b) mod n with a coprime to n, drawn from ``random_state``; the
-    permuted value reaches its row through one shuffle join on (pair, rank) for all pairs at once,
-    then every permuted row is scored in the same Arrow pass and scores are grouped by pair.
-    Labels unknown to the model count as wrong (code -1)."""
+    Rows get a global rank r (range-partitioned, no single-task window). In repeat k the permutation is
+    r → (a·r + b) mod n with a coprime to n, drawn from ``random_state`` and shared by the features: one
+    shuffle join on (repeat, rank) brings every row its donor's feature values, and the features take
+    turns inside the Arrow pass that scores them. Labels unknown to the model count as wrong (code -1)."""
     spark = df.sparkSession
     m = resolve_model(spark, model_name, model, prefer="value", root=root)
     if not target:
@@ -76,6 +76,7 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
     require_features(df, feats)
     task = m.meta.task
     scoring = MX.check_scoring(scoring, task)
+    MX.check_classes(scoring, m.meta.classes) if task == CLASSIFICATION else None
     base = df.select(*feats, F.col(target).alias("__t"),
                      F.xxhash64(*[F.col(c) for c in df.columns]).alias("__rid"),
                      *([F.col(id).alias("__id")] if id else []))
@@ -86,31 +87,20 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
         layout.unpersist()
         raise ValueError("permutation_importance received no rows")
     rng = np.random.RandomState(random_state & 0x7FFFFFFF)
-    pairs = []
-    for j in range(len(feats)):
-        for k in range(n_repeats):
-            a = int(rng.randint(1, max(n, 2)))
-            while np.gcd(a, n) != 1:
-                a = a % n + 1
-            b = int(rng.randint(0, n))
-            pairs.append((j, k, a, b))
-    pair_ids = list(range(len(pairs)))
-    # donor side: (pair, source rank, value of feature j) — the value moves to rank π(r)
-    donors = []
-    for pid, (j, k, a, b) in enumerate(pairs):
-        dst = (F.col("__rank") * F.lit(a) + F.lit(b)) % F.lit(n)
-        is_cat = bool((m.meta.categorical or [False] * len(feats))[j])
-        donors.append(F.struct(
-            F.lit(pid).alias("pair"), dst.alias("dst"),
-            (F.lit(None).cast("double") if is_cat else F.col(feats[j]).cast("double")).alias("vd"),
-            (F.col(feats[j]).cast("string") if is_cat else F.lit(None).cast("string")).alias("vs")))
-    donor = ranked.select(F.explode(F.array(*donors)).alias("d")).select("d.*")
-    recv = ranked.select("*", F.explode(F.array(*[F.lit(p) for p in pair_ids])).alias("pair"))
-    joined = recv.join(donor, (recv["pair"] == donor["pair"]) & (recv["__rank"] == donor["dst"])) \
-        .drop(donor["pair"]).drop("dst")
-    pair_feat_arr = np.asarray([p[0] for p in pairs], dtype=np.int64)
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    perm_schema = T.StructType([T.StructField("v", fields[c]) for c in feats])
+    moves = []
+    for _ in range(n_repeats):
+        a = int(rng.randint(1, min(max(n, 2), 1 << 20)))          # 20 bits: rank * a stays a BIGINT up to 2^43 rows
+        while np.gcd(a, n) != 1:
+            a += 1
+        moves.append((a, int(rng.randint(0, n))))
+    every = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), ((F.col("__rank") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("dst"))
+                                for k, (a, b) in enumerate(moves)]))
+    donor = (ranked.select(every.alias("to"), *[F.col(f).alias(f"__d{j}") for j, f in enumerate(feats)])
+             .select("to.*", *[f"__d{j}" for j in range(len(feats))]))
+    recv = ranked.select(*feats, "__t", "__rank", F.explode(F.array(*[F.lit(k) for k in range(n_repeats)])).alias("k"))
+    joined = (recv.join(donor.withColumnRenamed("k", "__k"), (F.col("k") == F.col("__k")) & (F.col("__rank") == F.col("dst")))
+              .drop("__k", "dst", "__rank"))
+    pairs = [(j, k) for j in range(len(feats)) for k in range(n_repeats)]
     scorer = _broadcast(spark, Scorer(m))
     classes = m.meta.classes
     is_cls = task == CLASSIFICATION
@@ -119,72 +109,41 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
                                  T.StructField("pred", T.DoubleType())] +
                                 [T.StructField(f"p{j}", T.DoubleType()) for j in range(n_out if is_cls else 0)])
 
+    out_schema = _arrow(score_schema)
+
+    def scored_rows(sc: Scorer, X: np.ndarray, target_column, pair: np.ndarray) -> pa.RecordBatch:
+        M = sc.margins(X)
+        if is_cls:
+            y = pc.index_in(target_column, value_set=pa.array(classes, type=target_column.type))
+            y = y.to_numpy(zero_copy_only=False).astype(np.float64)
+            values = [np.where(np.isnan(y), -1.0, y), sc.codes(M).astype(np.float64), *sc.proba(M).T]
+        else:
+            values = [target_column.cast(pa.float64()).to_numpy(zero_copy_only=False), sc.values(M)]
+        return pa.RecordBatch.from_arrays([pa.array(pair.astype(np.int32)), *(pa.array(v) for v in values)], schema=out_schema)
+
     def kernel(batches):
         sc: Scorer = scorer.value
-        lookup = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = sc.matrix(batch)
-            pair = batch.column("pair").to_numpy(zero_copy_only=False)
-            fj = pair_feat_arr[pair]
-            vd = batch.column("vd").to_numpy(zero_copy_only=False).astype(np.float64)
-            import pyarrow.compute as pc
-            for j in np.unique(fj):  # put each row's permuted value into its feature column
-                sel = np.nonzero(fj == j)[0]
-                info_j = sc.infos[j]
-                if info_j.categorical:
-                    vs = batch.column("vs").take(pa.array(sel))
-                    codes = pc.index_in(vs, value_set=pa.array(info_j.categories or [], pa.string()))
-                    X[sel, j] = codes.to_numpy(zero_copy_only=False).astype(np.float64)
-                else:
-                    X[sel, j] = vd[sel]
-            M = sc.margins(X)
-            t = batch.column("__t")
-            if is_cls:
-                if lookup is None:
-                    lookup = pa.array(classes, type=t.type)
-                import pyarrow.compute as pc
-                y = pc.index_in(t, value_set=lookup).to_numpy(zero_copy_only=False)
-                y = np.where(np.isnan(y.astype(np.float64)), -1.0, y.astype(np.float64))
-                pred = sc.codes(M).astype(np.float64)
-                Pm = sc.proba(M)
-                cols = [pa.array(pair.astype(np.int32)), pa.array(y), pa.array(pred)] + \
-                    [pa.array(Pm[:, j]) for j in range(Pm.shape[1])]
-            else:
-                y = t.cast(pa.float64()).to_numpy(zero_copy_only=False)
-                cols = [pa.array(pair.astype(np.int32)), pa.array(y), pa.array(M[:, 0])]
-            yield pa.RecordBatch.from_arrays(cols, schema=_arrow(score_schema))
-
-    del perm_schema
-    scored = joined.mapInArrow(kernel, score_schema)
-    permuted = MX.score(scored, scoring, ["pair"], n_out)
-    # baseline: the unpermuted rows through the same scorer (pair = -1)
-    base_rows = ranked
+            lent = batch.select([f"__d{j}" for j in range(len(feats))])
+            D = sc.matrix(pa.RecordBatch.from_arrays(lent.columns, names=feats))
+            k = batch.column("k").to_numpy(zero_copy_only=False)
+            for j in range(len(feats)):
+                own = X[:, j].copy()
+                X[:, j] = D[:, j]
+                yield scored_rows(sc, X, batch.column("__t"), j * n_repeats + k)
+                X[:, j] = own
 
     def base_kernel(batches):
         sc: Scorer = scorer.value
-        lookup = None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            M = sc.margins(sc.matrix(batch))
-            t = batch.column("__t")
-            pair = np.full(batch.num_rows, -1, dtype=np.int32)
-            if is_cls:
-                if lookup is None:
-                    lookup = pa.array(classes, type=t.type)
-                import pyarrow.compute as pc
-                y = pc.index_in(t, value_set=lookup).to_numpy(zero_copy_only=False).astype(np.float64)
-                y = np.where(np.isnan(y), -1.0, y)
-                Pm = sc.proba(M)
-                cols = [pa.array(pair), pa.array(y), pa.array(sc.codes(M).astype(np.float64))] + \
-                    [pa.array(Pm[:, j]) for j in range(Pm.shape[1])]
-            else:
-                cols = [pa.array(pair), pa.array(t.cast(pa.float64()).to_numpy(zero_copy_only=False)),
-                        pa.array(M[:, 0])]
-            yield pa.RecordBatch.from_arrays(cols, schema=_arrow(score_schema))
+            if batch.num_rows:
+                yield scored_rows(sc, sc.matrix(batch), batch.column("__t"), np.full(batch.num_rows, -1))
 
+    permuted = MX.score(joined.mapInArrow(kernel, score_schema), scoring, ["pair"], n_out)
+    base_rows = ranked
     baseline = MX.score(base_rows.mapInArrow(base_kernel, score_schema), scoring, ["pair"], n_out).collect()
     base_score = float(baseline[0]["score"])
     per_pair = {int(r["pair"]): float(r["score"]) for r in permuted.collect()}

@@ -1,21 +1,23 @@
-"""``booster='gblinear'``: parallel coordinate descent on a linear margin.
-
-Per round one pass aggregates, for every (model, group), Σg and Σh and, per feature, Σg·x, Σh·x and
-Σh·x² (missing x contributes nothing); the driver applies the bias step and then all feature steps
-at once (shotgun-style parallel update), and a narrow pass adds the change to the margin columns.
-Penalties are scaled by the number of training rows, as the library does.
+"""``booster='gblinear'``: cyclic coordinate descent on a linear margin.
+
+A round needs, for every (model, group), the weighted Gram matrix of the features and a constant and
+the gradient along them; one pass over the rows sums both, (features + 1)² numbers. On these the driver
+takes the bias step and then one step per feature, each seeing the effect of those before it, so equal
+or correlated columns share the work instead of overshooting together. Under squared error the Gram
+matrix never changes and the gradient follows from it, so a single pass serves all rounds. Missing
+values contribute nothing. Penalties are scaled by the number of training rows (of the fold's model).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernel as K
 from ..plans.binning import DataStats
+from ..plans.train import gradient_options
 
 
 def raw_column_names(n: int) -> list[str]:
@@ -51,84 +53,76 @@ def train_linear(state: DataFrame, stats: DataStats, specs: list, has_fold: bool
     col0 = np.concatenate([[0], np.cumsum([s.n_groups for s in specs])[:-1]]).astype(int)
     W = [np.zeros((n_feat, s.n_groups)) for s in specs]
     Bias = [np.zeros(s.n_groups) for s in specs]
-    models_ctx = [(s.objective, s.n_groups, int(col0[i]), float(s.params["scale_pos_weight"]), s.test_fold)
+    models_ctx = [(s.objective, s.n_groups, int(col0[i]), gradient_options(s.params), s.test_fold)
                   for i, s in enumerate(specs)]
-    state0 = state
-    older = None
-    for rnd in range(max(s.rounds for s in specs)):
-        def sums_kernel(batches, models_ctx=models_ctx):
-            acc = np.zeros((n_margin, 2 + 3 * n_feat))
+    width = n_feat + 1
+
+    def sums(state: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Gram matrices and gradients of all margin columns; the constant is feature 0."""
+        def kernel(batches):
+            gram, grad = np.zeros((n_margin, width, width)), np.zeros((n_margin, width))
             for batch in batches:
                 if batch.num_rows == 0:
                     continue
                 X, M, y, fold = _arrays(batch, n_feat, n_margin, has_fold)
-                Xz = np.nan_to_num(X, nan=0.0)
-                for obj, kk, c0, spw, tf in models_ctx:
-                    g, h = K.gradients(obj, M[:, c0:c0 + kk], y, spw)
-                    if tf >= 0:
-                        keep = (fold != tf)[:, None]
-                        g, h = g * keep, h * keep
+                X = np.concatenate([np.ones((len(X), 1)), np.nan_to_num(X, nan=0.0)], 1)
+                for obj, kk, c0, options, tf in models_ctx:
+                    g, h = K.gradients(obj, M[:, c0:c0 + kk], y, *options)
+                    rows = slice(None) if tf < 0 else fold != tf
                     for k in range(kk):
-                        r = acc[c0 + k]
-                        r[0] += g[:, k].sum()
-                        r[1] += h[:, k].sum()
-                        r[2:2 + n_feat] += g[:, k] @ Xz
-                        r[2 + n_feat:2 + 2 * n_feat] += h[:, k] @ Xz
-                        r[2 + 2 * n_feat:] += h[:, k] @ (Xz * Xz)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_margin, dtype=np.int64)),
-                                              pa.array(list(acc), pa.list_(pa.float64()))], names=["c", "v"])
-
-        parts = state.mapInArrow(sums_kernel, "c long, v array<double>")
-        width = 2 + 3 * n_feat
-        agg = parts.groupBy("c").agg(*[F.sum(F.col("v")[i]).alias(f"s{i}") for i in range(width)]).collect()
-        tot = np.zeros((n_margin, width))
-        for r in agg:
-            tot[int(r["c"])] = [r[f"s{i}"] for i in range(width)]
-        dW = np.zeros((n_feat, n_margin))
-        dB = np.zeros(n_margin)
-        for mi, s in enumerate(specs):
-            if rnd >= s.rounds:
-                continue
-            eta = s.params["learning_rate"]
-            n_train = float(stats.n_rows)
-            lam = s.params["reg_lambda"] * n_train
-            alpha = s.params["reg_alpha"] * n_train
-            for k in range(s.n_groups):
-                c = col0[mi] + k
-                Gs, Hs = tot[c, 0], tot[c, 1]
-                db = eta * (-Gs / Hs) if Hs > 0 else 0.0
-                Bias[mi][k] += db
-                dB[c] = db
-                for j in range(n_feat):
-                    gx = tot[c, 2 + j] + db * tot[c, 2 + n_feat + j]
-                    hx2 = tot[c, 2 + 2 * n_feat + j]
-                    d = eta * _coord_delta(gx, hx2, W[mi][j, k], alpha, lam)
-                    W[mi][j, k] += d
-                    dW[j, c] = d
-
-        def update_kernel(batches, dW=dW, dB=dB):
+                        gram[c0 + k] += (X[rows] * h[rows, k:k + 1]).T @ X[rows]
+                        grad[c0 + k] += g[rows, k] @ X[rows]
+            cells = np.concatenate([gram.reshape(n_margin, -1), grad], 1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(n_margin, dtype=np.int64), cells.shape[1])),
+                                              pa.array(np.tile(np.arange(cells.shape[1], dtype=np.int64), n_margin)),
+                                              pa.array(cells.ravel())], names=["c", "cell", "v"])
+
+        got = (state.mapInArrow(kernel, "c long, cell long, v double").groupBy("c", "cell").agg(F.sum("v").alias("v"))).toArrow()
+        cells = np.zeros((n_margin, width * width + width))
+        cells[got.column("c").to_numpy(), got.column("cell").to_numpy()] = got.column("v").to_numpy()
+        return cells[:, :width * width].reshape(n_margin, width, width), cells[:, width * width:]
+
+    def moved(state: DataFrame, dW: np.ndarray, dB: np.ndarray) -> DataFrame:
+        def kernel(batches):
             for batch in batches:
                 if batch.num_rows == 0:
                     continue
                 X, M, _, _ = _arrays(batch, n_feat, n_margin, has_fold)
                 M = M + dB[None, :] + np.nan_to_num(X, nan=0.0) @ dW
-                cols = list(batch.columns)
-                names = batch.schema.names
+                cols, names = list(batch.columns), batch.schema.names
                 for j in range(n_margin):
                     cols[names.index(f"__m{j}")] = pa.array(M[:, j], pa.float64())
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        return state.mapInArrow(kernel, state.schema)
 
-        new_state = state.mapInArrow(update_kernel, state.schema).persist(StorageLevel.MEMORY_AND_DISK)
-        if older is not None:
-            older.unpersist()
-        older = state if state is not state0 else None
-        state = new_state
+    constant = all(s.objective == "reg:squarederror" for s in specs)
+    gram = grad = None
+    dW, dB = np.zeros((n_feat, n_margin)), np.zeros(n_margin)
+    state0 = state
+    for rnd in range(max(s.rounds for s in specs)):
+        if gram is None or not constant:
+            gram, grad = sums(moved(state0, dW, dB) if rnd else state0)       # margins follow from the weights alone
+        for mi, s in enumerate(specs):
+            if rnd >= s.rounds:
+                continue
+            eta, n_train = s.params["learning_rate"], float(s.n_train or stats.n_rows)
+            lam, alpha = s.params["reg_lambda"] * n_train, s.params["reg_alpha"] * n_train
+            for k in range(s.n_groups):
+                c = col0[mi] + k
+                A, b = gram[c], grad[c]
+                step = eta * (-b[0] / A[0, 0]) if A[0, 0] > 0 else 0.0
+                Bias[mi][k] += step
+                dB[c] += step
+                b += step * A[:, 0]
+                for j in range(n_feat):
+                    step = eta * _coord_delta(b[j + 1], A[j + 1, j + 1], W[mi][j, k], alpha, lam)
+                    W[mi][j, k] += step
+                    dW[j, c] += step
+                    b += step * A[:, j + 1]
+    state = moved(state0, dW, dB)
 
     def cleanup() -> None:
-        if older is not None:
-            older.unpersist()
-        if state is not state0:
-            state.unpersist()
+        """Nothing is held beyond the state that came in."""
 
     results = [([list(map(float, W[mi][j])) for j in range(n_feat)], list(map(float, Bias[mi])))
                for mi in range(len(specs))]

@@ -47,7 +47,7 @@ class Scorer:
     def proba(self, M: np.ndarray) -> np.ndarray:
         obj = self.meta.objective
         if obj.startswith("binary:"):
-            p1 = K.sigmoid(M[:, 0])
+            p1 = (M[:, 0] > 0).astype(np.float64) if obj == "binary:hinge" else K.sigmoid(M[:, 0])
             return np.column_stack([1.0 - p1, p1])
         return K.softmax(M)
 
@@ -56,11 +56,9 @@ class Scorer:
             return (M[:, 0] > 0).astype(np.int64)
         return np.argmax(M, axis=1).astype(np.int64)
 
-    def output(self, M: np.ndarray) -> np.ndarray:
-        """Regression prediction or the model's positive-class probability / class probabilities."""
-        if self.meta.task != CLASSIFICATION:
-            return M[:, 0]
-        return self.proba(M)
+    def values(self, M: np.ndarray) -> np.ndarray:
+        """Regression predictions, in the units of the target."""
+        return K.link(self.meta.objective, M[:, 0])
 
     def leaves(self, X: np.ndarray) -> np.ndarray:
         idx = K.route(self.forest, X)
@@ -147,7 +145,7 @@ def predict(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
                         labels = pa.array(classes).cast(label_type)
                     out.append(labels.take(pa.array(sc.codes(M))))
                 else:
-                    out.append(pa.array(M[:, 0], pa.float64()))
+                    out.append(pa.array(sc.values(M), pa.float64()))
             if with_proba and is_cls:
                 Pm = sc.proba(M if M is not None else sc.margins(X))
                 out += [pa.array(Pm[:, j], pa.float64()) for j in range(Pm.shape[1])]

@@ -4,24 +4,23 @@ first histogram pass and fold assignment. Useful to inspect a fit and to check i
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import params as P
 from ..functions import kernel as K
 from ..plans import train as TR
 from ..plans.binning import collect_stats
 from ..plans.features import categorical_mask
-from ..schemas import CLASSIFICATION
+from ..plans.ranks import with_rank
 from .common import prepare
 from .fit import make_specs
 from .common import with_margins
 
 
 def category_dictionary(df: DataFrame, features: list[str]) -> DataFrame:
-    """``(feature, code, category)``: sorted distinct non-NULL strings per categorical column. The
-    window is partitioned by feature and holds at most the per-column category limit."""
+    """``(feature, code, category)``: sorted distinct non-NULL strings per categorical column, numbered by the distributed
+    ranking, so no column's values meet in one task."""
     cat = categorical_mask(df, features)
     parts = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("category"))
              for f, c in zip(features, cat) if c]
@@ -29,8 +28,8 @@ def category_dictionary(df: DataFrame, features: list[str]) -> DataFrame:
         return df.sparkSession.createDataFrame([], "feature string, code int, category string")
     d = (df.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
          .where(F.col("category").isNotNull()).distinct())
-    w = Window.partitionBy("feature").orderBy("category")
-    return d.select("feature", (F.row_number().over(w) - 1).cast("int").alias("code"), "category")
+    ranked, _, _ = with_rank(d, ["feature", "category"], "feature")
+    return ranked.select("feature", F.col("__rank").cast("int").alias("code"), "category")
 
 
 def bin_cuts(df: DataFrame, features: list[str], max_bin: int = 256, target: str | None = None) -> DataFrame:
@@ -48,9 +47,8 @@ def bin_cuts(df: DataFrame, features: list[str], max_bin: int = 256, target: str
 def class_codes(df: DataFrame, target: str) -> DataFrame:
     """``(label, code, n)``: sorted labels and their counts (the target encoding)."""
     counts = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("label")   # one row per class: bounded by the class limit
-    return counts.select(F.col("label").cast("string").alias("label"),
-                         (F.row_number().over(w) - 1).cast("int").alias("code"), "n")
+    ranked, _, _ = with_rank(counts, ["label"])
+    return ranked.select(F.col("label").cast("string").alias("label"), F.col("__rank").cast("int").alias("code"), "n")
 
 
 def root_histogram(df: DataFrame, target: str, estimator: str = "xgb_regressor", params: str | dict = "",
@@ -70,7 +68,7 @@ def root_histogram(df: DataFrame, target: str, estimator: str = "xgb_regressor",
         for gr in growers:
             gr.add(0.0, 0.0, 0, 0)
         tree_ctx = [(k, -1, 1.0, (0, 0, 0, 0)) for k in range(n_margin)]
-        models_ctx = [(specs[0].objective, specs[0].n_groups, 0, float(p["scale_pos_weight"]))]
+        models_ctx = [(specs[0].objective, specs[0].n_groups, 0, TR.gradient_options(p), specs[0].g_scale)]
         Gd, Hd, Nd = TR._histogram_level(state, prep.stats, specs, growers, [(k, 0) for k in range(n_margin)],
                                          tree_ctx, models_ctx, nb, off, TB, n_margin, False)
     finally:
@@ -80,7 +78,7 @@ def root_histogram(df: DataFrame, target: str, estimator: str = "xgb_regressor",
         for b in range(int(nb[f]) + 1):
             n = int(Nd[0, off[f] + b])
             if n:
-                rows.append((info.name, b, int(round(Gd[0, off[f] + b] * K.FIXED_SCALE)),
+                rows.append((info.name, b, int(round(Gd[0, off[f] + b] * specs[0].g_scale)),
                              int(round(Hd[0, off[f] + b] * K.FIXED_SCALE)), n))
     return df.sparkSession.createDataFrame(rows, "feature string, bin int, sum_g long, sum_h long, n long")
 
@@ -94,5 +92,4 @@ def assign_folds(df: DataFrame, target: str, id: str, cv: int = 5, estimator: st
     return out
 
 
-__all__ = ["category_dictionary", "bin_cuts", "class_codes", "root_histogram", "assign_folds", "CLASSIFICATION",
-           "T"]
+__all__ = ["category_dictionary", "bin_cuts", "class_codes", "root_histogram", "assign_folds"]

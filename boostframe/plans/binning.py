@@ -1,13 +1,14 @@
 """Training statistics and the binned table.
 
-Two small aggregation jobs describe the data (row count, target checks, distinct counts, quantile
-sketches, then exact distinct values for low-cardinality columns); a narrow ``mapInArrow`` turns
-every feature into a SMALLINT bin code (-1 = missing). Nothing row-sized reaches the driver.
+One aggregation checks the target, one pass finds the exact distinct values of every feature that has
+at most ``max_bin`` of them (each task gives up on a numeric column at the first value beyond), quantile
+sketches follow for the others; a narrow ``mapInArrow`` turns every feature into a bin code (-1 =
+missing). What reaches the driver is what a model holds: cuts, dictionaries of the string features, labels.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
@@ -21,11 +22,6 @@ from ..functions.kernel import FIXED_SCALE
 from ..schemas import CLASSIFICATION
 from .features import categorical_mask, feature_columns
 
-MAX_CATEGORIES = 1024     # per categorical feature; free text must fail, not be collected
-MAX_CLASSES = 1000        # classification labels
-EXACT_BIN_LIMIT = 32000   # SMALLINT bin codes
-_RSD = 0.05               # relative error of the distinct-count sketch (exact counts follow)
-_SLACK = 1.2              # distinct-count sketch slack before a column is treated as continuous
 _QUANTILE_GROUP = 16      # quantile sketches per aggregation job (bounds task memory on wide tables)
 
 
@@ -55,18 +51,68 @@ class DataStats:
     classes: list[Any] | None
     class_counts: list[int] | None
     n_rows: int
-    y_sum_fixed: int = 0
+    y_sum: float = 0.0
     y_min: float | None = None
     y_max: float | None = None
-    extra: dict = field(default_factory=dict)
 
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.features]
 
 
-def _order_struct(order_cols: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order_cols])
+def target_sum(y: Column) -> Column:
+    """Sum of a target, exact (and so the same under any partitioning) for values below 2^40, as a fixed-point integer."""
+    small = F.when(F.abs(y) < float(1 << 40), F.floor(y * F.lit(FIXED_SCALE) + F.lit(0.5)))
+    return F.struct(F.sum(small.cast("decimal(38,0)")).alias("fixed"), F.sum(y).alias("plain"),
+                    F.max(F.abs(y)).alias("largest"))
+
+
+def sum_value(row) -> float:
+    """The value of `target_sum`; targets too large or too small for the grid take the plain sum."""
+    if row["largest"] is None:
+        return 0.0
+    return float(row["fixed"]) / FIXED_SCALE if 2.0 ** -4 <= row["largest"] < 2.0 ** 40 else float(row["plain"])
+
+
+def distinct_values(df: DataFrame, feats: list[str], cat: list[bool], limit: int | None) -> list[list | None]:
+    """Distinct values of every feature without missing ones; None for a numeric one with more than ``limit``."""
+    cols = df.select(*[F.col(f).cast("string" if c else "double").alias(f"c{j}") for j, (f, c) in enumerate(zip(feats, cat))])
+
+    def kernel(batches):
+        seen: list = [set() if c else np.empty(0) for c in cat]
+        for batch in batches:
+            for j, c in enumerate(cat):
+                if seen[j] is None:
+                    continue
+                if c:
+                    seen[j].update(v for v in pc.unique(batch.column(j)).to_pylist() if v is not None)
+                else:
+                    v = batch.column(j).to_numpy(zero_copy_only=False)
+                    seen[j] = np.union1d(seen[j], v[~np.isnan(v)])
+                    if limit is not None and len(seen[j]) > limit:
+                        seen[j] = None
+        for j, c in enumerate(cat):
+            values = [] if seen[j] is None else list(seen[j])
+            none = pa.nulls(len(values) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(values) + 1, j, np.int32)),
+                 none.cast(pa.float64()) if c else pa.array([None, *values], pa.float64()),
+                 pa.array([None, *values], pa.string()) if c else none.cast(pa.string()),
+                 pa.array([seen[j] is None] + [False] * len(values))], ["f", "d", "s", "over"])
+
+    found = cols.mapInArrow(kernel, "f int, d double, s string, over boolean").distinct()
+    over = found.where("over").select("f").distinct()
+    kept = (found.where("NOT over AND (d IS NOT NULL OR s IS NOT NULL)")
+            .join(F.broadcast(over), "f", "left_anti")).toArrow()         # at most one row per feature in `over`
+    f = kept.column("f").to_numpy()
+    d, s = kept.column("d").to_numpy(zero_copy_only=False), kept.column("s").to_pylist()
+    too_many = {r["f"] for r in over.collect()}
+    out: list[list | None] = []
+    for j, c in enumerate(cat):
+        mine = np.flatnonzero(f == j)
+        values = [s[i] for i in mine] if c else list(d[mine])
+        out.append(None if j in too_many or (not c and limit is not None and len(values) > limit) else sorted(values))
+    return out
 
 
 def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: int = 256,
@@ -81,113 +127,46 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
                                                                T.LongType, T.FloatType, T.DoubleType,
                                                                T.DecimalType, T.BooleanType)):
         raise ValueError(f"regression target {target!r} must be numeric, got {target_type.simpleString()}")
-    bins_wanted = EXACT_BIN_LIMIT if tree_method == "exact" else max_bin
-    qs = [i / bins_wanted for i in range(1, bins_wanted)]
-
     aggs: list[Column] = [F.count(F.lit(1)).alias("n"), F.count(F.col(target)).alias("n_target")]
     if task != CLASSIFICATION:
         yv = F.col(target).cast("double")
-        aggs += [F.sum(F.floor(yv * F.lit(FIXED_SCALE) + F.lit(0.5)).cast("decimal(38,0)")).alias("y_fix"),
-                 F.min(yv).alias("y_min"), F.max(yv).alias("y_max")]
-    else:
-        aggs.append(F.approx_count_distinct(F.col(target), _RSD).alias("n_labels"))
+        aggs += [target_sum(yv).alias("y"), F.min(yv).alias("y_min"), F.max(yv).alias("y_max")]
     row = df.agg(*aggs).first().asDict()
-    # distinct-count sketches, a bounded number per job (one fixed-size buffer per sketch)
-    for g0 in range(0, len(feats), _QUANTILE_GROUP):
-        group = list(range(g0, min(len(feats), g0 + _QUANTILE_GROUP)))
-        drow = df.agg(*[F.approx_count_distinct(
-            F.col(feats[i]) if cat[i] else F.nanvl(F.col(feats[i]).cast("double"), F.lit(None).cast("double")),
-            _RSD).alias(f"d{i}") for i in group]).first()
-        for i in group:
-            row[f"d{i}"] = drow[f"d{i}"]
-    accuracy = max(1000, 8 * bins_wanted)
-
-    def quantiles(idx: list[int]) -> None:
-        """Quantile sketches only where the distinct count exceeds the bins, a bounded number per job."""
-        for q0 in range(0, len(idx), _QUANTILE_GROUP):
-            group = idx[q0:q0 + _QUANTILE_GROUP]
-            qrow = df.agg(*[F.percentile_approx(F.nanvl(F.col(feats[i]).cast("double"),
-                                                        F.lit(None).cast("double")), qs, accuracy).alias(f"q{i}")
-                            for i in group]).first()
-            for i in group:
-                row[f"q{i}"] = qrow[f"q{i}"]
-
-    quantiles([i for i, c in enumerate(cat) if not c and int(row[f"d{i}"]) > bins_wanted * _SLACK])
     n = int(row["n"])
     if n == 0:
         raise ValueError("received no rows to fit on")
+    if int(row["n_target"]) == 0 and task == CLASSIFICATION:
+        raise ValueError(f"target {target!r} has no usable labels: all of them are NULL")
     if int(row["n_target"]) < n:
-        if task == CLASSIFICATION:
-            raise ValueError("classification target contains NULL labels; drop or impute them before fitting")
-        raise ValueError("regression target contains NULL values; drop or impute them before fitting")
-
-    # Exact distinct values for low-cardinality columns: one exploded distinct with map-side combine.
-    exact_idx: list[int] = []
-    for i, c in enumerate(cat):
-        approx_d = int(row[f"d{i}"])
-        if c:
-            if approx_d > MAX_CATEGORIES * _SLACK:
-                raise ValueError(
-                    f"categorical feature {feats[i]!r} has about {approx_d} distinct values, more than the "
-                    f"limit of {MAX_CATEGORIES}; a free-text column cannot be a feature, drop or bucket it")
-            exact_idx.append(i)
-        elif approx_d <= bins_wanted * _SLACK:
-            exact_idx.append(i)
-    distinct: dict[int, list] = {i: [] for i in exact_idx}
-    if exact_idx:
-        parts = []
-        for i in exact_idx:
-            if cat[i]:
-                parts.append(F.struct(F.lit(i).alias("f"), F.lit(None).cast("double").alias("d"),
-                                      F.col(feats[i]).cast("string").alias("s")))
-            else:
-                parts.append(F.struct(F.lit(i).alias("f"),
-                                      F.nanvl(F.col(feats[i]).cast("double"),
-                                              F.lit(None).cast("double")).alias("d"),
-                                      F.lit(None).cast("string").alias("s")))
-        vals = (df.select(F.explode(F.array(*parts)).alias("p")).select("p.f", "p.d", "p.s")
-                .where(F.col("d").isNotNull() | F.col("s").isNotNull()).distinct().toArrow())
-        fcol = vals.column("f").to_numpy()
-        dcol = vals.column("d").to_numpy(zero_copy_only=False)
-        scol = vals.column("s").to_pylist()
-        for i in exact_idx:
-            sel = np.nonzero(fcol == i)[0]
-            distinct[i] = [scol[j] for j in sel] if cat[i] else [dcol[j] for j in sel]
-
-    # sketch said "few values" but there are more than the bins: quantile cuts after all
-    late = [i for i in exact_idx if not cat[i] and len(distinct[i]) > bins_wanted]
-    quantiles(late)
-    for i in late:
-        distinct.pop(i)
+        raise ValueError(f"{task} target {target!r} contains NULL labels; leave those rows out or fill them in first")
+
+    values = distinct_values(df, feats, cat, None if tree_method == "exact" else max_bin)
+    wide = [i for i, v in enumerate(values) if v is None]
+    cut_points = [i / max_bin for i in range(1, max_bin)]
+    quantiles: dict[int, list] = {}
+    for q0 in range(0, len(wide), _QUANTILE_GROUP):
+        group = wide[q0:q0 + _QUANTILE_GROUP]
+        got = df.agg(*[F.percentile_approx(F.nanvl(F.col(feats[i]).cast("double"), F.lit(None).cast("double")), cut_points,
+                                           max(1000, 8 * max_bin)).alias(f"q{i}") for i in group]).first()
+        quantiles.update({i: got[f"q{i}"] for i in group})
 
     infos: list[FeatureInfo] = []
     for i, (name, c) in enumerate(zip(feats, cat)):
         if c:
-            cats = sorted(distinct[i])
-            if len(cats) > MAX_CATEGORIES:
-                raise ValueError(f"categorical feature {name!r} has {len(cats)} distinct values, more than the "
-                                 f"limit of {MAX_CATEGORIES}; drop or bucket it")
-            infos.append(FeatureInfo(name, True, categories=cats))
-        elif i in distinct and len(distinct[i]) <= bins_wanted:
-            vals_sorted = np.unique(np.asarray(distinct[i], dtype=np.float64))
-            infos.append(FeatureInfo(name, False, cuts=vals_sorted[1:]))
+            infos.append(FeatureInfo(name, True, categories=values[i]))
         else:
-            q = row.get(f"q{i}")
-            arr = np.unique(np.asarray([v for v in (q or []) if v is not None], dtype=np.float64))
-            infos.append(FeatureInfo(name, False, cuts=arr))
+            cuts = np.asarray(values[i][1:] if values[i] is not None else quantiles[i], dtype=np.float64)
+            infos.append(FeatureInfo(name, False, cuts=np.unique(cuts)))
 
     classes = counts = None
     if task == CLASSIFICATION:
-        if int(row["n_labels"]) > MAX_CLASSES * 1.05:
-            raise ValueError(f"classification target has about {int(row['n_labels'])} distinct labels, more than "
-                             f"the limit of {MAX_CLASSES}; use a regressor for a continuous target")
         crow = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("c")).toArrow()
         pairs = sorted(zip(crow.column("label").to_pylist(), crow.column("c").to_pylist()), key=lambda t: t[0])
         classes = [p[0] for p in pairs]
         counts = [int(p[1]) for p in pairs]
     stats = DataStats(infos, task, target, target_type, classes, counts, n)
     if task != CLASSIFICATION:
-        stats.y_sum_fixed = int(row["y_fix"])
+        stats.y_sum = sum_value(row["y"])
         stats.y_min, stats.y_max = row["y_min"], row["y_max"]
     return stats
 
@@ -218,24 +197,30 @@ def encode_features(batch: pa.RecordBatch, infos: list[FeatureInfo], value_space
 BINS_COL = "__bins"
 
 
-def pack_bins(X: np.ndarray) -> pa.Array:
-    """Bin codes ``[rows, F]`` → one BINARY value per row (F little-endian SMALLINTs): the cached state
+def code_type(infos: list[FeatureInfo]) -> str:
+    """Type of a bin code: two bytes unless a feature has more bins than they count."""
+    return "<i2" if max((i.n_bins for i in infos), default=0) < 1 << 15 else "<i4"
+
+
+def pack_bins(X: np.ndarray, kind: str = "<i2") -> pa.Array:
+    """Bin codes ``[rows, F]`` → one BINARY value per row (F little-endian codes): the cached state
     then converts one column per row to Arrow instead of F."""
     n, f = X.shape
-    data = np.ascontiguousarray(X.astype(np.int16))
-    offsets = np.arange(0, (n + 1) * 2 * f, 2 * f, dtype=np.int32)[: n + 1]
+    data = np.ascontiguousarray(X.astype(kind))
+    width = data.itemsize * f
+    offsets = (np.arange(n + 1) * width).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def unpack_bins(col: pa.Array, n_feat: int) -> np.ndarray:
-    """Inverse of ``pack_bins`` → int16 ``[rows, F]``."""
+def unpack_bins(col: pa.Array, n_feat: int, kind: str = "<i2") -> np.ndarray:
+    """Inverse of ``pack_bins`` → codes ``[rows, F]``."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     n = len(col)
     bufs = col.buffers()
     offs = np.frombuffer(bufs[1], dtype=np.int32, count=col.offset + n + 1)[col.offset:]
     raw = np.frombuffer(bufs[2], dtype=np.uint8)[offs[0]:offs[-1]]
-    return raw.view(np.int16).reshape(n, n_feat)
+    return raw.view(kind).reshape(n, n_feat)
 
 
 def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bool = False) -> DataFrame:
@@ -245,6 +230,7 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
     classes = stats.classes
     target = stats.target
     src_cols = [c for c in df.columns]
+    kind = code_type(infos)
     inp = df.select(F.xxhash64(*[F.col(c) for c in src_cols]).alias("__rid"),
                     F.col(target).alias("__t"),
                     *([F.col(id_col).alias("__id")] if id_col else []),
@@ -269,7 +255,7 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
             cols = [batch.column("__rid"), pa.array(y, pa.float64())]
             if id_col:
                 cols.append(batch.column("__id"))
-            cols.append(pack_bins(X))
+            cols.append(pack_bins(X, kind))
             if keep_raw:
                 R = encode_features(batch, infos, value_space=True)
                 cols += [pa.array(R[:, j], pa.float64()) for j in range(len(infos))]

@@ -1,6 +1,8 @@
 """Global row numbers without a single-partition window.
 
-Rows are range-partitioned and sorted by the order key, the layout is persisted (range bounds come
+Rows are range-partitioned and sorted by the order key and, behind it, by the place of the row in its
+input partition, so equal rows spread over partitions however many there are (they are interchangeable,
+so which one gets which number changes no result). The layout is persisted (range bounds come
 from a sample and must not be drawn twice), one small job counts rows per (partition, group), and a
 narrow ``mapInArrow`` adds ``offset[partition, group] + running count``. The driver only sees the
 partitions × groups count table.
@@ -25,22 +27,14 @@ class RankInfo:
     first: list             # smallest order key (as a tuple) per group
 
 
-def _n_parts(df: DataFrame) -> int:
-    spark = df.sparkSession
-    conf = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    try:
-        return max(conf, df.rdd.getNumPartitions())
-    except Exception:  # streaming or unsupported plans
-        return conf
-
-
 def with_rank(df: DataFrame, order_cols: list[str], group_col: str | None = None,
               rank_col: str = "__rank") -> tuple[DataFrame, RankInfo, DataFrame]:
     """Return ``(ranked, info, layout)``: ``ranked`` = ``df`` + ``rank_col`` (0-based position of the row
     within its group in order-key order; BIGINT). ``layout`` is persisted; unpersist it when done."""
-    parts = _n_parts(df)
-    layout = (df.repartitionByRange(parts, *[F.col(c) for c in order_cols])
-              .sortWithinPartitions(*order_cols)
+    key = [*order_cols, "__place"]
+    layout = (df.withColumn("__place", F.monotonically_increasing_id())
+              .repartitionByRange(*[F.col(c) for c in key])
+              .sortWithinPartitions(*key).drop("__place")
               .withColumn("__pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
     gexpr = F.col(group_col) if group_col else F.lit(0)
@@ -92,6 +86,13 @@ def with_rank(df: DataFrame, order_cols: list[str], group_col: str | None = None
     return layout.mapInArrow(kernel, out_schema), info, layout
 
 
+def class_starts(info: RankInfo) -> dict:
+    """Per group: rows of the groups numbered before it (groups are numbered by first appearance in row order)."""
+    order = sorted(range(len(info.groups)), key=lambda i: info.first[i])
+    before = np.cumsum([0] + [info.totals[i] for i in order])
+    return {info.groups[i]: int(before[k]) for k, i in enumerate(order)}
+
+
 def stratified_bounds(info: RankInfo, n_splits: int) -> dict:
     """Per group: cumulative fold sizes (row r of the group goes to the first fold whose bound exceeds r).
 

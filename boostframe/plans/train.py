@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernel as K
-from .binning import BINS_COL, DataStats, unpack_bins
+from .binning import BINS_COL, DataStats, code_type, unpack_bins
 
 log = logging.getLogger(__name__)
 
@@ -42,6 +42,8 @@ class ModelSpec:
     base: np.ndarray
     test_fold: int = -1
     seed: int = 0
+    n_train: int = 0
+    g_scale: float = K.FIXED_SCALE      # fixed-point scale of the gradients; second derivatives keep the default
 
 
 @dataclass
@@ -118,6 +120,10 @@ def leaf_weight(G: float, H: float, p: dict) -> float:
     return w
 
 
+def gradient_options(p: dict) -> tuple:
+    return tuple(float(p[k]) for k in ("scale_pos_weight", "tweedie_variance_power", "huber_slope", "max_delta_step"))
+
+
 def _feature_offsets(stats: DataStats) -> tuple[np.ndarray, np.ndarray, int]:
     nb = np.array([f.n_bins for f in stats.features], dtype=np.int64)
     off = np.concatenate([[0], np.cumsum(nb + 1)[:-1]]).astype(np.int64)
@@ -139,9 +145,9 @@ def _colsample(rng: np.random.RandomState, allowed: np.ndarray, frac: float) ->
 # executor kernels
 
 
-def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool):
+def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool, kind: str):
     cols = batch.schema.names
-    X = unpack_bins(batch.column(cols.index(BINS_COL)), n_feat).astype(np.float64)
+    X = unpack_bins(batch.column(cols.index(BINS_COL)), n_feat, kind).astype(np.float64)
     Xn = np.where(X < 0, np.nan, X)
     M = np.empty((batch.num_rows, n_margin), dtype=np.float64)
     for j in range(n_margin):
@@ -172,7 +178,7 @@ def _make_hist_kernel(ctx: dict):
             n = batch.num_rows
             if n == 0:
                 continue
-            X, Xn, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold)
+            X, Xn, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"])
             drop = ctx.get("drop_forest")
             if drop is not None:   # dart: gradients at the margins without this round's dropped trees
                 dv = drop.value[K.route(drop, Xn)] * drop.tree_weight[None, :]
@@ -182,11 +188,9 @@ def _make_hist_kernel(ctx: dict):
             # gradients for every (model, group) margin column, fixed point
             Gf = np.empty_like(M)
             Hf = np.empty_like(M)
-            for mi, (obj, kk, c0, spw) in enumerate(ctx["models"]):
-                if obj is None:
-                    continue
-                g, h = K.gradients(obj, M[:, c0:c0 + kk], y, spw)
-                Gf[:, c0:c0 + kk] = K.to_fixed(g)
+            for obj, kk, c0, options, g_scale in ctx["models"]:
+                g, h = K.gradients(obj, M[:, c0:c0 + kk], y, *options)
+                Gf[:, c0:c0 + kk] = K.to_fixed(g, g_scale)
                 Hf[:, c0:c0 + kk] = K.to_fixed(h)
             leaves = K.route(forest, Xn)
             slots = slot_of[leaves]                              # [n, T]
@@ -238,7 +242,7 @@ def _make_update_kernel(ctx: dict):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            _, Xn, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold)
+            _, Xn, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"])
             leaves = K.route(forest, Xn)
             vals = forest.value[leaves] * forest.tree_weight[None, :]
             for t in range(tree_col.shape[0]):
@@ -401,7 +405,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     nb, off, TB = _feature_offsets(stats)
     n_margin = sum(s.n_groups for s in specs)
     col0 = np.concatenate([[0], np.cumsum([s.n_groups for s in specs])[:-1]]).astype(int)
-    models_ctx = [(s.objective, s.n_groups, int(col0[i]), float(s.params["scale_pos_weight"]))
+    models_ctx = [(s.objective, s.n_groups, int(col0[i]), gradient_options(s.params), s.g_scale)
                   for i, s in enumerate(specs)]
     trees: list[list] = [[] for _ in specs]
     rngs = [np.random.RandomState(s.seed & 0x7FFFFFFF) for s in specs]
@@ -439,7 +443,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
         for g in growers:
             s = specs[g.model]
             tree_ctx.append((int(col0[g.model] + g.group), s.test_fold, float(s.params["subsample"]),
-                             (s.seed, rnd, g.par, g.model)))
+                             (s.seed, rnd, g.group, g.par)))
         level = 0
         level_allowed = {}
         while True:
@@ -529,7 +533,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
         forest = K.build_forest(upd_trees, [0] * len(upd_trees), upd_w)
         tree_col = np.asarray(upd_col, dtype=np.int64)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "forest": forest,
-               "tree_col": tree_col}
+               "tree_col": tree_col, "kind": code_type(stats.features)}
         last = rnd == max_rounds - 1
         if last and not keep_state:
             break
@@ -572,7 +576,7 @@ def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ct
     for lo in range(0, S, per_pass):
         hi = min(S, lo + per_pass)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
-               "slot_lo": lo, "slot_hi": hi, "forest": forest, "slot_of": slot_of, "trees": tree_ctx,
+               "kind": code_type(stats.features), "slot_lo": lo, "slot_hi": hi, "forest": forest, "slot_of": slot_of, "trees": tree_ctx,
                "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or []}
         hist = (state.mapInArrow(_make_hist_kernel(ctx), "key long, g long, h long, n long")
                 .groupBy("key")
@@ -580,12 +584,9 @@ def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ct
                      F.sum(F.col("h").cast("decimal(38,0)")).alias("h"),
                      F.sum("n").alias("n")))
         tbl = hist.toArrow()
-        keys = tbl.column("key").to_numpy()
-        g = np.array([float(v) for v in tbl.column("g").to_pylist()]) / K.FIXED_SCALE
-        h = np.array([float(v) for v in tbl.column("h").to_pylist()]) / K.FIXED_SCALE
-        n = tbl.column("n").to_numpy().astype(np.float64)
-        s_idx, cell = np.divmod(keys, TB)
-        Gd[s_idx, cell] = g
-        Hd[s_idx, cell] = h
-        Nd[s_idx, cell] = n
+        s_idx, cell = np.divmod(tbl.column("key").to_numpy(), TB)
+        g_scale = np.array([specs[growers[gi].model].g_scale for gi, _ in frontier])
+        Gd[s_idx, cell] = tbl.column("g").cast(pa.float64()).to_numpy() / g_scale[s_idx]
+        Hd[s_idx, cell] = tbl.column("h").cast(pa.float64()).to_numpy() / K.FIXED_SCALE
+        Nd[s_idx, cell] = tbl.column("n").to_numpy()
     return Gd, Hd, Nd

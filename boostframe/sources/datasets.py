@@ -40,29 +40,20 @@ def normalize_names(names: list[str]) -> list[str]:
     return out
 
 
-def feature_labels(names: list[str] | None, n: int) -> list[str]:
-    """Given names when there are exactly ``n`` of them, else ``feature_0..feature_{n-1}``."""
-    if names and len(names) == n:
-        return list(names)
-    return [f"feature_{i}" for i in range(n)]
-
-
 def labelled_table(df: DataFrame, features: list[str], label: str, order_by: list[str] | None = None,
                    task: str = "classification") -> DataFrame:
-    """``sample_id INT`` (0-based position in ``order_by`` order), snake-cased DOUBLE features, and
+    """``sample_id BIGINT`` (0-based position in ``order_by`` order), snake-cased DOUBLE features, and
     ``target INT`` code + ``target_name`` (classification) or ``target DOUBLE`` (regression)."""
     order_by = order_by or features + [label]
     names = normalize_names(features)
     keyed = df.select(*[F.col(c) for c in dict.fromkeys(order_by + features + [label])])
     ranked, info, layout = ranks.with_rank(keyed, list(order_by))
-    cols = [F.col("__rank").cast("int").alias("sample_id")]
+    cols = [F.col("__rank").alias("sample_id")]
     cols += [F.col(f).cast("double").alias(n) for f, n in zip(features, names)]
     if task == "classification":
-        labels = sorted(r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().collect())
-        codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(labels)],
-                                                T.StructType([T.StructField("__lv", df.schema[label].dataType),
-                                                              T.StructField("__code", T.IntegerType())]))
-        out = ranked.join(F.broadcast(codes), ranked[label] == codes["__lv"], "left")
+        labels = df.select(F.col(label).alias("__lv")).where(F.col("__lv").isNotNull()).distinct()
+        codes, _, _ = ranks.with_rank(labels, ["__lv"])              # Spark chooses the join by the size it finds
+        out = ranked.join(codes.select("__lv", F.col("__rank").cast("int").alias("__code")), F.col(label) == F.col("__lv"), "left")
         return out.select(*cols, F.col("__code").alias("target"), F.col(label).cast("string").alias("target_name"))
     return ranked.select(*cols, F.col(label).cast("double").alias("target"))
 
@@ -89,7 +80,7 @@ def normal_col(seed: int, row: Column, j: int) -> Column:
 
 def make_classification(spark: SparkSession, n_samples: int = 100, n_features: int = 20, n_informative: int = 2,
                         n_classes: int = 2, random_state: int = 0) -> DataFrame:
-    """``sample_id INT, feature_0.. DOUBLE, target INT``: class c = sample_id mod n_classes; the first
+    """``sample_id BIGINT, feature_0.. DOUBLE, target INT``: class c = sample_id mod n_classes; the first
     ``n_informative`` features hold the class's hypercube vertex (±1 by the bits of c) plus N(0,1) noise,
     the rest pure noise. ``n_informative`` is raised to ⌈log2 n_classes⌉ (min 1) and capped at n_features."""
     if n_samples < 1 or n_features < 1 or n_classes < 2:
@@ -98,7 +89,7 @@ def make_classification(spark: SparkSession, n_samples: int = 100, n_features: i
     base = spark.range(n_samples)
     row = F.col("id")
     target = (row % F.lit(n_classes)).cast("int")
-    cols = [row.cast("int").alias("sample_id")]
+    cols = [row.alias("sample_id")]
     for j in range(n_features):
         noise = normal_col(random_state, row, j)
         if j < n_inf:
@@ -131,8 +122,9 @@ def _py_mix(v: int) -> int:
 
 
 def make_regression(spark: SparkSession, n_samples: int = 100, n_features: int = 20, n_informative: int = 10,
-                    noise: float = 0.0, random_state: int = 0) -> DataFrame:
-    """``sample_id INT, feature_0.. DOUBLE, target DOUBLE`` with target = Σ coef_j · x_j + noise · z."""
+                    noise: float = 0.0, random_state: int = 0, rows: DataFrame | None = None) -> DataFrame:
+    """``sample_id BIGINT, feature_0.. DOUBLE, target DOUBLE`` with target = Σ coef_j · x_j + noise · z. With ``rows`` (a
+    BIGINT column ``id``) there is one sample for each of its rows, drawn by that id, instead of ``n_samples``."""
     if n_samples < 1 or n_features < 1:
         raise ValueError("make_regression needs n_samples >= 1 and n_features >= 1")
     n_inf = min(max(n_informative, 0), n_features)
@@ -144,6 +136,6 @@ def make_regression(spark: SparkSession, n_samples: int = 100, n_features: int =
         target = target + F.lit(coef[j]) * feats[j]
     if noise:
         target = target + F.lit(float(noise)) * normal_col(random_state, row, n_features)
-    return spark.range(n_samples).select(row.cast("int").alias("sample_id"),
+    return (spark.range(n_samples) if rows is None else rows).select(row.alias("sample_id"),
                                          *[f.alias(f"feature_{j}") for j, f in enumerate(feats)],
                                          target.alias("target"))

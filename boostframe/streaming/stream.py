@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +19,18 @@ def predict_stream(stream: DataFrame, model_name: str = "", model: Any = None, i
                    output_margin=output_margin, root=root)
 
 
-def score_files_once(spark: SparkSession, source: str, train: DataFrame, features: list[str], id: str,
-                     work_dir: str, target: str = "target") -> DataFrame:
-    """Fit on a batch table, then score ``source`` as a file stream (``availableNow``) into Parquet under
-    ``work_dir`` and return what the stream wrote."""
-    from ..operators.fit import fit_model
-    m = fit_model(train, target=target, estimator="xgb_regressor", params={"n_estimators": 5, "max_depth": 3})
-    import os
-    schema = spark.read.parquet(source).schema
-    folder, name = os.path.split(source.rstrip("/"))
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
-    scored = predict_stream(stream.select(id, *features), model=m, id=id)
-    out = f"{work_dir}/out"
-    q = (scored.writeStream.format("parquet").option("checkpointLocation", f"{work_dir}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start(out))
+def score_files_once(spark: SparkSession, source: str, model: Any, id: str, work_dir: str, **options: Any) -> DataFrame:
+    """Score the Parquet file or folder ``source`` as a file stream (``availableNow``) and return what the stream wrote.
+
+    Each call has a checkpoint and an output folder of its own below ``work_dir``, so no run meets another's rows."""
+    run = f"{work_dir.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+    reader = spark.readStream.schema(spark.read.parquet(source).schema)
+    stream = (reader.parquet(source) if found.isDirectory()
+              else reader.option("pathGlobFilter", path.getName()).parquet(path.getParent().toString()))
+    scored = predict_stream(stream, model=model, id=id, **options)
+    q = (scored.writeStream.format("parquet").option("checkpointLocation", f"{run}/checkpoint")
+         .outputMode("append").trigger(availableNow=True).start(f"{run}/out"))
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(scored.schema).parquet(f"{run}/out")

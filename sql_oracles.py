@@ -11,6 +11,14 @@ S = "1048576.0"
 LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
           "l_returnflag, l_linestatus, l_shipdate")
 
+LI_X = """CAST(l_quantity AS DOUBLE) AS x0, CAST(l_discount AS DOUBLE) AS x1, CAST(l_tax AS DOUBLE) AS x2,
+       CAST(l_linenumber AS DOUBLE) AS x3"""
+LI_Y = "CAST(l_quantity * (1 - l_discount) AS DOUBLE)"
+LI_ROWS = f"(SELECT *, CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS BIGINT) AS id FROM lineitem)"
+LI_REG_ID = f"SELECT id, {LI_X}, {LI_Y} AS y FROM {LI_ROWS}"
+LI_REG_FOLDS = f"""SELECT id, {LI_X}, {LI_Y} AS y, CAST(CASE WHEN id < (n // 3) + CASE WHEN n % 3 > 0 THEN 1 ELSE 0 END THEN 0
+       WHEN id < 2 * (n // 3) + CASE WHEN n % 3 > 0 THEN 1 ELSE 0 END + CASE WHEN n % 3 > 1 THEN 1 ELSE 0 END THEN 1 ELSE 2 END AS INTEGER) AS fold
+       FROM {LI_ROWS}, (SELECT count(*) AS n FROM lineitem)"""
 LI_REG = """SELECT CAST(l_quantity AS DOUBLE) AS x0, CAST(l_discount AS DOUBLE) AS x1, CAST(l_tax AS DOUBLE) AS x2,
        CAST(l_linenumber AS DOUBLE) AS x3, CAST(l_quantity * (1 - l_discount) AS DOUBLE) AS y FROM lineitem"""
 LI_REG_NAMES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -24,9 +32,25 @@ def _r(expr: str, alias: str) -> str:
     return f"round({expr}, 6) AS {alias}"
 
 
+LOG_LINK = ("count:poisson", "reg:gamma", "reg:tweedie")
+#: First and second derivatives of the losses at margin $m, Poisson's with the default step limit 0.7.
+GRADIENTS = {
+    "reg:squarederror": ("$m - y", "1.0"),
+    "binary:logistic": ("p - y", "greatest(p * (1.0 - p), 1e-16)"),
+    "count:poisson": ("exp($m) - y", "exp($m) * exp(0.7)"),
+    "reg:gamma": ("1.0 - y * exp(-$m)", "y * exp(-$m)"),
+    "reg:tweedie": ("exp(0.5 * $m) - y * exp(-0.5 * $m)", "0.5 * exp(0.5 * $m) + 0.5 * (y * exp(-0.5 * $m))"),
+    "reg:pseudohubererror": ("($m - y) / sqrt(1.0 + ($m - y) * ($m - y))",
+                             "1.0 / pow(sqrt(1.0 + ($m - y) * ($m - y)), 3)"),
+    "reg:squaredlogerror": ("(ln($m + 1.0) - ln(y + 1.0)) / ($m + 1.0)",
+                            "greatest((1.0 - (ln($m + 1.0) - ln(y + 1.0))) / (($m + 1.0) * ($m + 1.0)), 1e-6)"),
+}
+
+
 def stump_ctes(src: str, names: list[str], categorical: list[bool], objective: str, rounds: int,
-               lam: float = 1.0, eta: float = 0.3, mcw: float = 1.0) -> str:
-    """CTEs ``src0, dv{f}, nbs, st0..st{rounds}, split{r}, base`` for boosted depth-1 trees."""
+               lam: float = 1.0, eta: float = 0.3, mcw: float = 1.0, train: str = "TRUE", g_scale: str = S) -> str:
+    """CTEs ``src0, dv{f}, nbs, st0..st{rounds}, split{r}, base`` for boosted depth-1 trees on the rows of ``train``."""
+    SG = g_scale
     nf = len(names)
     ctes = [f"src0 AS ({src})"]
     for f in range(nf):
@@ -38,31 +62,29 @@ def stump_ctes(src: str, names: list[str], categorical: list[bool], objective: s
     joins = " ".join(f"LEFT JOIN dv{f} d{f} ON s.x{f} = d{f}.v" for f in range(nf))
     bins = ", ".join(f"COALESCE(d{f}.bin, (SELECT nb FROM nbs WHERE fidx = {f})) AS b{f}" for f in range(nf))
     ctes.append(f"binned AS (SELECT s.*, {bins} FROM src0 s {joins})")
-    if objective == "reg:squarederror":
-        ctes.append(f"base AS (SELECT (CAST(sum(floor(y * {S} + 0.5)) AS DOUBLE) / {S}) / count(*) AS b FROM binned)")
-    else:
-        ctes.append("base AS (SELECT ln(p / (1.0 - p)) AS b FROM (SELECT sum(y) / count(*) AS p FROM binned))")
+    mean = f"(CAST(sum(floor(y * {S} + 0.5)) AS DOUBLE) / {S}) / count(*)"
+    start = {"binary:logistic": "ln(p / (1.0 - p))"} | {o: "ln(p)" for o in LOG_LINK}
+    mean = "sum(y) / count(*)" if objective == "binary:logistic" else mean
+    ctes.append(f"base AS (SELECT {start.get(objective, 'p')} AS b FROM (SELECT {mean} AS p FROM binned WHERE {train}))")
     ctes.append("st0 AS (SELECT binned.*, base.b AS m0 FROM binned, base)")
     for r in range(rounds):
-        if objective == "reg:squarederror":
-            grad = f"floor((m{r} - y) * {S} + 0.5) AS gf, {S} AS hf"
-            src_g = f"st{r}"
-        else:
-            grad = (f"floor((p - y) * {S} + 0.5) AS gf, floor(greatest(p * (1.0 - p), 1e-16) * {S} + 0.5) AS hf")
-            src_g = f"(SELECT *, 1.0 / (1.0 + exp(-m{r})) AS p FROM st{r})"
+        m = f"m{r}"
+        g, h = GRADIENTS[objective]
+        grad = f"floor(({g}) * {SG} + 0.5) AS gf, floor(({h}) * {S} + 0.5) AS hf".replace("$m", m)
+        src_g = f"(SELECT *, 1.0 / (1.0 + exp(-{m})) AS p FROM st{r})" if objective == "binary:logistic" else f"st{r}"
         ctes.append(f"g{r} AS (SELECT *, {grad} FROM {src_g})")
-        long = " UNION ALL ".join(f"SELECT {f} AS fidx, b{f} AS bin, gf, hf FROM g{r}" for f in range(nf))
+        long = " UNION ALL ".join(f"SELECT {f} AS fidx, b{f} AS bin, gf, hf FROM g{r} WHERE {train}" for f in range(nf))
         ctes.append(f"hist{r} AS (SELECT fidx, bin, sum(gf) AS G, sum(hf) AS H, count(*) AS N FROM ({long}) "
                     f"GROUP BY fidx, bin)")
-        ctes.append(f"tot{r} AS (SELECT sum(G) / {S} AS Gt, sum(H) / {S} AS Ht, sum(N) AS Nt FROM hist{r} WHERE fidx = 0)")
+        ctes.append(f"tot{r} AS (SELECT sum(G) / {SG} AS Gt, sum(H) / {S} AS Ht, sum(N) AS Nt FROM hist{r} WHERE fidx = 0)")
         ctes.append(
-            f"miss{r} AS (SELECT n.fidx, COALESCE(sum(h.G) FILTER (WHERE h.bin = n.nb), 0) / {S} AS Gm, "
+            f"miss{r} AS (SELECT n.fidx, COALESCE(sum(h.G) FILTER (WHERE h.bin = n.nb), 0) / {SG} AS Gm, "
             f"COALESCE(sum(h.H) FILTER (WHERE h.bin = n.nb), 0) / {S} AS Hm, "
             f"COALESCE(sum(h.N) FILTER (WHERE h.bin = n.nb), 0) AS Nm FROM nbs n LEFT JOIN hist{r} h ON h.fidx = n.fidx "
             f"GROUP BY n.fidx)")
         ctes.append(
             f"cum{r} AS (SELECT h.fidx, h.bin, n.cat, n.nb, "
-            f"CASE WHEN n.cat THEN h.G ELSE sum(h.G) OVER w END / {S} AS cG, "
+            f"CASE WHEN n.cat THEN h.G ELSE sum(h.G) OVER w END / {SG} AS cG, "
             f"CASE WHEN n.cat THEN h.H ELSE sum(h.H) OVER w END / {S} AS cH, "
             f"CASE WHEN n.cat THEN h.N ELSE sum(h.N) OVER w END AS cN "
             f"FROM hist{r} h JOIN nbs n ON h.fidx = n.fidx WHERE h.bin < n.nb "
@@ -142,11 +164,12 @@ def sql_for() -> dict[str, str]:
     cat_cat = [True, True, False, False]
     R = 2
     reg_head = stump_ctes(LI_REG, LI_REG_NAMES, reg_cat, "reg:squarederror", R)
+    id_head = stump_ctes(LI_REG_ID, LI_REG_NAMES, reg_cat, "reg:squarederror", R)
     cat_head = stump_ctes(LI_CAT, LI_CAT_NAMES, cat_cat, "binary:logistic", 1)
     out: dict[str, str] = {}
 
     out["labelled_table"] = f"""
-SELECT CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS INTEGER) AS sample_id,
+SELECT CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS BIGINT) AS sample_id,
        CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_discount AS DOUBLE) AS l_discount,
        CAST(l_tax AS DOUBLE) AS l_tax, CAST(l_linenumber AS DOUBLE) AS l_linenumber,
        CAST(dense_rank() OVER (ORDER BY l_returnflag) - 1 AS INTEGER) AS target,
@@ -154,7 +177,7 @@ SELECT CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS INTEGER) AS sample_id,
 FROM lineitem"""
 
     out["labelled_regression"] = f"""
-SELECT CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS INTEGER) AS sample_id,
+SELECT CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS BIGINT) AS sample_id,
        CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_discount AS DOUBLE) AS l_discount,
        round(CAST(l_extendedprice AS DOUBLE), 6) AS target
 FROM lineitem"""
@@ -180,7 +203,50 @@ SELECT {_fname(LI_REG_NAMES, 'h.fidx')} AS feature, CAST(h.bin AS INTEGER) AS bi
 
     out["fit_stumps_nodes"] = stump_nodes_sql(LI_REG, LI_REG_NAMES, reg_cat, "reg:squarederror", R)
 
-    out["predict_stumps"] = reg_head + f"\nSELECT round(m{R}, 6) AS prediction FROM st{R}"
+    out["predict_stumps"] = id_head + f"\nSELECT id, round(m{R}, 6) AS prediction FROM st{R}"
+    # dart without dropped trees is plain boosting; a forest of equal stumps is one stump at full step
+    out["predict_dart_rate0"] = out["predict_stumps"]
+    out["predict_rf_stumps"] = (stump_ctes(LI_REG_ID, LI_REG_NAMES, reg_cat, "reg:squarederror", 1, lam=1e-5, eta=1.0)
+                                + "\nSELECT id, round(m1, 6) AS prediction FROM st1")
+    out["objective_stumps"] = "\nUNION ALL\n".join(
+        f"SELECT '{o}' AS objective, * FROM ({stump_nodes_sql(LI_REG, LI_REG_NAMES, reg_cat, o, 1)})"
+        for o in GRADIENTS if o.startswith(("count", "reg")))
+    out["fit_large_target"] = (stump_ctes(LI_REG_ID.replace(LI_Y, LI_Y + " * 1e9"), LI_REG_NAMES, reg_cat, "reg:squarederror", R,
+                                          g_scale="0.0625") + f"\nSELECT id, round(m{R} / 1e9, 6) AS prediction FROM st{R}")
+
+    def cv_scores(eta: float, rounds: int) -> str:
+        return " UNION ALL ".join(
+            f"SELECT CAST({k} AS BIGINT) AS fold, (SELECT 1.0 - sse / sst FROM ("
+            + stump_ctes(LI_REG_FOLDS, LI_REG_NAMES, reg_cat, "reg:squarederror", rounds, eta=eta, train=f"fold <> {k}")
+            + f" SELECT sum((y - m{rounds}) * (y - m{rounds})) AS sse, var_pop(y) * count(*) AS sst FROM st{rounds} WHERE fold = {k})) AS score"
+            for k in range(3))
+
+    out["cross_val_score"] = f"SELECT fold, round(score, 6) AS score FROM ({cv_scores(0.3, 2)})"
+    boards = {"grid_search": [(e, n) for e in (0.1, 0.3) for n in (1, 2)], "randomized_search": [(e, 2) for e in (0.1, 0.3)]}
+    for name, combos in boards.items():
+        rows = " UNION ALL ".join(
+            f"""SELECT '{{"learning_rate": {e}, "max_depth": 1, "n_estimators": {n}}}' AS params, avg(score) AS m, stddev_pop(score) AS s
+                FROM ({cv_scores(e, n)})""" for e, n in combos)
+        out[name] = f"""SELECT 'xgb_regressor' AS estimator, params, round(m, 6) AS mean_test_score, round(s, 6) AS std_test_score,
+            rank() OVER (ORDER BY m DESC) AS rank FROM ({rows})"""
+    folds = f"""WITH d AS (SELECT id, {LI_X}, CASE WHEN l_quantity > 25 AND l_discount >= 0.05 THEN 1.0 ELSE 0.0 END AS y FROM {LI_ROWS}),
+        c AS (SELECT y, count(*) AS cnt, min(id) AS first FROM d GROUP BY y),
+        o AS (SELECT y, cnt, sum(cnt) OVER (ORDER BY first ROWS UNBOUNDED PRECEDING) - cnt AS s FROM c),
+        a AS (SELECT o.y, f, (CASE WHEN o.s + o.cnt <= f THEN 0 ELSE (o.s + o.cnt - f - 1) // 3 + 1 END)
+                     - (CASE WHEN o.s <= f THEN 0 ELSE (o.s - f - 1) // 3 + 1 END) AS k FROM o, range(3) t(f)),
+        b AS (SELECT y, f, sum(k) OVER (PARTITION BY y ORDER BY f ROWS UNBOUNDED PRECEDING) AS hi FROM a),
+        r AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY id) - 1 AS rk FROM d)
+        SELECT r.id, r.x0, r.x1, r.x2, r.x3, r.y, (SELECT min(f) FROM b WHERE b.y = r.y AND r.rk < b.hi) AS fold FROM r"""
+    out["cross_val_predict"] = " UNION ALL ".join(
+        "SELECT id, CAST(CASE WHEN m2 > 0 THEN 1 ELSE 0 END AS BIGINT) AS prediction FROM ("
+        + stump_ctes(folds, LI_REG_NAMES, reg_cat, "binary:logistic", 2, train=f"fold <> {k}")
+        + f" SELECT id, m2 FROM st2 WHERE fold = {k})" for k in range(3))
+    out["gblinear_line"] = """SELECT round(regr_slope(y, x), 4) AS weight, round(regr_intercept(y, x), 4) AS bias
+        FROM (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_quantity * (1 - l_discount) AS DOUBLE) AS y FROM lineitem)"""
+    out["many_categories"] = """SELECT count(DISTINCT l_orderkey) AS n_categories, count(DISTINCT l_orderkey % 2500) AS n_labels,
+        count(*) AS n_rows FROM lineitem"""
+    out["exact_bins"] = """SELECT CAST(row_number() OVER (ORDER BY v) - 2 AS BIGINT) AS bin, round(v, 6) AS threshold
+        FROM (SELECT DISTINCT CAST(l_extendedprice AS DOUBLE) AS v FROM lineitem) QUALIFY row_number() OVER (ORDER BY v) > 1"""
 
     out["regression_metrics"] = reg_head + f"""
 , e AS (SELECT y, m{R} AS p FROM st{R})
@@ -226,9 +292,9 @@ FROM grid g, binned t GROUP BY g.v"""
             xb = f"t.b{f}"
             terms.append(f"(SELECT CASE WHEN s.fidx = {f} THEN (CASE WHEN {xb} <= s.bin THEN s.vL ELSE s.vR END) "
                          f"- (s.HL / s.Ht * s.vL + s.HR / s.Ht * s.vR) ELSE 0.0 END FROM split{r} s)")
-        shap_terms.append(f"SELECT '{LI_REG_NAMES[f]}' AS feature, round({' + '.join(terms)}, 6) AS shap_value, "
+        shap_terms.append(f"SELECT t.id, '{LI_REG_NAMES[f]}' AS feature, round({' + '.join(terms)}, 6) AS shap_value, "
                           f"round((SELECT b FROM base) + {' + '.join(f'(SELECT s.HL / s.Ht * s.vL + s.HR / s.Ht * s.vR FROM split{r} s)' for r in range(R))}, 6) AS base_value FROM binned t")
-    out["explain"] = reg_head + "\n" + "\nUNION ALL\n".join(shap_terms)
+    out["explain"] = id_head + "\n" + "\nUNION ALL\n".join(shap_terms)
 
     out["fit_cat_stump_nodes"] = stump_nodes_sql(LI_CAT, LI_CAT_NAMES, cat_cat, "binary:logistic", 1, True)
 
@@ -296,14 +362,13 @@ SELECT CAST(d.id AS BIGINT) AS id, CAST(min(b.f) AS INTEGER) AS fold FROM d JOIN
     def normal(row: str, j: int) -> str:
         return f"(sqrt(-2.0 * ln({unif(row, 2 * j)})) * cos({2.0 * 3.141592653589793!r} * {unif(row, 2 * j + 1)}))"
 
-    from boostframe.sources.datasets import regression_coefficients
-    coef = regression_coefficients(3, 2, 7)
+    coef = [21.931367866662967, 26.345549745646096]      # fixed values: 100 · u(7, -1, j)
     feats_sql = [normal("id", j) for j in range(3)]
     target = "0.0" + "".join(f" + {coef[j]!r} * x{j}" for j in range(2)) + f" + 0.5 * {normal('id', 3)}"
     out["make_regression"] = f"""
-WITH r AS (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM orders),
+WITH r AS (SELECT CAST(o_orderkey AS BIGINT) AS id FROM orders),
 x AS (SELECT id, {feats_sql[0]} AS x0, {feats_sql[1]} AS x1, {feats_sql[2]} AS x2 FROM r)
-SELECT CAST(id AS INTEGER) AS sample_id, round(x0, 6) AS feature_0, round(x1, 6) AS feature_1,
+SELECT id AS sample_id, round(x0, 6) AS feature_0, round(x1, 6) AS feature_1,
        round(x2, 6) AS feature_2, round({target}, 6) AS target FROM x"""
 
     out["model_lifecycle"] = """
