@@ -66,6 +66,7 @@ class Grower:
     depth: list = field(default_factory=list)
     open: list = field(default_factory=list)   # node may still be split
     value: list = field(default_factory=list)
+    waiting: dict = field(default_factory=dict)   # best-first growth: node → its best split, not made yet
 
     def add(self, G: float, H: float, N: int, depth: int) -> int:
         self.feat.append(-1)
@@ -86,6 +87,21 @@ class Grower:
     def n_leaves(self) -> int:
         return sum(1 for f in self.feat if f < 0)
 
+    def split(self, node: int, best: tuple) -> None:
+        gain, f, split_bin, cats, dleft, GL, HL, NL = best
+        self.feat[node], self.split_bin[node], self.cats[node] = f, split_bin, cats
+        self.dleft[node], self.gain[node] = dleft, gain
+        self.left[node] = self.add(GL, HL, NL, self.depth[node] + 1)
+        self.right[node] = self.add(self.G[node] - GL, self.H[node] - HL, self.N[node] - NL, self.depth[node] + 1)
+
+    def split_best(self, max_leaves: int) -> bool:
+        """Make the waiting split with the largest gain (the first of equal ones), if another leaf is allowed."""
+        if not self.waiting or self.n_leaves() >= max_leaves:
+            return False
+        node = max(self.waiting, key=lambda n: (self.waiting[n][0], -n))
+        self.split(node, self.waiting.pop(node))
+        return True
+
     def bin_tree(self) -> dict:
         """Tree for routing binned rows: numeric threshold = split bin + 0.5, categories by code."""
         return {
@@ -120,6 +136,11 @@ def leaf_weight(G: float, H: float, p: dict) -> float:
     return w
 
 
+def best_first(p: dict) -> bool:
+    """Without a limit on leaves, all splits are made in the end and the order does not matter."""
+    return p["grow_policy"] == "lossguide" and p["max_leaves"] > 0
+
+
 def gradient_options(p: dict) -> tuple:
     return tuple(float(p[k]) for k in ("scale_pos_weight", "tweedie_variance_power", "huber_slope", "max_delta_step"))
 
@@ -460,6 +481,8 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                         continue
                     frontier.append((gi, ni))
             if not frontier:
+                if any([g.split_best(specs[g.model].params["max_leaves"]) for g in growers]):
+                    continue
                 break
             # column sampling by level / node
             allowed = np.zeros((len(frontier), n_feat), dtype=bool)
@@ -475,7 +498,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             best, Gt, Ht, Nt = None, None, None, None
             Gd, Hd, Nd = results
             best, Gt, Ht, Nt = _best_splits(Gd, Hd, Nd, frontier, stats, nb, off, specs, growers, allowed)
-            # lossguide-style leaf cap: accept the best-gain splits first
+            # under a leaf limit the best-gain splits of the level come first; best-first growth makes one at a time
             order = sorted(range(len(frontier)), key=lambda i: -(best[i][0] if best[i] else -1.0))
             leaves_now = {gi: growers[gi].n_leaves() for gi in {f[0] for f in frontier}}
             for i in order:
@@ -487,14 +510,15 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 g.open[ni] = False
                 b = best[i]
                 ml = s.params["max_leaves"]
-                if b is None or (ml > 0 and leaves_now[gi] + 1 > ml):
+                if b is None or (ml > 0 and leaves_now[gi] + 1 > ml and not best_first(s.params)):
+                    continue
+                if best_first(s.params):
+                    g.waiting[ni] = b
                     continue
-                gain, f, sb, cats, dl, GL, HL, NL = b
-                g.feat[ni], g.split_bin[ni], g.cats[ni], g.dleft[ni], g.gain[ni] = f, sb, cats, dl, gain
-                li = g.add(GL, HL, NL, g.depth[ni] + 1)
-                ri = g.add(g.G[ni] - GL, g.H[ni] - HL, g.N[ni] - NL, g.depth[ni] + 1)
-                g.left[ni], g.right[ni] = li, ri
+                g.split(ni, b)
                 leaves_now[gi] += 1
+            for g in {gi: growers[gi] for gi, _ in frontier}.values():
+                g.split_best(specs[g.model].params["max_leaves"])
             level += 1
         # leaf values, pruning, compaction
         done = []

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,19 +58,25 @@ def exists(spark: SparkSession, name: str, root: str | None = None) -> bool:
 
 
 def save(spark: SparkSession, model: Model, name: str, root: str | None = None) -> None:
-    """Overwrite ``<root>/<name>``: meta JSON, node table, model value."""
+    """Store the model under ``<root>/<name>``. All parts are written aside and then take the place of an older model
+    by a rename, so a reader finds a whole model or none."""
     validate_name(name)
-    base = f"{root_dir(spark, root)}/{name}"
+    final = f"{root_dir(spark, root)}/{name}"
+    base = f"{root_dir(spark, root)}/_writing-{uuid.uuid4().hex}"
     meta = asdict(model.meta)
     meta["name"] = name
     classes = meta.get("classes")
     meta_row = {k: meta.get(k) for k in _META_SCHEMA.fieldNames()}
     meta_row["classes"] = [json.dumps(c) if not isinstance(c, str) else c for c in classes] if classes else None
-    spark.createDataFrame([meta_row], _META_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{base}/meta")
-    spark.createDataFrame(model.node_rows(), NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{base}/nodes")
+    spark.createDataFrame([meta_row], _META_SCHEMA).coalesce(1).write.json(f"{base}/meta")
+    spark.createDataFrame(model.node_rows(), NODE_SCHEMA).coalesce(1).write.parquet(f"{base}/nodes")
     blob_schema = T.StructType([T.StructField("model", T.BinaryType(), False)])
-    spark.createDataFrame([(bytearray(model.to_bytes()),)], blob_schema).coalesce(1) \
-        .write.mode("overwrite").parquet(f"{base}/blob")
+    spark.createDataFrame([(bytearray(model.to_bytes()),)], blob_schema).coalesce(1).write.parquet(f"{base}/blob")
+    fs, new = _fs(spark, base)
+    old = _fs(spark, final)[1]
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {base} to {final}")
 
 
 def load(spark: SparkSession, name: str, root: str | None = None) -> Model:
@@ -93,7 +100,7 @@ def list_models(spark: SparkSession, root: str | None = None) -> DataFrame:
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return spark.createDataFrame([], MODEL_INFO_SCHEMA)
-    pattern = f"{base}/*/meta"
+    pattern = f"{base}/[A-Za-z0-9]*/meta"
     if not fs.globStatus(_fs(spark, pattern)[1]):
         return spark.createDataFrame([], MODEL_INFO_SCHEMA)
     raw = (spark.read.schema(_META_SCHEMA).option("mode", "DROPMALFORMED").json(pattern)
