@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -233,7 +234,7 @@ def q_regression_metrics(spark, sf_dir):
                                                     F.lit(0).alias("g"))
     out = None
     for s in ["r2", "explained_variance", "neg_mean_squared_error", "neg_root_mean_squared_error",
-              "neg_mean_absolute_error", "max_error"]:
+              "neg_mean_absolute_error", "max_error", "neg_mean_absolute_percentage_error"]:
         part = score(p, s, ["g"]).select(F.lit(s).alias("scorer"), F.round("score", 6).alias("score"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -292,7 +293,9 @@ def q_roc_auc(spark, sf_dir):
                  F.col("proba_0").alias("p0"), F.col("proba_1").alias("p1"), F.lit(0).alias("g"))
     out = None
     for s in ["roc_auc", "accuracy", "balanced_accuracy", "precision", "recall", "f1", "f1_macro",
-              "f1_weighted", "neg_log_loss"]:
+              "f1_weighted", "neg_log_loss", "roc_auc_ovr", "precision_micro", "recall_micro", "f1_micro", "precision_macro",
+              "recall_macro", "precision_weighted", "recall_weighted", "neg_brier_score", "matthews_corrcoef",
+              "average_precision"]:
         part = score(d, s, ["g"]).select(F.lit(s).alias("scorer"), F.round("score", 6).alias("score"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -338,16 +341,45 @@ def q_fit_multiclass(spark, sf_dir):
     return fit(li_multi(spark, sf_dir), target="target", params={"n_estimators": 5, "max_depth": 3}).drop("model")
 
 
+def li_rows_id(spark, sf_dir, *columns):
+    return with_row_id(_t(spark, sf_dir, "lineitem"), LI_ALL_COLS).select("id", *columns)
+
+
+def _multi_stumps(spark, sf_dir):
+    from boostframe import fit_model
+    return fit_model(li_multi(spark, sf_dir), target="target", params={"n_estimators": 1, "max_depth": 1})
+
+
 def q_predict_multiclass_proba(spark, sf_dir):
-    from boostframe import fit_model, predict
-    m = fit_model(li_multi(spark, sf_dir), target="target", params={"n_estimators": 5, "max_depth": 3})
-    return predict(li_multi(spark, sf_dir), model=m, with_proba=True)
+    from boostframe import predict
+    rows = li_rows_id(spark, sf_dir, *[F.col(c).cast("double").alias(c) for c in LI_REG_FEATURES])
+    return predict(rows, model=_multi_stumps(spark, sf_dir), id="id", with_proba=True).select(
+        "id", "prediction", _r("proba_high"), _r("proba_low"), _r("proba_mid"))
 
 
 def q_predict_leaf(spark, sf_dir):
-    from boostframe import fit_model, predict
-    m = fit_model(li_multi(spark, sf_dir), target="target", params={"n_estimators": 3, "max_depth": 3})
-    return predict(li_multi(spark, sf_dir), model=m, pred_leaf=True)
+    from boostframe import predict
+    rows = li_rows_id(spark, sf_dir, *[F.col(c).cast("double").alias(c) for c in LI_REG_FEATURES])
+    return predict(rows, model=_multi_stumps(spark, sf_dir), id="id", pred_leaf=True).select(
+        "id", F.concat_ws(",", F.col("leaf").cast("array<string>")).alias("leaves"))
+
+
+def q_predict_margin(spark, sf_dir):
+    from boostframe import predict
+    rows = li_rows_id(spark, sf_dir, "l_returnflag", "l_linestatus", F.expr("NULLIF(l_tax, 0.0)").alias("tax"),
+                      F.col("l_quantity").cast("double").alias("l_quantity"))
+    return predict(rows, model=_cat_stump(spark, sf_dir), id="id", output_margin=True).select("id", _r("margin"))
+
+
+def q_registry(spark, sf_dir):
+    """Two models saved, one dropped (and dropped again): what the registry lists."""
+    from boostframe.sources import registry
+    root, m = f"{_ckdir(spark)}/registry-{uuid.uuid4().hex}", _stump_model(spark, sf_dir)
+    for name in ("kept", "other"):
+        registry.save(spark, m, name, root)
+    gone = [registry.drop_model(spark, "other", root).first()["dropped"] for _ in range(2)]
+    return registry.list_models(spark, root).select("model_name", "task", "n_samples", F.lit(gone[0]).alias("dropped_other"),
+                                                    F.lit(gone[1]).alias("dropped_again"))
 
 
 def q_fit_categorical_depth2(spark, sf_dir):
@@ -405,7 +437,9 @@ def q_randomized_search(spark, sf_dir):
 def q_permutation_importance(spark, sf_dir):
     from boostframe.operators.importance import permutation_importance
     m = _stump_model(spark, sf_dir)
-    return permutation_importance(li_reg(spark, sf_dir), model=m, target="target", n_repeats=2)
+    return permutation_importance(li_reg_id(spark, sf_dir), model=m, target="target", id="id", n_repeats=2).select(
+        "feature", (F.round("importance_mean", 6) + 0.0).alias("importance_mean"),
+        (F.round("importance_std", 6) + 0.0).alias("importance_std"), "rank")
 
 
 def q_fit_rf(spark, sf_dir):
@@ -485,6 +519,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gblinear_line": q_gblinear_line,
     "many_categories": q_many_categories,
     "exact_bins": q_exact_bins,
+    "predict_margin": q_predict_margin,
+    "registry": q_registry,
 }
 
 

@@ -89,10 +89,10 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
     rng = np.random.RandomState(random_state & 0x7FFFFFFF)
     moves = []
     for _ in range(n_repeats):
-        a = int(rng.randint(1, min(max(n, 2), 1 << 20)))          # 20 bits: rank * a stays a BIGINT up to 2^43 rows
-        while np.gcd(a, n) != 1:
-            a += 1
-        moves.append((a, int(rng.randint(0, n))))
+        a = _prime_from(int(rng.randint(1 << 16, 1 << 20)))       # 20 bits: rank * a stays a BIGINT up to 2^43 rows
+        while n % a == 0:
+            a = _prime_from(a + 1)
+        moves.append((a, int(rng.randint(0, 1 << 20))))
     every = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), ((F.col("__rank") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("dst"))
                                 for k, (a, b) in enumerate(moves)]))
     donor = (ranked.select(every.alias("to"), *[F.col(f).alias(f"__d{j}") for j, f in enumerate(feats)])
@@ -152,11 +152,18 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
     for j, name in enumerate(feats):
         drops = np.array([base_score - per_pair.get(pid, np.nan) for pid, p in enumerate(pairs) if p[0] == j])
         rows.append((name, float(np.mean(drops)), float(np.std(drops))))
-    order_idx = sorted(range(len(rows)), key=lambda i: -rows[i][1])  # stable: ties keep feature order
+    order_idx = sorted(range(len(rows)), key=lambda i: -round(rows[i][1], 12))  # stable: ties, up to rounding, keep feature order
     out = [(rows[i][0], rows[i][1], rows[i][2], r + 1) for r, i in enumerate(order_idx)]
     return spark.createDataFrame(out, PERM_SCHEMA)
 
 
+def _prime_from(n: int) -> int:
+    """The smallest prime at or above ``n``."""
+    while any(n % d == 0 for d in range(2, int(n ** 0.5) + 1)):
+        n += 1
+    return n
+
+
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return to_arrow_schema(schema)

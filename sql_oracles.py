@@ -63,6 +63,8 @@ def stump_ctes(src: str, names: list[str], categorical: list[bool], objective: s
     bins = ", ".join(f"COALESCE(d{f}.bin, (SELECT nb FROM nbs WHERE fidx = {f})) AS b{f}" for f in range(nf))
     ctes.append(f"binned AS (SELECT s.*, {bins} FROM src0 s {joins})")
     mean = f"(CAST(sum(floor(y * {S} + 0.5)) AS DOUBLE) / {S}) / count(*)"
+    if objective.startswith("softmax:"):
+        mean = "0.0 * count(*)"
     start = {"binary:logistic": "ln(p / (1.0 - p))"} | {o: "ln(p)" for o in LOG_LINK}
     mean = "sum(y) / count(*)" if objective == "binary:logistic" else mean
     ctes.append(f"base AS (SELECT {start.get(objective, 'p')} AS b FROM (SELECT {mean} AS p FROM binned WHERE {train}))")
@@ -241,6 +243,45 @@ SELECT {_fname(LI_REG_NAMES, 'h.fidx')} AS feature, CAST(h.bin AS INTEGER) AS bi
         "SELECT id, CAST(CASE WHEN m2 > 0 THEN 1 ELSE 0 END AS BIGINT) AS prediction FROM ("
         + stump_ctes(folds, LI_REG_NAMES, reg_cat, "binary:logistic", 2, train=f"fold <> {k}")
         + f" SELECT id, m2 FROM st2 WHERE fold = {k})" for k in range(3))
+    # permutation importance: in repeat k the donor of row r is the row d with (d * a + b) mod n = r
+    moves = [(371249, 435829), (183497, 963395)]      # fixed values: drawn with seed 0
+    terms = " + ".join(
+        f"(SELECT CASE WHEN (CASE s.fidx WHEN 0 THEN CASE WHEN f.j = 0 THEN d.b0 ELSE t.b0 END WHEN 1 THEN CASE WHEN f.j = 1 THEN d.b1 ELSE t.b1 END "
+        f"WHEN 2 THEN CASE WHEN f.j = 2 THEN d.b2 ELSE t.b2 END ELSE CASE WHEN f.j = 3 THEN d.b3 ELSE t.b3 END END) <= s.bin "
+        f"THEN s.vL ELSE s.vR END FROM split{r} s)" for r in range(R))
+    per = " UNION ALL ".join(
+        f"SELECT f.j, {k} AS k, 1.0 - sum((t.y - ((SELECT b FROM base) + {terms})) ** 2) / (var_pop(t.y) * count(*)) AS score "
+        f"FROM binned t JOIN (SELECT b0, b1, b2, b3, (id * {a} + {b}) % n AS dst FROM binned, (SELECT count(*) AS n FROM binned)) d "
+        f"ON t.id = d.dst, range(4) f(j) GROUP BY f.j"
+        for k, (a, b) in enumerate(moves))
+    out["permutation_importance"] = id_head + f"""
+, whole AS (SELECT 1.0 - sum((y - m{R}) ** 2) / (var_pop(y) * count(*)) AS score FROM st{R})
+, per AS ({per})
+, imp AS (SELECT j, avg(w.score - per.score) AS m, stddev_pop(w.score - per.score) AS s FROM per, whole w GROUP BY j)
+SELECT {_fname(LI_REG_NAMES, 'j')} AS feature, round(m, 6) + 0.0 AS importance_mean, round(s, 6) + 0.0 AS importance_std,
+       CAST(row_number() OVER (ORDER BY round(m, 9) DESC, j) AS INTEGER) AS rank FROM imp"""
+
+    # one softmax round from zero margins: an independent stump per class
+    multi = f"SELECT id, {LI_X}, CASE WHEN l_quantity <= 15 THEN 'low' WHEN l_quantity <= 35 THEN 'mid' ELSE 'high' END AS y FROM {LI_ROWS}"
+    classes = ["high", "low", "mid"]
+    for k, label in enumerate(classes):
+        GRADIENTS[f"softmax:{label}"] = (f"1.0 / 3.0 - CASE WHEN y = '{label}' THEN 1.0 ELSE 0.0 END",
+                                         "2.0 * (1.0 / 3.0) * (1.0 - 1.0 / 3.0)")
+    stumps = " JOIN ".join(
+        f"({stump_ctes(multi, LI_REG_NAMES, reg_cat, f'softmax:{label}', 1)} SELECT t.id, t.m1 AS m_{label}, "
+        f"CASE WHEN t.m1 = s.vL THEN 1 ELSE 2 END AS leaf_{label} FROM st1 t, split0 s) {label}" + (" USING (id)" if k else "")
+        for k, label in enumerate(classes))
+    total = " + ".join(f"exp(m_{c} - top)" for c in classes)
+    out["predict_multiclass_proba"] = f"""
+SELECT id, CASE WHEN m_high = top THEN 'high' WHEN m_low = top THEN 'low' ELSE 'mid' END AS prediction,
+       {', '.join(f"round(exp(m_{c} - top) / ({total}), 6) AS proba_{c}" for c in classes)}
+FROM (SELECT *, greatest(m_high, m_low, m_mid) AS top FROM {stumps})"""
+    out["predict_leaf"] = f"SELECT id, leaf_high || ',' || leaf_low || ',' || leaf_mid AS leaves FROM {stumps}"
+    out["predict_margin"] = (stump_ctes(f"SELECT id, l_returnflag AS x0, l_linestatus AS x1, NULLIF(l_tax, 0.0) AS x2, CAST(l_quantity AS DOUBLE) AS x3, "
+                                        f"CAST(CAST((l_returnflag = 'R') <> (l_quantity > 25) AS INTEGER) AS DOUBLE) AS y FROM {LI_ROWS}",
+                                        LI_CAT_NAMES, cat_cat, "binary:logistic", 1) + "\nSELECT id, round(m1, 6) AS margin FROM st1")
+    out["registry"] = """SELECT 'kept' AS model_name, 'regression' AS task, count(*) AS n_samples, true AS dropped_other, false AS dropped_again
+        FROM lineitem"""
     out["gblinear_line"] = """SELECT round(regr_slope(y, x), 4) AS weight, round(regr_intercept(y, x), 4) AS bias
         FROM (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_quantity * (1 - l_discount) AS DOUBLE) AS y FROM lineitem)"""
     out["many_categories"] = """SELECT count(DISTINCT l_orderkey) AS n_categories, count(DISTINCT l_orderkey % 2500) AS n_labels,
@@ -258,7 +299,8 @@ UNION ALL SELECT 'explained_variance', round(1.0 - ve / vy, 6) FROM a
 UNION ALL SELECT 'neg_mean_squared_error', round(-mse, 6) FROM a
 UNION ALL SELECT 'neg_root_mean_squared_error', round(-sqrt(mse), 6) FROM a
 UNION ALL SELECT 'neg_mean_absolute_error', round(-mae, 6) FROM a
-UNION ALL SELECT 'max_error', round(-mx, 6) FROM a"""
+UNION ALL SELECT 'max_error', round(-mx, 6) FROM a
+UNION ALL SELECT 'neg_mean_absolute_percentage_error', round(-avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)), 6) FROM e"""
 
     imp_parts = []
     feats = " UNION ALL ".join(f"SELECT '{n}' AS feature, {i} AS pos" for i, n in enumerate(LI_REG_NAMES))
@@ -315,7 +357,22 @@ SELECT CAST(CASE WHEN m1 > 0 THEN 1 ELSE 0 END AS BIGINT) AS prediction, round(1
                    1.0 - 2.220446049250313e-16))) AS ll FROM pr)
 , f AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1p,
                CASE WHEN 2 * tn + fn + fp > 0 THEN 2.0 * tn / (2 * tn + fn + fp) ELSE 0.0 END AS f1n FROM c)
+, h AS (SELECT *, CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS pp,
+               CASE WHEN tn + fn > 0 THEN CAST(tn AS DOUBLE) / (tn + fn) ELSE 0.0 END AS pn,
+               CAST(tp AS DOUBLE) / (tp + fn) AS rp, CAST(tn AS DOUBLE) / (tn + fp) AS rn FROM c)
 SELECT 'roc_auc' AS scorer, round(v, 6) AS score FROM auc
+UNION ALL SELECT 'roc_auc_ovr', round(v, 6) FROM auc
+UNION ALL SELECT unnest(['precision_micro', 'recall_micro', 'f1_micro']), round(CAST(tp + tn AS DOUBLE) / n, 6) FROM f
+UNION ALL SELECT 'precision_macro', round((pp + pn) / 2, 6) FROM h
+UNION ALL SELECT 'recall_macro', round((rp + rn) / 2, 6) FROM h
+UNION ALL SELECT 'precision_weighted', round((pp * (tp + fn) + pn * (tn + fp)) / n, 6) FROM h
+UNION ALL SELECT 'recall_weighted', round((rp * (tp + fn) + rn * (tn + fp)) / n, 6) FROM h
+UNION ALL SELECT 'neg_brier_score', round(-avg((p1 - y) * (p1 - y)), 6) FROM pr
+UNION ALL SELECT 'matthews_corrcoef', round(CASE WHEN (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn) > 0 THEN (CAST(tp AS DOUBLE) * tn - CAST(fp AS DOUBLE) * fn)
+    / sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn)) ELSE 0.0 END, 6) FROM f
+UNION ALL SELECT 'average_precision', round(sum(pos * upto / allto) / max(total), 6) FROM
+    (SELECT pos, sum(pos) OVER w AS upto, sum(cnt) OVER w AS allto, sum(pos) OVER () AS total
+     FROM (SELECT p1, count(*) FILTER (WHERE y = 1) AS pos, count(*) AS cnt FROM pr GROUP BY p1) WINDOW w AS (ORDER BY p1 DESC))
 UNION ALL SELECT 'accuracy', round(CAST(tp + tn AS DOUBLE) / n, 6) FROM f
 UNION ALL SELECT 'balanced_accuracy', round((CAST(tp AS DOUBLE) / (tp + fn) + CAST(tn AS DOUBLE) / (tn + fp)) / 2, 6) FROM f
 UNION ALL SELECT 'precision', round(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END, 6) FROM f

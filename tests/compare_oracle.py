@@ -25,6 +25,7 @@ def canon(df: pd.DataFrame) -> pd.DataFrame:
 def main(sf_dir: str, only: list[str]):
     spark = make_spark()
     con = duckdb.connect()
+    con.execute("SET memory_limit = '6GB'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     qs, sqls = E.queries(), E.oracle_sql()
