@@ -39,6 +39,7 @@ SIDE_NAMES = frozenset("ad ads adv advert advertisement advertising banner bread
                        "notice notices popup promo promoted promotion related reply replies respond search share sharing "
                        "sidebar signup social sponsor sponsored subscribe toolbar topbar widget alert complementary "
                        "contentinfo discussion disqus recommended".split())
+NOT_ITSELF = frozenset("with has no without is show hide".split())
 MAIN_NAMES = frozenset("article content entry main post story articlebody".split())
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "inside_main", "at_side")
@@ -92,13 +93,15 @@ def _side_or_main(name: str, attributes: str, in_main: bool) -> str:
         value = "".join(value)
         if key.lower() in ("class", "id", "role"):
             for word in value.lower().split():
-                names.add(word)
-                names.update(re.split(r"[-_:]", word)[:1])          # "ad-slot" is an ad, "with-sidebar" is no sidebar
+                parts = [x for x in re.split(r"[-_:]+", word) if x] or [word]
+                names.update((word, parts[0]))                       # "ad-slot" is an ad, "post-comments" holds comments,
+                if parts[0] not in NOT_ITSELF:                       # "with-sidebar" is no sidebar
+                    names.add(parts[-1])
         elif key.lower() == "style" and re.search(r"display\s*:\s*none", value.lower()):
             return "side"
     if re.search(r"(?:^|\s)hidden(?:\s|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes or "")):
         return "side"
-    if name in OUTSIDE or (name == "header" and not in_main) or names & SIDE_NAMES:
+    if name in OUTSIDE or ((name == "header" or "header" in names) and not in_main) or names & SIDE_NAMES:
         return "side"
     return "main" if name in CONTENT or names & MAIN_NAMES else ""
 
