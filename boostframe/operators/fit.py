@@ -59,7 +59,7 @@ def train_specs(prep: Prepared, specs: list[ModelSpec]):
     if specs[0].params["booster"] == "gblinear":
         result, final, cleanup = train_linear(state, prep.stats, specs, prep.has_fold)
     else:
-        result, final, cleanup = train(state, prep.stats, specs, prep.has_fold, keep_state=True)
+        result, final, cleanup = train(state, prep.stats, specs, prep.has_fold)
 
     def release() -> None:
         cleanup()

@@ -5,9 +5,10 @@ row, computes gradients from the row's stored margins, routes the row through ev
 (all models × classes × parallel trees at once), and adds fixed-point (g, h, 1) into a per-partition
 histogram keyed by (slot, feature, bin). ``groupBy(key).sum`` merges the partials (map-side combine)
 and only the merged histogram — bounded by nodes × features × bins, not by rows — reaches the driver,
-which chooses the splits. At the end of a round a narrow ``mapInArrow`` adds the new trees' leaf
-values to the margin columns; the new state is persisted (and periodically checkpointed to the
-cluster's checkpoint directory to cut lineage).
+which chooses the splits. Trees grown since the state was last written are applied again inside the
+pass (they are few); when they are ``PENDING_TREES``, or every ``CHECKPOINT_EVERY`` rounds, a narrow
+``mapInArrow`` adds their leaf values to the margin columns and the new state is persisted (and
+checkpointed to the cluster's checkpoint directory to cut lineage). The margins are the same either way.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from .binning import BINS_COL, DataStats, code_type, unpack_bins
 log = logging.getLogger(__name__)
 
 HIST_LIMIT = 1 << 22        # histogram cells per pass (slots × total bins); beyond it, batch the slots
+PENDING_TREES = 32          # trees applied inside the passes before the margins are rewritten
 CHECKPOINT_EVERY = 10       # rounds between reliable checkpoints of the state (when a dir is configured)
 RT_EPS = 1e-6               # minimum loss change of a split
 
@@ -179,6 +181,32 @@ def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: b
     return X, Xn, M, y, rid, fold
 
 
+@dataclass
+class Pending:
+    """Trees whose leaf values the stored margins lack, in the order in which they count."""
+    trees: list = field(default_factory=list)
+    weights: list = field(default_factory=list)
+    cols: list = field(default_factory=list)
+
+    def add(self, tree: dict, weight: float, col: int) -> None:
+        self.trees.append(tree)
+        self.weights.append(weight)
+        self.cols.append(col)
+
+    def forest(self):
+        """(forest, margin column of each tree), or None without trees."""
+        return (K.build_forest(self.trees, [0] * len(self.trees), self.weights), list(self.cols)) if self.trees else None
+
+
+def _add_pending(pending, Xn: np.ndarray, M: np.ndarray) -> None:
+    if pending is None:
+        return
+    forest, cols = pending
+    leaves = K.route(forest, Xn)
+    for t, c in enumerate(cols):
+        M[:, c] += forest.value[leaves[:, t]] * forest.tree_weight[t]
+
+
 def _make_hist_kernel(ctx: dict):
     F_ = ctx["n_feat"]
     n_margin = ctx["n_margin"]
@@ -200,6 +228,7 @@ def _make_hist_kernel(ctx: dict):
             if n == 0:
                 continue
             X, Xn, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"])
+            _add_pending(ctx["pending"], Xn, M)
             drop = ctx.get("drop_forest")
             if drop is not None:   # dart: gradients at the margins without this round's dropped trees
                 dv = drop.value[K.route(drop, Xn)] * drop.tree_weight[None, :]
@@ -258,16 +287,11 @@ def _make_update_kernel(ctx: dict):
     has_fold = ctx["has_fold"]
 
     def kernel(batches):
-        forest: K.Forest = ctx["forest"]
-        tree_col = ctx["tree_col"]
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             _, Xn, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"])
-            leaves = K.route(forest, Xn)
-            vals = forest.value[leaves] * forest.tree_weight[None, :]
-            for t in range(tree_col.shape[0]):
-                M[:, tree_col[t]] += vals[:, t]
+            _add_pending(ctx["pending"], Xn, M)
             cols = list(batch.columns)
             names = batch.schema.names
             for j in range(n_margin):
@@ -415,11 +439,10 @@ def _checkpoint_ok(spark) -> bool:
         return False
 
 
-def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold: bool,
-          keep_state: bool = True):
+def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold: bool):
     """Grow every model in ``specs`` in shared passes over ``state`` (persisted; holds ``__m*`` margin
     columns laid out model by model). Returns ``(trees, final_state)``; ``trees[m]`` is a list of
-    ``(Grower, tree_weight)``. With ``keep_state`` the final state (margins after the last round) is
+    ``(Grower, tree_weight)``. The final state (margins after the last round) is
     returned with a ``cleanup`` callable that releases the persisted generations once the caller is done."""
     spark = state.sparkSession
     n_feat = len(stats.features)
@@ -433,6 +456,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     max_rounds = max(s.rounds for s in specs)
     state0 = state
     older = None
+    pending = Pending()
     for rnd in range(max_rounds):
         growers: list[Grower] = []
         for mi, s in enumerate(specs):
@@ -494,7 +518,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                     level_allowed[lk] = _colsample(rngs[g.model], g.allowed, s.params["colsample_bylevel"])
                 allowed[i] = _colsample(rngs[g.model], level_allowed[lk], s.params["colsample_bynode"])
             results = _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ctx, nb, off,
-                                       TB, n_margin, has_fold, drop_forest, drop_col)
+                                       TB, n_margin, has_fold, drop_forest, drop_col, pending.forest())
             best, Gt, Ht, Nt = None, None, None, None
             Gd, Hd, Nd = results
             best, Gt, Ht, Nt = _best_splits(Gd, Hd, Nd, frontier, stats, nb, off, specs, growers, allowed)
@@ -537,9 +561,8 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             k = len(drop_sets.get(cg.model, []))
             lr = s.params["learning_rate"] / (s.n_groups * s.parallel)
             new_w.append(1.0 / (k + lr) if k else 1.0)
-        upd_trees = [cg.bin_tree() for cg in done]
-        upd_w = list(new_w)
-        upd_col = [int(col0[cg.model] + cg.group) for cg in done]
+        for cg, w in zip(done, new_w):
+            pending.add(cg.bin_tree(), w, int(col0[cg.model] + cg.group))
         for mi, idx in drop_sets.items():
             s = specs[mi]
             k = len(idx)
@@ -548,21 +571,18 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             for i in idx:
                 g_old, w_old = trees[mi][i]
                 trees[mi][i] = (g_old, w_old * factor)
-                upd_trees.append(g_old.bin_tree())
-                upd_w.append(w_old * factor - w_old)
-                upd_col.append(int(col0[mi] + g_old.group))
+                pending.add(g_old.bin_tree(), w_old * factor - w_old, int(col0[mi] + g_old.group))
         for cg, w in zip(done, new_w):
             trees[cg.model].append((cg, w))
+        last, save = rnd == max_rounds - 1, (rnd + 1) % CHECKPOINT_EVERY == 0
+        if not (last or save or len(pending.trees) >= PENDING_TREES):
+            continue
         # margin update: new persisted state (first read by the next round's root pass)
-        forest = K.build_forest(upd_trees, [0] * len(upd_trees), upd_w)
-        tree_col = np.asarray(upd_col, dtype=np.int64)
-        ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "forest": forest,
-               "tree_col": tree_col, "kind": code_type(stats.features)}
-        last = rnd == max_rounds - 1
-        if last and not keep_state:
-            break
+        ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "pending": pending.forest(),
+               "kind": code_type(stats.features)}
+        pending = Pending()
         new_state = state.mapInArrow(_make_update_kernel(ctx), state.schema).persist(StorageLevel.MEMORY_AND_DISK)
-        if (rnd + 1) % CHECKPOINT_EVERY == 0 and not last and _checkpoint_ok(spark):
+        if save and not last and _checkpoint_ok(spark):
             ck = new_state.checkpoint(eager=True)
             new_state.unpersist()
             new_state = ck.persist(StorageLevel.MEMORY_AND_DISK)
@@ -578,14 +598,11 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
         if state is not state0:
             state.unpersist()
 
-    if not keep_state:
-        cleanup()
-        return trees, None, (lambda: None)
     return trees, state, cleanup
 
 
 def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ctx, nb, off, TB, n_margin,
-                     has_fold, drop_forest=None, drop_col=None):
+                     has_fold, drop_forest=None, drop_col=None, pending=None):
     """One data pass per slot batch; returns dense (G, H, N) float arrays [slots, TB]."""
     n_feat = len(stats.features)
     S = len(frontier)
@@ -601,7 +618,8 @@ def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ct
         hi = min(S, lo + per_pass)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
                "kind": code_type(stats.features), "slot_lo": lo, "slot_hi": hi, "forest": forest, "slot_of": slot_of, "trees": tree_ctx,
-               "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or []}
+               "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or [],
+               "pending": pending}
         hist = (state.mapInArrow(_make_hist_kernel(ctx), "key long, g long, h long, n long")
                 .groupBy("key")
                 .agg(F.sum(F.col("g").cast("decimal(38,0)")).alias("g"),

@@ -163,3 +163,15 @@ def test_views(spark, tmp_path):  # noqa: F811
     assert [r["model_name"] for r in spark.sql("SELECT model_name FROM list_models").collect()] == ["m.1"]
     views.publish(bf.predict(rows, model_name="m.1", root=str(tmp_path)), "scored")
     assert spark.sql("SELECT count(*) FROM scored").first()[0] == 60
+
+
+@pytest.mark.parametrize("booster", ["gbtree", "dart"])
+def test_margins_between_rewrites_are_those_of_the_model(spark, booster):  # noqa: F811
+    """25 rounds cross two checkpoints; the state's last margins must be what the stored trees give."""
+    rows = spark.range(500).select((F.col("id") % 25).cast("double").alias("x"), (F.col("id") % 4).cast("double").alias("z"),
+                                   ((F.col("id") % 25) * (F.col("id") % 4)).cast("double").alias("y"))
+    m = bf.fit_model(rows, target="y", estimator="xgb_regressor",
+                     params={"n_estimators": 25, "max_depth": 2, "booster": booster, "rate_drop": 0.2})
+    both = bf.predict(rows, model=m, id="y")
+    sse, sst = both.agg(F.sum((F.col("y") - F.col("prediction")) ** 2), F.var_pop("y") * F.count(F.lit(1))).first()
+    assert m.meta.train_score == pytest.approx(1 - sse / sst, abs=1e-9)
