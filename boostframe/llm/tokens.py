@@ -14,31 +14,52 @@ and a token range is found by adding lengths, without expanding what lies before
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, prepare, shared_path, table
 
 END_ID = 1
-SHARD_TOKENS, SLICE_BYTES = 6_000_000, 16 << 20
+SHARD_TOKENS, SLICE_BYTES = 3_000_000, 16 << 20
 ROUNDS, PAIRS_A_ROUND, MIN_COUNT = 5, 1500, 16
 KNOWN_UNITS = 1_200_000
 
 
+def _hashes(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every string, byte by byte over all strings at once; the few long ones by themselves."""
+    units = units.cast(pa.large_string())
+    ends = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+    data = np.frombuffer(units.buffers()[2] or b"", np.uint8)
+    size = np.diff(ends)
+    order = np.argsort(-size, kind="stable")
+    start, longest = ends[:-1][order], size[order]
+    a, b = longest.astype(np.uint64) + np.uint64(0xCBF29CE484222325), longest.astype(np.uint64)
+    for j in range(min(64, int(longest[0]) if len(longest) else 0)):
+        k = int(np.searchsorted(-longest, -j, "left"))                       # strings longer than j bytes
+        byte = data[start[:k] + j]
+        a[:k] = (a[:k] ^ byte) * np.uint64(0x100000001B3)
+        b[:k] = (b[:k] + byte + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(int(np.searchsorted(-longest, -64, "left"))):
+        text = data[start[i]:start[i] + longest[i]].tobytes()
+        a[i], b[i] = xxhash.xxh64_intdigest(text, 1), xxhash.xxh64_intdigest(text, 2)
+    out = np.empty((2, len(units)), np.uint64)
+    out[:, order] = a ^ (a >> np.uint64(31)), b ^ (b >> np.uint64(29))
+    return out[0], out[1]
+
+
 class WordEncoder:
     """Whole texts to ids, for tokenizers that drop white space, lower-case, split letters from signs and mark word ends.
 
     The ids of a text are then those of its words in turn, and those of a word that ends in signs are those of its front
-    and of its signs. Units seen before are looked up, so the tokenizer encodes each distinct unit once; at most
-    ``KNOWN_UNITS`` are remembered. Runs of letters are encoded many at a time and told apart by the ids that end a word;
-    any other unit is encoded by itself, and so is a run whose ends don't add up.
+    and of its signs. Units seen before are looked up (by a 128-bit hash, in sorted arrays), so the tokenizer encodes each
+    distinct unit once; about ``KNOWN_UNITS`` are remembered. Runs of letters are encoded many at a time and told apart by
+    the ids that end a word; any other unit is encoded by itself, and so is a run whose ends don't add up.
     """
 
     def __init__(self, path: str):
@@ -51,8 +72,9 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: defaultdict[str, int] = defaultdict(count().__next__)    # unit -> place, in order of arrival
-        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.first, self.second = np.empty(0, np.uint64), np.empty(0, np.uint64)      # hashes, ordered by the first
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)          # the unit's place among the ids
+        self.ids = np.empty(0, np.uint32)
 
     def _one_by_one(self, units: list[str]):
         done = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
@@ -65,31 +87,44 @@ class WordEncoder:
             return self._one_by_one(units)
         return ids, np.diff(stops, prepend=0)
 
-    def _learn(self) -> None:
-        units = list(islice(self.known, len(self.starts) - 1, None))
-        if not units:
-            return
-        plain = pc.match_substring_regex(pa.array(units, pa.string()), r"^\pL+$").to_numpy(zero_copy_only=False)
-        ids, counts = [self.ids], np.empty(len(units), np.int64)
+    def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Place and size, among the ids, of units that were not known; their ids are appended."""
+        texts = units.to_pylist()
+        plain = pc.match_substring_regex(units, r"^\pL+$").to_numpy(zero_copy_only=False)
         order = np.argsort(~plain, kind="stable")
+        ids, counts = [], np.empty(len(texts), np.int64)
         for mine, encode, step in ((order[:plain.sum()], self._letters, 128), (order[plain.sum():], self._one_by_one, 1024)):
             for at in range(0, len(mine), step):
-                got, counts[mine[at:at + step]] = encode([units[i] for i in mine[at:at + step]])
+                got, counts[mine[at:at + step]] = encode([texts[i] for i in mine[at:at + step]])
                 ids.append(got)
-        place = np.empty(len(units), np.int64)                # ids lie in the order of encoding, units in that of arrival
-        place[order] = np.cumsum(counts[order]) - counts[order]
-        fresh = _gather(np.concatenate(ids[1:]), place, counts)
-        self.ids = np.concatenate([self.ids, fresh])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+        start = np.empty(len(texts), np.int64)                # ids lie in the order of encoding
+        start[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+        self.ids = np.concatenate([self.ids, *ids])
+        return start, counts
 
-    def _places(self, units: pa.Array) -> np.ndarray:
+    def _places(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Place and size, among the ids, of every unit."""
         coded = units.dictionary_encode()
-        place = np.fromiter(map(self.known.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-        return place[coded.indices.to_numpy()]
+        first, second = _hashes(coded.dictionary)
+        at = np.searchsorted(self.first, first)
+        near = np.minimum(at, max(0, len(self.first) - 1))
+        same = self.first[near] == first if len(self.first) else np.zeros(len(first), bool)
+        known = same & (self.second[near] == second) if len(self.first) else same
+        start, size = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+        start[known], size[known] = self.start[near[known]], self.size[near[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            start[new], size[new] = self._encode_units(coded.dictionary.take(pa.array(new)))
+            fresh = new[~same[new]]                            # one first hash, one entry
+            fresh = fresh[np.unique(first[fresh], return_index=True)[1]]
+            for name, values in (("second", second), ("start", start), ("size", size), ("first", first)):
+                setattr(self, name, np.insert(getattr(self, name), at[fresh], values[fresh]))
+        index = coded.indices.to_numpy()
+        return start[index], size[index]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, END_ID after each, and the number of ids of each text (null: no words)."""
-        if len(self.known) > KNOWN_UNITS:
+        if len(self.first) > KNOWN_UNITS:
             self._forget()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         n_words = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -97,12 +132,10 @@ class WordEncoder:
         words = coded.dictionary
         words = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))   # special tokens keep their case
         cut = pc.extract_regex(words, r"^(?P<front>.*\pL)(?P<signs>[.,;:!?%#$&*]+)$")
-        front = pc.coalesce(pc.struct_field(cut, "front"), words)
-        signs = pc.fill_null(pc.struct_field(cut, "signs"), "")
-        units = np.stack([self._places(front), self._places(signs)], 1)
-        self._learn()
-        size = np.diff(self.starts)[units]
-        of_word = _gather(self.ids, self.starts[units].reshape(-1), size.reshape(-1))
+        front = self._places(pc.coalesce(pc.struct_field(cut, "front"), words))
+        signs = self._places(pc.fill_null(pc.struct_field(cut, "signs"), ""))
+        starts, size = np.stack([front[0], signs[0]], 1), np.stack([front[1], signs[1]], 1)
+        of_word = _gather(self.ids, starts.reshape(-1), size.reshape(-1))
         size = size.sum(1)
         starts, at = np.cumsum(size) - size, coded.indices.to_numpy()
         lens = size[at]
@@ -121,12 +154,16 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """values[starts[i] : starts[i] + lens[i]] for every i, one after the other."""
-    total = int(lens.sum())
-    if not total:
-        return values[:0]
-    before = np.cumsum(lens) - lens
-    return values[np.repeat(starts - before, lens) + np.arange(total)]
+    """values[starts[i] : starts[i] + lens[i]] for every i, one after the other; a million values at a time."""
+    stops = np.cumsum(lens)
+    out = np.empty(int(stops[-1]) if len(stops) else 0, values.dtype)
+    at = done = 0
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(stops, done + (1 << 20), "right")))
+        n, stop = lens[at:end], int(stops[end - 1])
+        out[done:stop] = values[np.repeat(starts[at:end] - stops[at:end] + n + done, n) + np.arange(stop - done)]
+        at, done = end, stop
+    return out
 
 
 # ------------------------------------------------------------------------------------------------ grammar
@@ -262,14 +299,18 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int =
 
         for batch in batches:
             encoder = _encoder(tokenizer)
-            for piece in _slices(batch, min(SLICE_BYTES, 3 * shard_tokens)):
+            for piece in _slices(batch, SLICE_BYTES):
                 got, n = encoder.encode(piece.column("text"))
-                keys += piece.column("doc_id").to_pylist()
-                ids.append(got), counts.append(n)
-                held += len(got)
-                if held >= shard_tokens:
-                    yield close()
-                    keys, ids, counts, held, shard = [], [], [], 0, shard + 1
+                ends, at = np.cumsum(n), 0
+                while at < len(n):                               # documents until the shard is full
+                    before = int(ends[at - 1]) if at else 0
+                    end = min(len(n), at + 1 + int(np.searchsorted(ends[at:], before + shard_tokens - held, "left")))
+                    keys += piece.column("doc_id").slice(at, end - at).to_pylist()
+                    ids.append(got[before:int(ends[end - 1])]), counts.append(n[at:end])
+                    held, at = held + len(ids[-1]), end
+                    if held >= shard_tokens:
+                        yield close()
+                        keys, ids, counts, held, shard = [], [], [], 0, shard + 1
         if keys:
             yield close()
 
