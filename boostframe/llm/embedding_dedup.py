@@ -39,8 +39,8 @@ def rotate(unit: np.ndarray, seed: int = SEED) -> np.ndarray:
     return x / np.sqrt(size)
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+def _unit(raw: list[bytes], kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -52,7 +52,7 @@ def _shares(size: int, cosine: float, blocks: int) -> tuple[int, float, float]:
     return m, share, float(np.sqrt(share)) * (1 + 1e-9)
 
 
-def _place(batches, cosine: float, blocks: int):
+def _place(batches, cosine: float, blocks: int, kind: str):
     """Rows of every (block, slab) a vector lies in or visits."""
     for batch in batches:
         if not batch.num_rows:
@@ -60,7 +60,7 @@ def _place(batches, cosine: float, blocks: int):
         raw, sizes = batch.column("raw").to_pylist(), np.array([len(r.as_py()) for r in batch.column("raw")])
         for length in np.unique(sizes):
             mine = np.flatnonzero(sizes == length)
-            x = rotate(_unit([raw[i] for i in mine]))
+            x = rotate(_unit([raw[i] for i in mine], kind))
             m, _, reach = _shares(x.shape[1], cosine, blocks)
             width = 2 * reach
             first = x.reshape(len(x), m, -1)[:, :, 0]
@@ -75,17 +75,17 @@ def _place(batches, cosine: float, blocks: int):
             take = pa.array(at)
             piece = batch.take(take)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("label"), pa.array(np.full(len(at), length // 8, np.int32)),
+                [piece.column("label"), pa.array(np.full(len(at), length, np.int32)),
                  pa.array(np.concatenate(blk).astype(np.int32)), pa.array(np.concatenate(slab)),
                  pa.array(np.concatenate(own)), piece.column("node"), piece.column("n"), piece.column("raw")],
                 ["label", "size", "block", "slab", "home", "node", "n", "raw"])
 
 
-def _tile_links(block: int, t: pa.Table, a: int, b: int, cosine: float, blocks: int) -> pa.Table:
+def _tile_links(block: int, t: pa.Table, a: int, b: int, cosine: float, blocks: int, kind: str) -> pa.Table:
     """Links of the residents of tile ``a`` with the members of tile ``b``: a row per vector that has any."""
     node, n = t["node"].to_numpy(), t["n"].to_numpy()
     tile = t["tile"].to_numpy()
-    unit = _unit(t["raw"].to_pylist())
+    unit = _unit(t["raw"].to_pylist(), kind)
     x = rotate(unit)
     m, share, _ = _shares(x.shape[1], cosine, blocks)
     cells = x.reshape(len(x), m, -1)
@@ -141,18 +141,21 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, blocks: int = BL
     classes = cut(sound_rows.groupBy("label", "h1", "h2").agg(F.min("vec_id").cast("long").alias("node"),
                                                               F.count(F.lit(1)).alias("n"), F.first("e").alias("e")), "classes")
 
+    # components travel as they are stored: four bytes each if that is what the column holds
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+
     def pack(batches):
         for batch in batches:
-            raw = [np.array(v, "<f8").tobytes() for v in batch.column("e").to_pylist()]
+            raw = [np.array(v, kind).tobytes() for v in batch.column("e").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("node"), batch.column("n"),
                                               pa.array(raw, pa.binary())], ["label", "node", "n", "raw"])
 
     def place(batches):
-        return _place(pack(batches), cosine, blocks)
+        return _place(pack(batches), cosine, blocks, kind)
 
-    kind = classes.schema["label"].dataType.simpleString()
+    label = classes.schema["label"].dataType.simpleString()
     placed = classes.select("label", "node", "n", "e").mapInArrow(
-        place, f"label {kind}, size int, block int, slab long, home boolean, node long, n long, raw binary")
+        place, f"label {label}, size int, block int, slab long, home boolean, node long, n long, raw binary")
     spot = ["label", "size", "block", "slab"]
     placed = cut(placed, "placed")
     tiles = cut(placed.groupBy(*spot).agg(F.count(F.lit(1)).alias("held"), F.count(F.when(F.col("home"), 1)).alias("residents"))
@@ -166,7 +169,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, blocks: int = BL
             .select(*spot, "task.a", "task.b", "home", "node", "n", "raw", "tile"))
 
     def compare(key, group):
-        return _tile_links(key[2].as_py(), group, key[4].as_py(), key[5].as_py(), cosine, blocks)
+        return _tile_links(key[2].as_py(), group, key[4].as_py(), key[5].as_py(), cosine, blocks, kind)
 
     found = cut(work.groupBy(*spot, "a", "b").applyInArrow(compare, _OUT), "found")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
