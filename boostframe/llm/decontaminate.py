@@ -5,6 +5,9 @@ question with other names or figures looks the same. Windows of five tokens of t
 joined with those of the benchmark. A document that holds most of an item's windows is a candidate; on candidates alone
 the slots are compared: each slot value of the item must stand for one value in the document throughout. Windows that
 break this do not count, so shared sentence patterns are told apart from re-parameterised questions.
+
+Names are found by their capitals, so a copy in other letter case has other templates. Windows of the text without case,
+where names are plain words, are therefore hashed into the same join, and either form can hold an item.
 """
 
 from __future__ import annotations
@@ -47,10 +50,15 @@ def marked(text: Column) -> Column:
     t = F.regexp_replace(t, _NAME, f"{_NAME_MARK}$0")
     t = F.regexp_replace(F.regexp_replace(t, _NUMBER, f"{_NUMBER_MARK}$0"), r"(?<=\p{N})[.,](?=\p{N})", _POINT)
     t = F.regexp_replace(t, rf"({_NUMBER_MARK}[\p{{N}}{_POINT}]+\s*)((?i:{_UNIT}))(?!\p{{L}})", f"$1 {_UNIT_MARK}$2")
-    t = F.regexp_replace(t, rf"{_UNIT_MARK}([%°$€£][CF]?|(?i:km/h))", f"{_UNIT_MARK}u")
+    t = F.regexp_replace(t, rf"{_UNIT_MARK}([%°$€£][CFcf]?|(?i:km/h))", f"{_UNIT_MARK}u")
     return F.array_remove(F.split(F.lower(t), _BREAK), "")
 
 
+def _forms(text: Column) -> list[Column]:
+    """The text as it is, for templates with names, and without case, for those without: ß, SS and ẞ are all ss."""
+    return [text, F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS")))]
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of ``value``, which is computed once however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -67,10 +75,12 @@ def _hashes(tokens: Column, window: int) -> Column:
 
 
 def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """(keys, h, place, values): every window with the marked tokens it is made of."""
-    made = df.select(*keys, template(F.col("text")).alias("t"), marked(F.col("text")).alias("m"))
-    made = made.select(*keys, "m", F.posexplode(_hashes(F.col("t"), window)).alias("place", "h"))
-    return made.select(*keys, "h", "place", F.slice("m", F.col("place") + 1, F.lit(window)).alias("values"))
+    """(keys, form, h, place, values): every window of either form with the marked tokens it is made of."""
+    made = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("form"), template(t).alias("t"), marked(t).alias("m"))
+        for i, t in enumerate(_forms(F.col("text")))])).alias("f"))
+    made = made.select(*keys, "f.form", "f.m", F.posexplode(_hashes(F.col("f.t"), window)).alias("place", "h"))
+    return made.select(*keys, "form", "h", "place", F.slice("m", F.col("place") + 1, F.lit(window)).alias("values"))
 
 
 def _is_slot(token: Column) -> Column:
@@ -81,7 +91,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
                  broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(doc_id, print, item_id, matched, n_windows, containment, verbatim) of each document that holds an item.
 
-    An item is held if at least ``share`` of its distinct template windows occur in the document with consistent slots;
+    An item is held if at least ``share`` of its distinct template windows occur in the document with consistent slots,
+    or of its windows without case (numbers and units as slots, names as words); the figures are those of the better form.
     ``verbatim`` says that all matched slots have the item's own values. ``print`` is a hash of the document's text. Only
     windows with at least `LITERALS` plain words count, all of them if an item has none such. Null or empty texts and items
     hold and match nothing; a text or item under ``window`` tokens is one window, so it matches only as a whole. Rows
@@ -90,47 +101,49 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     prepare(docs.sparkSession)
     items = _windows(benchmark.select("item_id", "text").distinct(), ["item_id"], window)
     items = items.withColumn("plain", F.size(F.filter("values", lambda v: ~_is_slot(v))) >= LITERALS)
-    some = items.groupBy(F.col("item_id").alias("_i")).agg(F.max("plain").alias("some"))
-    items = cut(items.join(some, F.col("item_id").eqNullSafe(F.col("_i"))).where("plain OR NOT some")
-                .select("item_id", "h", "values"), "items")
-    per_item = items.groupBy("item_id").agg(F.count_distinct("h").alias("n_windows"))
-    keys = cut(items.select("h", "item_id").distinct().join(
-        per_item.withColumnRenamed("item_id", "_i"), F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i"), "keys")
+    some = items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f")).agg(F.max("plain").alias("some"))
+    of_item = F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("form") == F.col("_f"))
+    items = cut(items.join(some, of_item).where("plain OR NOT some").select("item_id", "form", "h", "values"), "items")
+    per_item = items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f")).agg(F.count_distinct("h").alias("n_windows"))
+    keys = cut(items.select("h", "item_id", "form").distinct().join(per_item, of_item).drop("_i", "_f"), "keys")
     small = keys.count() <= broadcast_windows
     keys = F.broadcast(keys) if small else keys
 
     rows = docs.select("doc_id", "text").withColumn("print", F.xxhash64("text"))
-    found = (rows.select("doc_id", "print", F.explode(F.array_distinct(_hashes(template(F.col("text")), window))).alias("h"))
-             .join(keys, "h").groupBy("doc_id", "print", "item_id", "n_windows").agg(F.count_distinct("h").alias("held"))
+    hashes = F.array_distinct(F.concat(*[_hashes(template(t), window) for t in _forms(F.col("text"))]))
+    found = (rows.select("doc_id", "print", F.explode(hashes).alias("h"))
+             .join(keys, "h").groupBy("doc_id", "print", "item_id", "form", "n_windows").agg(F.count_distinct("h").alias("held"))
              .where(F.col("held") >= share * F.col("n_windows")).drop("held"))
     found = cut(found, "candidates")
 
     # slots, on the candidates alone
-    ids = ["doc_id", "print", "item_id"]
-    held = found.select(F.col("doc_id").alias("_d"), F.col("print").alias("_p"), "item_id", "n_windows")
+    ids = ["doc_id", "print", "item_id", "form"]
+    held = found.select(F.col("doc_id").alias("_d"), F.col("print").alias("_p"), "item_id", F.col("form").alias("_g"), "n_windows")
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p"))
     texts = rows.dropDuplicates(["doc_id", "print"]).join(held.select("_d", "_p").distinct(), same, "left_semi")
-    theirs = items.select(F.col("item_id").alias("_i"), F.col("h").alias("_h"), F.col("values").alias("asked")).distinct()
+    theirs = items.select(F.col("item_id").alias("_i"), F.col("form").alias("_f"), F.col("h").alias("_h"), F.col("values").alias("asked")).distinct()
     theirs = F.broadcast(theirs) if small else theirs
     pairs = (_windows(texts, ["doc_id", "print"], window)
-             .join(theirs, F.col("h") == F.col("_h")).drop("_h")
-             .join(held.withColumnRenamed("item_id", "_c"), same & F.col("_i").eqNullSafe(F.col("_c")), "inner")
-             .select("doc_id", "print", F.col("_i").alias("item_id"), "n_windows", "h", "place", "asked", "values"))
+             .join(theirs, (F.col("h") == F.col("_h")) & (F.col("form") == F.col("_f"))).drop("_h", "_f")
+             .join(held.withColumnRenamed("item_id", "_c"),
+                   same & F.col("_i").eqNullSafe(F.col("_c")) & (F.col("form") == F.col("_g")), "inner")
+             .select("doc_id", "print", F.col("_i").alias("item_id"), "form", "n_windows", "h", "place", "asked", "values"))
     pairs = cut(pairs.withColumn("slots", F.filter(F.arrays_zip("asked", "values"), lambda z: _is_slot(z["asked"])))
                 .drop("asked", "values"), "pairs")
     votes = (pairs.select(*ids, F.explode("slots").alias("s")).groupBy(*ids, "s.asked", "s.values")
              .agg(F.count(F.lit(1)).alias("votes")))
     chosen = (votes.groupBy(*ids, "asked").agg(F.max(F.struct("votes", F.col("values") == F.col("asked"), "values")).alias("best"))
               .groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("asked", "best.values"))).alias("slot_of")))
-    chosen = chosen.toDF("_d", "_p", "_i", "slot_of")
+    chosen = chosen.toDF("_d", "_p", "_i", "_f", "slot_of")
     kept = (pairs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p"))
-                       & F.col("item_id").eqNullSafe(F.col("_i")), "left")
+                       & of_item, "left")
             .where(F.forall("slots", lambda s: F.element_at("slot_of", s["asked"]) == s["values"]))
             .groupBy(*ids, "n_windows").agg(F.count_distinct("h").alias("matched"),
                                            F.min(F.forall("slots", lambda s: s["asked"] == s["values"])).alias("verbatim")))
-    return (kept.where(F.col("matched") >= share * F.col("n_windows"))
-            .select("doc_id", "print", "item_id", "matched", "n_windows",
-                    (F.col("matched") / F.col("n_windows")).alias("containment"), "verbatim"))
+    best = F.max(F.struct((F.col("matched") / F.col("n_windows")).alias("containment"), "verbatim", -F.col("form"),
+                          "matched", "n_windows")).alias("best")
+    return (kept.where(F.col("matched") >= share * F.col("n_windows")).groupBy("doc_id", "print", "item_id").agg(best)
+            .select("doc_id", "print", "item_id", "best.matched", "best.n_windows", "best.containment", "best.verbatim"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -328,3 +328,17 @@ def test_inconsistent_slots_do_not_count(spark):  # noqa: F811
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = decontaminate.contaminated(make(spark, [(1, broken, "s"), (2, renamed, "s")]), items).collect()
     assert [(r["doc_id"], r["verbatim"]) for r in got] == [(2, False)]
+
+
+def test_letter_case_hides_no_item(spark):  # noqa: F811
+    item = "In 1945 Harry Truman met Josef Stalin in Potsdam near Berlin and 20 °C was the heat on the Straße to Weimar"
+    around = "some text before. {} and some text after"
+    rows = [(1, around.format(item.upper()), "s"), (2, around.format(item.lower()), "s"), (3, around.format(item.title()), "s"),
+            (4, around.format(item), "s"), (5, item.swapcase(), "s"),
+            (6, around.format(item.replace("Harry", "Carl").replace("Potsdam", "Jena")), "s"),
+            (7, around.format("IN 1945 A MAN MET ANOTHER MAN NEAR THE TOWN AND 20 °C WAS THE HEAT ON THE ROAD"), "s")]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    upper = spark.createDataFrame([(1, item.upper())], "item_id long, text string")
+    got = decontaminate.contaminated(make(spark, rows), items).collect()
+    assert {r["doc_id"]: (r["containment"], r["verbatim"]) for r in got} == {**dict.fromkeys(range(1, 6), (1.0, True)), 6: (1.0, False)}
+    assert sorted(r["doc_id"] for r in decontaminate.contaminated(make(spark, rows), upper).collect()) == [1, 2, 3, 4, 5]
