@@ -3,8 +3,10 @@
 Names, numbers and units of a text become typed placeholders, the rest is lower-cased words: a template, in which a
 question with other names or figures looks the same. Windows of five tokens of the documents' templates are hashed and
 joined with those of the benchmark. A document that holds most of an item's windows is a candidate; on candidates alone
-the slots are compared: each slot value of the item must stand for one value in the document throughout. Windows that
-break this do not count, so shared sentence patterns are told apart from re-parameterised questions.
+the slots are compared: each slot value of the item must stand for one value throughout an occurrence. Windows that break
+this do not count unless they have the item's own values, so shared sentence patterns are told apart from re-parameterised
+questions, and cannot outvote them from elsewhere in the text. Occurrences are runs of one alignment (place in the document
+less place in the item), of neighbouring alignments (words put in or left out), or the whole document.
 
 Names are found by their capitals, so a copy in other letter case has other templates. Windows of the text without case,
 where names are plain words, are therefore hashed into the same join, and either form can hold an item.
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from .common import cut, prepare, table
 
 WINDOW, SHARE, LITERALS = 5, 0.8, 2
+WHOLE = 3
 #: Up to this many windows (at most some 10 MB) the benchmark's side of the join is broadcast; beyond, both are shuffled.
 BROADCAST_WINDOWS = 200_000
 
@@ -87,13 +90,27 @@ def _is_slot(token: Column) -> Column:
     return F.ascii(token).between(1, 3)
 
 
+def _occurrences() -> Column:
+    """(near, at) of every occurrence that a window's hit may be part of: by its alignments, by ranges of alignments as wide
+    as the item (two that overlap by half), and the whole document."""
+    def group(near: int, at: Column) -> Column:
+        return F.struct(F.lit(near).alias("near"), at.cast("long").alias("at"))
+
+    wide = F.greatest(F.col("n_windows"), F.lit(2))
+    shifts = F.transform("asked_at", lambda a: F.col("place") - a)
+    return F.array_distinct(F.concat(
+        F.transform(shifts, lambda x: group(0, x)), F.transform(shifts, lambda x: group(1, F.floor(x / wide))),
+        F.transform(shifts, lambda x: group(2, F.floor(x / wide + F.lit(0.5)))), F.array(group(WHOLE, F.lit(0)))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE,
                  broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(doc_id, print, item_id, matched, n_windows, containment, verbatim) of each document that holds an item.
 
-    An item is held if at least ``share`` of its distinct template windows occur in the document with consistent slots,
-    or of its windows without case (numbers and units as slots, names as words); the figures are those of the better form.
-    ``verbatim`` says that all matched slots have the item's own values. ``print`` is a hash of the document's text. Only
+    An item is held if at least ``share`` of its distinct template windows occur in an occurrence with consistent slots
+    or anywhere with the item's own values; the same goes for its windows without case (numbers and units as slots, names as
+    words), and the figures are those of the better form and occurrence. ``verbatim`` says that all matched windows are there
+    with the item's own values. ``print`` is a hash of the document's text. Only
     windows with at least `LITERALS` plain words count, all of them if an item has none such. Null or empty texts and items
     hold and match nothing; a text or item under ``window`` tokens is one window, so it matches only as a whole. Rows
     repeated give one row. Null ids pass through as ids. Other columns are ignored; empty tables give no rows.
@@ -103,7 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     items = items.withColumn("plain", F.size(F.filter("values", lambda v: ~_is_slot(v))) >= LITERALS)
     some = items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f")).agg(F.max("plain").alias("some"))
     of_item = F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("form") == F.col("_f"))
-    items = cut(items.join(some, of_item).where("plain OR NOT some").select("item_id", "form", "h", "values"), "items")
+    items = cut(items.join(some, of_item).where("plain OR NOT some").select("item_id", "form", "h", "place", "values"), "items")
     per_item = items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f")).agg(F.count_distinct("h").alias("n_windows"))
     keys = cut(items.select("h", "item_id", "form").distinct().join(per_item, of_item).drop("_i", "_f"), "keys")
     small = keys.count() <= broadcast_windows
@@ -121,25 +138,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     held = found.select(F.col("doc_id").alias("_d"), F.col("print").alias("_p"), "item_id", F.col("form").alias("_g"), "n_windows")
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p"))
     texts = rows.dropDuplicates(["doc_id", "print"]).join(held.select("_d", "_p").distinct(), same, "left_semi")
-    theirs = items.select(F.col("item_id").alias("_i"), F.col("form").alias("_f"), F.col("h").alias("_h"), F.col("values").alias("asked")).distinct()
+    theirs = (items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f"), F.col("h").alias("_h"),
+                            F.col("values").alias("asked")).agg(F.collect_set("place").alias("asked_at")))
     theirs = F.broadcast(theirs) if small else theirs
     pairs = (_windows(texts, ["doc_id", "print"], window)
              .join(theirs, (F.col("h") == F.col("_h")) & (F.col("form") == F.col("_f"))).drop("_h", "_f")
              .join(held.withColumnRenamed("item_id", "_c"),
                    same & F.col("_i").eqNullSafe(F.col("_c")) & (F.col("form") == F.col("_g")), "inner")
-             .select("doc_id", "print", F.col("_i").alias("item_id"), "form", "n_windows", "h", "place", "asked", "values"))
+             .select("doc_id", "print", F.col("_i").alias("item_id"), "form", "n_windows", "h", "place", "asked", "asked_at", "values"))
     pairs = cut(pairs.withColumn("slots", F.filter(F.arrays_zip("asked", "values"), lambda z: _is_slot(z["asked"])))
-                .drop("asked", "values"), "pairs")
-    votes = (pairs.select(*ids, F.explode("slots").alias("s")).groupBy(*ids, "s.asked", "s.values")
+                .withColumn("own", F.forall("slots", lambda s: s["asked"] == s["values"]))
+                .withColumn("group", F.explode(_occurrences())).select(*ids, "n_windows", "h", "slots", "own", "group.*"), "pairs")
+    one = [*ids, "near", "at"]
+    votes = (pairs.select(*one, F.explode("slots").alias("s")).groupBy(*one, "s.asked", "s.values")
              .agg(F.count(F.lit(1)).alias("votes")))
-    chosen = (votes.groupBy(*ids, "asked").agg(F.max(F.struct("votes", F.col("values") == F.col("asked"), "values")).alias("best"))
-              .groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("asked", "best.values"))).alias("slot_of")))
-    chosen = chosen.toDF("_d", "_p", "_i", "_f", "slot_of")
-    kept = (pairs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p"))
-                       & of_item, "left")
-            .where(F.forall("slots", lambda s: F.element_at("slot_of", s["asked"]) == s["values"]))
-            .groupBy(*ids, "n_windows").agg(F.count_distinct("h").alias("matched"),
-                                           F.min(F.forall("slots", lambda s: s["asked"] == s["values"])).alias("verbatim")))
+    chosen = (votes.groupBy(*one, "asked").agg(F.max(F.struct("votes", F.col("values") == F.col("asked"), "values")).alias("best"))
+              .groupBy(*one).agg(F.map_from_entries(F.collect_list(F.struct("asked", "best.values"))).alias("slot_of")))
+    chosen = chosen.toDF("_d", "_p", "_i", "_f", "_n", "_a", "slot_of")
+    agrees = F.forall("slots", lambda s: F.element_at("slot_of", s["asked"]) == s["values"])
+    kept = (pairs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p")) & of_item
+                       & (F.col("near") == F.col("_n")) & (F.col("at") == F.col("_a")), "left")
+            .groupBy(*one, "n_windows").agg(F.collect_set(F.when(agrees, F.col("h"))).alias("good"),
+                                           F.collect_set(F.when(F.col("own"), F.col("h"))).alias("own"))
+            .groupBy(*ids, "n_windows").agg(F.collect_list("good").alias("good"),
+                                           F.flatten(F.collect_list(F.when(F.col("near") == WHOLE, F.col("own")))).alias("own")))
+    enough = F.filter("good", lambda g: F.size(g) + F.size("own") >= share * F.col("n_windows"))
+    kept = (kept.withColumn("matched", F.array_max(F.transform(enough, lambda g: F.size(F.array_union(g, "own")))))
+            .withColumn("verbatim", F.size("own") >= F.col("matched")))
     best = F.max(F.struct((F.col("matched") / F.col("n_windows")).alias("containment"), "verbatim", -F.col("form"),
                           "matched", "n_windows")).alias("best")
     return (kept.where(F.col("matched") >= share * F.col("n_windows")).groupBy("doc_id", "print", "item_id").agg(best)

@@ -342,3 +342,19 @@ def test_letter_case_hides_no_item(spark):  # noqa: F811
     got = decontaminate.contaminated(make(spark, rows), items).collect()
     assert {r["doc_id"]: (r["containment"], r["verbatim"]) for r in got} == {**dict.fromkeys(range(1, 6), (1.0, True)), 6: (1.0, False)}
     assert sorted(r["doc_id"] for r in decontaminate.contaminated(make(spark, rows), upper).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_frames_elsewhere_do_not_outvote_an_item(spark):  # noqa: F811
+    item = "In 1945 Harry Truman was the President of the United States and signed the papers for the Bank of the West in Paris"
+    frames = " then came the Battle of the Somme" * 8
+    renamed = item.replace("Harry", "Carl").replace("States", "Kingdom").replace("Bank", "House").replace("West", "East")
+    other = item.replace("Harry", "Otto").replace("States", "Nations").replace("Bank", "Port").replace("West", "North")
+    tail = " where many people of the town had come to hear him speak about the plans for the coming years in peace"
+    edited = renamed.replace("signed the", "signed all of the") + tail            # the alignment moves on the way
+    rows = [(1, f"{frames}. {item}.{frames}", "s"), (2, f"{frames}. {renamed}.{frames}", "s"), (3, frames, "s"),
+            (4, f"{renamed}. {other}. {item}. {other}. {renamed}", "s"), (5, f"{'x ' * 90}{edited}{' y' * 90}{frames}", "s"),
+            (6, f"{item[:40]}.{frames}", "s")]
+    items = spark.createDataFrame([(1, item), (2, item + tail)], "item_id long, text string")
+    got = decontaminate.contaminated(make(spark, rows), items).collect()
+    assert {(r["doc_id"], r["item_id"], r["containment"] == 1, r["verbatim"]) for r in got} == {
+        (1, 1, True, True), (2, 1, True, False), (4, 1, True, True), (5, 2, False, False)} and len(got) == 4
