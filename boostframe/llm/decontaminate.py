@@ -111,7 +111,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     or anywhere with the item's own values; the same goes for its windows without case (numbers and units as slots, names as
     words), and the figures are those of the better form and occurrence. ``verbatim`` says that all matched windows are there
     with the item's own values. ``print`` is a hash of the document's text. Only
-    windows with at least `LITERALS` plain words count, all of them if an item has none such. Null or empty texts and items
+    windows with at least `LITERALS` plain words count; if an item has none such, all do, with the item's own values alone. Null or empty texts and items
     hold and match nothing; a text or item under ``window`` tokens is one window, so it matches only as a whole. Rows
     repeated give one row. Null ids pass through as ids. Other columns are ignored; empty tables give no rows.
     """
@@ -120,7 +120,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     items = items.withColumn("plain", F.size(F.filter("values", lambda v: ~_is_slot(v))) >= LITERALS)
     some = items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f")).agg(F.max("plain").alias("some"))
     of_item = F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("form") == F.col("_f"))
-    items = cut(items.join(some, of_item).where("plain OR NOT some").select("item_id", "form", "h", "place", "values"), "items")
+    items = cut(items.join(some, of_item).where("plain OR NOT some").select("item_id", "form", "some", "h", "place", "values"), "items")
     per_item = items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f")).agg(F.count_distinct("h").alias("n_windows"))
     keys = cut(items.select("h", "item_id", "form").distinct().join(per_item, of_item).drop("_i", "_f"), "keys")
     small = keys.count() <= broadcast_windows
@@ -138,24 +138,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     held = found.select(F.col("doc_id").alias("_d"), F.col("print").alias("_p"), "item_id", F.col("form").alias("_g"), "n_windows")
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p"))
     texts = rows.dropDuplicates(["doc_id", "print"]).join(held.select("_d", "_p").distinct(), same, "left_semi")
-    theirs = (items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f"), F.col("h").alias("_h"),
+    theirs = (items.groupBy(F.col("item_id").alias("_i"), F.col("form").alias("_f"), "some", F.col("h").alias("_h"),
                             F.col("values").alias("asked")).agg(F.collect_set("place").alias("asked_at")))
     theirs = F.broadcast(theirs) if small else theirs
     pairs = (_windows(texts, ["doc_id", "print"], window)
              .join(theirs, (F.col("h") == F.col("_h")) & (F.col("form") == F.col("_f"))).drop("_h", "_f")
              .join(held.withColumnRenamed("item_id", "_c"),
                    same & F.col("_i").eqNullSafe(F.col("_c")) & (F.col("form") == F.col("_g")), "inner")
-             .select("doc_id", "print", F.col("_i").alias("item_id"), "form", "n_windows", "h", "place", "asked", "asked_at", "values"))
+             .select("doc_id", "print", F.col("_i").alias("item_id"), "form", "n_windows", "some", "h", "place", "asked", "asked_at", "values"))
     pairs = cut(pairs.withColumn("slots", F.filter(F.arrays_zip("asked", "values"), lambda z: _is_slot(z["asked"])))
                 .withColumn("own", F.forall("slots", lambda s: s["asked"] == s["values"]))
-                .withColumn("group", F.explode(_occurrences())).select(*ids, "n_windows", "h", "slots", "own", "group.*"), "pairs")
+                .withColumn("group", F.explode(_occurrences())).select(*ids, "n_windows", "some", "h", "slots", "own", "group.*"), "pairs")
     one = [*ids, "near", "at"]
     votes = (pairs.select(*one, F.explode("slots").alias("s")).groupBy(*one, "s.asked", "s.values")
              .agg(F.count(F.lit(1)).alias("votes")))
     chosen = (votes.groupBy(*one, "asked").agg(F.max(F.struct("votes", F.col("values") == F.col("asked"), "values")).alias("best"))
               .groupBy(*one).agg(F.map_from_entries(F.collect_list(F.struct("asked", "best.values"))).alias("slot_of")))
     chosen = chosen.toDF("_d", "_p", "_i", "_f", "_n", "_a", "slot_of")
-    agrees = F.forall("slots", lambda s: F.element_at("slot_of", s["asked"]) == s["values"])
+    agrees = (F.col("some") | F.col("own")) & F.forall("slots", lambda s: F.element_at("slot_of", s["asked"]) == s["values"])
     kept = (pairs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p")) & of_item
                        & (F.col("near") == F.col("_n")) & (F.col("at") == F.col("_a")), "left")
             .groupBy(*one, "n_windows").agg(F.collect_set(F.when(agrees, F.col("h"))).alias("good"),

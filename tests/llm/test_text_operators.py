@@ -358,3 +358,10 @@ def test_frames_elsewhere_do_not_outvote_an_item(spark):  # noqa: F811
     got = decontaminate.contaminated(make(spark, rows), items).collect()
     assert {(r["doc_id"], r["item_id"], r["containment"] == 1, r["verbatim"]) for r in got} == {
         (1, 1, True, True), (2, 1, True, False), (4, 1, True, True), (5, 2, False, False)} and len(got) == 4
+
+
+def test_items_of_names_alone_match_literally(spark):  # noqa: F811
+    items = spark.createDataFrame([(1, "Who Wrote The Great Gatsby")], "item_id long, text string")
+    rows = [(1, "we read the New York Times Best Seller list again", "s"), (2, "asked: Who Wrote The Great Gatsby? he said", "s")]
+    got = decontaminate.contaminated(make(spark, rows), items).collect()
+    assert [(r["doc_id"], r["verbatim"]) for r in got] == [(2, True)]
