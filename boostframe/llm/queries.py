@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, embedding_dedup, html_text, line_dedup, mixing, simhash, tokens, toxicity, warc
+from . import (chat, conversation_repair, decontaminate, embedding_dedup, html_text, line_dedup, mixing, simhash,
+               spelling, tokens, toxicity, url_filter, warc)
 
 QUERIES = {
     "op1_tokens": tokens.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.query,
     "op9_embedding_dedup": embedding_dedup.query,
     "op10_html_text": html_text.query,
+    "op11_spelling": spelling.query,
+    "op12_conversation_repair": conversation_repair.query,
+    "op13_url_filter": url_filter.query,
 }
 
 ORACLE_SQL = {
@@ -23,4 +27,7 @@ ORACLE_SQL = {
     "op5_line_dedup": line_dedup.SQL,
     "op6_chat": chat.SQL,
     "op9_embedding_dedup": embedding_dedup.SQL,
+    "op11_spelling": spelling.SQL,
+    "op12_conversation_repair": conversation_repair.SQL,
+    "op13_url_filter": url_filter.SQL,
 }
