@@ -85,6 +85,21 @@ def value_column(margin: Column, objective: str) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) if objective == "reg:logistic" else margin
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write the (row-sized) result to the cluster's checkpoint directory so the training state can be
+    released; falls back to a persisted frame when no checkpoint directory is configured."""
+    spark = df.sparkSession
+    try:
+        has_dir = spark.sparkContext.getCheckpointDir() is not None
+    except Exception:
+        has_dir = False
+    if has_dir:
+        return df.checkpoint(eager=True)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
 @dataclass
 class Prepared:
     stats: DataStats

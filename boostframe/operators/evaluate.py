@@ -20,7 +20,7 @@ from .. import params as P
 from ..functions import metrics as MX
 from ..schemas import CLASSIFICATION, CV_SCORE_SCHEMA, SEARCH_SCHEMA, label_type_for
 from ..sources import registry
-from .common import check_target_range, code_column, decode_column, prepare, proba_columns, value_column
+from .common import check_target_range, code_column, decode_column, materialise, prepare, proba_columns, value_column
 from .fit import build_model, make_specs, train_specs
 
 MAX_MODELS_PER_PASS = 64
@@ -72,27 +72,11 @@ def cross_val_predict(df: DataFrame, target: str = "", estimator: str = "xgb_cla
         pred = value_column(ms[0], specs[0].objective)
     out = final.select(*([F.col("__id").alias(id)] if id else []), pred.alias("prediction"))
     # materialise before the training state is released
-    cached = _materialise(out)
+    cached = materialise(out)
     release()
     return cached
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    """Write the (row-sized) result to the cluster's checkpoint directory so the training state can be
-    released; falls back to a persisted frame when no checkpoint directory is configured."""
-    spark = df.sparkSession
-    try:
-        has_dir = spark.sparkContext.getCheckpointDir() is not None
-    except Exception:
-        has_dir = False
-    if has_dir:
-        return df.checkpoint(eager=True)
-    from pyspark import StorageLevel
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
-
-
 def _fold_scores(final: DataFrame, prep, specs: list, combos: int, cv: int, scoring: str) -> np.ndarray:
     """Score matrix [combos, folds] from the out-of-fold margins (one grouped aggregation)."""
     task = prep.stats.task

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from typing import Any
 
 import numpy as np
@@ -40,7 +41,8 @@ def make_specs(prep: Prepared, estimator: str, plist: list[dict], folds: list[in
                 ys = sum(v[1] for fk, v in sums.items() if fk != f)
             base = base_margin(objective, k, p, ys, n)
             specs.append(ModelSpec(p, rounds, parallel, objective, k, base, test_fold=f, n_train=n,
-                                   seed=int(p["random_state"]), g_scale=_gradient_scale(stats, objective, base)))
+                                   seed=int(p["random_state"]), g_scale=_gradient_scale(stats, objective, base),
+                                   h_scale=_curvature_scale(stats, objective, p)))
     return specs
 
 
@@ -53,6 +55,13 @@ def _gradient_scale(stats, objective: str, base: np.ndarray) -> float:
     return scale_for(max(abs(stats.y_max - centre), abs(stats.y_min - centre), stats.y_max - stats.y_min))
 
 
+def _curvature_scale(stats, objective: str, p: dict) -> float:
+    """Fixed-point scale of the second derivatives: Poisson's are as large as the target, the others ordinary numbers."""
+    if stats.task == CLASSIFICATION or objective != "count:poisson":
+        return FIXED_SCALE
+    return scale_for(stats.y_max * math.exp(p["max_delta_step"] or 0.7))
+
+
 def train_specs(prep: Prepared, specs: list[ModelSpec]):
     """Train (tree or linear boosters) and return ``(per-model results, final state, cleanup)``."""
     state = with_margins(prep, specs)

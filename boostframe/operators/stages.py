@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions import kernel as K
+from ..plans import splits
 from ..plans import train as TR
 from ..plans.binning import collect_stats
 from ..plans.features import categorical_mask
 from ..plans.ranks import with_rank
-from .common import prepare
+from .common import materialise, prepare, with_margins
 from .fit import make_specs
-from .common import with_margins
 
 
 def category_dictionary(df: DataFrame, features: list[str]) -> DataFrame:
@@ -60,27 +59,21 @@ def root_histogram(df: DataFrame, target: str, estimator: str = "xgb_regressor",
     specs = make_specs(prep, estimator, [p], None)
     state = with_margins(prep, specs)
     try:
-        nb, off, TB = TR._feature_offsets(prep.stats)
-        g = TR.Grower(0, 0, 0, np.ones(len(nb), dtype=bool))
-        g.add(0.0, 0.0, 0, 0)
-        n_margin = specs[0].n_groups
-        growers = [TR.Grower(0, k, 0, np.ones(len(nb), dtype=bool)) for k in range(n_margin)]
+        n_feat, n_margin = len(prep.stats.features), specs[0].n_groups
+        growers = [TR.Grower(0, k, 0, np.ones(n_feat, dtype=bool)) for k in range(n_margin)]
         for gr in growers:
             gr.add(0.0, 0.0, 0, 0)
         tree_ctx = [(k, -1, 1.0, (0, 0, 0, 0)) for k in range(n_margin)]
-        models_ctx = [(specs[0].objective, specs[0].n_groups, 0, TR.gradient_options(p), specs[0].g_scale)]
-        Gd, Hd, Nd = TR._histogram_level(state, prep.stats, specs, growers, [(k, 0) for k in range(n_margin)],
-                                         tree_ctx, models_ctx, nb, off, TB, n_margin, False)
+        models_ctx = [(specs[0].objective, n_margin, 0, TR.gradient_options(p), specs[0].g_scale, specs[0].h_scale)]
+        partials = TR.level_partials(state, prep.stats, growers, [(k, 0) for k in range(n_margin)], tree_ctx, models_ctx,
+                                     n_margin, False)
+        cells = partials.mapInArrow(splits.unpack_partials, "slot int, feature int, bin int, g long, h long, n long")
+        names = F.array(*[F.lit(info.name) for info in prep.stats.features])
+        exact = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("long")
+        return materialise(cells.where("slot = 0").groupBy(names[F.col("feature")].alias("feature"), "bin")
+                           .agg(exact("g").alias("sum_g"), exact("h").alias("sum_h"), F.sum("n").alias("n")))
     finally:
         state.unpersist()
-    rows = []
-    for f, info in enumerate(prep.stats.features):
-        for b in range(int(nb[f]) + 1):
-            n = int(Nd[0, off[f] + b])
-            if n:
-                rows.append((info.name, b, int(round(Gd[0, off[f] + b] * specs[0].g_scale)),
-                             int(round(Hd[0, off[f] + b] * K.FIXED_SCALE)), n))
-    return df.sparkSession.createDataFrame(rows, "feature string, bin int, sum_g long, sum_h long, n long")
 
 
 def assign_folds(df: DataFrame, target: str, id: str, cv: int = 5, estimator: str = "xgb_classifier"

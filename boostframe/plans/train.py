@@ -3,9 +3,8 @@
 Per boosting round and tree level there is exactly one data pass: a ``mapInArrow`` that, for every
 row, computes gradients from the row's stored margins, routes the row through every tree being grown
 (all models × classes × parallel trees at once), and adds fixed-point (g, h, 1) into a per-partition
-histogram keyed by (slot, feature, bin). ``groupBy(key).sum`` merges the partials (map-side combine)
-and only the merged histogram — bounded by nodes × features × bins, not by rows — reaches the driver,
-which chooses the splits. Trees grown since the state was last written are applied again inside the
+histogram keyed by (slot, feature, bin). The partials are shuffled by (slot, feature) and searched for
+splits where they meet (`splits`); the driver receives the best split of every slot, one row each. Trees grown since the state was last written are applied again inside the
 pass (they are few); when they are ``PENDING_TREES``, or every ``CHECKPOINT_EVERY`` rounds, a narrow
 ``mapInArrow`` adds their leaf values to the margin columns and the new state is persisted (and
 checkpointed to the cluster's checkpoint directory to cut lineage). The margins are the same either way.
@@ -13,8 +12,6 @@ checkpointed to the cluster's checkpoint directory to cut lineage). The margins
 
 from __future__ import annotations
 
-import logging
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,14 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernel as K
+from . import splits
 from .binning import BINS_COL, DataStats, code_type, unpack_bins
 
-log = logging.getLogger(__name__)
-
-HIST_LIMIT = 1 << 22        # histogram cells per pass (slots × total bins); beyond it, batch the slots
 PENDING_TREES = 32          # trees applied inside the passes before the margins are rewritten
 CHECKPOINT_EVERY = 10       # rounds between reliable checkpoints of the state (when a dir is configured)
-RT_EPS = 1e-6               # minimum loss change of a split
 
 
 @dataclass
@@ -45,7 +39,10 @@ class ModelSpec:
     test_fold: int = -1
     seed: int = 0
     n_train: int = 0
-    g_scale: float = K.FIXED_SCALE      # fixed-point scale of the gradients; second derivatives keep the default
+    g_scale: float = K.FIXED_SCALE      # fixed-point scales of the gradients and of the second derivatives
+    h_scale: float = K.FIXED_SCALE
+    monotone: np.ndarray | None = None  # per feature: 1 rising, -1 falling, 0 free
+    groups: list | None = None          # sets of features (by position) that may share a path
 
 
 @dataclass
@@ -68,9 +65,13 @@ class Grower:
     depth: list = field(default_factory=list)
     open: list = field(default_factory=list)   # node may still be split
     value: list = field(default_factory=list)
+    low: list = field(default_factory=list)       # bounds of the leaf value under monotone constraints
+    high: list = field(default_factory=list)
+    path: list = field(default_factory=list)      # features used above the node
     waiting: dict = field(default_factory=dict)   # best-first growth: node → its best split, not made yet
 
-    def add(self, G: float, H: float, N: int, depth: int) -> int:
+    def add(self, G: float, H: float, N: int, depth: int, low: float = -np.inf, high: float = np.inf,
+            path: frozenset = frozenset()) -> int:
         self.feat.append(-1)
         self.split_bin.append(-1)
         self.cats.append(None)
@@ -84,24 +85,34 @@ class Grower:
         self.depth.append(depth)
         self.open.append(True)
         self.value.append(0.0)
+        self.low.append(low)
+        self.high.append(high)
+        self.path.append(path)
         return len(self.feat) - 1
 
     def n_leaves(self) -> int:
         return sum(1 for f in self.feat if f < 0)
 
-    def split(self, node: int, best: tuple) -> None:
-        gain, f, split_bin, cats, dleft, GL, HL, NL = best
-        self.feat[node], self.split_bin[node], self.cats[node] = f, split_bin, cats
-        self.dleft[node], self.gain[node] = dleft, gain
-        self.left[node] = self.add(GL, HL, NL, self.depth[node] + 1)
-        self.right[node] = self.add(self.G[node] - GL, self.H[node] - HL, self.N[node] - NL, self.depth[node] + 1)
-
-    def split_best(self, max_leaves: int) -> bool:
+    def split(self, node: int, best, sign: int = 0) -> None:
+        """Make the split ``best``; along a rising (1) or falling (-1) feature the middle of the two leaf values bounds
+        all that grows below either side."""
+        f = -best["minus_feature"]
+        self.feat[node], self.split_bin[node], self.cats[node] = f, best["split_bin"], best["cats"]
+        self.dleft[node], self.gain[node] = best["default_left"], best["gain"]
+        low, high, middle = self.low[node], self.high[node], (best["wl"] + best["wr"]) / 2
+        sides = {0: ((low, high), (low, high)), 1: ((low, middle), (middle, high)), -1: ((middle, high), (low, middle))}[sign]
+        GL, HL, NL = best["gl"], best["hl"], best["nl"]
+        depth, path = self.depth[node] + 1, self.path[node] | {f}
+        self.left[node] = self.add(GL, HL, NL, depth, *sides[0], path)
+        self.right[node] = self.add(self.G[node] - GL, self.H[node] - HL, self.N[node] - NL, depth, *sides[1], path)
+
+    def split_best(self, spec: ModelSpec) -> bool:
         """Make the waiting split with the largest gain (the first of equal ones), if another leaf is allowed."""
-        if not self.waiting or self.n_leaves() >= max_leaves:
+        if not self.waiting or self.n_leaves() >= spec.params["max_leaves"]:
             return False
-        node = max(self.waiting, key=lambda n: (self.waiting[n][0], -n))
-        self.split(node, self.waiting.pop(node))
+        node = max(self.waiting, key=lambda n: (self.waiting[n]["gain"], -n))
+        best = self.waiting.pop(node)
+        self.split(node, best, _sign(spec, best))
         return True
 
     def bin_tree(self) -> dict:
@@ -117,25 +128,17 @@ class Grower:
         }
 
 
-def _score(G: np.ndarray, H: np.ndarray, p: dict) -> np.ndarray:
-    lam, alpha, mds = p["reg_lambda"], p["reg_alpha"], p["max_delta_step"]
-    Gt = G if alpha == 0 else np.sign(G) * np.maximum(np.abs(G) - alpha, 0.0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        if mds == 0:
-            return np.where(H + lam > 0, Gt * Gt / (H + lam), 0.0)
-        w = np.clip(np.where(H + lam > 0, -(Gt / (H + lam)), 0.0), -mds, mds)
-        return -(2.0 * Gt * w + (H + lam) * w * w)
+def _sign(spec: ModelSpec, best) -> int:
+    return 0 if spec.monotone is None else int(spec.monotone[-best["minus_feature"]])
 
 
-def leaf_weight(G: float, H: float, p: dict) -> float:
-    lam, alpha, mds = p["reg_lambda"], p["reg_alpha"], p["max_delta_step"]
-    Gt = G if alpha == 0 else math.copysign(max(abs(G) - alpha, 0.0), G)
-    if H + lam <= 0:
-        return 0.0
-    w = -(Gt / (H + lam))
-    if mds > 0:
-        w = min(max(w, -mds), mds)
-    return w
+def may_follow(groups: list | None, path: frozenset, n_feat: int) -> np.ndarray:
+    """Features that may split a node below ``path``: those of all groups that hold the whole path, and the path's own."""
+    out = np.ones(n_feat, dtype=bool)
+    if groups is not None and path:
+        out[:] = False
+        out[sorted(path.union(*[g for g in groups if path <= g]))] = True
+    return out
 
 
 def best_first(p: dict) -> bool:
@@ -214,15 +217,12 @@ def _make_hist_kernel(ctx: dict):
     nb = ctx["nb"]
     off = ctx["off"]
     TB = ctx["TB"]
-    lo, hi = ctx["slot_lo"], ctx["slot_hi"]
-    size = (hi - lo) * TB
+    n_slots = ctx["n_slots"]
 
     def kernel(batches):
         forest: K.Forest = ctx["forest"]
         slot_of = ctx["slot_of"]
-        acc_g = np.zeros(size, dtype=np.int64)
-        acc_h = np.zeros(size, dtype=np.int64)
-        acc_n = np.zeros(size, dtype=np.int64)
+        sums = splits.PartialSums(n_slots * TB)
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -238,14 +238,14 @@ def _make_hist_kernel(ctx: dict):
             # gradients for every (model, group) margin column, fixed point
             Gf = np.empty_like(M)
             Hf = np.empty_like(M)
-            for obj, kk, c0, options, g_scale in ctx["models"]:
+            for obj, kk, c0, options, g_scale, h_scale in ctx["models"]:
                 g, h = K.gradients(obj, M[:, c0:c0 + kk], y, *options)
                 Gf[:, c0:c0 + kk] = K.to_fixed(g, g_scale)
-                Hf[:, c0:c0 + kk] = K.to_fixed(h)
+                Hf[:, c0:c0 + kk] = K.to_fixed(h, h_scale)
             leaves = K.route(forest, Xn)
             slots = slot_of[leaves]                              # [n, T]
-            valid = (slots >= lo) & (slots < hi)
-            # (row, tree) pairs that feed this slot batch, in chunks bounded in memory
+            valid = slots >= 0
+            # (row, tree) pairs that feed a slot, in chunks bounded in memory
             rows_all, cols_all = [], []
             for t, (mcol, test_fold, sub, salt) in enumerate(ctx["trees"]):
                 v = valid[:, t]
@@ -265,18 +265,12 @@ def _make_hist_kernel(ctx: dict):
             step = max(1, (1 << 22) // max(F_, 1))
             for s in range(0, rr_all.size, step):
                 rr, tt = rr_all[s:s + step], tt_all[s:s + step]
-                base = (slots[rr, tt] - lo).astype(np.int64) * TB
-                keys = (base[:, None] + binfix[rr]).ravel()
+                base = slots[rr, tt].astype(np.int64) * TB
                 mc = mcols[tt]
-                g = np.repeat(Gf[rr, mc], F_)
-                h = np.repeat(Hf[rr, mc], F_)
-                acc_g += np.rint(np.bincount(keys, weights=g, minlength=size)).astype(np.int64)
-                acc_h += np.rint(np.bincount(keys, weights=h, minlength=size)).astype(np.int64)
-                acc_n += np.bincount(keys, minlength=size).astype(np.int64)
-        nz = np.nonzero(acc_n)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nz.astype(np.int64) + lo * TB), pa.array(acc_g[nz]), pa.array(acc_h[nz]),
-             pa.array(acc_n[nz])], names=["key", "g", "h", "n"])
+                sums.add((base[:, None] + binfix[rr]).ravel(), np.repeat(Gf[rr, mc], F_), np.repeat(Hf[rr, mc], F_))
+                if sums.full:
+                    yield splits.partial_batch(*sums.take(), off, TB)
+        yield splits.partial_batch(*sums.take(), off, TB)
 
     return kernel
 
@@ -301,89 +295,6 @@ def _make_update_kernel(ctx: dict):
     return kernel
 
 
-# ----------------------------------------------------------------------------------------------
-# split finding (driver)
-
-
-def _best_splits(Gd: np.ndarray, Hd: np.ndarray, Nd: np.ndarray, slots: list, stats: DataStats,
-                 nb: np.ndarray, off: np.ndarray, specs: list[ModelSpec], growers: list[Grower],
-                 allowed: np.ndarray):
-    """For each slot: (gain, feature, split_bin, cats, default_left, GL, HL, NL) or None."""
-    S = len(slots)
-    best_gain = np.full(S, -np.inf)
-    best = [None] * S
-    # node totals (identical for every feature): from feature 0
-    Gt = Gd[:, off[0]:off[0] + nb[0] + 1].sum(axis=1)
-    Ht = Hd[:, off[0]:off[0] + nb[0] + 1].sum(axis=1)
-    Nt = Nd[:, off[0]:off[0] + nb[0] + 1].sum(axis=1)
-    params = [specs[growers[g].model].params for g, _ in slots]
-    # group slots by identical regularisation to vectorise
-    keys = {}
-    for i, p in enumerate(params):
-        key = (p["reg_lambda"], p["reg_alpha"], p["max_delta_step"], p["min_child_weight"],
-               p["max_cat_to_onehot"])
-        keys.setdefault(key, []).append(i)
-    for key, idx in keys.items():
-        idx = np.asarray(idx)
-        p = params[idx[0]]
-        mcw = p["min_child_weight"]
-        G = Gt[idx][:, None]
-        H = Ht[idx][:, None]
-        Nn = Nt[idx][:, None]
-        sp = _score(G, H, p)
-        for f, info in enumerate(stats.features):
-            ok = allowed[idx, f]
-            if not ok.any() or nb[f] < 2:
-                continue
-            o = off[f]
-            Gb, Hb, Nb = Gd[idx, o:o + nb[f]], Hd[idx, o:o + nb[f]], Nd[idx, o:o + nb[f]]
-            Gm, Hm, Nm = Gd[idx, o + nb[f]][:, None], Hd[idx, o + nb[f]][:, None], Nd[idx, o + nb[f]][:, None]
-            onehot = info.categorical and nb[f] < p["max_cat_to_onehot"]
-            if info.categorical and not onehot:
-                lam = p["reg_lambda"]
-                present = Nb > 0
-                ratio = np.where(present, Gb / (Hb + lam + 1e-300), np.inf)
-                order = np.argsort(ratio, axis=1, kind="stable")
-                Gs = np.take_along_axis(Gb, order, 1)
-                Hs = np.take_along_axis(Hb, order, 1)
-                Ns = np.take_along_axis(Nb, order, 1)
-                cG, cH, cN = np.cumsum(Gs, 1)[:, :-1], np.cumsum(Hs, 1)[:, :-1], np.cumsum(Ns, 1)[:, :-1]
-                npres = present.sum(axis=1, keepdims=True)
-                cand_ok = (np.arange(nb[f] - 1)[None, :] + 1) < npres
-            elif info.categorical:
-                cG, cH, cN = Gb, Hb, Nb
-                cand_ok = Nb > 0
-                order = None
-            else:
-                cG, cH, cN = np.cumsum(Gb, 1)[:, :-1], np.cumsum(Hb, 1)[:, :-1], np.cumsum(Nb, 1)[:, :-1]
-                cand_ok = np.ones_like(cG, dtype=bool)
-                order = None
-            # direction 0: missing left (default_left); direction 1: missing right
-            GL = np.stack([cG + Gm, cG], axis=2)
-            HL = np.stack([cH + Hm, cH], axis=2)
-            NL = np.stack([cN + Nm, cN], axis=2)
-            GR, HR, NR = G[:, :, None] - GL, H[:, :, None] - HL, Nn[:, :, None] - NL
-            gain = _score(GL, HL, p) + _score(GR, HR, p) - sp[:, :, None]
-            valid = (HL >= mcw) & (HR >= mcw) & (NL > 0) & (NR > 0) & cand_ok[:, :, None] & ok[:, None, None]
-            gain = np.where(valid, gain, -np.inf)
-            flat = gain.reshape(len(idx), -1)
-            arg = np.argmax(flat, axis=1)
-            g_best = flat[np.arange(len(idx)), arg]
-            for j, s in enumerate(idx):
-                if g_best[j] > best_gain[s] and g_best[j] > RT_EPS:
-                    b, d = divmod(int(arg[j]), 2)
-                    if info.categorical and order is not None:
-                        cats = sorted(int(c) for c in order[j, : b + 1])
-                    elif info.categorical:
-                        cats = [b]
-                    else:
-                        cats = None
-                    best_gain[s] = g_best[j]
-                    best[s] = (float(g_best[j]), f, b, cats, d == 0, float(GL[j, b, d]), float(HL[j, b, d]),
-                               int(NL[j, b, d]))
-    return best, Gt, Ht, Nt
-
-
 def _prune(gr: Grower, gamma: float, params: dict) -> None:
     """Bottom-up: collapse splits whose children are leaves and whose loss change is below gamma."""
     if gamma <= 0:
@@ -413,7 +324,7 @@ def _compact(gr: Grower) -> Grower:
     new_id = {old: new for new, old in enumerate(order)}
     out = Grower(gr.model, gr.group, gr.par, gr.allowed)
     for old in order:
-        out.add(gr.G[old], gr.H[old], gr.N[old], gr.depth[old])
+        out.add(gr.G[old], gr.H[old], gr.N[old], gr.depth[old], gr.low[old], gr.high[old], gr.path[old])
         j = new_id[old]
         out.feat[j] = gr.feat[old]
         out.split_bin[j] = gr.split_bin[old]
@@ -449,7 +360,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     nb, off, TB = _feature_offsets(stats)
     n_margin = sum(s.n_groups for s in specs)
     col0 = np.concatenate([[0], np.cumsum([s.n_groups for s in specs])[:-1]]).astype(int)
-    models_ctx = [(s.objective, s.n_groups, int(col0[i]), gradient_options(s.params), s.g_scale)
+    models_ctx = [(s.objective, s.n_groups, int(col0[i]), gradient_options(s.params), s.g_scale, s.h_scale)
                   for i, s in enumerate(specs)]
     trees: list[list] = [[] for _ in specs]
     rngs = [np.random.RandomState(s.seed & 0x7FFFFFFF) for s in specs]
@@ -505,7 +416,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                         continue
                     frontier.append((gi, ni))
             if not frontier:
-                if any([g.split_best(specs[g.model].params["max_leaves"]) for g in growers]):
+                if any([g.split_best(specs[g.model]) for g in growers]):
                     continue
                 break
             # column sampling by level / node
@@ -516,33 +427,32 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 lk = (gi, level)
                 if lk not in level_allowed:
                     level_allowed[lk] = _colsample(rngs[g.model], g.allowed, s.params["colsample_bylevel"])
-                allowed[i] = _colsample(rngs[g.model], level_allowed[lk], s.params["colsample_bynode"])
-            results = _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ctx, nb, off,
-                                       TB, n_margin, has_fold, drop_forest, drop_col, pending.forest())
-            best, Gt, Ht, Nt = None, None, None, None
-            Gd, Hd, Nd = results
-            best, Gt, Ht, Nt = _best_splits(Gd, Hd, Nd, frontier, stats, nb, off, specs, growers, allowed)
+                may = level_allowed[lk] & may_follow(s.groups, g.path[ni], n_feat)
+                allowed[i] = _colsample(rngs[g.model], may, s.params["colsample_bynode"])
+            partials = level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest,
+                                      drop_col, pending.forest())
+            best = _level_splits(partials, stats, specs, growers, frontier, allowed)
             # under a leaf limit the best-gain splits of the level come first; best-first growth makes one at a time
-            order = sorted(range(len(frontier)), key=lambda i: -(best[i][0] if best[i] else -1.0))
+            order = sorted(range(len(frontier)), key=lambda i: -(best[i]["gain"] if best[i] else -1.0))
             leaves_now = {gi: growers[gi].n_leaves() for gi in {f[0] for f in frontier}}
             for i in order:
                 gi, ni = frontier[i]
                 g = growers[gi]
                 s = specs[g.model]
-                if level == 0:
-                    g.G[ni], g.H[ni], g.N[ni] = float(Gt[i]), float(Ht[i]), int(Nt[i])
-                g.open[ni] = False
                 b = best[i]
+                if level == 0 and b:
+                    g.G[ni], g.H[ni], g.N[ni] = b["gt"], b["ht"], b["nt"]
+                g.open[ni] = False
                 ml = s.params["max_leaves"]
-                if b is None or (ml > 0 and leaves_now[gi] + 1 > ml and not best_first(s.params)):
+                if b is None or b["gain"] <= 0 or (ml > 0 and leaves_now[gi] + 1 > ml and not best_first(s.params)):
                     continue
                 if best_first(s.params):
                     g.waiting[ni] = b
                     continue
-                g.split(ni, b)
+                g.split(ni, b, _sign(s, b))
                 leaves_now[gi] += 1
             for g in {gi: growers[gi] for gi, _ in frontier}.values():
-                g.split_best(specs[g.model].params["max_leaves"])
+                g.split_best(specs[g.model])
             level += 1
         # leaf values, pruning, compaction
         done = []
@@ -550,7 +460,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             s = specs[g.model]
             eta = s.params["learning_rate"] / s.parallel
             for ni in range(len(g.feat)):
-                g.value[ni] = leaf_weight(g.G[ni], g.H[ni], s.params) * eta
+                g.value[ni] = float(splits.weight(g.G[ni], g.H[ni], s.params, g.low[ni], g.high[ni])) * eta
             _prune(g, s.params["gamma"], s.params)
             cg = _compact(g)
             done.append(cg)
@@ -601,34 +511,32 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     return trees, state, cleanup
 
 
-def _histogram_level(state, stats, specs, growers, frontier, tree_ctx, models_ctx, nb, off, TB, n_margin,
-                     has_fold, drop_forest=None, drop_col=None, pending=None):
-    """One data pass per slot batch; returns dense (G, H, N) float arrays [slots, TB]."""
-    n_feat = len(stats.features)
-    S = len(frontier)
+def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest=None,
+                   drop_col=None, pending=None) -> DataFrame:
+    """The partial histograms of one data pass (`splits.PARTIAL` rows) for all slots of ``frontier``."""
+    nb, off, TB = _feature_offsets(stats)
     forest = K.build_forest([g.bin_tree() for g in growers], [0] * len(growers), [1.0] * len(growers))
     slot_of = np.full(forest.feat.shape[0], -1, dtype=np.int64)
     for i, (gi, ni) in enumerate(frontier):
         slot_of[forest.offsets[gi] + ni] = i
-    Gd = np.zeros((S, TB))
-    Hd = np.zeros((S, TB))
-    Nd = np.zeros((S, TB))
-    per_pass = max(1, HIST_LIMIT // TB)
-    for lo in range(0, S, per_pass):
-        hi = min(S, lo + per_pass)
-        ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
-               "kind": code_type(stats.features), "slot_lo": lo, "slot_hi": hi, "forest": forest, "slot_of": slot_of, "trees": tree_ctx,
-               "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or [],
-               "pending": pending}
-        hist = (state.mapInArrow(_make_hist_kernel(ctx), "key long, g long, h long, n long")
-                .groupBy("key")
-                .agg(F.sum(F.col("g").cast("decimal(38,0)")).alias("g"),
-                     F.sum(F.col("h").cast("decimal(38,0)")).alias("h"),
-                     F.sum("n").alias("n")))
-        tbl = hist.toArrow()
-        s_idx, cell = np.divmod(tbl.column("key").to_numpy(), TB)
-        g_scale = np.array([specs[growers[gi].model].g_scale for gi, _ in frontier])
-        Gd[s_idx, cell] = tbl.column("g").cast(pa.float64()).to_numpy() / g_scale[s_idx]
-        Hd[s_idx, cell] = tbl.column("h").cast(pa.float64()).to_numpy() / K.FIXED_SCALE
-        Nd[s_idx, cell] = tbl.column("n").to_numpy()
-    return Gd, Hd, Nd
+    ctx = {"n_feat": len(stats.features), "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
+           "kind": code_type(stats.features), "n_slots": len(frontier), "forest": forest, "slot_of": slot_of,
+           "trees": tree_ctx, "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or [],
+           "pending": pending}
+    return state.mapInArrow(_make_hist_kernel(ctx), splits.PARTIAL)
+
+
+def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed) -> list:
+    """Best split of every slot of the frontier (None for a slot that no row reached)."""
+    model_of = np.array([growers[gi].model for gi, _ in frontier])
+    models = np.unique(model_of)
+    search = splits.Search(
+        n_bins=_feature_offsets(stats)[0], categorical=np.array([f.categorical for f in stats.features]),
+        params=[specs[m].params for m in models], params_of=np.searchsorted(models, model_of),
+        g_scale=np.array([specs[m].g_scale for m in model_of]), h_scale=np.array([specs[m].h_scale for m in model_of]),
+        allowed=allowed, low=np.array([growers[gi].low[ni] for gi, ni in frontier]),
+        high=np.array([growers[gi].high[ni] for gi, ni in frontier]), monotone=[specs[m].monotone for m in models])
+    best: list = [None] * len(frontier)
+    for row in splits.choose_splits(partials, search).collect():
+        best[row["slot"]] = row["best"]
+    return best
