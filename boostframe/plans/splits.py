@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 DENSE_CELLS = 1 << 22       # cells that a histogram pass adds up in plain arrays; beyond, occurring cells only
 SPARSE_CELLS = 1 << 21      # occurring cells that a task holds before it sends them on
 BLOCK_CELLS = 1 << 20       # cells that are searched for splits at a time
+SLOT_BYTES = 16 << 20       # partials of a slot that one task reads rather than one task per feature
 RT_EPS = 1e-6               # minimum loss change of a split
 
 PARTIAL = "slot int, feature int, bins binary, g binary, h binary, n binary"
@@ -239,8 +240,8 @@ class _Sums:
         high = np.bincount(keys, weights=(values >> 32).astype(np.float64), minlength=size)
         return low.astype(np.int64), high.astype(np.int64)
 
-    def feed(self, batch: pa.RecordBatch, last: bool):
-        """Splits of the groups that end in ``batch``; the sums of its last group are carried on unless it is ``last``."""
+    def feed(self, batch: pa.RecordBatch):
+        """Splits of the groups that end in ``batch``; the sums of its last group are carried on."""
         slot, feature = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         bins = batch.column(2)
         offsets = np.frombuffer(bins.buffers()[1], np.int32)[bins.offset:bins.offset + len(bins) + 1]
@@ -270,7 +271,7 @@ class _Sums:
                 else:
                     yield from self._search(key[0], np.array([key[1]]), [x[None, :] for x in held])
                 self.carry = None
-            if end == len(new) and not last:
+            if end == len(new):
                 self.carry = ((f, int(slots[-1])), [s[-1].copy() for s in sums])
                 slots, sums = slots[:-1], [s[:-1] for s in sums]
             if len(slots):
@@ -292,26 +293,35 @@ class _Sums:
 def split_kernel(search: Search):
     schema = to_arrow_schema(StructType.fromDDL(SPLIT))
 
-    def out(rows):
-        return pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema)
-
     def kernel(batches):
-        sums = _Sums(search)
+        sums, best = _Sums(search), {}
+
+        def keep(rows):
+            for row in rows:
+                held = best.get(row[0])
+                if held is None or row[1:3] > held[1:3]:
+                    best[row[0]] = row
+
         for batch in batches:
             if batch.num_rows:
-                rows = list(sums.feed(batch, False))
-                if rows:
-                    yield out(rows)
-        rows = list(sums.finish())
-        if rows:
-            yield out(rows)
+                keep(sums.feed(batch))
+        keep(sums.finish())
+        if best:
+            rows = list(best.values())
+            yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows), schema)],
+                                             schema=schema)
 
     return kernel
 
 
-def choose_splits(partials: DataFrame, search: Search) -> DataFrame:
-    """One row per slot with data: ``best``, the SPLIT row of its best feature (ties: the first)."""
-    splits = (partials.repartition("feature", "slot").sortWithinPartitions("feature", "slot")
-              .mapInArrow(split_kernel(search), SPLIT))
+def choose_splits(partials: DataFrame, search: Search, partitions: int) -> DataFrame:
+    """One SPLIT row per slot with data: that of its best feature (ties: the first). ``partitions`` of the table send
+    partials. Where those of all features of a slot are few bytes together, a slot goes to one task; else its features
+    are searched in different tasks and a grouped maximum follows."""
     names = [c.split()[0] for c in SPLIT.split(", ")]
-    return splits.groupBy("slot").agg(F.max(F.struct(*names[1:])).alias("best"))
+    one_task = 28 * int((search.n_bins + 1).sum()) * partitions <= SLOT_BYTES
+    splits = (partials.repartition(*(["slot"] if one_task else ["feature", "slot"])).sortWithinPartitions("feature", "slot")
+              .mapInArrow(split_kernel(search), SPLIT))
+    if one_task:
+        return splits
+    return splits.groupBy("slot").agg(F.max(F.struct(*names[1:])).alias("best")).select("slot", "best.*")

@@ -365,6 +365,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     trees: list[list] = [[] for _ in specs]
     rngs = [np.random.RandomState(s.seed & 0x7FFFFFFF) for s in specs]
     max_rounds = max(s.rounds for s in specs)
+    partitions = state.rdd.getNumPartitions()
     state0 = state
     older = None
     pending = Pending()
@@ -431,7 +432,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 allowed[i] = _colsample(rngs[g.model], may, s.params["colsample_bynode"])
             partials = level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest,
                                       drop_col, pending.forest())
-            best = _level_splits(partials, stats, specs, growers, frontier, allowed)
+            best = _level_splits(partials, stats, specs, growers, frontier, allowed, partitions)
             # under a leaf limit the best-gain splits of the level come first; best-first growth makes one at a time
             order = sorted(range(len(frontier)), key=lambda i: -(best[i]["gain"] if best[i] else -1.0))
             leaves_now = {gi: growers[gi].n_leaves() for gi in {f[0] for f in frontier}}
@@ -526,7 +527,7 @@ def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_marg
     return state.mapInArrow(_make_hist_kernel(ctx), splits.PARTIAL)
 
 
-def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed) -> list:
+def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed, partitions: int) -> list:
     """Best split of every slot of the frontier (None for a slot that no row reached)."""
     model_of = np.array([growers[gi].model for gi, _ in frontier])
     models = np.unique(model_of)
@@ -537,6 +538,6 @@ def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed)
         allowed=allowed, low=np.array([growers[gi].low[ni] for gi, ni in frontier]),
         high=np.array([growers[gi].high[ni] for gi, ni in frontier]), monotone=[specs[m].monotone for m in models])
     best: list = [None] * len(frontier)
-    for row in splits.choose_splits(partials, search).collect():
-        best[row["slot"]] = row["best"]
+    for row in splits.choose_splits(partials, search, partitions).collect():
+        best[row["slot"]] = row
     return best
