@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, prepare, table
+from .common import components, cut, prepare, releasing, table
 
 SHINGLE, RADIUS, SEED, TILE = 4, 4, 42, 2048
 
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(releasing(run), f"doc_id {kind}, fp long")
 
 
 def _ones(words: np.ndarray) -> np.ndarray:

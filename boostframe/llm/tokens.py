@@ -13,6 +13,7 @@ and a token range is found by adding lengths, without expanding what lies before
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -23,12 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, prepare, shared_path, table
+from .common import arrow_schema, prepare, releasing, shared_path, table
 
 END_ID = 1
-SHARD_TOKENS, SLICE_BYTES = 3_000_000, 16 << 20
-ROUNDS, PAIRS_A_ROUND, MIN_COUNT = 5, 1500, 16
-KNOWN_UNITS = 1_200_000
+SHARD_TOKENS, SLICE_BYTES = 3_000_000, 3 << 20
+FIRST_PAIRS, MIN_COUNT = 1500, 16
+KNOWN_UNITS = 1_000_000
 
 
 def _hashes(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +58,8 @@ class WordEncoder:
     """Whole texts to ids, for tokenizers that drop white space, lower-case, split letters from signs and mark word ends.
 
     The ids of a text are then those of its words in turn, and those of a word that ends in signs are those of its front
-    and of its signs. Units seen before are looked up (by a 128-bit hash, in sorted arrays), so the tokenizer encodes each
+    and of its signs, provided that the front still ends in a letter once the tokenizer has normalised it (a letter that
+    becomes two characters, as a dotted capital I does, would leave a mark to be grouped with the signs). Units seen before are looked up (by a 128-bit hash, in sorted arrays), so the tokenizer encodes each
     distinct unit once; about ``KNOWN_UNITS`` are remembered. Runs of letters are encoded many at a time and told apart by
     the ids that end a word; any other unit is encoded by itself, and so is a run whose ends don't add up.
     """
@@ -69,6 +71,7 @@ class WordEncoder:
         self.vocabulary = max(vocabulary.values()) + 1
         self.ends_word = np.zeros(self.vocabulary, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.stays_letter: dict[str, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -76,6 +79,13 @@ class WordEncoder:
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)          # the unit's place among the ids
         self.ids = np.empty(0, np.uint32)
 
+    def _is_whole(self, letter: str) -> bool:
+        """Does the normalised form of a word that ends in ``letter`` end in a letter?"""
+        if letter not in self.stays_letter:
+            last = self.tokenizer.normalizer.normalize_str("x" + letter)[-1] if self.tokenizer.normalizer else letter
+            self.stays_letter[letter] = unicodedata.category(last)[0] == "L"
+        return self.stays_letter[letter]
+
     def _one_by_one(self, units: list[str]):
         done = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
         return np.array(done.ids, np.uint32), np.bincount(np.array(done.word_ids, np.int64), minlength=len(units))
@@ -132,8 +142,11 @@ class WordEncoder:
         words = coded.dictionary
         words = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))   # special tokens keep their case
         cut = pc.extract_regex(words, r"^(?P<front>.*\pL)(?P<signs>[.,;:!?%#$&*]+)$")
-        front = self._places(pc.coalesce(pc.struct_field(cut, "front"), words))
-        signs = self._places(pc.fill_null(pc.struct_field(cut, "signs"), ""))
+        front, signs = pc.struct_field(cut, "front"), pc.struct_field(cut, "signs")
+        last = pc.utf8_slice_codeunits(front, -1)
+        whole = pc.is_in(last, value_set=pa.array([c for c in pc.unique(last).to_pylist() if c and self._is_whole(c)], last.type))
+        front = self._places(pc.coalesce(pc.if_else(whole, front, None), words))
+        signs = self._places(pc.fill_null(pc.if_else(whole, signs, None), ""))
         starts, size = np.stack([front[0], signs[0]], 1), np.stack([front[1], signs[1]], 1)
         of_word = _gather(self.ids, starts.reshape(-1), size.reshape(-1))
         size = size.sum(1)
@@ -168,55 +181,60 @@ def _gather(values: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndar
 
 # ------------------------------------------------------------------------------------------------ grammar
 
-def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS_A_ROUND,
+def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int | None = None, pairs: int = FIRST_PAIRS,
            min_count: int = MIN_COUNT):
     """Re-Pair in rounds: (symbols, symbols per run, rules, lengths) for ``ids`` cut into runs at ``ends``.
 
-    Each round counts all adjacent pairs within runs (by hash bucket, then exactly for pairs in full buckets), gives the
-    ``pairs`` most frequent that occur at least ``min_count`` times a nonterminal, and replaces their occurrences from
-    left to right without overlap. Rounds end early when no pair is frequent.
+    A round counts adjacent pairs within runs, gives the most frequent that occur at least ``min_count`` times a
+    nonterminal (``pairs`` of them, twice as many in each round after), and replaces their occurrences from left to
+    right without overlap, until no pair is frequent (or for ``rounds``). Only the first round counts all pairs: a pair's count falls unless
+    a new symbol comes into it, so later ones look at the places of pairs that were frequent and of those beside new symbols.
     """
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[ends - 1] = True
-    rules, lengths = np.empty((0, 2), np.uint32), np.empty(0, np.int64)
-    bits = 20
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        bucket = seq[:-1] * np.uint32(0x9E3779B1)
-        bucket += seq[1:] * np.uint32(0x85EBCA77)
-        bucket >>= np.uint32(32 - bits)
-        bucket[last[:-1]] = 1 << bits                                   # pairs across documents do not count
-        held = np.bincount(bucket, minlength=(1 << bits) + 1)[:-1]
-        full = min(pairs, len(held) - 1)
-        floor = max(min_count, int(np.partition(held, -full - 1)[-full - 1]))
-        rich = np.append(held >= floor, False)
-        at = np.flatnonzero(rich[bucket])
+    rules, lengths = [np.empty((0, 2), np.uint32)], [np.ones(base, np.int64)]
+    known, symbols, done = {}, base, 0
+    hot = ~last
+    while rounds is None or done < rounds:
+        at = np.flatnonzero(hot & ~last)
+        at = at[at < len(seq) - 1]
+        bucket = (seq[at] * np.uint32(0x9E3779B1) + seq[at + 1] * np.uint32(0x85EBCA77)) >> np.uint32(12)
+        rich = np.bincount(bucket, minlength=1 << 20) >= min_count          # no frequent pair is lost: it fills its bucket
+        at = at[rich[bucket]]
         code = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
         found, which, count = np.unique(code, return_inverse=True, return_counts=True)
-        best = np.argsort(-count, kind="stable")[:pairs]
-        best = best[count[best] >= min_count]
+        frequent = count >= min_count
+        best = np.flatnonzero(frequent)
+        best = best[np.argsort(-count[best], kind="stable")[:pairs]]
         if not len(best):
             break
+        hot[:] = False
+        hot[at[frequent[which]]] = True
         symbol = np.full(len(found), -1, np.int64)
-        symbol[best] = base + len(rules) + np.arange(len(best))
+        chosen = found[best].tolist()
+        symbol[best] = [known.get(pair, -1) for pair in chosen]              # left over where occurrences overlapped
+        new_pairs = best[symbol[best] < 0]
+        symbol[new_pairs] = symbols + np.arange(len(new_pairs))
+        known.update(zip(found[new_pairs].tolist(), symbol[new_pairs].tolist()))
+        symbols, pairs, done = symbols + len(new_pairs), 2 * pairs, done + 1
+        pair = np.stack([found[new_pairs] >> np.uint64(32), found[new_pairs] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        size = np.concatenate(lengths)
+        lengths, rules = [size, size[pair].sum(1)], [*rules, pair]
         new = symbol[which]
         at, new = at[new >= 0], new[new >= 0]
         run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, np.arange(len(at)), 0))
         take = ((np.arange(len(at)) - run) & 1) == 0                    # every other one of a row of overlapping pairs
         at, new = at[take], new[take]
-        pair = np.stack([found[best] >> np.uint64(32), found[best] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-        size = np.concatenate([np.ones(base, np.int64), lengths])
-        lengths = np.concatenate([lengths, size[pair].sum(1)])
-        rules = np.concatenate([rules, pair])
         seq[at] = new
         last[at] = last[at + 1]
+        hot[at] = True
+        hot[at[at > 0] - 1] = True
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
+        seq, last, hot = seq[keep], last[keep], hot[keep]
     stops = np.flatnonzero(last) + 1
-    return seq, np.diff(stops, prepend=0), rules, lengths
+    return seq, np.diff(stops, prepend=0), np.concatenate(rules), np.concatenate(lengths)[base:]
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -315,8 +333,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, shard_tokens: int =
             yield close()
 
     rows = docs.select("doc_id", "text")
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    ordered.mapInArrow(releasing(run), schema).write.option("compression", "zstd").parquet(path)
 
 
 def _slices(batch: pa.RecordBatch, most: int):
@@ -346,7 +364,8 @@ def read_documents(spark, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):                    # one shard at a time
+                row = batch.slice(i, 1).to_pylist()[0]
                 symbols, rules, lengths, n_symbols, base = _shard_arrays(row)
                 ids = expand(symbols, rules, lengths, base).astype("<u4")
                 n = np.asarray(row["n_tokens"], np.int64)
@@ -358,7 +377,7 @@ def read_documents(spark, path: str) -> DataFrame:
                                                      np.full(len(n), row["shard"], np.int32), row["doc_ids"],
                                                      stops - n, n, crc, n_symbols), out.types)], schema=out)
 
-    docs = shards.mapInArrow(run, schema)
+    docs = shards.mapInArrow(releasing(run), schema)
     per_shard = shards.select("part", "shard", F.expr("aggregate(n_tokens, 0L, (a, x) -> a + x)").alias("n"))
     per_part = per_shard.groupBy("part").agg(F.sum("n").alias("n"))
     parts = per_part.select("part", (F.sum("n").over(Window.partitionBy().orderBy("part")) - F.col("n")).alias("_a"))

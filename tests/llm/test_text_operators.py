@@ -86,6 +86,44 @@ def test_units_encode_as_whole_texts():
         assert list(part) == reference.encode(text, add_special_tokens=False).ids + [tokens.END_ID]
 
 
+def test_letters_that_normalise_to_marks():
+    """Letters that become two characters keep their marks with the signs behind them, as in whole texts."""
+    import random
+    import unicodedata
+    from tokenizers import Tokenizer
+    import pyarrow as pa
+    reference, encoder = Tokenizer.from_file(tokens.default_tokenizer()), tokens.WordEncoder(tokens.default_tokenizer())
+    rng = random.Random(4)
+    texts = ["İ.", "TARİHİ.", "EVİ, yeni", "İ!"] + ["".join(rng.choice("İiIabé.,;!? \n'ßΣσA\u0958x\u0301ড়") for _ in range(12)) for _ in range(3000)]
+    letters = [chr(c) for c in range(0x30000) if unicodedata.category(chr(c))[0] == "L"]
+    texts += [f"a{c}. {c}, b{c}c!" for c in rng.sample(letters, 4000) + [c for c in letters if len(unicodedata.normalize("NFC", c.lower())) > 1]]
+    ids, n = encoder.encode(pa.array(texts))
+    for text, part in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+        assert list(part) == reference.encode(text, add_special_tokens=False).ids + [tokens.END_ID], ascii(text)
+
+
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(0)
+    phrase = rng.integers(2, 90, 400)
+    ids = np.concatenate([np.concatenate([phrase, rng.integers(2, 90, 60), [1]]) for _ in range(40)]).astype(np.uint32)
+    symbols, per_run, rules, lengths = tokens.repair(ids, np.flatnonzero(ids == 1) + 1, 100, pairs=20, min_count=16)
+    assert (tokens.expand(symbols, rules, lengths, 100) == ids).all() and lengths.max() >= 200
+    inside = np.ones(len(symbols), bool)
+    inside[np.cumsum(per_run) - 1] = False
+    pairs = collections.Counter(zip(symbols[:-1][inside[:-1]].tolist(), symbols[1:][inside[:-1]].tolist()))
+    assert max(pairs.values()) < 16
+
+
+def test_null_ids_spread_over_partitions(spark, tmp_path):  # noqa: F811
+    frame = spark.createDataFrame([(None, f"text {i}") for i in range(4000)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokens.write_shards(frame, str(tmp_path / "shards"), tokens.default_tokenizer(), shard_tokens=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(str(tmp_path / "shards")).select("part").distinct().count() > 1
+
+
 @pytest.mark.parametrize("ids", [[1], [5, 1], [5, 5, 5, 5, 5, 1] * 40, list(range(2, 40)) * 30 + [1], [1, 1, 1]])
 def test_grammar_is_lossless(ids):
     ids = np.array(ids, np.uint32)
