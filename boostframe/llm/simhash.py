@@ -193,5 +193,20 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """One row of every SimHash group of ``docs``, all columns: that with the smallest doc_id (null after all others), then
+    the smallest 64-bit hash of its text.
+
+    Rows with one doc_id and different texts are different documents and belong to the groups of their texts; rows that
+    repeat doc_id and text are one document, of which one stays (other columns may differ: any of them). A group without
+    any doc_id keeps one row. Columns of any name are allowed beside doc_id and text. ``options`` go to `simhash_groups`.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.xxhash64("text").alias("print"))
+    groups = simhash_groups(docs.select(key.alias("doc_id"), "text"), **options)
+    kept = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct(), "kept")
+    rows = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), key.alias("key"))
+    return (rows.join(kept, F.col("key").eqNullSafe(F.col("kept")), "left_semi").dropDuplicates(["key"]).select("row.*"))
+
+
 def query(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))

@@ -222,3 +222,30 @@ def test_pipeline(spark):  # noqa: F811
         odd = step(spark, odd, SF)
         odd.count()
     assert simhash.simhash_groups(odd).count() == odd.count()
+
+
+def test_one_document_of_each_group_stays(spark):  # noqa: F811
+    from boostframe.llm import simhash
+    base = " ".join(f"word{i}" for i in range(400))
+    near = base.replace("word7 ", "other7 ")
+    texts = {"base": base, "near": near, "apart": " ".join(f"else{i}" for i in range(300)), "blank": ""}
+    linked = bin(simhash.fingerprint(base) ^ simhash.fingerprint(near)).count("1") <= simhash.RADIUS
+    assert linked
+    rows = [(7, "base"), (3, "near"), (7, "apart"), (7, "apart"), (None, "base"), (9, "blank"), (None, "blank")]
+    frame = spark.createDataFrame([(i, texts[t], 1, "x", t) for i, t in rows], "doc_id long, text string, _id long, _p string, `key.dot` string")
+    kept = simhash.keep_one(frame)
+    assert kept.columns == frame.columns
+    assert sorted((r["doc_id"], r["key.dot"]) for r in kept.collect()) == [(3, "near"), (7, "apart"), (9, "blank")]
+    nameless = spark.createDataFrame([(None, near), (None, base), (None, base), (None, texts["apart"])], "doc_id long, text string")
+    left = [r["text"] for r in simhash.keep_one(nameless).collect()]
+    assert len(left) == 2 and texts["apart"] in left
+
+
+def test_pipeline_stages_pass_extra_columns_on(spark):  # noqa: F811
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    wide = docs.selectExpr("*", "doc_id AS _id", "text AS _p", "n_chars AS fp", "lang AS component_id", "source AS row")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        wide = stage(spark, wide, SF)
+    assert wide.columns == [*docs.columns, "_id", "_p", "fp", "component_id", "row"]
+    assert wide.where("_id IS DISTINCT FROM doc_id OR _p IS DISTINCT FROM text OR row IS DISTINCT FROM source").count() == 0
