@@ -12,7 +12,6 @@ empty results; columns beyond those of ``documents`` pass through to the last st
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from boostframe.llm import decontaminate, mixing, simhash, tokens, toxicity
 from boostframe.llm.common import cut, prepare, table
@@ -24,21 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every SimHash group. Rows that repeat this doc_id are one document; a
-    group without any doc_id keeps one row."""
-    groups = simhash.simhash_groups(docs.select("doc_id", "text"))
-    kept = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-               .select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp")).distinct(), "kept")
-    named = kept.where(F.col("_id").isNotNull()).select("_id").distinct()
-    rows = docs.join(named, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull())
-    if not kept.where(F.col("_id").isNull()).isEmpty():
-        prints = simhash.fingerprints(nameless.select(F.xxhash64("text").alias("doc_id"), "text")).distinct()
-        prints = prints.select(F.col("doc_id").alias("_p"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("_fp"))
-        one = (prints.join(kept.where(F.col("_id").isNull()), "_fp").groupBy("_fp").agg(F.min("_p").alias("_p")))
-        rows = rows.union(nameless.join(one.select("_p"), F.xxhash64("text") == F.col("_p"), "left_semi")
-                          .dropDuplicates(["text"]))
-    return rows
+    """One document of every SimHash group: that with the smallest doc_id (`simhash.keep_one`)."""
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
