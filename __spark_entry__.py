@@ -475,6 +475,99 @@ def q_stream_predict(spark, sf_dir):
     return scored.select("event_id", _r("prediction"))
 
 
+# ------------------------------------------------------------- deeper trees: whole node tables
+
+def _tree_cols(df: DataFrame) -> DataFrame:
+    cats = F.when(F.col("left_cats").isNotNull(), F.array_join(F.sort_array("left_cats"), ","))
+    return df.select("tree_id", "node_id", "feature", _r("threshold"), cats.alias("left_cats"), "default_left", "left_id",
+                     "right_id", _r("gain"), _r("cover"), _r("leaf_value"))
+
+
+def _tree_nodes(spark, data, estimator, **params):
+    from boostframe import fit_model
+    from boostframe.operators.importance import node_table
+    return _tree_cols(node_table(spark, model=fit_model(data, target="target", estimator=estimator, params=params)))
+
+
+def li_missing(spark, sf_dir):
+    """Numeric columns with missing values and a target that depends on them."""
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select(F.expr("CAST(NULLIF(l_tax, 0.03) AS DOUBLE)").alias("tax"),
+                     F.expr("CAST(CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS DOUBLE)").alias("quantity"),
+                     F.col("l_discount").cast("double").alias("discount"),
+                     F.expr("CAST((l_quantity > 30 AND l_discount < 0.05) OR l_tax = 0.03 AS INT)").alias("target"))
+
+
+def part_size(spark, sf_dir):
+    """String columns with many values and a numeric target that depends on them."""
+    return _t(spark, sf_dir, "part").select(
+        "p_brand", "p_type", F.col("p_size").cast("double").alias("p_size"),
+        F.expr("CAST(p_size + 3 * length(p_type) + 10 * CAST(substr(p_brand, -1) AS INT) AS DOUBLE)").alias("target"))
+
+
+def q_fit_depth3_nodes(spark, sf_dir):
+    return _tree_nodes(spark, li_reg(spark, sf_dir), "xgb_regressor", n_estimators=2, max_depth=3)
+
+
+def q_fit_missing_nodes(spark, sf_dir):
+    return _tree_nodes(spark, li_missing(spark, sf_dir), "xgb_classifier", n_estimators=2, max_depth=3)
+
+
+def q_fit_category_nodes(spark, sf_dir):
+    return _tree_nodes(spark, part_size(spark, sf_dir), "xgb_regressor", n_estimators=2, max_depth=3)
+
+
+def q_fit_softmax_nodes(spark, sf_dir):
+    """The first round of three classes: a tree of depth 3 each."""
+    return _tree_nodes(spark, li_multi(spark, sf_dir), "xgb_classifier", n_estimators=1, max_depth=3)
+
+
+def q_fit_poisson_price(spark, sf_dir):
+    """Counts far beyond the ordinary grid: prices under a logarithmic link."""
+    li = _t(spark, sf_dir, "lineitem")
+    data = li.select(F.col("l_quantity").cast("double"), F.col("l_tax").cast("double"), F.col("l_extendedprice").cast("double").alias("target"))
+    return _tree_nodes(spark, data, "xgb_regressor", n_estimators=2, max_depth=2, objective="count:poisson")
+
+
+MONOTONE = {"l_quantity": 1, "l_discount": -1, "l_linenumber": 1}
+GROUPS = [["l_quantity", "l_tax"], ["l_discount", "l_linenumber"]]
+
+
+def li_bumpy(spark, sf_dir):
+    """A target that falls where the constraint of `MONOTONE` wants it to rise."""
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select(*[F.col(c).cast("double").alias(c) for c in LI_REG_FEATURES],
+                     F.expr("CAST(l_quantity * (1 - l_discount) - CASE WHEN l_quantity > 30 THEN 25 ELSE 0 END + l_tax * l_linenumber AS DOUBLE)")
+                     .alias("target"))
+
+
+def q_fit_monotone_nodes(spark, sf_dir):
+    return _tree_nodes(spark, li_bumpy(spark, sf_dir), "xgb_regressor", n_estimators=2, max_depth=3, monotone_constraints=MONOTONE)
+
+
+def q_fit_interaction_nodes(spark, sf_dir):
+    return _tree_nodes(spark, li_bumpy(spark, sf_dir), "xgb_regressor", n_estimators=2, max_depth=3, interaction_constraints=GROUPS)
+
+
+def q_fit_absolute_nodes(spark, sf_dir):
+    """Leaves are medians of the residuals."""
+    return _tree_nodes(spark, li_bumpy(spark, sf_dir), "xgb_regressor", n_estimators=2, max_depth=2, objective="reg:absoluteerror")
+
+
+def q_fit_quantile_nodes(spark, sf_dir):
+    """Leaves are 0.9 quantiles of the residuals."""
+    return _tree_nodes(spark, li_bumpy(spark, sf_dir), "xgb_regressor", n_estimators=2, max_depth=2, objective="reg:quantileerror",
+                       quantile_alpha=0.9)
+
+
+def q_median_error(spark, sf_dir):
+    """Exact median of the absolute error per ship mode-like group: the scorer by line status."""
+    from boostframe.functions.metrics import score
+    li = _t(spark, sf_dir, "lineitem").select("l_linestatus", F.col("l_extendedprice").cast("double").alias("y"),
+                                              (F.col("l_quantity") * 1500).cast("double").alias("pred"))
+    return score(li, "neg_median_absolute_error", ["l_linestatus"]).select("l_linestatus", _r("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labelled_table": q_labelled_table,
     "labelled_regression": q_labelled_regression,
@@ -521,6 +614,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exact_bins": q_exact_bins,
     "predict_margin": q_predict_margin,
     "registry": q_registry,
+    "fit_depth3_nodes": q_fit_depth3_nodes,
+    "fit_missing_nodes": q_fit_missing_nodes,
+    "fit_category_nodes": q_fit_category_nodes,
+    "fit_softmax_nodes": q_fit_softmax_nodes,
+    "fit_poisson_price": q_fit_poisson_price,
+    "fit_monotone_nodes": q_fit_monotone_nodes,
+    "fit_interaction_nodes": q_fit_interaction_nodes,
+    "fit_absolute_nodes": q_fit_absolute_nodes,
+    "fit_quantile_nodes": q_fit_quantile_nodes,
+    "median_error": q_median_error,
 }
 
 

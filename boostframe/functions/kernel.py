@@ -182,9 +182,9 @@ def link(objective: str, margin: np.ndarray) -> np.ndarray:
 
 
 def gradients(objective: str, margin: np.ndarray, y: np.ndarray, scale_pos_weight: float = 1.0, power: float = 1.5,
-              slope: float = 1.0, max_step: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+              slope: float = 1.0, max_step: float = 0.0, alpha: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """First and second derivatives ``[rows, groups]`` of the loss at the current margins. ``power``: of the Tweedie
-    variance; ``slope``: of the pseudo-Huber loss; ``max_step`` (0.7 if not set) steadies Poisson's second derivative."""
+    variance; ``slope``: of the pseudo-Huber loss; ``alpha``: the quantile; ``max_step`` (0.7 if not set) steadies Poisson's second derivative."""
     t = y[:, None]
     if objective == "reg:squarederror":
         g = margin - t
@@ -212,6 +212,12 @@ def gradients(objective: str, margin: np.ndarray, y: np.ndarray, scale_pos_weigh
         root = np.sqrt(1.0 + (z / slope) ** 2)
         g = z / root
         h = 1.0 / root ** 3
+    elif objective == "reg:absoluteerror":
+        g = np.sign(margin - t)
+        h = np.ones_like(g)
+    elif objective == "reg:quantileerror":
+        g = np.where(margin >= t, 1.0 - alpha, -alpha)
+        h = np.ones_like(g)
     elif objective == "count:poisson":
         mean = np.exp(margin)
         g = mean - t

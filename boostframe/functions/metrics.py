@@ -101,8 +101,7 @@ def score(df: DataFrame, scoring: str, group: list[str], n_classes: int = 2) ->
     if scoring == "neg_mean_absolute_error":
         return df.groupBy(*g).agg((-F.avg(F.abs(e))).alias("score"))
     if scoring == "neg_median_absolute_error":
-        # sketch with rank error ≤ n / 10^6 (an exact median would hold a whole group in one task)
-        return df.groupBy(*g).agg((-F.percentile_approx(F.abs(e), 0.5, 1000000)).alias("score"))
+        return _negative_medians(df.select(*g, F.abs(e).alias("v")), group)
     if scoring == "neg_mean_absolute_percentage_error":
         return df.groupBy(*g).agg((-F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(_EPS)))).alias("score"))
     if scoring == "max_error":
@@ -110,6 +109,19 @@ def score(df: DataFrame, scoring: str, group: list[str], n_classes: int = 2) ->
     raise ValueError(f"unknown scoring {scoring!r}")
 
 
+def _negative_medians(df: DataFrame, group: list[str]) -> DataFrame:
+    """Minus the exact median of ``v`` per group (groups are few: folds and combinations)."""
+    from ..plans.quantiles import group_quantiles
+    spark, kinds = df.sparkSession, [df.schema[c] for c in group]
+    names = [tuple(r) for r in df.select(*group).distinct().collect()]
+    named = spark.createDataFrame([(*n, i) for i, n in enumerate(names)], T.StructType([*kinds, T.StructField("__g", T.LongType())]))
+    same = [df[c].eqNullSafe(named[c]) for c in group]
+    rows = df.join(F.broadcast(named), same).select(named["__g"].alias("g"), "v")
+    medians = group_quantiles(rows, [0.5])
+    return spark.createDataFrame([(*n, -medians[i][0] if i in medians else None) for i, n in enumerate(names)],
+                                 T.StructType([*kinds, T.StructField("score", T.DoubleType())]))
+
+
 def _safe_div(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 

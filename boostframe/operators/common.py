@@ -16,6 +16,7 @@ from ..functions.kernel import LOG_LINK
 from ..model import Model
 from ..plans import ranks
 from ..plans.binning import DataStats, binned_table, collect_stats, sum_value, target_sum
+from ..plans.quantiles import group_quantiles
 from ..plans.train import ModelSpec
 from ..schemas import CLASSIFICATION
 from ..sources import registry
@@ -191,6 +192,13 @@ def target_sums(prep: Prepared) -> dict:
     return {int(r["__fold"]): (int(r["n"]), sum_value(r["s"])) for r in rows}
 
 
+def order_centres(prep: Prepared, prob: float, folds: list[int]) -> dict[int, float]:
+    """The ``prob`` quantile of the target of all rows (fold -1) or of those outside each fold."""
+    outside = F.array(*[F.lit(f) if f < 0 else F.when(F.col("__fold") != f, F.lit(f)) for f in folds])
+    got = group_quantiles(prep.state.select(F.explode(outside).alias("g"), F.col("__y").alias("v")).where("g IS NOT NULL"), [prob])
+    return {f: got[f][0] if f in got else 0.0 for f in folds}
+
+
 # ------------------------------------------------------------------ prediction expressions
 
 def proba_columns(margins: list[Column], objective: str) -> list[Column]:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import kernel as K
 from ..plans.binning import distinct_values
 from ..plans.features import require_features
+from ..plans.quantiles import group_quantiles
 from ..schemas import CLASSIFICATION, PD_SCHEMA
 from .common import resolve_model
 from .predict import Scorer, _broadcast
@@ -31,8 +32,8 @@ def pd_grid(df: DataFrame, feature: str, grid_resolution: int) -> np.ndarray:
     if values is not None:
         raise ValueError(f"feature {feature!r} has no non-missing values")
     col = F.nanvl(F.col(feature).cast("double"), F.lit(None).cast("double"))
-    lo, hi = df.agg(F.percentile_approx(col, [0.05, 0.95], 10000).alias("q")).first()["q"]
-    return np.linspace(float(lo), float(hi), grid_resolution)
+    lo, hi = group_quantiles(df.select(F.lit(0).alias("g"), col.alias("v")), [0.05, 0.95])[0]
+    return np.linspace(lo, hi, grid_resolution)
 
 
 def _intervals(scorer: Scorer, j: int, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

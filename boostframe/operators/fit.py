@@ -15,7 +15,7 @@ from ..model import Model, ModelMeta, now_utc
 from ..plans.train import ModelSpec, train
 from ..schemas import CLASSIFICATION, FIT_SCHEMA, label_type_for
 from ..sources import registry
-from .common import (Prepared, base_margin, code_column, objective_for, prepare, target_sums,
+from .common import (Prepared, base_margin, code_column, objective_for, order_centres, prepare, target_sums,
                      value_column, with_margins)
 from .linear import train_linear
 
@@ -25,10 +25,14 @@ def make_specs(prep: Prepared, estimator: str, plist: list[dict], folds: list[in
     stats = prep.stats
     n_classes = len(stats.classes) if stats.classes is not None else None
     sums = target_sums(prep) if folds and folds != [-1] else None
+    categorical = [f.categorical for f in stats.features]
     specs = []
     for p in plist:
         objective, k = objective_for(stats.task, n_classes, p)
         rounds, parallel = P.training_shape(estimator, p)
+        signs = P.monotone_signs(p, stats.names, categorical)
+        quantile = P.order_quantile(objective, p)
+        centres = order_centres(prep, quantile, folds or [-1]) if quantile is not None and p["base_score"] is None else None
         for f in (folds or [-1]):
             if f < 0:
                 n = stats.n_rows
@@ -39,10 +43,12 @@ def make_specs(prep: Prepared, estimator: str, plist: list[dict], folds: list[in
             else:
                 n = sum(v[0] for fk, v in sums.items() if fk != f)
                 ys = sum(v[1] for fk, v in sums.items() if fk != f)
-            base = base_margin(objective, k, p, ys, n)
+            base = base_margin(objective, k, p, ys, n) if centres is None else np.array([centres[f]])
             specs.append(ModelSpec(p, rounds, parallel, objective, k, base, test_fold=f, n_train=n,
                                    seed=int(p["random_state"]), g_scale=_gradient_scale(stats, objective, base),
-                                   h_scale=_curvature_scale(stats, objective, p)))
+                                   h_scale=_curvature_scale(stats, objective, p),
+                                   monotone=None if signs is None else np.array(signs),
+                                   groups=P.interaction_groups(p, stats.names), leaf_quantile=quantile))
     return specs
 
 

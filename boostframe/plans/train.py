@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernel as K
-from . import splits
+from . import quantiles, splits
 from .binning import BINS_COL, DataStats, code_type, unpack_bins
 
 PENDING_TREES = 32          # trees applied inside the passes before the margins are rewritten
@@ -43,6 +43,7 @@ class ModelSpec:
     h_scale: float = K.FIXED_SCALE
     monotone: np.ndarray | None = None  # per feature: 1 rising, -1 falling, 0 free
     groups: list | None = None          # sets of features (by position) that may share a path
+    leaf_quantile: float | None = None  # leaves are this quantile of the residuals
 
 
 @dataclass
@@ -147,7 +148,8 @@ def best_first(p: dict) -> bool:
 
 
 def gradient_options(p: dict) -> tuple:
-    return tuple(float(p[k]) for k in ("scale_pos_weight", "tweedie_variance_power", "huber_slope", "max_delta_step"))
+    return tuple(float(p[k]) for k in ("scale_pos_weight", "tweedie_variance_power", "huber_slope", "max_delta_step",
+                                       "quantile_alpha"))
 
 
 def _feature_offsets(stats: DataStats) -> tuple[np.ndarray, np.ndarray, int]:
@@ -465,6 +467,8 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             _prune(g, s.params["gamma"], s.params)
             cg = _compact(g)
             done.append(cg)
+        if any(s.leaf_quantile is not None for s in specs):
+            _order_leaves(state, stats, specs, done, tree_ctx, n_margin, has_fold, pending.forest())
         # dart "tree" normalisation: new trees weigh 1/(k+lr), dropped trees are scaled by k/(k+lr)
         new_w = []
         for cg in done:
@@ -512,6 +516,38 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     return trees, state, cleanup
 
 
+def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pending) -> None:
+    """Set the leaves of trees under an order-statistic objective: the quantile of the residuals of the rows that grew them."""
+    mine = [i for i, g in enumerate(growers) if specs[g.model].leaf_quantile is not None]
+    forest = K.build_forest([growers[i].bin_tree() for i in mine], [0] * len(mine), [1.0] * len(mine))
+    slot_of = np.full(len(forest.feat), -1, np.int64)
+    leaves = [(i, n) for i in mine for n, f in enumerate(growers[i].feat) if f < 0]
+    at = {i: int(forest.offsets[j]) for j, i in enumerate(mine)}
+    for slot, (i, n) in enumerate(leaves):
+        slot_of[at[i] + n] = slot
+    n_feat, kind, trees = len(stats.features), code_type(stats.features), [tree_ctx[i] for i in mine]
+
+    def pairs(batch):
+        _, Xn, M, y, rid, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind)
+        _add_pending(pending, Xn, M)
+        slots, values = [], []
+        for t, (mcol, test_fold, sub, salt) in enumerate(trees):
+            used = np.ones(len(y), bool)
+            if test_fold >= 0:
+                used &= fold != test_fold
+            if sub < 1.0:
+                used &= K.uniform(rid, *salt) < sub
+            slots.append(slot_of[K.route(forest, Xn, np.array([t]))[used, 0]])
+            values.append((y - M[:, mcol])[used])
+        return np.concatenate(slots), np.concatenate(values)
+
+    counts = np.array([growers[i].N[n] for i, n in leaves])
+    probs = np.array([specs[growers[i].model].leaf_quantile for i, _ in leaves])
+    for (i, n), value in zip(leaves, quantiles.quantiles(state, pairs, counts, probs)):
+        s = specs[growers[i].model]
+        growers[i].value[n] = 0.0 if np.isnan(value) else float(value) * s.params["learning_rate"] / s.parallel
+
+
 def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest=None,
                    drop_col=None, pending=None) -> DataFrame:
     """The partial histograms of one data pass (`splits.PARTIAL` rows) for all slots of ``frontier``."""

@@ -157,6 +157,36 @@ def stump_nodes_sql(src, names, categorical, objective, rounds, label_cats=False
     return head + "\n" + "\nUNION ALL\n".join(sel)
 
 
+def deep_tree_sql() -> dict[str, str]:
+    """Node tables of trees of depth 2 and 3."""
+    from tree_oracles import nodes_sql, tree_ctes
+
+    def table(src, names, categorical, objective, rounds=2, depth=3, **options):
+        return tree_ctes(src, categorical, objective, rounds, depth, **options) + nodes_sql(names, categorical, rounds, depth)
+
+    out = {"fit_depth3_nodes": table(LI_REG, LI_REG_NAMES, [False] * 4, "reg:squarederror")}
+    out["fit_missing_nodes"] = table("""SELECT CAST(NULLIF(l_tax, 0.03) AS DOUBLE) AS x0, CAST(CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS DOUBLE) AS x1,
+        CAST(l_discount AS DOUBLE) AS x2, CAST(CAST((l_quantity > 30 AND l_discount < 0.05) OR l_tax = 0.03 AS INTEGER) AS DOUBLE) AS y FROM lineitem""",
+                                     ["tax", "quantity", "discount"], [False] * 3, "binary:logistic")
+    out["fit_category_nodes"] = table("""SELECT p_brand AS x0, p_type AS x1, CAST(p_size AS DOUBLE) AS x2,
+        CAST(p_size + 3 * length(p_type) + 10 * CAST(substr(p_brand, -1) AS INTEGER) AS DOUBLE) AS y FROM part""",
+                                      ["p_brand", "p_type", "p_size"], [True, True, False], "reg:squarederror")
+    multi = f"SELECT {LI_X}, CASE WHEN l_quantity <= 15 THEN 'low' WHEN l_quantity <= 35 THEN 'mid' ELSE 'high' END AS y FROM lineitem"
+    out["fit_softmax_nodes"] = " UNION ALL ".join(
+        f"SELECT * FROM ({tree_ctes(multi, [False] * 4, f'class:{label}:3', 1, 3)} {nodes_sql(LI_REG_NAMES, [False] * 4, 1, 3, f'CAST({k} AS INTEGER)')})"
+        for k, label in enumerate(["high", "low", "mid"]))
+    out["fit_poisson_price"] = table("SELECT CAST(l_quantity AS DOUBLE) AS x0, CAST(l_tax AS DOUBLE) AS x1, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem",
+                                     ["l_quantity", "l_tax"], [False] * 2, "count:poisson", depth=2, g_scale="32768.0", h_scale="16384.0")
+    bumpy = f"SELECT {LI_X}, CAST(l_quantity * (1 - l_discount) - CASE WHEN l_quantity > 30 THEN 25 ELSE 0 END + l_tax * l_linenumber AS DOUBLE) AS y FROM lineitem"
+    out["fit_monotone_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:squarederror", signs=[1, -1, 0, 1])
+    out["fit_interaction_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:squarederror", groups=[[0, 2], [1, 3]])
+    out["fit_absolute_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:absoluteerror", depth=2)
+    out["fit_quantile_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:quantileerror:0.9", depth=2)
+    out["median_error"] = """SELECT l_linestatus, round(-median(abs(CAST(l_extendedprice AS DOUBLE) - CAST(l_quantity * 1500 AS DOUBLE))), 6) AS score
+        FROM lineitem GROUP BY l_linestatus"""
+    return out
+
+
 def _expected(r: int) -> str:
     return f"(s{r}.HL / s{r}.Ht * s{r}.vL + s{r}.HR / s{r}.Ht * s{r}.vR)"
 
@@ -168,7 +198,7 @@ def sql_for() -> dict[str, str]:
     reg_head = stump_ctes(LI_REG, LI_REG_NAMES, reg_cat, "reg:squarederror", R)
     id_head = stump_ctes(LI_REG_ID, LI_REG_NAMES, reg_cat, "reg:squarederror", R)
     cat_head = stump_ctes(LI_CAT, LI_CAT_NAMES, cat_cat, "binary:logistic", 1)
-    out: dict[str, str] = {}
+    out: dict[str, str] = deep_tree_sql()
 
     out["labelled_table"] = f"""
 SELECT CAST(row_number() OVER (ORDER BY {LI_ALL}) - 1 AS BIGINT) AS sample_id,
