@@ -30,6 +30,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SKIPPED = frozenset("script style noscript template title textarea select option button svg math iframe object "
                     "audio video canvas head".split())
 RAW = frozenset("script style textarea title".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GROUPS = frozenset("nav header footer aside form article main section div ul ol dl menu table figure details dialog "
                    "fieldset".split())
 CONTENT, OUTSIDE = frozenset("article main".split()), frozenset("nav aside form footer menu dialog fieldset".split())
@@ -40,6 +41,7 @@ SIDE_NAMES = frozenset("ad ads adv advert advertisement advertising banner bread
                        "sidebar signup social sponsor sponsored subscribe toolbar topbar widget alert complementary "
                        "contentinfo discussion disqus recommended".split())
 NOT_ITSELF = frozenset("with has no without is show hide".split())
+STATES = frozenset("active aware disabled enabled hidden loaded off on open ready supported visible".split())
 MAIN_NAMES = frozenset("article content entry main post story articlebody".split())
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "inside_main", "at_side")
@@ -94,6 +96,8 @@ def _side_or_main(name: str, attributes: str, in_main: bool) -> str:
         if key.lower() in ("class", "id", "role"):
             for word in value.lower().split():
                 parts = [x for x in re.split(r"[-_:]+", word) if x] or [word]
+                if len(parts) > 1 and parts[-1] in STATES:           # "share-enabled" says how a page is, not what
+                    continue
                 names.update((word, parts[0]))                       # "ad-slot" is an ad, "post-comments" holds comments,
                 if parts[0] not in NOT_ITSELF:                       # "with-sidebar" is no sidebar
                     names.add(parts[-1])
@@ -188,17 +192,37 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
 
 
 def _skip(page: str, at: int, name: str) -> int:
-    """The place after the end tag of a skipped element; raw ones end at the first such tag, others may nest."""
-    depth = 1
-    for tag in re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
-        if name == "head" or name in RAW or tag[1]:
-            if tag[1]:
-                depth -= 1
-        else:
-            depth += 1
-        if not depth:
-            return tag.end()
-    return len(page) if name != "head" else at
+    """The place after a skipped element whose start tag ends at ``at``.
+
+    Raw ones end at the first end tag of theirs. Others may nest; one without its end tag ends where an element around
+    it does, or where an article, a main part or (after an option) the next option begins.
+    """
+    if name in RAW or name == "head":
+        tag = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+        return tag.end() if tag else len(page) if name != "head" else at
+    inside = [name]
+    while True:
+        tag = _TOKEN.search(page, at)
+        if not tag:
+            return len(page)
+        at = tag.end()
+        found = (tag["name"] or tag["name2"] or "").lower()
+        if not found:
+            continue
+        if tag["end"] or tag["end2"]:
+            if found in inside:
+                while inside.pop() != found:
+                    pass
+                if not inside:
+                    return at
+            elif found not in INLINE:
+                return tag.start()
+        elif found in CONTENT or found == name == "option":
+            return tag.start()
+        elif found in RAW:
+            at = _skip(page, at, found)
+        elif found not in VOID and not (tag["rest"] or tag["rest2"] or "").endswith("/"):
+            inside.append(found)
 
 
 # ------------------------------------------------------------------------------------------------ tree

@@ -1,15 +1,15 @@
 """Removal of lines that repeat across documents (operator 5, DataFrame functions only).
 
-Lines are reduced to a 128-bit hash of their key before anything moves. The hashes are range-partitioned together with
-document and position and sorted within each partition, so a hash that a third of all lines carry spreads over many
-partitions. The sorted run is streamed once: first the (hash, document) groups, in place, then per hash the number of
-documents and the largest document, combined before their shuffle. Back come no texts but, per document, a compressed
-bitmap: 64-bit words of dropped positions, with empty words left out.
+Lines are reduced to a 128-bit hash of their key before anything moves. The hashes are range-partitioned together with the
+document, so a hash that a third of all lines carry spreads over many partitions, and sorted within each partition by hash,
+document and position. A window streams the sorted run, in place, and lets the first occurrence in each (hash, document)
+through; these are counted per hash, with the largest document, combined before their shuffle. Back come no texts but, per
+document, a compressed bitmap: 64-bit words of dropped positions, with empty words left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import UPPER, WHITE, cut, prepare, table
@@ -38,10 +38,10 @@ def repeated_line_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int =
              .where(F.length("line") >= min_chars).where(F.length(key) >= min_chars)
              .select("doc_id", "print", "pos", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key).alias("h2")))
     lines = cut(lines, "lines")
-    sorted_runs = (lines.repartitionByRange("h1", "h2", "doc_id")
-                   .sortWithinPartitions("h1", "h2", "doc_id", "pos"))
-    held = sorted_runs.groupBy("h1", "h2", "doc_id").agg(F.min("pos").alias("first_pos"))
-    common = (held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
+    run = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")          # the range partitioning serves it as it is
+    firsts = (lines.repartitionByRange("h1", "h2", "doc_id").select("h1", "h2", "doc_id", "pos")
+              .withColumn("nth", F.row_number().over(run)).where("nth = 1"))
+    common = (firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
               .where(F.col("n_docs") >= min_docs))
     common = cut(common, "common")
     words = (lines.join(common, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))

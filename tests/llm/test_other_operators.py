@@ -249,3 +249,36 @@ def test_pipeline_stages_pass_extra_columns_on(spark):  # noqa: F811
         wide = stage(spark, wide, SF)
     assert wide.columns == [*docs.columns, "_id", "_p", "fp", "component_id", "row"]
     assert wide.where("_id IS DISTINCT FROM doc_id OR _p IS DISTINCT FROM text OR row IS DISTINCT FROM source").count() == 0
+
+
+@pytest.mark.parametrize("before", [
+    "<datalist id=d><option value=a><option value=b></datalist>", "<select><option>one<option>two</select>", "<button>Press", "<object data=x>",
+    "<div><button>Press</div>", "<p><button>Press</p>", "<svg><path d='M0'/><g></svg>", "<video src=v><source src=w>", "<button><script>'</button>'</script>x</button>",
+    "<noscript><div>off</div></noscript>", "<object><object>a</object>b</object>"])
+def test_skipped_elements_end(before):
+    tree = html_text.train_tree()
+    words = "These are the words of the story that is told here at length, one after the other, until it ends."
+    page = f"<html><body>{before}<article><h1>Title here</h1><p>{words}</p></article><footer>end</footer></body></html>"
+    assert html_text.main_text(page, tree) == f"Title here {words}"
+
+
+def test_state_words_mark_no_sides():
+    tree = html_text.train_tree()
+    words = "These are the words of the story that is told here at length, one after the other, until it ends."
+    assert html_text.main_text(f"<div class='page share-enabled'><article><p>{words}</p></article></div>", tree) == words
+    assert html_text.main_text(f"<div class='share-buttons'><p>{words}</p></div>", tree) == ""
+
+
+def test_line_dedup_streams_a_sorted_run(spark):  # noqa: F811
+    """The plan sorts by hash, document and position behind the range partitioning and shuffles no second time for it."""
+    from boostframe.llm import line_dedup
+    seen = []
+    original = line_dedup.cut
+    line_dedup.cut = lambda df, name: (seen.append((name, df._jdf.queryExecution().optimizedPlan().toString())), original(df, name))[1]
+    try:
+        docs = spark.createDataFrame([(i, "a line that is long enough to be counted as repeated\nother") for i in range(8)], "doc_id long, text string")
+        assert line_dedup.drop_repeated_lines(docs).where("size(kept) = 1").count() == 7
+    finally:
+        line_dedup.cut = original
+    plan = dict(seen)["common"]
+    assert "RepartitionByExpression [h1" in plan and "row_number()" in plan and "pos#" in plan.split("Window")[1].split("\n")[0]
