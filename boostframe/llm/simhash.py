@@ -205,7 +205,8 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     groups = simhash_groups(docs.select(key.alias("doc_id"), "text"), **options)
     kept = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct(), "kept")
     rows = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), key.alias("key"))
-    return (rows.join(kept, F.col("key").eqNullSafe(F.col("kept")), "left_semi").dropDuplicates(["key"]).select("row.*"))
+    # the key is never null itself, so a plain equality serves, and one shuffle by it serves the join and what follows
+    return rows.join(kept, F.col("key") == F.col("kept"), "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def query(spark, sf_dir):

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, prepare, releasing, shared_path, table
 
 END_ID = 1
-SHARD_TOKENS, SLICE_BYTES = 3_000_000, 3 << 20
-FIRST_PAIRS, MIN_COUNT = 1500, 16
-KNOWN_UNITS = 1_000_000
+SHARD_TOKENS, SLICE_BYTES = 3_000_000, 6 << 20
+FIRST_PAIRS, MIN_COUNT = 8000, 16
+KNOWN_UNITS = 1_500_000
 
 
 def _hashes(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +76,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.first, self.second = np.empty(0, np.uint64), np.empty(0, np.uint64)      # hashes, ordered by the first
-        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)          # the unit's place among the ids
+        self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int32)          # the unit's place among the ids
         self.ids = np.empty(0, np.uint32)
 
     def _is_whole(self, letter: str) -> bool:
