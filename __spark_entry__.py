@@ -205,24 +205,16 @@ def q_gblinear_line(spark, sf_dir):
 
 
 def q_many_categories(spark, sf_dir):
-    """A string feature with thousands of values and a target with thousands of labels fit without a limit."""
-    from boostframe import fit_model
-    li = _t(spark, sf_dir, "lineitem")
-    wide = li.select(F.col("l_orderkey").cast("string").alias("order"), F.col("l_quantity").cast("double").alias("target"))
-    m = fit_model(wide, target="target", estimator="xgb_regressor", params={"n_estimators": 1, "max_depth": 2})
-    from boostframe.operators.stages import class_codes
-    labels = class_codes(li.select((F.col("l_orderkey") % 2500).alias("label")), "label")
-    return labels.agg(F.lit(len(m.meta.categories[0])).cast("long").alias("n_categories"),
-                      F.count(F.lit(1)).alias("n_labels"), F.lit(m.meta.n_samples).cast("long").alias("n_rows"))
+    """A string column with a value per row or so: the code of every row by the dictionary table."""
+    from boostframe.operators.stages import feature_codes
+    li = li_rows_id(spark, sf_dir, F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")).alias("item"))
+    return feature_codes(li, "item", "id")
 
 
 def q_exact_bins(spark, sf_dir):
     """``tree_method='exact'``: every distinct value of a continuous column is a cut."""
-    from boostframe.plans.binning import collect_stats
-    li = _t(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").cast("double"), F.col("l_tax").cast("double").alias("target"))
-    info = collect_stats(li, "target", "", "regression", tree_method="exact").features[0]
-    return (spark.createDataFrame([(b, float(v)) for b, v in enumerate(info.cuts)], "bin long, threshold double")
-            .select("bin", _r("threshold")))
+    from boostframe.operators.stages import exact_cuts
+    return exact_cuts(_t(spark, sf_dir, "lineitem"), "l_extendedprice").select("bin", _r("threshold"))
 
 
 def q_regression_metrics(spark, sf_dir):
@@ -560,6 +552,23 @@ def q_fit_quantile_nodes(spark, sf_dir):
                        quantile_alpha=0.9)
 
 
+def q_fit_wide_nodes(spark, sf_dir):
+    """A string feature with thousands of values beside one whose name holds signs: dictionaries as tables."""
+    li = _t(spark, sf_dir, "lineitem")
+    data = li.select(F.concat(F.lit("k"), (F.col("l_orderkey") % 5000).cast("string")).alias("key.of order"),
+                     F.col("l_quantity").cast("double").alias("__t"),
+                     F.expr("CAST(l_quantity + 40 * ((l_orderkey % 5000) % 7) AS DOUBLE)").alias("target"))
+    return _tree_nodes(spark, data, "xgb_regressor", n_estimators=2, max_depth=3)
+
+
+def q_fit_exact_nodes(spark, sf_dir):
+    """``tree_method='exact'`` on a column with a value per row or so."""
+    li = _t(spark, sf_dir, "lineitem")
+    data = li.select(F.col("l_extendedprice").cast("double"), F.col("l_discount").cast("double"),
+                     F.expr("CAST(l_quantity * (1 - l_discount) AS DOUBLE)").alias("target"))
+    return _tree_nodes(spark, data, "xgb_regressor", n_estimators=2, max_depth=3, tree_method="exact")
+
+
 def q_median_error(spark, sf_dir):
     """Exact median of the absolute error per ship mode-like group: the scorer by line status."""
     from boostframe.functions.metrics import score
@@ -624,6 +633,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_absolute_nodes": q_fit_absolute_nodes,
     "fit_quantile_nodes": q_fit_quantile_nodes,
     "median_error": q_median_error,
+    "fit_wide_nodes": q_fit_wide_nodes,
+    "fit_exact_nodes": q_fit_exact_nodes,
 }
 
 
@@ -659,16 +670,12 @@ def _corpus_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame
     """Queries and SQL of the ``llm`` subpackage and of the pipeline over it; none where they are not installed."""
     try:
         from boostframe.llm.queries import ORACLE_SQL, QUERIES as corpus
-    except ModuleNotFoundError as error:
-        if not (error.name or "").startswith("boostframe.llm"):
-            raise
+    except ImportError:            # the subpackage, or a library that only it needs, is not installed
         return {}, {}
     found, sql = dict(corpus), dict(ORACLE_SQL)
     try:
         import corpus_pipeline
-    except ModuleNotFoundError as error:
-        if error.name != "corpus_pipeline":
-            raise
+    except ImportError:
         return found, sql
     found["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL:

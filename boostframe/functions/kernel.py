@@ -22,7 +22,8 @@ class Forest:
     right: np.ndarray         # int32 [N]
     value: np.ndarray         # float64 [N], leaf value (0 at inner nodes)
     catrow: np.ndarray        # int32 [N], row of ``catbits`` for categorical splits, else -1
-    catbits: np.ndarray       # bool [C, W], categories (codes) that go left
+    catbits: np.ndarray       # bool [C, W + 1], which of ``catcodes`` go left; the last entry stands for all other codes
+    catcodes: np.ndarray      # int64 [W], the codes that any split names, in order
     roots: np.ndarray         # int32 [T]
     tree_class: np.ndarray    # int32 [T]
     tree_weight: np.ndarray   # float64 [T]
@@ -60,16 +61,15 @@ def build_forest(trees: list[dict], tree_class: list[int], tree_weight: list[flo
                 cat_sets.append(list(cs))
         depth = max(depth, _tree_depth(tr["left"], tr["right"]))
         base += n
-    width = max([max(cs) + 1 for cs in cat_sets if cs] + [1])
-    catbits = np.zeros((max(len(cat_sets), 1), width), dtype=bool)
+    codes = np.unique(np.concatenate([np.asarray(cs, np.int64) for cs in cat_sets])) if cat_sets else np.empty(0, np.int64)
+    catbits = np.zeros((max(len(cat_sets), 1), len(codes) + 1), dtype=bool)
     for i, cs in enumerate(cat_sets):
-        if cs:
-            catbits[i, np.asarray(cs, dtype=np.int64)] = True
+        catbits[i, np.searchsorted(codes, cs)] = True
     return Forest(
         feat=np.asarray(feats, dtype=np.int32), thr=np.asarray(thrs, dtype=np.float64),
         dleft=np.asarray(dls, dtype=bool), left=np.asarray(lefts, dtype=np.int32),
         right=np.asarray(rights, dtype=np.int32), value=np.asarray(vals, dtype=np.float64),
-        catrow=np.asarray(catrows, dtype=np.int32), catbits=catbits,
+        catrow=np.asarray(catrows, dtype=np.int32), catbits=catbits, catcodes=codes,
         roots=np.asarray(roots, dtype=np.int32), tree_class=np.asarray(tree_class, dtype=np.int32),
         tree_weight=np.asarray(tree_weight, dtype=np.float64), depth=depth,
         offsets=np.asarray(offsets, dtype=np.int32))
@@ -96,11 +96,7 @@ def go_left(forest: Forest, idx: np.ndarray, x: np.ndarray) -> np.ndarray:
     cr = forest.catrow[idx]
     is_cat = cr >= 0
     if is_cat.any():
-        width = forest.catbits.shape[1]
-        code = np.where(miss | ~is_cat, 0, x).astype(np.int64)
-        in_range = (code >= 0) & (code < width)
-        bits = forest.catbits[np.maximum(cr, 0), np.clip(code, 0, width - 1)] & in_range
-        res = np.where(is_cat, bits, res)
+        res = np.where(is_cat, forest.catbits[np.maximum(cr, 0), _code_place(forest, x)], res)
     return np.where(miss, forest.dleft[idx], res)
 
 
@@ -141,10 +137,15 @@ def route(forest: Forest, X: np.ndarray, tree_ids: np.ndarray | None = None) ->
     return out
 
 
+def _code_place(forest: Forest, x: np.ndarray) -> np.ndarray:
+    """Column of ``catbits`` for codes ``x``: the last one for codes (or missing values) that no split names."""
+    codes = forest.catcodes
+    place = np.searchsorted(codes, x)
+    return np.where(codes[np.minimum(place, len(codes) - 1)] == x, place, len(codes)) if len(codes) else np.zeros(len(x), np.int64)
+
+
 def _category_left(forest: Forest, rows: np.ndarray, x: np.ndarray, left: np.ndarray) -> np.ndarray:
-    width = forest.catbits.shape[1]
-    known = (x >= 0) & (x < width)
-    bits = forest.catbits[np.maximum(rows, 0), np.where(known, x, 0).astype(np.int64)] & known
+    bits = forest.catbits[np.maximum(rows, 0), _code_place(forest, x)]
     return np.where(rows >= 0, bits, left)
 
 

@@ -26,6 +26,7 @@ class ModelMeta:
     feature_names: list[str]
     categorical: list[bool] | None = None
     categories: list[list[str] | None] | None = None     # dictionaries of the string features
+    open_dictionary: list[bool] | None = None             # of these, which hold only the values that splits name
     # answers
     task: str = "regression"
     objective: str = "reg:squarederror"
@@ -91,7 +92,7 @@ class Model:
                     nodes["threshold"].append(infos[f].threshold(g.split_bin[i]))
                 else:
                     nodes["threshold"].append(None)
-                nodes["left_cats"].append(list(g.cats[i]) if (f >= 0 and g.cats[i] is not None) else None)
+                nodes["left_cats"].append(infos[f].model_codes(g.cats[i]) if (f >= 0 and g.cats[i] is not None) else None)
                 nodes["default_left"].append(bool(g.dleft[i]) if f >= 0 else None)
                 nodes["left_id"].append(int(g.left[i]) if f >= 0 else None)
                 nodes["right_id"].append(int(g.right[i]) if f >= 0 else None)
@@ -108,7 +109,8 @@ class Model:
     def feature_infos(self) -> list[FeatureInfo]:
         cat = self.meta.categorical or [False] * len(self.meta.feature_names)
         cats = self.meta.categories or [None] * len(self.meta.feature_names)
-        return [FeatureInfo(n, bool(c), categories=cs) for n, c, cs in zip(self.meta.feature_names, cat, cats)]
+        opened = self.meta.open_dictionary or [False] * len(self.meta.feature_names)
+        return [FeatureInfo(n, bool(c), categories=cs, open=bool(o)) for n, c, cs, o in zip(self.meta.feature_names, cat, cats, opened)]
 
     def forest(self) -> K.Forest:
         """Flattened trees for the scoring kernels (value-space thresholds, category codes)."""

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.kernel import LOG_LINK
 from ..model import Model
 from ..plans import ranks
-from ..plans.binning import DataStats, binned_table, collect_stats, sum_value, target_sum
+from ..plans.binning import DataStats, binned_table, collect_stats, materialise, sum_value, target_sum  # noqa: F401
 from ..plans.quantiles import group_quantiles
 from ..plans.train import ModelSpec
 from ..schemas import CLASSIFICATION
@@ -86,21 +86,6 @@ def value_column(margin: Column, objective: str) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) if objective == "reg:logistic" else margin
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write the (row-sized) result to the cluster's checkpoint directory so the training state can be
-    released; falls back to a persisted frame when no checkpoint directory is configured."""
-    spark = df.sparkSession
-    try:
-        has_dir = spark.sparkContext.getCheckpointDir() is not None
-    except Exception:
-        has_dir = False
-    if has_dir:
-        return df.checkpoint(eager=True)
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    return out
-
-
 @dataclass
 class Prepared:
     stats: DataStats
@@ -119,7 +104,8 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
     if id_col and id_col not in df.columns:
         raise ValueError(f"id column {id_col!r} not found in input; columns: {', '.join(df.columns)}")
     if stats is None:
-        stats = collect_stats(df, target, id_col, task, params["max_bin"], params["tree_method"])
+        method = "hist" if params.get("booster") == "gblinear" else params["tree_method"]      # linear models have no bins
+        stats = collect_stats(df, target, id_col, task, params["max_bin"], method)
     if task != CLASSIFICATION:
         check_target_range(params.get("objective"), stats.y_min, stats.y_max)
     binned = binned_table(df, stats, id_col, keep_raw=params.get("booster") == "gblinear")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernel as K
 from ..plans.binning import distinct_values
-from ..plans.features import require_features
+from ..plans.features import positional, quoted, require_features
 from ..plans.quantiles import group_quantiles
 from ..schemas import CLASSIFICATION, PD_SCHEMA
 from .common import resolve_model
@@ -31,7 +31,7 @@ def pd_grid(df: DataFrame, feature: str, grid_resolution: int) -> np.ndarray:
         return np.asarray(values, dtype=np.float64)
     if values is not None:
         raise ValueError(f"feature {feature!r} has no non-missing values")
-    col = F.nanvl(F.col(feature).cast("double"), F.lit(None).cast("double"))
+    col = F.nanvl(quoted(feature).cast("double"), F.lit(None).cast("double"))
     lo, hi = group_quantiles(df.select(F.lit(0).alias("g"), col.alias("v")), [0.05, 0.95])[0]
     return np.linspace(lo, hi, grid_resolution)
 
@@ -60,10 +60,10 @@ def partial_dependence(df: DataFrame, model_name: str = "", model: Any = None, f
     require_features(df, feats)
     if grid_resolution < 2:
         raise ValueError("grid_resolution must be >= 2")
-    data = df.select(*feats)
+    data = df.select(*positional(feats))
     if data.isEmpty():
         raise ValueError("partial_dependence received no rows")
-    grid = pd_grid(data, feature, grid_resolution)
+    grid = pd_grid(df, feature, grid_resolution)
     G = len(grid)
     scorer = _broadcast(spark, Scorer(m))
     is_cls = m.meta.task == CLASSIFICATION

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions import shap as S
-from ..plans.features import check_feature_types, require_features
+from ..plans.features import check_feature_types, positional, quoted, require_features
 from ..schemas import CLASSIFICATION
 from .common import resolve_model
 from .predict import Scorer, _arrow_schema, _broadcast
@@ -49,7 +49,7 @@ def explain(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
     bc = _broadcast(spark, (scorer, cover, base))
     n_feat = len(feats)
     names = pa.array(feats, pa.string())
-    cols = ([id] if id else []) + [f for f in feats if f != id]
+    cols = ([quoted(id).alias("__id")] if id else []) + positional(feats)
 
     def kernel(batches):
         sc, cov, b0 = bc.value
@@ -71,7 +71,7 @@ def explain(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
                 row_idx = np.repeat(np.arange(n), n_feat)
                 cols_ = []
                 if id:
-                    cols_.append(batch.column(id).take(pa.array(row_idx)))
+                    cols_.append(batch.column("__id").take(pa.array(row_idx)))
                 if multiclass:
                     cols_.append(pa.array(np.full(n * n_feat, k, dtype=np.int64)))
                 cols_ += [names.take(pa.array(np.tile(np.arange(n_feat), n))), pa.array(phi[k].ravel()),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions.kernel import FIXED_SCALE, scale_for
 from ..model import Model, ModelMeta, now_utc
+from ..plans.binning import look_up
 from ..plans.train import ModelSpec, train
 from ..schemas import CLASSIFICATION, FIT_SCHEMA, label_type_for
 from ..sources import registry
@@ -108,11 +109,12 @@ def in_sample_score(final: DataFrame, spec: ModelSpec, cols: list[str], task: st
 def build_model(prep: Prepared, estimator: str, target: str, p: dict, spec: ModelSpec, result: Any,
                 train_score: float | None, name: str = "") -> Model:
     stats = prep.stats
+    infos = stats.features if p["booster"] == "gblinear" else look_up(stats, result)
     meta = ModelMeta(
         name=name, estimator=estimator, task=stats.task, target=target, feature_names=stats.names,
         params={k: v for k, v in p.items()},
         categorical=[f.categorical for f in stats.features],
-        categories=[f.categories if f.categorical else None for f in stats.features],
+        categories=[f.model_categories() for f in infos], open_dictionary=[f.categorical and f.wide is not None for f in infos],
         classes=stats.classes, label_type=label_type_for(stats.target_type).simpleString()
         if stats.classes is not None else "double",
         n_samples=stats.n_rows, n_features=len(stats.features), train_score=train_score,
@@ -121,7 +123,7 @@ def build_model(prep: Prepared, estimator: str, target: str, p: dict, spec: Mode
     if p["booster"] == "gblinear":
         meta.linear_weights, meta.linear_bias = result
         return Model(meta, Model.empty_nodes(), [], [])
-    return Model.from_growers(meta, result, stats.features)
+    return Model.from_growers(meta, result, infos)
 
 
 def fit_model(df: DataFrame, target: str = "", estimator: str = "xgb_classifier", id: str = "",

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import metrics as MX
 from ..plans import ranks
-from ..plans.features import require_features
+from ..plans.features import positional, quoted, require_features
 from ..schemas import CLASSIFICATION, IMPORTANCE_SCHEMA, NODE_SCHEMA, PERM_SCHEMA
 from .common import resolve_model
 from .predict import Scorer, _broadcast
@@ -77,9 +77,9 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
     task = m.meta.task
     scoring = MX.check_scoring(scoring, task)
     MX.check_classes(scoring, m.meta.classes) if task == CLASSIFICATION else None
-    base = df.select(*feats, F.col(target).alias("__t"),
-                     F.xxhash64(*[F.col(c) for c in df.columns]).alias("__rid"),
-                     *([F.col(id).alias("__id")] if id else []))
+    base = df.select(*positional(feats), quoted(target).alias("__t"),
+                     F.xxhash64(*[quoted(c) for c in df.columns]).alias("__rid"),
+                     *([quoted(id).alias("__id")] if id else []))
     order = (["__id"] if id else []) + ["__rid"]
     ranked, info, layout = ranks.with_rank(base, order)
     n = info.totals[0] if info.totals else 0
@@ -95,9 +95,9 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
         moves.append((a, int(rng.randint(0, 1 << 20))))
     every = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), ((F.col("__rank") * F.lit(a) + F.lit(b)) % F.lit(n)).alias("dst"))
                                 for k, (a, b) in enumerate(moves)]))
-    donor = (ranked.select(every.alias("to"), *[F.col(f).alias(f"__d{j}") for j, f in enumerate(feats)])
+    donor = (ranked.select(every.alias("to"), *[F.col(f"f{j}").alias(f"__d{j}") for j in range(len(feats))])
              .select("to.*", *[f"__d{j}" for j in range(len(feats))]))
-    recv = ranked.select(*feats, "__t", "__rank", F.explode(F.array(*[F.lit(k) for k in range(n_repeats)])).alias("k"))
+    recv = ranked.select(*[f"f{j}" for j in range(len(feats))], "__t", "__rank", F.explode(F.array(*[F.lit(k) for k in range(n_repeats)])).alias("k"))
     joined = (recv.join(donor.withColumnRenamed("k", "__k"), (F.col("k") == F.col("__k")) & (F.col("__rank") == F.col("dst")))
               .drop("__k", "dst", "__rank"))
     pairs = [(j, k) for j in range(len(feats)) for k in range(n_repeats)]
@@ -128,7 +128,7 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
                 continue
             X = sc.matrix(batch)
             lent = batch.select([f"__d{j}" for j in range(len(feats))])
-            D = sc.matrix(pa.RecordBatch.from_arrays(lent.columns, names=feats))
+            D = sc.matrix(pa.RecordBatch.from_arrays(lent.columns, names=[f"f{j}" for j in range(len(feats))]))
             k = batch.column("k").to_numpy(zero_copy_only=False)
             for j in range(len(feats)):
                 own = X[:, j].copy()

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import kernel as K
 from ..model import FORMAT_VERSION, Model
 from ..plans.binning import encode_features
-from ..plans.features import check_feature_types, require_features
+from ..plans.features import check_feature_types, positional, quoted, require_features
 from ..schemas import CLASSIFICATION
 from .common import proba_names, resolve_model
 
@@ -119,7 +119,7 @@ def predict(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
     is_cls = m.meta.task == CLASSIFICATION
     classes = m.meta.classes
     label_type = label_arrow_type(m) if is_cls else None
-    cols = ([id] if id else []) + [f for f in feats if f != id]
+    cols = ([quoted(id).alias("__id")] if id else []) + positional(feats)
 
     def kernel(batches):
         sc: Scorer = bc.value
@@ -128,7 +128,7 @@ def predict(df: DataFrame, model_name: str = "", model: Any = None, id: str = ""
             X = sc.matrix(batch)
             out = []
             if id:
-                out.append(batch.column(id))
+                out.append(batch.column("__id"))
             if pred_leaf:
                 L = sc.leaves(X)
                 out.append(pa.ListArray.from_arrays(

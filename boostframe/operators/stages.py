@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..plans import splits
 from ..plans import train as TR
-from ..plans.binning import collect_stats
-from ..plans.features import categorical_mask
+from ..plans.binning import collect_stats, dictionary_table
+from ..plans.features import categorical_mask, quoted
 from ..plans.ranks import with_rank
 from .common import materialise, prepare, with_margins
 from .fit import make_specs
@@ -21,7 +21,7 @@ def category_dictionary(df: DataFrame, features: list[str]) -> DataFrame:
     """``(feature, code, category)``: sorted distinct non-NULL strings per categorical column, numbered by the distributed
     ranking, so no column's values meet in one task."""
     cat = categorical_mask(df, features)
-    parts = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("category"))
+    parts = [F.struct(F.lit(f).alias("feature"), quoted(f).cast("string").alias("category"))
              for f, c in zip(features, cat) if c]
     if not parts:
         return df.sparkSession.createDataFrame([], "feature string, code int, category string")
@@ -34,7 +34,7 @@ def category_dictionary(df: DataFrame, features: list[str]) -> DataFrame:
 def bin_cuts(df: DataFrame, features: list[str], max_bin: int = 256, target: str | None = None) -> DataFrame:
     """``(feature, bin, threshold)``: x < threshold ⇔ bin ≤ ``bin`` for every numeric feature."""
     tgt = target or features[0]
-    stats = collect_stats(df.select(*dict.fromkeys(features + [tgt])), tgt, "", "regression", max_bin,
+    stats = collect_stats(df.select(*map(quoted, dict.fromkeys(features + [tgt]))), tgt, "", "regression", max_bin,
                           features=features)
     rows = []
     for info in stats.features:
@@ -43,9 +43,24 @@ def bin_cuts(df: DataFrame, features: list[str], max_bin: int = 256, target: str
     return df.sparkSession.createDataFrame(rows, "feature string, bin int, threshold double")
 
 
+def exact_cuts(df: DataFrame, feature: str) -> DataFrame:
+    """``(bin, threshold)`` under ``tree_method="exact"``: every distinct value but the least is a cut, numbered by the
+    distributed ranking."""
+    values = dictionary_table(df, feature, categorical=False)
+    return values.where("code > 0").select((F.col("code") - 1).alias("bin"), F.col("value").alias("threshold"))
+
+
+def feature_codes(df: DataFrame, feature: str, id: str) -> DataFrame:
+    """``(id, code)``: the code of every row's value in the feature's sorted dictionary, joined from the table; -1 = missing."""
+    categorical = categorical_mask(df, [feature])[0]
+    table = dictionary_table(df, feature, categorical)
+    rows = df.select(quoted(id).alias("id"), quoted(feature).cast("string" if categorical else "double").alias("value"))
+    return rows.join(table, "value", "left").select("id", F.coalesce("code", F.lit(-1)).alias("code"))
+
+
 def class_codes(df: DataFrame, target: str) -> DataFrame:
     """``(label, code, n)``: sorted labels and their counts (the target encoding)."""
-    counts = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(quoted(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     ranked, _, _ = with_rank(counts, ["label"])
     return ranked.select(F.col("label").cast("string").alias("label"), F.col("__rank").cast("int").alias("code"), "n")
 
@@ -85,4 +100,4 @@ def assign_folds(df: DataFrame, target: str, id: str, cv: int = 5, estimator: st
     return out
 
 
-__all__ = ["category_dictionary", "bin_cuts", "class_codes", "root_histogram", "assign_folds"]
+__all__ = ["category_dictionary", "bin_cuts", "exact_cuts", "feature_codes", "class_codes", "root_histogram", "assign_folds"]

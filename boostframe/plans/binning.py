@@ -1,14 +1,16 @@
 """Training statistics and the binned table.
 
-One aggregation checks the target, one pass finds the exact distinct values of every feature that has
-at most ``max_bin`` of them (each task gives up on a numeric column at the first value beyond), quantile
-sketches follow for the others; a narrow ``mapInArrow`` turns every feature into a bin code (-1 =
-missing). What reaches the driver is what a model holds: cuts, dictionaries of the string features, labels.
+One aggregation checks the target, one pass finds the exact distinct values of every feature that has few of them: at
+most ``max_bin`` numbers, ``DICTIONARY`` strings (each task gives up on a column at the first value beyond). Quantile
+sketches follow for the other numbers. String columns beyond, and under ``tree_method="exact"`` numbers beyond, get a
+dictionary that is a table: their distinct values with the codes of a distributed ranking, joined back to the rows. Of it
+the driver sees only the values that a split uses in the end (`look_up`). A ``mapInArrow`` turns every feature into a bin
+code (-1 = missing).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 import numpy as np
@@ -20,8 +22,10 @@ from pyspark.sql import types as T
 
 from ..functions.kernel import FIXED_SCALE
 from ..schemas import CLASSIFICATION
-from .features import categorical_mask, feature_columns
+from .features import categorical_mask, feature_columns, positional, quoted
+from .ranks import with_rank
 
+DICTIONARY = 4096         # values of a dictionary that a model holds whole; beyond, dictionaries are tables
 _QUANTILE_GROUP = 16      # quantile sketches per aggregation job (bounds task memory on wide tables)
 
 
@@ -31,15 +35,32 @@ class FeatureInfo:
     categorical: bool
     cuts: np.ndarray | None = None          # numeric: x < cuts[b] ⇔ bin ≤ b
     categories: list[str] | None = None     # categorical: sorted dictionary, code = index
+    wide: int | None = None                 # number of values, if the dictionary is a table
+    open: bool = False                      # ``categories`` are those that splits name; others are ordinary, not missing
+    used: dict | None = None                # wide: code → value of the codes that splits use
 
     @property
     def n_bins(self) -> int:
+        if self.wide is not None:
+            return max(self.wide, 1)
         if self.categorical:
             return max(len(self.categories or []), 1)
         return len(self.cuts) + 1
 
     def threshold(self, split_bin: int) -> float:
-        return float(self.cuts[split_bin])
+        return float(self.used[split_bin + 1] if self.wide is not None else self.cuts[split_bin])
+
+    def model_categories(self) -> list[str] | None:
+        if not self.categorical:
+            return None
+        return sorted(self.used.values()) if self.wide is not None else self.categories
+
+    def model_codes(self, codes: list[int]) -> list[int]:
+        """Codes of the model's dictionary for those of the bins."""
+        if self.wide is None:
+            return list(codes)
+        place = {v: i for i, v in enumerate(sorted(self.used.values()))}
+        return sorted(place[self.used[c]] for c in codes)
 
 
 @dataclass
@@ -54,6 +75,7 @@ class DataStats:
     y_sum: float = 0.0
     y_min: float | None = None
     y_max: float | None = None
+    tables: dict | None = None          # position of a wide feature → its dictionary (value, code)
 
     @property
     def names(self) -> list[str]:
@@ -74,9 +96,11 @@ def sum_value(row) -> float:
     return float(row["fixed"]) / FIXED_SCALE if 2.0 ** -4 <= row["largest"] < 2.0 ** 40 else float(row["plain"])
 
 
-def distinct_values(df: DataFrame, feats: list[str], cat: list[bool], limit: int | None) -> list[list | None]:
-    """Distinct values of every feature without missing ones; None for a numeric one with more than ``limit``."""
-    cols = df.select(*[F.col(f).cast("string" if c else "double").alias(f"c{j}") for j, (f, c) in enumerate(zip(feats, cat))])
+def distinct_values(df: DataFrame, feats: list[str], cat: list[bool], limit: int) -> list[list | None]:
+    """Distinct values of every feature without missing ones; None for a numeric one with more than ``limit`` and for a
+    string one with more than DICTIONARY."""
+    limits = [DICTIONARY if c else limit for c in cat]
+    cols = df.select(*[quoted(f).cast("string" if c else "double").alias(f"c{j}") for j, (f, c) in enumerate(zip(feats, cat))])
 
     def kernel(batches):
         seen: list = [set() if c else np.empty(0) for c in cat]
@@ -89,8 +113,8 @@ def distinct_values(df: DataFrame, feats: list[str], cat: list[bool], limit: int
                 else:
                     v = batch.column(j).to_numpy(zero_copy_only=False)
                     seen[j] = np.union1d(seen[j], v[~np.isnan(v)])
-                    if limit is not None and len(seen[j]) > limit:
-                        seen[j] = None
+                if len(seen[j]) > limits[j]:
+                    seen[j] = None
         for j, c in enumerate(cat):
             values = [] if seen[j] is None else list(seen[j])
             none = pa.nulls(len(values) + 1)
@@ -111,7 +135,7 @@ def distinct_values(df: DataFrame, feats: list[str], cat: list[bool], limit: int
     for j, c in enumerate(cat):
         mine = np.flatnonzero(f == j)
         values = [s[i] for i in mine] if c else list(d[mine])
-        out.append(None if j in too_many or (not c and limit is not None and len(values) > limit) else sorted(values))
+        out.append(None if j in too_many or len(values) > limits[j] else sorted(values))
     return out
 
 
@@ -127,10 +151,10 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
                                                                T.LongType, T.FloatType, T.DoubleType,
                                                                T.DecimalType, T.BooleanType)):
         raise ValueError(f"regression target {target!r} must be numeric, got {target_type.simpleString()}")
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n"), F.count(F.col(target)).alias("n_target")]
+    aggs: list[Column] = [F.count(F.lit(1)).alias("n"), F.count(quoted(target)).alias("n_target")]
     if task != CLASSIFICATION:
-        yv = F.col(target).cast("double")
-        aggs += [target_sum(yv).alias("y"), F.min(yv).alias("y_min"), F.max(yv).alias("y_max")]
+        yv = quoted(target).cast("double")
+        aggs += [F.count(F.when(F.isnan(yv) | (F.abs(yv) == float("inf")), 1)).alias("n_odd"), target_sum(yv).alias("y"), F.min(yv).alias("y_min"), F.max(yv).alias("y_max")]
     row = df.agg(*aggs).first().asDict()
     n = int(row["n"])
     if n == 0:
@@ -139,20 +163,26 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
         raise ValueError(f"target {target!r} has no usable labels: all of them are NULL")
     if int(row["n_target"]) < n:
         raise ValueError(f"{task} target {target!r} contains NULL labels; leave those rows out or fill them in first")
+    if task != CLASSIFICATION and int(row["n_odd"]):
+        raise ValueError(f"regression target {target!r} holds {row['n_odd']} values that are NaN or infinite; leave those rows out")
 
-    values = distinct_values(df, feats, cat, None if tree_method == "exact" else max_bin)
-    wide = [i for i, v in enumerate(values) if v is None]
+    values = distinct_values(df, feats, cat, DICTIONARY if tree_method == "exact" else max_bin)
+    tables = {i: dictionary_table(df, feats[i], cat[i]) for i, v in enumerate(values)
+              if v is None and (cat[i] or tree_method == "exact")}
+    wide = [i for i, v in enumerate(values) if v is None and i not in tables]
     cut_points = [i / max_bin for i in range(1, max_bin)]
     quantiles: dict[int, list] = {}
     for q0 in range(0, len(wide), _QUANTILE_GROUP):
         group = wide[q0:q0 + _QUANTILE_GROUP]
-        got = df.agg(*[F.percentile_approx(F.nanvl(F.col(feats[i]).cast("double"), F.lit(None).cast("double")), cut_points,
+        got = df.agg(*[F.percentile_approx(F.nanvl(quoted(feats[i]).cast("double"), F.lit(None).cast("double")), cut_points,
                                            max(1000, 8 * max_bin)).alias(f"q{i}") for i in group]).first()
         quantiles.update({i: got[f"q{i}"] for i in group})
 
     infos: list[FeatureInfo] = []
     for i, (name, c) in enumerate(zip(feats, cat)):
-        if c:
+        if i in tables:
+            infos.append(FeatureInfo(name, c, wide=tables[i].count()))
+        elif c:
             infos.append(FeatureInfo(name, True, categories=values[i]))
         else:
             cuts = np.asarray(values[i][1:] if values[i] is not None else quantiles[i], dtype=np.float64)
@@ -160,27 +190,65 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
 
     classes = counts = None
     if task == CLASSIFICATION:
-        crow = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("c")).toArrow()
+        crow = df.groupBy(quoted(target).alias("label")).agg(F.count(F.lit(1)).alias("c")).toArrow()
         pairs = sorted(zip(crow.column("label").to_pylist(), crow.column("c").to_pylist()), key=lambda t: t[0])
         classes = [p[0] for p in pairs]
         counts = [int(p[1]) for p in pairs]
-    stats = DataStats(infos, task, target, target_type, classes, counts, n)
+    stats = DataStats(infos, task, target, target_type, classes, counts, n, tables=tables)
     if task != CLASSIFICATION:
         stats.y_sum = sum_value(row["y"])
         stats.y_min, stats.y_max = row["y_min"], row["y_max"]
     return stats
 
 
+def dictionary_table(df: DataFrame, feature: str, categorical: bool) -> DataFrame:
+    """(value, code) of the distinct values of a feature in order, by the distributed ranking; missing ones have none."""
+    value = quoted(feature).cast("string" if categorical else "double").alias("value")
+    values = df.select(value).where("value IS NOT NULL" if categorical else "value IS NOT NULL AND NOT isnan(value)").distinct()
+    ranked, _, layout = with_rank(values, ["value"])
+    table = materialise(ranked.select("value", F.col("__rank").cast("long").alias("code")))
+    layout.unpersist()
+    return table
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a result to the session's checkpoint directory, so that what it came from can be released."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return df.checkpoint(eager=True)
+
+
+def look_up(stats: DataStats, trees: list) -> list[FeatureInfo]:
+    """The features, wide ones with the values of the codes that splits of ``trees`` use."""
+    infos = list(stats.features)
+    for f, table in (stats.tables or {}).items():
+        codes: set[int] = set()
+        for grower, _ in trees:
+            for feature, split_bin, cats in zip(grower.feat, grower.split_bin, grower.cats):
+                if feature == f:
+                    codes.update([split_bin + 1] if cats is None else cats)
+        asked = table.sparkSession.createDataFrame([(int(c),) for c in sorted(codes)], "code long")
+        found = table.join(F.broadcast(asked), "code").collect()            # as many rows as splits name values
+        infos[f] = replace(infos[f], used={int(r["code"]): r["value"] for r in found})
+    return infos
+
+
 def encode_features(batch: pa.RecordBatch, infos: list[FeatureInfo], value_space: bool) -> np.ndarray:
     """Feature matrix ``[rows, F]`` as float64: numeric values (NaN = missing) or, with
     ``value_space=False``, bin codes (-1 = missing); categories are dictionary codes (NaN if unseen/NULL)."""
     n = batch.num_rows
     X = np.empty((n, len(infos)), dtype=np.float64)
     for j, info in enumerate(infos):
-        col = batch.column(info.name)
-        if info.categorical:
+        col = batch.column(f"f{j}")
+        if info.wide is not None:                      # joined to its dictionary: the code, or the number itself
+            v = col.to_numpy(zero_copy_only=False).astype(np.float64)
+            if not value_space:
+                v = np.where(np.isnan(v), -1.0, v)
+        elif info.categorical:
             codes = pc.index_in(col.cast(pa.string()), value_set=pa.array(info.categories or [], pa.string()))
             v = codes.to_numpy(zero_copy_only=False).astype(np.float64)  # nulls → NaN
+            if info.open:                              # a value that no split names
+                v = np.where(np.isnan(v) & col.is_valid().to_numpy(zero_copy_only=False), float(len(info.categories)), v)
             if not value_space:
                 v = np.where(np.isnan(v), -1.0, v)
         else:
@@ -229,12 +297,17 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
     infos = stats.features
     classes = stats.classes
     target = stats.target
-    src_cols = [c for c in df.columns]
     kind = code_type(infos)
-    inp = df.select(F.xxhash64(*[F.col(c) for c in src_cols]).alias("__rid"),
-                    F.col(target).alias("__t"),
-                    *([F.col(id_col).alias("__id")] if id_col else []),
-                    *[F.col(i.name) for i in infos])
+    inp = df.select(F.xxhash64(*[quoted(c) for c in df.columns]).alias("__rid"),
+                    quoted(target).alias("__t"),
+                    *([quoted(id_col).alias("__id")] if id_col else []),
+                    *positional(stats.names))
+    for j, table in (stats.tables or {}).items():
+        value = F.col(f"f{j}").cast("string" if infos[j].categorical else "double")
+        inp = (inp.withColumn(f"f{j}", value).join(table.select(F.col("value").alias("__v"), F.col("code").alias("__c")),
+                                                   F.col(f"f{j}") == F.col("__v"), "left")
+               .drop(f"f{j}", "__v").withColumnRenamed("__c", f"f{j}"))
+    inp = inp.select("__rid", "__t", *(["__id"] if id_col else []), *[f"f{j}" for j in range(len(infos))])
     id_field = [T.StructField("__id", df.schema[id_col].dataType, True)] if id_col else []
     out_schema = T.StructType([T.StructField("__rid", T.LongType(), False),
                                T.StructField("__y", T.DoubleType(), False)] + id_field +

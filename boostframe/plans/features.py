@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -10,6 +11,16 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType
 STRING_TYPES = (T.StringType, T.CharType, T.VarcharType)
 
 
+def quoted(name: str) -> Column:
+    """The column of this very name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def positional(names: list[str]) -> list[Column]:
+    """Features under the names f0, f1, ... that batches know them by, so no name of theirs meets one of ours."""
+    return [quoted(name).alias(f"f{j}") for j, name in enumerate(names)]
+
+
 def is_categorical_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, STRING_TYPES)
 

@@ -16,8 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 DENSE_CELLS = 1 << 22       # cells that a histogram pass adds up in plain arrays; beyond, occurring cells only
 SPARSE_CELLS = 1 << 21      # occurring cells that a task holds before it sends them on
@@ -170,8 +168,9 @@ class Search:
     monotone: list                  # per parameter set: None, or a sign per feature
 
 
-def _candidates(G, H, N, categorical: bool, onehot: bool, lam: float):
-    """Cumulated (G, H, N) of the left sides, which of them count, and the order of categories (or None)."""
+def _candidates(G, H, N, categorical: bool, onehot: bool, lam: float, most: int):
+    """(G, H, N) of the left sides, which of them count, and the order of categories (or None). Many categories are
+    ordered by G / (H + lambda); the left side is a run of at most ``most`` from either end of this order."""
     if categorical and onehot:
         return (G, H, N), N > 0, None
     if not categorical:
@@ -180,7 +179,9 @@ def _candidates(G, H, N, categorical: bool, onehot: bool, lam: float):
     present = N > 0
     order = np.argsort(np.where(present, G / (H + lam + 1e-300), np.inf), axis=1, kind="stable")
     sums = tuple(np.cumsum(np.take_along_axis(x, order, 1), 1)[:, :-1] for x in (G, H, N))
-    return sums, np.arange(1, G.shape[1])[None, :] < present.sum(1, keepdims=True), order
+    size, held = np.arange(1, G.shape[1])[None, :], present.sum(1, keepdims=True)
+    sums = tuple(np.where(size <= most, s, x.sum(1, keepdims=True) - s) for s, x in zip(sums, (G, H, N)))
+    return sums, (size < held) & ((size <= most) | (held - size <= most)), order
 
 
 def best_splits(search: Search, feature: int, slots: np.ndarray, G: np.ndarray, H: np.ndarray, N: np.ndarray) -> list[tuple]:
@@ -203,7 +204,8 @@ def best_splits(search: Search, feature: int, slots: np.ndarray, G: np.ndarray,
         categorical = bool(search.categorical[feature])
         onehot = categorical and bins < p["max_cat_to_onehot"]
         missing = tuple(x[mine, bins][:, None] for x in (G, H, N))
-        left, counts, order = _candidates(*(x[mine, :bins] for x in (G, H, N)), categorical, onehot, p["reg_lambda"])
+        left, counts, order = _candidates(*(x[mine, :bins] for x in (G, H, N)), categorical, onehot, p["reg_lambda"],
+                                          p["max_cat_threshold"])
         GL, HL, NL = (np.stack([c + m, c], axis=2) for c, m in zip(left, missing))     # missing values left, or right
         GR, HR, NR = (t[:, :, None] - x for t, x in zip((Gt, Ht, Nt), (GL, HL, NL)))
         signs = search.monotone[which]
@@ -221,7 +223,8 @@ def best_splits(search: Search, feature: int, slots: np.ndarray, G: np.ndarray,
                 rows.append(none[i])
                 continue
             b, side = divmod(at, 2)
-            cats = None if not categorical else [b] if order is None else sorted(order[i, :b + 1].tolist())
+            cats = None if not categorical else [b] if order is None else sorted(
+                (order[i, :b + 1] if b < p["max_cat_threshold"] else order[i, b + 1:int((N[mine[i], :bins] > 0).sum())]).tolist())
             edge = () if signs is None else (float(wide[0][i, 0, 0]), float(wide[1][i, 0, 0]))
             wl, wr = (float(weight(g[i, b, side], h[i, b, side], p, *edge)) for g, h in ((GL, HL), (GR, HR)))
             rows.append((int(slots[mine[i]]), float(flat[i, at]), -feature, b, cats, side == 0, float(GL[i, b, side]),
@@ -291,7 +294,8 @@ class _Sums:
 
 
 def split_kernel(search: Search):
-    schema = to_arrow_schema(StructType.fromDDL(SPLIT))
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in SPLIT.split(", "))])
 
     def kernel(batches):
         sums, best = _Sums(search), {}

@@ -12,14 +12,17 @@ _SHIPPED: set[int] = set()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` when set; only a session without one (local tests)
-    gets a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``. A local session without one (tests) gets a scratch folder of this machine;
+    on a cluster executors would not share it, so there it has to be set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    path = conf or tempfile.mkdtemp(prefix="boostframe-ck-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="boostframe-ck-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 

@@ -182,6 +182,10 @@ def deep_tree_sql() -> dict[str, str]:
     out["fit_interaction_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:squarederror", groups=[[0, 2], [1, 3]])
     out["fit_absolute_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:absoluteerror", depth=2)
     out["fit_quantile_nodes"] = table(bumpy, LI_REG_NAMES, [False] * 4, "reg:quantileerror:0.9", depth=2)
+    out["fit_wide_nodes"] = table("""SELECT 'k' || (l_orderkey % 5000)::VARCHAR AS x0, CAST(l_quantity AS DOUBLE) AS x1,
+        CAST(l_quantity + 40 * ((l_orderkey % 5000) % 7) AS DOUBLE) AS y FROM lineitem""", ["key.of order", "__t"], [True, False], "reg:squarederror")
+    out["fit_exact_nodes"] = table(f"SELECT CAST(l_extendedprice AS DOUBLE) AS x0, CAST(l_discount AS DOUBLE) AS x1, {LI_Y} AS y FROM lineitem",
+                                   ["l_extendedprice", "l_discount"], [False] * 2, "reg:squarederror")
     out["median_error"] = """SELECT l_linestatus, round(-median(abs(CAST(l_extendedprice AS DOUBLE) - CAST(l_quantity * 1500 AS DOUBLE))), 6) AS score
         FROM lineitem GROUP BY l_linestatus"""
     return out
@@ -314,8 +318,8 @@ FROM (SELECT *, greatest(m_high, m_low, m_mid) AS top FROM {stumps})"""
         FROM lineitem"""
     out["gblinear_line"] = """SELECT round(regr_slope(y, x), 4) AS weight, round(regr_intercept(y, x), 4) AS bias
         FROM (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_quantity * (1 - l_discount) AS DOUBLE) AS y FROM lineitem)"""
-    out["many_categories"] = """SELECT count(DISTINCT l_orderkey) AS n_categories, count(DISTINCT l_orderkey % 2500) AS n_labels,
-        count(*) AS n_rows FROM lineitem"""
+    out["many_categories"] = f"""SELECT id, CAST(dense_rank() OVER (ORDER BY l_orderkey::VARCHAR || '-' || l_partkey::VARCHAR) - 1 AS BIGINT) AS code
+        FROM {LI_ROWS}"""
     out["exact_bins"] = """SELECT CAST(row_number() OVER (ORDER BY v) - 2 AS BIGINT) AS bin, round(v, 6) AS threshold
         FROM (SELECT DISTINCT CAST(l_extendedprice AS DOUBLE) AS v FROM lineitem) QUALIFY row_number() OVER (ORDER BY v) > 1"""
 

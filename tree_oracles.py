@@ -44,7 +44,7 @@ def base_sql(objective: str, train: str) -> str:
 
 def tree_ctes(src: str, categorical: list[bool], objective: str, rounds: int = 1, depth: int = 3, lam: float = 1.0,
               eta: float = 0.3, mcw: float = 1.0, signs: list[int] | None = None, groups: list[list[int]] | None = None,
-              onehot: int = 4, train: str = "TRUE", g_scale: str = S, h_scale: str = S, bins: str | None = None) -> str:
+              onehot: int = 4, most: int = 64, train: str = "TRUE", g_scale: str = S, h_scale: str = S, bins: str | None = None) -> str:
     """CTEs ``src0, dv{f}, nbs, binned, base, st{r}, split{r}_{level}, leaf{r}``. ``src`` gives x0.., y (and more)."""
     nf = len(categorical)
     ctes = [f"src0 AS ({src})"]
@@ -95,12 +95,16 @@ def tree_ctes(src: str, categorical: list[bool], objective: str, rounds: int = 1
                 UNION ALL
                 SELECT node, fidx, bin, [bin], G, H, N FROM h{t} JOIN nbs USING (fidx) WHERE cat AND nb < {onehot} AND bin < nb
                 UNION ALL
-                SELECT node, fidx, place - 1, cats, cG, cH, cN FROM (
-                    SELECT node, fidx, row_number() OVER o AS place, count(*) OVER (PARTITION BY node, fidx) AS all_,
-                           list(bin) OVER o AS cats, sum(G) OVER o AS cG, sum(H) OVER o AS cH, sum(N) OVER o AS cN
+                SELECT node, fidx, place - 1, CASE WHEN place <= {most} THEN list_slice(every, 1, place) ELSE list_slice(every, place + 1, all_) END,
+                       CASE WHEN place <= {most} THEN cG ELSE tG - cG END, CASE WHEN place <= {most} THEN cH ELSE tH - cH END,
+                       CASE WHEN place <= {most} THEN cN ELSE tN - cN END FROM (
+                    SELECT node, fidx, row_number() OVER o AS place, count(*) OVER k AS all_, sum(G) OVER k AS tG, sum(H) OVER k AS tH,
+                           sum(N) OVER k AS tN, sum(G) OVER o AS cG, sum(H) OVER o AS cH, sum(N) OVER o AS cN
                     FROM h{t} JOIN nbs USING (fidx) WHERE cat AND nb >= {onehot} AND bin < nb
-                    WINDOW o AS (PARTITION BY node, fidx ORDER BY G / (H + {lam}), bin ROWS UNBOUNDED PRECEDING))
-                WHERE place < all_)""")
+                    WINDOW o AS (PARTITION BY node, fidx ORDER BY G / (H + {lam}), bin ROWS UNBOUNDED PRECEDING), k AS (PARTITION BY node, fidx))
+                JOIN (SELECT node, fidx, list(bin ORDER BY G / (H + {lam}), bin) AS every FROM h{t} JOIN nbs USING (fidx)
+                      WHERE cat AND nb >= {onehot} AND bin < nb GROUP BY node, fidx) USING (node, fidx)
+                WHERE place < all_ AND (place <= {most} OR all_ - place <= {most}))""")
             allowed = ""
             if groups is not None:
                 sets = " OR ".join(f"list_has_all([{', '.join(map(str, x))}], path) AND c.fidx IN ({', '.join(map(str, x))})" for x in groups)
