@@ -569,6 +569,47 @@ def q_fit_exact_nodes(spark, sf_dir):
     return _tree_nodes(spark, data, "xgb_regressor", n_estimators=2, max_depth=3, tree_method="exact")
 
 
+def q_cross_val_wide(spark, sf_dir):
+    """A column with far more values than bins: every fold's models are cut at the quantiles of their own rows."""
+    from boostframe.operators.evaluate import cross_val_score
+    d = with_row_id(_t(spark, sf_dir, "lineitem"), LI_ALL_COLS).select(
+        "id", F.col("l_extendedprice").cast("double"), F.col("l_discount").cast("double"),
+        (F.col("l_quantity") * (1 - F.col("l_discount"))).cast("double").alias("target"))
+    return cross_val_score(d, target="target", estimator="xgb_regressor", id="id", cv=3,
+                           params={"n_estimators": 2, "max_depth": 2, "max_bin": 16}).select("fold", _r("score"))
+
+
+def _sql_session(spark, sf_dir):
+    """The stump model under a name that no other run has, and the table functions over it."""
+    from boostframe.sources import registry
+    from boostframe.sources.sqlfunctions import register_functions
+    root, m = f"{_ckdir(spark)}/sql-{uuid.uuid4().hex}", _stump_model(spark, sf_dir)
+    registry.save(spark, m, "stumps", root)
+    register_functions(spark, ["stumps"], root)
+
+
+def q_sql_predict(spark, sf_dir):
+    """The model called from SQL, on the table's partitions as they are."""
+    _sql_session(spark, sf_dir)
+    li_reg_id(spark, sf_dir).createOrReplaceTempView("li_reg_rows")
+    return spark.sql("SELECT id, round(prediction, 6) AS prediction FROM predict(TABLE(li_reg_rows), model_name => 'stumps', id => 'id')")
+
+
+def q_sql_explain(spark, sf_dir):
+    _sql_session(spark, sf_dir)
+    li_reg_id(spark, sf_dir).createOrReplaceTempView("li_reg_rows")
+    return spark.sql("""SELECT id, feature, round(shap_value, 6) AS shap_value, round(base_value, 6) AS base_value
+                        FROM explain(TABLE(li_reg_rows), model_name => 'stumps', id => 'id')""")
+
+
+def q_sql_importance(spark, sf_dir):
+    _sql_session(spark, sf_dir)
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{kind}' AS importance_type, feature, round(importance, 6) AS importance, rank "
+        f"FROM feature_importance(model_name => 'stumps', importance_type => '{kind}')"
+        for kind in ("weight", "gain", "cover", "total_gain", "total_cover")))
+
+
 def q_median_error(spark, sf_dir):
     """Exact median of the absolute error per ship mode-like group: the scorer by line status."""
     from boostframe.functions.metrics import score
@@ -633,6 +674,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_absolute_nodes": q_fit_absolute_nodes,
     "fit_quantile_nodes": q_fit_quantile_nodes,
     "median_error": q_median_error,
+    "sql_predict": q_sql_predict,
+    "sql_explain": q_sql_explain,
+    "sql_importance": q_sql_importance,
+    "cross_val_wide": q_cross_val_wide,
     "fit_wide_nodes": q_fit_wide_nodes,
     "fit_exact_nodes": q_fit_exact_nodes,
 }

@@ -102,3 +102,15 @@ def expected_value(forest: Forest, cover: np.ndarray, tree: int) -> float:
         for child in (forest.left[node], forest.right[node]):
             stack.append((child, frac * cover[child] / c))
     return total * forest.tree_weight[tree]
+
+
+def contributions(scorer, cover: np.ndarray, X: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contributions ``[groups, rows, features]`` of the rows of ``X`` and the base value of every group."""
+    phi, base = np.zeros((scorer.K, len(X), X.shape[1])), np.array(scorer.base, dtype=np.float64)
+    if scorer.linear:
+        return np.nan_to_num(X)[None] * scorer.W.T[:, None, :], base + scorer.B
+    for t in range(scorer.forest.n_trees):
+        group = scorer.forest.tree_class[t]
+        base[group] += expected_value(scorer.forest, cover, t)
+        tree_shap(scorer.forest, cover, X, t, phi[group])
+    return phi, base

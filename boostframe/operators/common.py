@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.kernel import LOG_LINK
 from ..model import Model
 from ..plans import ranks
-from ..plans.binning import DataStats, binned_table, collect_stats, materialise, sum_value, target_sum  # noqa: F401
+from ..plans.binning import DataStats, binned_table, collect_stats, fold_local, materialise, sum_value, target_sum  # noqa: F401
 from ..plans.quantiles import group_quantiles
 from ..plans.train import ModelSpec
 from ..schemas import CLASSIFICATION
@@ -92,6 +92,7 @@ class Prepared:
     state: DataFrame           # persisted: __rid, __y, [__id], __b*, [__fold], __m*
     has_fold: bool
     release: list              # persisted frames to unpersist at the end
+    whole: DataStats | None = None      # statistics of all rows, where ``stats`` are those of folds
 
 
 def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv: int | None = None,
@@ -108,9 +109,9 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
         stats = collect_stats(df, target, id_col, task, params["max_bin"], method)
     if task != CLASSIFICATION:
         check_target_range(params.get("objective"), stats.y_min, stats.y_max)
-    binned = binned_table(df, stats, id_col, keep_raw=params.get("booster") == "gblinear")
+    has_fold, linear = cv is not None, params.get("booster") == "gblinear"
+    binned = binned_table(df, stats, id_col, keep_raw=linear, keep_sketched=has_fold and not linear)
     release = []
-    has_fold = cv is not None
     order = (["__id"] if id_col else []) + ["__rid"]
     if has_fold:
         if cv < 2:
@@ -139,12 +140,15 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
         else:
             fold_col = _fold_expr(F.col("__rank"), ranks.plain_bounds(stats.n_rows, cv))
         binned = ranked.withColumn("__fold", fold_col.cast("int"))
-    elif params.get("subsample", 1.0) < 1.0 and params.get("booster") != "gblinear":
+    elif params.get("subsample", 1.0) < 1.0 and not linear:
         binned, _, layout = ranks.with_rank(binned, order)
         release.append(layout)
     if release:       # equal rows get numbers of their own, so each is sampled for itself
         binned = binned.withColumn("__rid", F.xxhash64("__rid", "__rank")).drop("__rank", "__pid")
-    return Prepared(stats, binned, has_fold, release)
+    if has_fold and not linear:
+        binned, local = fold_local(binned, stats, cv, params["max_bin"])
+        return Prepared(local, binned, has_fold, release, stats)
+    return Prepared(stats, binned, has_fold, release, stats)
 
 
 def _fold_expr(rank: Column, bounds: np.ndarray) -> Column:

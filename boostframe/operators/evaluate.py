@@ -187,7 +187,7 @@ def _search(df: DataFrame, combos: list[dict], estimator: str, target: str, id_c
         finally:
             for d in prep.release:
                 d.unpersist()
-        stats = prep.stats
+        stats = prep.whole
     means = scores.mean(axis=1)
     stds = scores.std(axis=1)
     order_key = np.where(np.isnan(means), -np.inf, means)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from ..functions.kernel import FIXED_SCALE
 from ..schemas import CLASSIFICATION
 from .features import categorical_mask, feature_columns, positional, quoted
+from .quantiles import many_order_statistics
 from .ranks import with_rank
 
 DICTIONARY = 4096         # values of a dictionary that a model holds whole; beyond, dictionaries are tables
@@ -35,6 +36,7 @@ class FeatureInfo:
     categorical: bool
     cuts: np.ndarray | None = None          # numeric: x < cuts[b] ⇔ bin ≤ b
     categories: list[str] | None = None     # categorical: sorted dictionary, code = index
+    sketched: bool = False                  # numeric: cuts are quantiles, not all values
     wide: int | None = None                 # number of values, if the dictionary is a table
     open: bool = False                      # ``categories`` are those that splits name; others are ordinary, not missing
     used: dict | None = None                # wide: code → value of the codes that splits use
@@ -76,6 +78,7 @@ class DataStats:
     y_min: float | None = None
     y_max: float | None = None
     tables: dict | None = None          # position of a wide feature → its dictionary (value, code)
+    fold_maps: list | None = None       # per fold and feature: bin code → code for the models that don't see the fold
 
     @property
     def names(self) -> list[str]:
@@ -186,7 +189,7 @@ def collect_stats(df: DataFrame, target: str, id_col: str, task: str, max_bin: i
             infos.append(FeatureInfo(name, True, categories=values[i]))
         else:
             cuts = np.asarray(values[i][1:] if values[i] is not None else quantiles[i], dtype=np.float64)
-            infos.append(FeatureInfo(name, False, cuts=np.unique(cuts)))
+            infos.append(FeatureInfo(name, False, cuts=np.unique(cuts), sketched=values[i] is None))
 
     classes = counts = None
     if task == CLASSIFICATION:
@@ -291,10 +294,93 @@ def unpack_bins(col: pa.Array, n_feat: int, kind: str = "<i2") -> np.ndarray:
     return raw.view(kind).reshape(n, n_feat)
 
 
-def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bool = False) -> DataFrame:
+def fold_local(binned: DataFrame, stats: DataStats, folds: int, max_bin: int) -> tuple[DataFrame, DataStats]:
+    """The binned table and statistics of cross-validation: each fold's models get bins of the rows outside the fold only.
+
+    Sketched features are cut at the ``max_bin`` quantiles of those rows (exact ranks); their codes become places among
+    the cuts of all folds. Other features have the values that occur outside the fold: a number between two of them falls
+    to the lower one, a category that is none of them is missing. Both are a small map per fold and feature from a row's
+    code to the code that the fold's models see, so the rows are stored once. Dictionaries that are tables serve all folds.
+    """
+    infos = list(stats.features)
+    sketched = [j for j, i in enumerate(infos) if i.sketched]
+    cuts: dict = {}
+    if sketched:
+        def outside(batch):
+            fold = batch.column(0).to_numpy(zero_copy_only=False)
+            for p, _ in enumerate(sketched):
+                value = batch.column(1 + p).to_numpy(zero_copy_only=False)
+                for k in range(folds):
+                    yield p * folds + k, value[fold != k]
+
+        held = [F.count(F.when((F.col("__fold") != k) & ~F.isnan(F.col(f"__w{j}")), 1)) for j in sketched for k in range(folds)]
+        counts = list(binned.agg(*[c.alias(f"n{i}") for i, c in enumerate(held)]).first())
+        ranks = [np.unique(np.arange(1, max_bin) * int(n) // max_bin) if n else np.empty(0, np.int64) for n in counts]
+        values = many_order_statistics(binned.select("__fold", *[f"__w{j}" for j in sketched]), outside, ranks)
+        for p, j in enumerate(sketched):
+            mine = [np.unique(values[p * folds + k]) for k in range(folds)]
+            infos[j] = replace(infos[j], cuts=np.unique(np.concatenate(mine)))
+            cuts.update({(k, j): mine[k] for k in range(folds)})
+        old, new, n_feat = code_type(stats.features), code_type(infos), len(infos)
+
+        def recode(batches):
+            for batch in batches:
+                names = batch.schema.names
+                X = unpack_bins(batch.column(names.index(BINS_COL)), n_feat, old).astype(np.float64)
+                for j in sketched:
+                    value = batch.column(names.index(f"__w{j}")).to_numpy(zero_copy_only=False)
+                    X[:, j] = np.where(np.isnan(value), -1.0, np.searchsorted(infos[j].cuts, value, side="right"))
+                left = [n for n in names if not n.startswith("__w")]
+                yield pa.RecordBatch.from_arrays([pack_bins(X, new) if n == BINS_COL else batch.column(names.index(n)) for n in left], names=left)
+
+        kept = T.StructType([f for f in binned.schema if not f.name.startswith("__w")])
+        binned = binned.mapInArrow(recode, kept)
+    n_bins = np.array([0 if i.wide is not None else i.n_bins for i in infos])
+    start = np.concatenate([[0], np.cumsum(n_bins)])
+    kind, n_feat, size = code_type(infos), len(infos), int(start[-1])
+
+    def present(batches):
+        seen = np.zeros((folds, size), bool)
+        for batch in batches:
+            X = unpack_bins(batch.column(1), n_feat, kind)
+            fold = batch.column(0).to_numpy(zero_copy_only=False)
+            for j in range(n_feat):
+                known = (X[:, j] >= 0) & (n_bins[j] > 0)
+                seen[fold[known], start[j] + X[known, j]] = True
+        fold, cell = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(fold.astype(np.int32)), pa.array(cell.astype(np.int32))], names=["fold", "cell"])
+
+    found = binned.select("__fold", BINS_COL).mapInArrow(present, "fold int, cell int").distinct().toArrow()    # folds × bins at most
+    seen = np.zeros((folds, size), bool)
+    seen[found.column("fold").to_numpy(), found.column("cell").to_numpy()] = True
+    maps: list = []
+    for k in range(folds):
+        others = seen[np.arange(folds) != k].any(0)
+        row: list = []
+        for j, info in enumerate(infos):
+            mine = others[start[j]:start[j + 1]]
+            if info.wide is not None:
+                row.append(None)
+            elif info.sketched:
+                row.append(np.concatenate([[0], np.searchsorted(cuts[k, j], info.cuts, side="right")]))
+            elif mine.all() or not len(mine):
+                row.append(None)
+            elif info.categorical:
+                row.append(np.where(mine, np.arange(len(mine)), -1))
+            else:
+                row.append(np.maximum(np.cumsum(mine) - 1, 0))
+        maps.append(row)
+    same = all(m is None for row in maps for m in row)
+    return binned, replace(stats, features=infos, fold_maps=None if same else maps)
+
+
+def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bool = False,
+                 keep_sketched: bool = False) -> DataFrame:
     """``__rid`` (row hash, partitioning-independent), ``__y`` (target or class code), ``[__id]``,
-    ``__bins`` (packed SMALLINT bin codes). Narrow: no shuffle."""
+    ``__bins`` (packed bin codes), with ``keep_sketched`` also ``__w{j}``, the numbers of sketched features. No shuffle
+    unless a dictionary is a table."""
     infos = stats.features
+    kept = [j for j, i in enumerate(infos) if i.sketched and keep_sketched]
     classes = stats.classes
     target = stats.target
     kind = code_type(infos)
@@ -313,7 +399,8 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
                                T.StructField("__y", T.DoubleType(), False)] + id_field +
                               [T.StructField(BINS_COL, T.BinaryType(), False)] +
                               ([T.StructField(f"__x{j}", T.DoubleType(), False) for j in range(len(infos))]
-                               if keep_raw else []))
+                               if keep_raw else []) + [T.StructField(f"__w{j}", T.DoubleType(), False) for j in kept])
+
     def kernel(batches):
         value_set = None
         for batch in batches:
@@ -332,10 +419,14 @@ def binned_table(df: DataFrame, stats: DataStats, id_col: str = "", keep_raw: bo
             if keep_raw:
                 R = encode_features(batch, infos, value_space=True)
                 cols += [pa.array(R[:, j], pa.float64()) for j in range(len(infos))]
+            elif kept:
+                R = encode_features(batch, infos, value_space=True)
+            cols += [pa.array(R[:, j], pa.float64()) for j in kept]
             yield pa.RecordBatch.from_arrays(cols, schema=pa.schema(
                 [pa.field("__rid", pa.int64(), False), pa.field("__y", pa.float64(), False)]
                 + ([pa.field("__id", batch.column("__id").type)] if id_col else [])
                 + [pa.field(BINS_COL, pa.binary(), False)]
-                + ([pa.field(f"__x{j}", pa.float64(), False) for j in range(len(infos))] if keep_raw else [])))
+                + ([pa.field(f"__x{j}", pa.float64(), False) for j in range(len(infos))] if keep_raw else [])
+                + [pa.field(f"__w{j}", pa.float64(), False) for j in kept]))
 
     return inp.mapInArrow(kernel, out_schema)

@@ -91,6 +91,56 @@ def order_statistics(rows: DataFrame, pairs: Callable, low: np.ndarray, high: np
     return out[:, 0], out[:, 1]
 
 
+def many_order_statistics(rows: DataFrame, groups: Callable, ranks: list[np.ndarray], digit: int = 8) -> list[np.ndarray]:
+    """Per group the values of many ranks at once (ascending, from 0), as for cut points.
+
+    ``groups`` turns an Arrow batch into (group, values) pairs; NaN values don't count. Each pass counts, per prefix that a
+    wanted rank lies under, the next ``digit`` bits: at most 2^digit cells a wanted rank, however many rows there are.
+    """
+    spark = rows.sparkSession
+    prefix = [np.zeros(len(r), np.uint64) for r in ranks]
+    place = [np.asarray(r, np.int64).copy() for r in ranks]
+    first = np.concatenate([[0], np.cumsum([len(r) for r in ranks])])
+    for level in range(64 // digit) if first[-1] else ():
+        under = [np.unique(p) for p in prefix]
+        base = np.concatenate([[0], np.cumsum([len(u) for u in under])])
+
+        def count(batches, level=level, under=under, base=base):
+            shift = np.uint64(64 - digit * (level + 1))
+            held: list = []
+            for batch in batches:
+                for g, value in groups(batch):
+                    keys = to_keys(value[~np.isnan(value)])
+                    if not len(keys) or not len(under[g]):
+                        continue
+                    front = keys >> (shift + np.uint64(digit)) if level else np.zeros(len(keys), np.uint64)
+                    at = np.minimum(np.searchsorted(under[g], front), len(under[g]) - 1)
+                    mine = under[g][at] == front
+                    code = ((base[g] + at[mine]) << digit) | ((keys[mine] >> shift) & np.uint64((1 << digit) - 1)).astype(np.int64)
+                    held.append(np.unique(code, return_counts=True))
+                if len(held) > 64 or sum(len(h[0]) for h in held) > HELD_CELLS:
+                    cells, place_of = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+                    held = [(cells, np.bincount(place_of, weights=np.concatenate([h[1] for h in held])).astype(np.int64))]
+            for cells, counts in held:
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts)], names=["cell", "n"])
+
+        counts = (rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+                  .select(F.shiftright("cell", digit).alias("at"), F.col("cell").bitwiseAND(F.lit((1 << digit) - 1)).alias("digit"), "n"))
+        wanted = [(int(base[g] + i), int(first[g] + t), int(p)) for g in range(len(ranks))
+                  for t, (i, p) in enumerate(zip(np.searchsorted(under[g], prefix[g]), place[g]))]
+        want = spark.createDataFrame(wanted, "at long, target long, place long")
+        upto = F.sum("n").over(Window.partitionBy("at").orderBy("digit")).alias("upto")
+        found = (counts.select("at", "digit", "n", upto).join(want, "at")
+                 .where((F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n")))
+                 .select("target", "digit", (F.col("upto") - F.col("n")).alias("before")).toArrow())
+        for target, bits, before in zip(*(found.column(c).to_pylist() for c in ("target", "digit", "before"))):
+            g = int(np.searchsorted(first, target, side="right")) - 1
+            t = target - int(first[g])
+            prefix[g][t] = (int(prefix[g][t]) << digit) | bits
+            place[g][t] -= before
+    return [from_keys(p) for p in prefix]
+
+
 def quantiles(rows: DataFrame, pairs: Callable, counts: np.ndarray, prob) -> np.ndarray:
     """The ``prob`` quantile (between neighbours linearly) of every slot, of which ``counts`` values exist; NaN if none do."""
     place = np.asarray(prob, np.float64) * (np.asarray(counts, np.int64) - 1)

@@ -166,6 +166,7 @@ class Search:
     low: np.ndarray                 # per slot
     high: np.ndarray
     monotone: list                  # per parameter set: None, or a sign per feature
+    own_bins: np.ndarray | None = None      # [slots, features]: bins of the numbers that a slot's model knows, if fewer
 
 
 def _candidates(G, H, N, categorical: bool, onehot: bool, lam: float, most: int):
@@ -208,6 +209,8 @@ def best_splits(search: Search, feature: int, slots: np.ndarray, G: np.ndarray,
                                           p["max_cat_threshold"])
         GL, HL, NL = (np.stack([c + m, c], axis=2) for c, m in zip(left, missing))     # missing values left, or right
         GR, HR, NR = (t[:, :, None] - x for t, x in zip((Gt, Ht, Nt), (GL, HL, NL)))
+        if search.own_bins is not None and not categorical:
+            counts = counts & (np.arange(bins - 1)[None, :] < search.own_bins[slots[mine], feature][:, None] - 1)
         signs = search.monotone[which]
         bounds = () if signs is None else (search.low[slots[mine]][:, None], search.high[slots[mine]][:, None])
         wide = tuple(b[:, :, None] for b in bounds)

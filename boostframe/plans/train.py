@@ -173,17 +173,43 @@ def _colsample(rng: np.random.RandomState, allowed: np.ndarray, frac: float) ->
 # executor kernels
 
 
-def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool, kind: str):
+class _Codes:
+    """Bin codes of a batch as the models of each fold see them (-1: those of all rows, which see them as they are)."""
+
+    def __init__(self, X: np.ndarray, maps: list | None):
+        self.maps, self.seen = maps, {-1: (X, np.where(X < 0, np.nan, X))}
+
+    def of(self, fold: int) -> tuple[np.ndarray, np.ndarray]:
+        fold = fold if self.maps is not None else -1
+        if fold not in self.seen:
+            X = self.seen[-1][0].copy()
+            for j, codes in enumerate(self.maps[fold]):
+                if codes is not None:
+                    X[:, j] = np.where(X[:, j] < 0, -1, codes[np.maximum(X[:, j], 0).astype(np.int64)])
+            self.seen[fold] = X, np.where(X < 0, np.nan, X)
+        return self.seen[fold]
+
+    def route(self, forest: K.Forest, folds: list[int]) -> np.ndarray:
+        """Leaves of all trees, the t-th of which belongs to a model of fold ``folds[t]``."""
+        if self.maps is None:
+            return K.route(forest, self.of(-1)[1])
+        out = np.empty((len(self.seen[-1][0]), forest.n_trees), np.int32)
+        for fold in set(folds):
+            mine = np.array([t for t, f in enumerate(folds) if f == fold])
+            out[:, mine] = K.route(forest, self.of(fold)[1], mine)
+        return out
+
+
+def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool, kind: str, maps: list | None = None):
     cols = batch.schema.names
-    X = unpack_bins(batch.column(cols.index(BINS_COL)), n_feat, kind).astype(np.float64)
-    Xn = np.where(X < 0, np.nan, X)
+    codes = _Codes(unpack_bins(batch.column(cols.index(BINS_COL)), n_feat, kind).astype(np.float64), maps)
     M = np.empty((batch.num_rows, n_margin), dtype=np.float64)
     for j in range(n_margin):
         M[:, j] = batch.column(cols.index(f"__m{j}")).to_numpy(zero_copy_only=False)
     y = batch.column(cols.index("__y")).to_numpy(zero_copy_only=False)
     rid = batch.column(cols.index("__rid")).to_numpy(zero_copy_only=False)
     fold = batch.column(cols.index("__fold")).to_numpy(zero_copy_only=False) if has_fold else None
-    return X, Xn, M, y, rid, fold
+    return codes, M, y, rid, fold
 
 
 @dataclass
@@ -192,22 +218,26 @@ class Pending:
     trees: list = field(default_factory=list)
     weights: list = field(default_factory=list)
     cols: list = field(default_factory=list)
+    folds: list = field(default_factory=list)
 
-    def add(self, tree: dict, weight: float, col: int) -> None:
+    def add(self, tree: dict, weight: float, col: int, fold: int) -> None:
         self.trees.append(tree)
         self.weights.append(weight)
         self.cols.append(col)
+        self.folds.append(fold)
 
     def forest(self):
-        """(forest, margin column of each tree), or None without trees."""
-        return (K.build_forest(self.trees, [0] * len(self.trees), self.weights), list(self.cols)) if self.trees else None
+        """(forest, margin column and fold of each tree), or None without trees."""
+        if not self.trees:
+            return None
+        return K.build_forest(self.trees, [0] * len(self.trees), self.weights), list(self.cols), list(self.folds)
 
 
-def _add_pending(pending, Xn: np.ndarray, M: np.ndarray) -> None:
+def _add_pending(pending, codes: _Codes, M: np.ndarray) -> None:
     if pending is None:
         return
-    forest, cols = pending
-    leaves = K.route(forest, Xn)
+    forest, cols, folds = pending
+    leaves = codes.route(forest, folds)
     for t, c in enumerate(cols):
         M[:, c] += forest.value[leaves[:, t]] * forest.tree_weight[t]
 
@@ -229,14 +259,13 @@ def _make_hist_kernel(ctx: dict):
             n = batch.num_rows
             if n == 0:
                 continue
-            X, Xn, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"])
-            _add_pending(ctx["pending"], Xn, M)
+            codes, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"])
+            _add_pending(ctx["pending"], codes, M)
             drop = ctx.get("drop_forest")
             if drop is not None:   # dart: gradients at the margins without this round's dropped trees
-                dv = drop.value[K.route(drop, Xn)] * drop.tree_weight[None, :]
+                dv = drop.value[codes.route(drop, ctx["drop_fold"])] * drop.tree_weight[None, :]
                 for t, c in enumerate(ctx["drop_col"]):
                     M[:, c] -= dv[:, t]
-            binfix = np.where(X < 0, nb[None, :], X).astype(np.int64) + off[None, :]
             # gradients for every (model, group) margin column, fixed point
             Gf = np.empty_like(M)
             Hf = np.empty_like(M)
@@ -244,11 +273,11 @@ def _make_hist_kernel(ctx: dict):
                 g, h = K.gradients(obj, M[:, c0:c0 + kk], y, *options)
                 Gf[:, c0:c0 + kk] = K.to_fixed(g, g_scale)
                 Hf[:, c0:c0 + kk] = K.to_fixed(h, h_scale)
-            leaves = K.route(forest, Xn)
-            slots = slot_of[leaves]                              # [n, T]
+            tree_folds = [t[1] for t in ctx["trees"]]
+            slots = slot_of[codes.route(forest, tree_folds)]     # [n, T]
             valid = slots >= 0
-            # (row, tree) pairs that feed a slot, in chunks bounded in memory
-            rows_all, cols_all = [], []
+            # (row, tree) pairs that feed a slot, by the fold whose bins they take, in chunks bounded in memory
+            pairs: dict = {}
             for t, (mcol, test_fold, sub, salt) in enumerate(ctx["trees"]):
                 v = valid[:, t]
                 if test_fold >= 0:
@@ -257,21 +286,20 @@ def _make_hist_kernel(ctx: dict):
                     v &= K.uniform(rid, *salt) < sub
                 r = np.nonzero(v)[0]
                 if r.size:
-                    rows_all.append(r)
-                    cols_all.append(np.full(r.size, t, dtype=np.int64))
-            if not rows_all:
-                continue
-            rr_all = np.concatenate(rows_all)
-            tt_all = np.concatenate(cols_all)
+                    pairs.setdefault(test_fold if ctx["maps"] is not None else -1, []).append((r, np.full(r.size, t, dtype=np.int64)))
             mcols = np.asarray([tc[0] for tc in ctx["trees"]], dtype=np.int64)
             step = max(1, (1 << 22) // max(F_, 1))
-            for s in range(0, rr_all.size, step):
-                rr, tt = rr_all[s:s + step], tt_all[s:s + step]
-                base = slots[rr, tt].astype(np.int64) * TB
-                mc = mcols[tt]
-                sums.add((base[:, None] + binfix[rr]).ravel(), np.repeat(Gf[rr, mc], F_), np.repeat(Hf[rr, mc], F_))
-                if sums.full:
-                    yield splits.partial_batch(*sums.take(), off, TB)
+            for view, parts in pairs.items():
+                X = codes.of(view)[0]
+                binfix = np.where(X < 0, nb[None, :], X).astype(np.int64) + off[None, :]
+                rr_all, tt_all = (np.concatenate(p) for p in zip(*parts))
+                for s in range(0, rr_all.size, step):
+                    rr, tt = rr_all[s:s + step], tt_all[s:s + step]
+                    base = slots[rr, tt].astype(np.int64) * TB
+                    mc = mcols[tt]
+                    sums.add((base[:, None] + binfix[rr]).ravel(), np.repeat(Gf[rr, mc], F_), np.repeat(Hf[rr, mc], F_))
+                    if sums.full:
+                        yield splits.partial_batch(*sums.take(), off, TB)
         yield splits.partial_batch(*sums.take(), off, TB)
 
     return kernel
@@ -286,8 +314,8 @@ def _make_update_kernel(ctx: dict):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            _, Xn, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"])
-            _add_pending(ctx["pending"], Xn, M)
+            codes, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"])
+            _add_pending(ctx["pending"], codes, M)
             cols = list(batch.columns)
             names = batch.schema.names
             for j in range(n_margin):
@@ -392,7 +420,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                         drop_sets[mi] = [int(i) for i in np.nonzero(mask)[0]]
         drop_trees = [(mi, i) for mi, idx in drop_sets.items() for i in idx]
         drop_forest = None
-        drop_col = []
+        drop_col, drop_fold = [], [specs[mi].test_fold for mi, _ in drop_trees]
         if drop_trees:
             drop_forest = K.build_forest([trees[mi][i][0].bin_tree() for mi, i in drop_trees], [0] * len(drop_trees),
                                          [trees[mi][i][1] for mi, i in drop_trees])
@@ -433,7 +461,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 may = level_allowed[lk] & may_follow(s.groups, g.path[ni], n_feat)
                 allowed[i] = _colsample(rngs[g.model], may, s.params["colsample_bynode"])
             partials = level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest,
-                                      drop_col, pending.forest())
+                                      drop_col, pending.forest(), drop_fold)
             best = _level_splits(partials, stats, specs, growers, frontier, allowed, partitions)
             # under a leaf limit the best-gain splits of the level come first; best-first growth makes one at a time
             order = sorted(range(len(frontier)), key=lambda i: -(best[i]["gain"] if best[i] else -1.0))
@@ -477,7 +505,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             lr = s.params["learning_rate"] / (s.n_groups * s.parallel)
             new_w.append(1.0 / (k + lr) if k else 1.0)
         for cg, w in zip(done, new_w):
-            pending.add(cg.bin_tree(), w, int(col0[cg.model] + cg.group))
+            pending.add(cg.bin_tree(), w, int(col0[cg.model] + cg.group), specs[cg.model].test_fold)
         for mi, idx in drop_sets.items():
             s = specs[mi]
             k = len(idx)
@@ -486,7 +514,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             for i in idx:
                 g_old, w_old = trees[mi][i]
                 trees[mi][i] = (g_old, w_old * factor)
-                pending.add(g_old.bin_tree(), w_old * factor - w_old, int(col0[mi] + g_old.group))
+                pending.add(g_old.bin_tree(), w_old * factor - w_old, int(col0[mi] + g_old.group), s.test_fold)
         for cg, w in zip(done, new_w):
             trees[cg.model].append((cg, w))
         last, save = rnd == max_rounds - 1, (rnd + 1) % CHECKPOINT_EVERY == 0
@@ -494,7 +522,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             continue
         # margin update: new persisted state (first read by the next round's root pass)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "pending": pending.forest(),
-               "kind": code_type(stats.features)}
+               "kind": code_type(stats.features), "maps": stats.fold_maps}
         pending = Pending()
         new_state = state.mapInArrow(_make_update_kernel(ctx), state.schema).persist(StorageLevel.MEMORY_AND_DISK)
         if save and not last and _checkpoint_ok(spark):
@@ -525,11 +553,12 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
     at = {i: int(forest.offsets[j]) for j, i in enumerate(mine)}
     for slot, (i, n) in enumerate(leaves):
         slot_of[at[i] + n] = slot
-    n_feat, kind, trees = len(stats.features), code_type(stats.features), [tree_ctx[i] for i in mine]
+    n_feat, kind, maps, trees = len(stats.features), code_type(stats.features), stats.fold_maps, [tree_ctx[i] for i in mine]
 
     def pairs(batch):
-        _, Xn, M, y, rid, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind)
-        _add_pending(pending, Xn, M)
+        codes, M, y, rid, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind, maps)
+        _add_pending(pending, codes, M)
+        leaf = codes.route(forest, [t[1] for t in trees])
         slots, values = [], []
         for t, (mcol, test_fold, sub, salt) in enumerate(trees):
             used = np.ones(len(y), bool)
@@ -537,7 +566,7 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
                 used &= fold != test_fold
             if sub < 1.0:
                 used &= K.uniform(rid, *salt) < sub
-            slots.append(slot_of[K.route(forest, Xn, np.array([t]))[used, 0]])
+            slots.append(slot_of[leaf[used, t]])
             values.append((y - M[:, mcol])[used])
         return np.concatenate(slots), np.concatenate(values)
 
@@ -549,7 +578,7 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
 
 
 def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest=None,
-                   drop_col=None, pending=None) -> DataFrame:
+                   drop_col=None, pending=None, drop_fold=None) -> DataFrame:
     """The partial histograms of one data pass (`splits.PARTIAL` rows) for all slots of ``frontier``."""
     nb, off, TB = _feature_offsets(stats)
     forest = K.build_forest([g.bin_tree() for g in growers], [0] * len(growers), [1.0] * len(growers))
@@ -559,7 +588,7 @@ def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_marg
     ctx = {"n_feat": len(stats.features), "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
            "kind": code_type(stats.features), "n_slots": len(frontier), "forest": forest, "slot_of": slot_of,
            "trees": tree_ctx, "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or [],
-           "pending": pending}
+           "drop_fold": drop_fold or [], "maps": stats.fold_maps, "pending": pending}
     return state.mapInArrow(_make_hist_kernel(ctx), splits.PARTIAL)
 
 
@@ -567,8 +596,14 @@ def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed,
     """Best split of every slot of the frontier (None for a slot that no row reached)."""
     model_of = np.array([growers[gi].model for gi, _ in frontier])
     models = np.unique(model_of)
+    n_bins = _feature_offsets(stats)[0]
+    own = None
+    if stats.fold_maps is not None:
+        of = [n_bins] + [np.array([n if m is None or info.categorical else int(m.max()) + 1 for n, m, info in zip(n_bins, row, stats.features)])
+                         for row in stats.fold_maps]
+        own = np.stack([of[specs[m].test_fold + 1] for m in model_of])
     search = splits.Search(
-        n_bins=_feature_offsets(stats)[0], categorical=np.array([f.categorical for f in stats.features]),
+        n_bins=n_bins, own_bins=own, categorical=np.array([f.categorical for f in stats.features]),
         params=[specs[m].params for m in models], params_of=np.searchsorted(models, model_of),
         g_scale=np.array([specs[m].g_scale for m in model_of]), h_scale=np.array([specs[m].h_scale for m in model_of]),
         allowed=allowed, low=np.array([growers[gi].low[ni] for gi, ni in frontier]),

@@ -186,6 +186,14 @@ def deep_tree_sql() -> dict[str, str]:
         CAST(l_quantity + 40 * ((l_orderkey % 5000) % 7) AS DOUBLE) AS y FROM lineitem""", ["key.of order", "__t"], [True, False], "reg:squarederror")
     out["fit_exact_nodes"] = table(f"SELECT CAST(l_extendedprice AS DOUBLE) AS x0, CAST(l_discount AS DOUBLE) AS x1, {LI_Y} AS y FROM lineitem",
                                    ["l_extendedprice", "l_discount"], [False] * 2, "reg:squarederror")
+    folds = LI_REG_FOLDS.replace(LI_X, "CAST(l_extendedprice AS DOUBLE) AS x, CAST(l_discount AS DOUBLE) AS x1")
+    out["cross_val_wide"] = " UNION ALL ".join(
+        f"""SELECT CAST({k} AS BIGINT) AS fold, (WITH rows_ AS MATERIALIZED ({folds}),
+            ranked AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS place, count(*) OVER () AS n FROM rows_ WHERE fold <> {k}),
+            cuts AS MATERIALIZED (SELECT DISTINCT x AS cut FROM ranked, range(1, 16) t(i) WHERE place = i * n // 16)
+            SELECT round(1.0 - sse / sst, 6) FROM ({tree_ctes("SELECT r.*, (SELECT count(*) FROM cuts WHERE cut <= r.x)::DOUBLE AS x0 FROM rows_ r", [False] * 2,
+                                                              "reg:squarederror", 2, 2, train=f"fold <> {k}")}
+            SELECT sum((y - m2) * (y - m2)) AS sse, var_pop(y) * count(*) AS sst FROM st2 WHERE fold = {k})) AS score""" for k in range(3))
     out["median_error"] = """SELECT l_linestatus, round(-median(abs(CAST(l_extendedprice AS DOUBLE) - CAST(l_quantity * 1500 AS DOUBLE))), 6) AS score
         FROM lineitem GROUP BY l_linestatus"""
     return out
@@ -465,4 +473,6 @@ SELECT id AS sample_id, round(x0, 6) AS feature_0, round(x1, 6) AS feature_1,
     out["model_lifecycle"] = """
 SELECT 'li_reg_stumps' AS model_name, 'xgb_regressor' AS estimator, 'regression' AS task, 'target' AS target,
        CAST(4 AS BIGINT) AS n_features, count(*) AS n_samples, CAST(NULL AS BIGINT) AS n_classes FROM lineitem"""
+    # the table functions give what the DataFrame functions give
+    out.update(sql_predict=out["predict_stumps"], sql_explain=out["explain"], sql_importance=out["feature_importance"])
     return out

@@ -226,3 +226,90 @@ def test_poisson_of_large_counts(spark):  # noqa: F811
     m = fit_model(rows, target="y", estimator="xgb_regressor", params={"n_estimators": 60, "max_depth": 4, "objective": "count:poisson"})
     off = predict(rows, model=m, id="y").select((F.abs(F.col("prediction") / F.col("y") - 1)).alias("d")).agg(F.max("d")).first()[0]
     assert off < 0.1
+
+
+# ------------------------------------------------------------------------------------------------ bins of each fold
+
+def test_many_order_statistics(spark):  # noqa: F811
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=900), np.round(rng.normal(size=900), 1)
+    frame = spark.createDataFrame(list(zip(a.tolist(), b.tolist())), "a double, b double").repartition(4)
+    ranks = [np.array([0, 1, 450, 899]), np.arange(0, 900, 37), np.empty(0, np.int64)]
+
+    def groups(batch):
+        x, y = (batch.column(i).to_numpy() for i in (0, 1))
+        yield 0, x[:len(x) // 2]
+        yield 0, x[len(x) // 2:]
+        yield 1, y
+        yield 2, x
+
+    got = quantiles.many_order_statistics(frame, groups, ranks)
+    assert (got[0] == np.sort(a)[ranks[0]]).all() and (got[1] == np.sort(b)[ranks[1]]).all() and len(got[2]) == 0
+
+
+def test_held_out_rows_have_no_say_in_the_bins(spark):  # noqa: F811
+    """Fold 0's models do not change when its rows' features do; categories that only the fold holds are missing to them."""
+    from boostframe.operators.common import prepare
+    from boostframe.operators.evaluate import cross_val_predict
+    rows = spark.range(900).select("id", ((F.col("id") * 7919 % 997) / 10).alias("x"), (F.col("id") % 5).cast("double").alias("z"),
+                                   F.concat(F.lit("k"), (F.col("id") % 3).cast("string")).alias("s"),
+                                   ((F.col("id") * 7919 % 997) / 40 + F.col("id") % 3).alias("y"))
+    odd = rows.withColumn("x", F.when(F.col("id") < 300, F.col("x") * 1000 - 5e4).otherwise(F.col("x"))) \
+              .withColumn("s", F.when(F.col("id") < 300, F.concat(F.lit("only"), "s")).otherwise(F.col("s"))) \
+              .withColumn("z", F.when(F.col("id") < 300, F.col("z") + 0.5).otherwise(F.col("z")))
+    params = P.resolve("xgb_regressor", {"max_bin": 8})[1]
+    plain, other = (prepare(d, "y", "id", "regression", params, cv=3).stats for d in (rows, odd))
+    cuts = []
+    for stats in (plain, other):
+        x = stats.names.index("x")
+        m = stats.fold_maps[0][x]
+        steps = np.flatnonzero(np.diff(m)) if m is not None else np.arange(len(stats.features[x].cuts))
+        cuts.append(stats.features[x].cuts[steps].tolist())
+    assert cuts[0] == cuts[1] and len(cuts[0]) == 7
+    s = other.names.index("s")
+    lost = [c for c, code in zip(other.features[s].categories, other.fold_maps[0][s]) if code < 0]
+    assert lost == ["onlyk0", "onlyk1", "onlyk2"] and other.fold_maps[1][s] is None
+    got = {r["id"]: r["prediction"] for r in cross_val_predict(odd, target="y", id="id", estimator="xgb_regressor", cv=3,
+                                                              params={"max_bin": 8, "n_estimators": 3, "max_depth": 3}).collect()}
+    assert len(got) == 900 and np.isfinite(list(got.values())).all()
+    assert len({round(got[i], 9) for i in range(300)}) > 1
+
+
+# ------------------------------------------------------------------------------------------------ SQL table functions
+
+def test_table_functions(spark, tmp_path):  # noqa: F811
+    from boostframe.operators.importance import feature_importance
+    from boostframe.sources import registry
+    from boostframe.sources.sqlfunctions import register_functions
+    rows = spark.range(6000).select("id", F.when(F.col("id") % 11 != 0, (F.col("id") % 17).cast("decimal(10,2)")).alias("x"), (F.col("id") % 3 == 0).alias("b"),
+                                    F.when(F.col("id") % 7 != 0, F.concat(F.lit("s"), (F.col("id") % 4).cast("string"))).alias("s"),
+                                    F.concat(F.lit("c"), (F.col("id") % 17 / 6).cast("int").cast("string")).alias("y"))
+    m = fit_model(rows, target="y", id="id", params={"n_estimators": 3, "max_depth": 3})
+    registry.save(spark, m, "kind", str(tmp_path))
+    register_functions(spark, root=str(tmp_path))
+    rows.repartition(5).createOrReplaceTempView("rows_to_score")
+    for options, given in (("", {}), (", with_proba => true", {"with_proba": True}), (", output_margin => true", {"output_margin": True}),
+                           (", pred_leaf => true", {"pred_leaf": True})):
+        got = spark.sql(f"SELECT * FROM predict(TABLE(rows_to_score), model_name => 'kind', id => 'id'{options})")
+        want = predict(rows, model=m, id="id", **given)
+        assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        a, b = (sorted((r["id"], *[str(round(v, 9) if isinstance(v, float) else v) for v in r]) for r in d.collect()) for d in (got, want))
+        assert a == b
+    plan = spark.sql("SELECT * FROM predict(TABLE(rows_to_score), model_name => 'kind')")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    spark.sql("DECLARE OR REPLACE VARIABLE a_model BINARY")
+    spark.createDataFrame([(bytearray(m.to_bytes()),)], "model binary").createOrReplaceTempView("a_model_row")
+    spark.sql("SET VAR a_model = (SELECT model FROM a_model_row)")
+    got = spark.sql("SELECT * FROM explain(TABLE(SELECT * FROM rows_to_score WHERE id < 50), model => a_model, id => 'id')")
+    want = explain(rows.where("id < 50"), model=m, id="id")
+    key = lambda d: sorted((r["id"], r["class"], r["feature"], round(r["shap_value"], 9), round(r["base_value"], 9)) for r in d.collect())
+    assert got.columns == want.columns and key(got) == key(want)
+    for kind in ("weight", "cover", "total_gain"):
+        got = spark.sql(f"SELECT * FROM feature_importance(model_name => 'kind', importance_type => '{kind}')").collect()
+        want = feature_importance(spark, model=m, importance_type=kind).collect()
+        assert [(r[0], round(r[1], 9), r[2]) for r in got] == [(r[0], round(r[1], 9), r[2]) for r in want]
+    for call, message in (("predict(TABLE(rows_to_score))", "either 'model_name' or 'model'"), ("predict(TABLE(rows_to_score), model_name => 'gone')", "not found"),
+                          ("predict(TABLE(SELECT id FROM rows_to_score), model_name => 'kind')", "not present"),
+                          ("predict(TABLE(rows_to_score), model_name => 'kind', with_proba => true, pred_leaf => true)", "mutually exclusive")):
+        with pytest.raises(Exception, match=message):
+            spark.sql(f"SELECT * FROM {call}").collect()
