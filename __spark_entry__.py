@@ -610,6 +610,14 @@ def q_sql_importance(spark, sf_dir):
         for kind in ("weight", "gain", "cover", "total_gain", "total_cover")))
 
 
+def q_fit_approx_nodes(spark, sf_dir):
+    """``tree_method='approx'`` with fewer bins than values: the second tree's cuts are weighted anew."""
+    li = _t(spark, sf_dir, "lineitem")
+    data = li.select(F.col("l_quantity").cast("double"), F.col("l_discount").cast("double"),
+                     F.expr("CAST(l_quantity > 37 AND l_discount >= 0.03 AS INT)").alias("target"))
+    return _tree_nodes(spark, data, "xgb_classifier", n_estimators=2, max_depth=2, max_bin=12, tree_method="approx")
+
+
 def q_median_error(spark, sf_dir):
     """Exact median of the absolute error per ship mode-like group: the scorer by line status."""
     from boostframe.functions.metrics import score
@@ -674,6 +682,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_absolute_nodes": q_fit_absolute_nodes,
     "fit_quantile_nodes": q_fit_quantile_nodes,
     "median_error": q_median_error,
+    "fit_approx_nodes": q_fit_approx_nodes,
     "sql_predict": q_sql_predict,
     "sql_explain": q_sql_explain,
     "sql_importance": q_sql_importance,

@@ -89,7 +89,7 @@ class Model:
                 nodes["node_id"].append(i)
                 nodes["feature_idx"].append(int(f))
                 if f >= 0 and not infos[f].categorical:
-                    nodes["threshold"].append(infos[f].threshold(g.split_bin[i]))
+                    nodes["threshold"].append(float(g.cuts[f][g.split_bin[i]]) if f in g.cuts else infos[f].threshold(g.split_bin[i]))
                 else:
                     nodes["threshold"].append(None)
                 nodes["left_cats"].append(infos[f].model_codes(g.cats[i]) if (f >= 0 and g.cats[i] is not None) else None)

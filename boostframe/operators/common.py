@@ -110,7 +110,7 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
     if task != CLASSIFICATION:
         check_target_range(params.get("objective"), stats.y_min, stats.y_max)
     has_fold, linear = cv is not None, params.get("booster") == "gblinear"
-    binned = binned_table(df, stats, id_col, keep_raw=linear, keep_sketched=has_fold and not linear)
+    binned = binned_table(df, stats, id_col, keep_raw=linear, keep_sketched=not linear and (has_fold or params["tree_method"] == "approx"))
     release = []
     order = (["__id"] if id_col else []) + ["__rid"]
     if has_fold:
@@ -146,7 +146,7 @@ def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv
     if release:       # equal rows get numbers of their own, so each is sampled for itself
         binned = binned.withColumn("__rid", F.xxhash64("__rid", "__rank")).drop("__rank", "__pid")
     if has_fold and not linear:
-        binned, local = fold_local(binned, stats, cv, params["max_bin"])
+        binned, local = fold_local(binned, stats, cv, params["max_bin"], params["tree_method"] == "approx")
         return Prepared(local, binned, has_fold, release, stats)
     return Prepared(stats, binned, has_fold, release, stats)
 

@@ -294,16 +294,17 @@ def unpack_bins(col: pa.Array, n_feat: int, kind: str = "<i2") -> np.ndarray:
     return raw.view(kind).reshape(n, n_feat)
 
 
-def fold_local(binned: DataFrame, stats: DataStats, folds: int, max_bin: int) -> tuple[DataFrame, DataStats]:
+def fold_local(binned: DataFrame, stats: DataStats, folds: int, max_bin: int, approx: bool = False) -> tuple[DataFrame, DataStats]:
     """The binned table and statistics of cross-validation: each fold's models get bins of the rows outside the fold only.
 
     Sketched features are cut at the ``max_bin`` quantiles of those rows (exact ranks); their codes become places among
     the cuts of all folds. Other features have the values that occur outside the fold: a number between two of them falls
     to the lower one, a category that is none of them is missing. Both are a small map per fold and feature from a row's
-    code to the code that the fold's models see, so the rows are stored once. Dictionaries that are tables serve all folds.
+    code to the code that the fold's models see, so the rows are stored once. Dictionaries that are tables serve all folds. With
+    ``approx`` sketched features are left as they are: training cuts them anew every round.
     """
     infos = list(stats.features)
-    sketched = [j for j, i in enumerate(infos) if i.sketched]
+    sketched = [j for j, i in enumerate(infos) if i.sketched and not approx]
     cuts: dict = {}
     if sketched:
         def outside(batch):
@@ -361,6 +362,8 @@ def fold_local(binned: DataFrame, stats: DataStats, folds: int, max_bin: int) ->
             mine = others[start[j]:start[j + 1]]
             if info.wide is not None:
                 row.append(None)
+            elif info.sketched and approx:
+                row.append(None)
             elif info.sketched:
                 row.append(np.concatenate([[0], np.searchsorted(cuts[k, j], info.cuts, side="right")]))
             elif mine.all() or not len(mine):

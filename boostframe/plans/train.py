@@ -12,7 +12,7 @@ checkpointed to the cluster's checkpoint directory to cut lineage). The margins
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernel as K
-from . import quantiles, splits
+from . import quantiles, splits, summaries
 from .binning import BINS_COL, DataStats, code_type, unpack_bins
 
 PENDING_TREES = 32          # trees applied inside the passes before the margins are rewritten
@@ -69,6 +69,7 @@ class Grower:
     low: list = field(default_factory=list)       # bounds of the leaf value under monotone constraints
     high: list = field(default_factory=list)
     path: list = field(default_factory=list)      # features used above the node
+    cuts: dict = field(default_factory=dict)      # features cut anew this round → the cuts; their thresholds are values
     waiting: dict = field(default_factory=dict)   # best-first growth: node → its best split, not made yet
 
     def add(self, G: float, H: float, N: int, depth: int, low: float = -np.inf, high: float = np.inf,
@@ -117,10 +118,11 @@ class Grower:
         return True
 
     def bin_tree(self) -> dict:
-        """Tree for routing binned rows: numeric threshold = split bin + 0.5, categories by code."""
+        """Tree for routing rows of the state: numeric threshold = split bin + 0.5 (a value where cuts are taken anew every
+        round), categories by code."""
         return {
             "feat": list(self.feat),
-            "thr": [b + 0.5 if f >= 0 else 0.0 for f, b in zip(self.feat, self.split_bin)],
+            "thr": [0.0 if f < 0 else float(self.cuts[f][b]) if f in self.cuts else b + 0.5 for f, b in zip(self.feat, self.split_bin)],
             "dleft": list(self.dleft),
             "left": list(self.left),
             "right": list(self.right),
@@ -174,10 +176,27 @@ def _colsample(rng: np.random.RandomState, allowed: np.ndarray, frac: float) ->
 
 
 class _Codes:
-    """Bin codes of a batch as the models of each fold see them (-1: those of all rows, which see them as they are)."""
-
-    def __init__(self, X: np.ndarray, maps: list | None):
-        self.maps, self.seen = maps, {-1: (X, np.where(X < 0, np.nan, X))}
+    """Bin codes of a batch as the models of each fold see them (-1: those of all rows, which see them as they are).
+    Rows are routed by codes, or by the numbers themselves where features are cut anew every round (``raw``)."""
+
+    def __init__(self, X: np.ndarray, maps: list | None, raw: dict):
+        self.maps, self.raw, self.seen = maps, raw, {-1: (X, self._routed(X, raw))}
+
+    @staticmethod
+    def _routed(X: np.ndarray, raw: dict) -> np.ndarray:
+        Xn = np.where(X < 0, np.nan, X)
+        for j, value in raw.items():
+            Xn[:, j] = value
+        return Xn
+
+    def binned(self, fold: int, cuts: dict) -> np.ndarray:
+        """Codes for a histogram: of a round's cuts where there are any."""
+        X = self.of(fold)[0]
+        if cuts:
+            X = X.copy()
+            for j, at in cuts.items():
+                X[:, j] = np.where(np.isnan(self.raw[j]), -1.0, np.searchsorted(at, self.raw[j], side="right"))
+        return X
 
     def of(self, fold: int) -> tuple[np.ndarray, np.ndarray]:
         fold = fold if self.maps is not None else -1
@@ -186,7 +205,7 @@ class _Codes:
             for j, codes in enumerate(self.maps[fold]):
                 if codes is not None:
                     X[:, j] = np.where(X[:, j] < 0, -1, codes[np.maximum(X[:, j], 0).astype(np.int64)])
-            self.seen[fold] = X, np.where(X < 0, np.nan, X)
+            self.seen[fold] = X, self._routed(X, self.raw)
         return self.seen[fold]
 
     def route(self, forest: K.Forest, folds: list[int]) -> np.ndarray:
@@ -200,9 +219,11 @@ class _Codes:
         return out
 
 
-def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool, kind: str, maps: list | None = None):
+def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool, kind: str, maps: list | None = None,
+                  raw: list | tuple = ()):
     cols = batch.schema.names
-    codes = _Codes(unpack_bins(batch.column(cols.index(BINS_COL)), n_feat, kind).astype(np.float64), maps)
+    values = {j: batch.column(cols.index(f"__w{j}")).to_numpy(zero_copy_only=False) for j in raw}
+    codes = _Codes(unpack_bins(batch.column(cols.index(BINS_COL)), n_feat, kind).astype(np.float64), maps, values)
     M = np.empty((batch.num_rows, n_margin), dtype=np.float64)
     for j in range(n_margin):
         M[:, j] = batch.column(cols.index(f"__m{j}")).to_numpy(zero_copy_only=False)
@@ -259,7 +280,7 @@ def _make_hist_kernel(ctx: dict):
             n = batch.num_rows
             if n == 0:
                 continue
-            codes, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"])
+            codes, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"], ctx["raw"])
             _add_pending(ctx["pending"], codes, M)
             drop = ctx.get("drop_forest")
             if drop is not None:   # dart: gradients at the margins without this round's dropped trees
@@ -286,11 +307,12 @@ def _make_hist_kernel(ctx: dict):
                     v &= K.uniform(rid, *salt) < sub
                 r = np.nonzero(v)[0]
                 if r.size:
-                    pairs.setdefault(test_fold if ctx["maps"] is not None else -1, []).append((r, np.full(r.size, t, dtype=np.int64)))
+                    view = test_fold if ctx["maps"] is not None else -1, mcol if ctx["cuts"] else -1
+                    pairs.setdefault(view, []).append((r, np.full(r.size, t, dtype=np.int64)))
             mcols = np.asarray([tc[0] for tc in ctx["trees"]], dtype=np.int64)
             step = max(1, (1 << 22) // max(F_, 1))
             for view, parts in pairs.items():
-                X = codes.of(view)[0]
+                X = codes.binned(view[0], ctx["cuts"].get(view[1], {}))
                 binfix = np.where(X < 0, nb[None, :], X).astype(np.int64) + off[None, :]
                 rr_all, tt_all = (np.concatenate(p) for p in zip(*parts))
                 for s in range(0, rr_all.size, step):
@@ -314,7 +336,7 @@ def _make_update_kernel(ctx: dict):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            codes, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"])
+            codes, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"], ctx["raw"])
             _add_pending(ctx["pending"], codes, M)
             cols = list(batch.columns)
             names = batch.schema.names
@@ -352,7 +374,7 @@ def _compact(gr: Grower) -> Grower:
             order += [gr.left[n], gr.right[n]]
         i += 1
     new_id = {old: new for new, old in enumerate(order)}
-    out = Grower(gr.model, gr.group, gr.par, gr.allowed)
+    out = Grower(gr.model, gr.group, gr.par, gr.allowed, cuts=gr.cuts)
     for old in order:
         out.add(gr.G[old], gr.H[old], gr.N[old], gr.depth[old], gr.low[old], gr.high[old], gr.path[old])
         j = new_id[old]
@@ -387,7 +409,11 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     returned with a ``cleanup`` callable that releases the persisted generations once the caller is done."""
     spark = state.sparkSession
     n_feat = len(stats.features)
-    nb, off, TB = _feature_offsets(stats)
+    kind = code_type(stats.features)          # of the stored codes
+    anew = [j for j, i in enumerate(stats.features) if i.sketched] if specs[0].params["tree_method"] == "approx" else []
+    if anew:
+        most = np.arange(specs[0].params["max_bin"] - 1, dtype=np.float64)
+        stats = replace(stats, features=[replace(i, cuts=most) if j in anew else i for j, i in enumerate(stats.features)])
     n_margin = sum(s.n_groups for s in specs)
     col0 = np.concatenate([[0], np.cumsum([s.n_groups for s in specs])[:-1]]).astype(int)
     models_ctx = [(s.objective, s.n_groups, int(col0[i]), gradient_options(s.params), s.g_scale, s.h_scale)
@@ -410,6 +436,11 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                     g = Grower(mi, k, p, allowed)
                     g.add(0.0, 0.0, 0, 0)
                     growers.append(g)
+        cuts: dict = {}
+        if anew:
+            cuts = _round_cuts(state, stats, specs, models_ctx, n_margin, has_fold, anew, pending.forest())
+            for g in growers:
+                g.cuts = cuts[int(col0[g.model] + g.group)]
         # dart: trees dropped for this round, per model (indices into trees[m])
         drop_sets: dict[int, list[int]] = {}
         for mi, s in enumerate(specs):
@@ -461,7 +492,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 may = level_allowed[lk] & may_follow(s.groups, g.path[ni], n_feat)
                 allowed[i] = _colsample(rngs[g.model], may, s.params["colsample_bynode"])
             partials = level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest,
-                                      drop_col, pending.forest(), drop_fold)
+                                      drop_col, pending.forest(), drop_fold, cuts, anew)
             best = _level_splits(partials, stats, specs, growers, frontier, allowed, partitions)
             # under a leaf limit the best-gain splits of the level come first; best-first growth makes one at a time
             order = sorted(range(len(frontier)), key=lambda i: -(best[i]["gain"] if best[i] else -1.0))
@@ -496,7 +527,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             cg = _compact(g)
             done.append(cg)
         if any(s.leaf_quantile is not None for s in specs):
-            _order_leaves(state, stats, specs, done, tree_ctx, n_margin, has_fold, pending.forest())
+            _order_leaves(state, stats, specs, done, tree_ctx, n_margin, has_fold, pending.forest(), anew)
         # dart "tree" normalisation: new trees weigh 1/(k+lr), dropped trees are scaled by k/(k+lr)
         new_w = []
         for cg in done:
@@ -522,7 +553,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             continue
         # margin update: new persisted state (first read by the next round's root pass)
         ctx = {"n_feat": n_feat, "n_margin": n_margin, "has_fold": has_fold, "pending": pending.forest(),
-               "kind": code_type(stats.features), "maps": stats.fold_maps}
+               "kind": kind, "maps": stats.fold_maps, "raw": anew}
         pending = Pending()
         new_state = state.mapInArrow(_make_update_kernel(ctx), state.schema).persist(StorageLevel.MEMORY_AND_DISK)
         if save and not last and _checkpoint_ok(spark):
@@ -544,7 +575,26 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     return trees, state, cleanup
 
 
-def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pending) -> None:
+def _round_cuts(state, stats, specs, models_ctx, n_margin, has_fold, anew, pending) -> dict:
+    """Margin column → feature → cuts of this round: quantiles of the column's training rows, weighted by its second
+    derivatives, from one pass over the state."""
+    n_feat, kind, maps, folds = len(stats.features), code_type(stats.features), stats.fold_maps, [s.test_fold for s in specs]
+
+    def weighed(batch):
+        codes, M, y, _, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind, maps, anew)
+        _add_pending(pending, codes, M)
+        for (objective, k, c0, options, _, h_scale), test_fold in zip(models_ctx, folds):
+            h = K.to_fixed(K.gradients(objective, M[:, c0:c0 + k], y, *options)[1], h_scale)
+            mine = np.ones(len(y), bool) if test_fold < 0 else fold != test_fold
+            for c in range(k):
+                for j in anew:
+                    yield c0 + c, j, codes.raw[j][mine], h[mine, c]
+
+    found = summaries.weighted_cuts(state, weighed, specs[0].params["max_bin"])
+    return {c: {j: found.get((c, j), np.empty(0)) for j in anew} for c in range(n_margin)}
+
+
+def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pending, raw) -> None:
     """Set the leaves of trees under an order-statistic objective: the quantile of the residuals of the rows that grew them."""
     mine = [i for i, g in enumerate(growers) if specs[g.model].leaf_quantile is not None]
     forest = K.build_forest([growers[i].bin_tree() for i in mine], [0] * len(mine), [1.0] * len(mine))
@@ -556,7 +606,7 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
     n_feat, kind, maps, trees = len(stats.features), code_type(stats.features), stats.fold_maps, [tree_ctx[i] for i in mine]
 
     def pairs(batch):
-        codes, M, y, rid, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind, maps)
+        codes, M, y, rid, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind, maps, raw)
         _add_pending(pending, codes, M)
         leaf = codes.route(forest, [t[1] for t in trees])
         slots, values = [], []
@@ -578,7 +628,7 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
 
 
 def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest=None,
-                   drop_col=None, pending=None, drop_fold=None) -> DataFrame:
+                   drop_col=None, pending=None, drop_fold=None, cuts=None, raw=()) -> DataFrame:
     """The partial histograms of one data pass (`splits.PARTIAL` rows) for all slots of ``frontier``."""
     nb, off, TB = _feature_offsets(stats)
     forest = K.build_forest([g.bin_tree() for g in growers], [0] * len(growers), [1.0] * len(growers))
@@ -588,7 +638,7 @@ def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_marg
     ctx = {"n_feat": len(stats.features), "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
            "kind": code_type(stats.features), "n_slots": len(frontier), "forest": forest, "slot_of": slot_of,
            "trees": tree_ctx, "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or [],
-           "drop_fold": drop_fold or [], "maps": stats.fold_maps, "pending": pending}
+           "drop_fold": drop_fold or [], "maps": stats.fold_maps, "pending": pending, "cuts": cuts or {}, "raw": raw}
     return state.mapInArrow(_make_hist_kernel(ctx), splits.PARTIAL)
 
 
@@ -602,6 +652,11 @@ def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed,
         of = [n_bins] + [np.array([n if m is None or info.categorical else int(m.max()) + 1 for n, m, info in zip(n_bins, row, stats.features)])
                          for row in stats.fold_maps]
         own = np.stack([of[specs[m].test_fold + 1] for m in model_of])
+    if any(growers[gi].cuts for gi, _ in frontier):
+        own = np.tile(n_bins, (len(frontier), 1)) if own is None else own
+        for i, (gi, _) in enumerate(frontier):
+            for j, at in growers[gi].cuts.items():
+                own[i, j] = len(at) + 1
     search = splits.Search(
         n_bins=n_bins, own_bins=own, categorical=np.array([f.categorical for f in stats.features]),
         params=[specs[m].params for m in models], params_of=np.searchsorted(models, model_of),

@@ -473,6 +473,23 @@ SELECT id AS sample_id, round(x0, 6) AS feature_0, round(x1, 6) AS feature_1,
     out["model_lifecycle"] = """
 SELECT 'li_reg_stumps' AS model_name, 'xgb_regressor' AS estimator, 'regression' AS task, 'target' AS target,
        CAST(4 AS BIGINT) AS n_features, count(*) AS n_samples, CAST(NULL AS BIGINT) AS n_classes FROM lineitem"""
+    # approx: cuts where the weight of the second derivatives passes i/12 of the whole, per round
+    def recut(rows: str, h: str) -> str:
+        return f"""WITH rows_ AS MATERIALIZED ({rows}),
+            held AS (SELECT x, sum(floor(({h}) * 1048576.0 + 0.5)) AS w FROM rows_ GROUP BY x),
+            upto AS (SELECT x, sum(w) OVER (ORDER BY x ROWS UNBOUNDED PRECEDING) AS c, sum(w) OVER () AS whole FROM held),
+            cuts AS MATERIALIZED (SELECT DISTINCT (SELECT min(x) FROM upto WHERE c > whole * i / 12.0) AS cut FROM range(1, 12) t(i))
+            SELECT r.* EXCLUDE (x), x, coalesce((SELECT max(cut) FROM cuts WHERE cut <= r.x), -1.0) AS x0 FROM rows_ r"""
+
+    from tree_oracles import nodes_sql, tree_ctes
+    plain = """SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_discount AS DOUBLE) AS x1,
+        CAST(CAST(l_quantity > 37 AND l_discount >= 0.03 AS INTEGER) AS DOUBLE) AS y FROM lineitem"""
+    first = tree_ctes(recut(plain, "0.25"), [False] * 2, "binary:logistic", 1, 2)
+    second = recut(f"SELECT x, x1, y, margin, 1.0 / (1.0 + exp(-margin)) AS q FROM ({first} SELECT x, x1, y, m1 AS margin FROM st1)", "greatest(q * (1.0 - q), 1e-16)")
+    names = ["l_quantity", "l_discount"]
+    out["fit_approx_nodes"] = (f"SELECT * FROM ({first} {nodes_sql(names, [False] * 2, 1, 2)}) UNION ALL "
+                               f"SELECT * FROM ({tree_ctes(second, [False] * 2, 'margin:binary:logistic', 1, 2)} "
+                               f"{nodes_sql(names, [False] * 2, 1, 2, 'CAST(1 AS INTEGER)')})")
     # the table functions give what the DataFrame functions give
     out.update(sql_predict=out["predict_stumps"], sql_explain=out["explain"], sql_importance=out["feature_importance"])
     return out

@@ -313,3 +313,46 @@ def test_table_functions(spark, tmp_path):  # noqa: F811
                           ("predict(TABLE(rows_to_score), model_name => 'kind', with_proba => true, pred_leaf => true)", "mutually exclusive")):
         with pytest.raises(Exception, match=message):
             spark.sql(f"SELECT * FROM {call}").collect()
+
+
+# ------------------------------------------------------------------------------------------------ approx
+
+def test_weighted_summaries_keep_ranks():
+    from boostframe.plans import summaries
+    rng = np.random.default_rng(2)
+    points = 200
+    blocks = [(np.round(rng.gamma(2.0, 30.0, n), 2), rng.exponential(size=n) ** 3) for n in (5000, 40_000, 17, 9000)]
+    parts = [summaries.compress(*summaries.merge([b]), points) for b in blocks]
+    value, weight = summaries.compress(*summaries.merge(parts), points)
+    assert len(value) <= points + 1 and weight.sum() == pytest.approx(sum(w.sum() for _, w in blocks))
+    v, w = np.concatenate([b[0] for b in blocks]), np.concatenate([b[1] for b in blocks])
+    order = np.argsort(v, kind="stable")
+    upto, total = np.cumsum(w[order]), w.sum()
+    for i, cut in zip(range(1, 16), summaries.cut_points(value, weight, 16)):
+        at = np.searchsorted(v[order], cut, side="left")
+        below, through = (upto[at - 1] if at else 0.0), upto[np.searchsorted(v[order], cut, side="right") - 1]
+        assert below - 4 / points * total <= i / 16 * total <= through + 4 / points * total
+    exact = summaries.cut_points(*summaries.merge(blocks), 16)
+    assert (summaries.cut_points(*summaries.merge([summaries.merge([b]) for b in blocks]), 16) == exact).all()
+
+
+def test_approx_takes_its_cuts_anew(spark):  # noqa: F811
+    from boostframe.operators.evaluate import cross_val_predict
+    rows = spark.range(3000).select("id", ((F.col("id") * 7919 % 2999) / 30).alias("x"), (F.col("id") % 4).cast("double").alias("z"),
+                                    F.expr("CAST((id * 7919 % 2999) / 30 > 71 AND id % 4 > 0 AS INT)").alias("y"))
+    params = {"n_estimators": 4, "max_depth": 2, "max_bin": 8}
+    models = {m: fit_model(rows, target="y", id="id", params={**params, "tree_method": m}) for m in ("hist", "approx")}
+    nodes = {m: model.node_frame() for m, model in models.items()}
+    cuts = {m: [set(t.loc[t["feature"] == "x", "threshold"]) for _, t in n.groupby("tree_id")] for m, n in nodes.items()}
+    assert set.union(*cuts["approx"]) - set.union(*cuts["hist"])            # weighted cuts gather where the model is unsure
+    loss = {}
+    for m, model in models.items():
+        p = predict(rows, model=model, id="id", with_proba=True).join(rows, "id")
+        loss[m] = p.agg(F.avg(-F.log(F.when(F.col("y") == 1, F.col("proba_1")).otherwise(F.col("proba_0"))))).first()[0]
+    assert loss["approx"] < loss["hist"]
+    # the training state and the stored model agree: in-sample accuracy from both
+    model = models["approx"]
+    hit = predict(rows, model=model, id="id").join(rows, "id").agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
+    assert model.meta.train_score == pytest.approx(hit)
+    folds = cross_val_predict(rows, target="y", id="id", params={**params, "tree_method": "approx"}, cv=3)
+    assert folds.count() == 3000 and folds.join(rows, "id").where("prediction = y").count() > 2500

@@ -25,11 +25,14 @@ def gradient(objective: str, m: str) -> tuple[str, str]:
     if objective.startswith("class:"):                   # the first softmax round of one of k classes, from zero margins
         _, label, k = objective.split(":")
         return f"1.0 / {k}.0 - CASE WHEN y = '{label}' THEN 1.0 ELSE 0.0 END", f"2.0 * (1.0 / {k}.0) * (1.0 - 1.0 / {k}.0)"
-    g, h = GRADIENTS[objective]
+    g, h = GRADIENTS[objective.removeprefix("margin:")]
     return g.replace("$m", m), h.replace("$m", m)
 
 
 def base_sql(objective: str, train: str) -> str:
+    """The starting margin; of rows that carry one already (`margin`), that."""
+    if objective.startswith("margin:"):
+        return "base AS (SELECT 0.0 AS b)"
     mean = f"(CAST(sum(floor(y * {S} + 0.5)) AS DOUBLE) / {S}) / count(*)"
     if objective.startswith("class:"):
         mean = "0.0 * count(*)"
@@ -58,7 +61,8 @@ def tree_ctes(src: str, categorical: list[bool], objective: str, rounds: int = 1
     codes = ", ".join(f"COALESCE(d{f}.bin, (SELECT nb FROM nbs WHERE fidx = {f})) AS b{f}" for f in range(nf))
     ctes.append(f"binned AS MATERIALIZED (SELECT s.*, {codes} FROM src0 s {joins})")
     ctes.append(base_sql(objective, train))
-    ctes.append("st0 AS MATERIALIZED (SELECT binned.*, base.b AS m0 FROM binned, base)")
+    ctes.append("st0 AS MATERIALIZED (SELECT binned.*, " + ("margin" if objective.startswith("margin:") else "base.b") + " AS m0 FROM binned, base)")
+    logistic = objective.endswith("binary:logistic")
     quantile = ORDERS.get(objective) or (objective.rsplit(":", 1)[1] if objective.startswith("reg:quantileerror:") else None)
 
     def weight(g: str, h: str) -> str:
@@ -72,7 +76,7 @@ def tree_ctes(src: str, categorical: list[bool], objective: str, rounds: int = 1
 
     for r in range(rounds):
         g, h = gradient(objective, f"m{r}")
-        source = f"(SELECT *, 1.0 / (1.0 + exp(-m{r})) AS p FROM st{r})" if objective == "binary:logistic" else f"st{r}"
+        source = f"(SELECT *, 1.0 / (1.0 + exp(-m{r})) AS p FROM st{r})" if logistic else f"st{r}"
         ctes.append(f"n{r}_0 AS MATERIALIZED (SELECT *, floor(({g}) * {g_scale} + 0.5) AS gf, floor(({h}) * {h_scale} + 0.5) AS hf, "
                     f"1::BIGINT AS node FROM {source})")
         ctes.append(f"b{r}_0 AS (SELECT 1::BIGINT AS node, '-Infinity'::DOUBLE AS lo, 'Infinity'::DOUBLE AS hi, []::INTEGER[] AS path)")
@@ -143,7 +147,7 @@ def tree_ctes(src: str, categorical: list[bool], objective: str, rounds: int = 1
         ctes.append(f"leaf{r} AS MATERIALIZED (SELECT a.node, H, {value} AS value FROM (SELECT node, sum(gf) / {g_scale} AS G, sum(hf) / {h_scale} AS H{extra} "
                     f"FROM {last} WHERE {train} GROUP BY node) a JOIN ({bounds}) b ON a.node = b.node)")
         ctes.append(f"st{r + 1} AS MATERIALIZED (SELECT n.* EXCLUDE (gf, hf, node), n.m{r} + l.value AS m{r + 1} FROM {last} n JOIN leaf{r} l ON l.node = n.node)"
-                    if objective != "binary:logistic" else
+                    if not logistic else
                     f"st{r + 1} AS MATERIALIZED (SELECT n.* EXCLUDE (gf, hf, node, p), n.m{r} + l.value AS m{r + 1} FROM {last} n JOIN leaf{r} l ON l.node = n.node)")
     return "WITH " + ",\n".join(ctes)
 
