@@ -109,6 +109,25 @@ def score(df: DataFrame, scoring: str, group: list[str], n_classes: int = 2) ->
     raise ValueError(f"unknown scoring {scoring!r}")
 
 
+#: Scorers that are means over rows: what a row adds.
+ADDITIVE = {
+    "accuracy": lambda y, p: (y == p).astype(float),
+    "r2": lambda y, p: (y - p) ** 2,
+    "neg_mean_squared_error": lambda y, p: (y - p) ** 2,
+    "neg_root_mean_squared_error": lambda y, p: (y - p) ** 2,
+    "neg_mean_absolute_error": lambda y, p: np.abs(y - p),
+}
+
+
+def from_sums(scoring: str, total: float, n: int, spread: float) -> float:
+    """The score from the sum of `ADDITIVE` over ``n`` rows; ``spread``: the targets' squared distances from their mean."""
+    if scoring == "accuracy":
+        return total / n
+    if scoring == "r2":
+        return 1.0 - total / spread if spread > 0 else float(total == 0)
+    return -float(np.sqrt(total / n)) if scoring == "neg_root_mean_squared_error" else -total / n
+
+
 def _negative_medians(df: DataFrame, group: list[str]) -> DataFrame:
     """Minus the exact median of ``v`` per group (groups are few: folds and combinations)."""
     from ..plans.quantiles import group_quantiles

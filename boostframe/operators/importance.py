@@ -142,11 +142,37 @@ def permutation_importance(df: DataFrame, model_name: str = "", model: Any = Non
             if batch.num_rows:
                 yield scored_rows(sc, sc.matrix(batch), batch.column("__t"), np.full(batch.num_rows, -1))
 
-    permuted = MX.score(joined.mapInArrow(kernel, score_schema), scoring, ["pair"], n_out)
-    base_rows = ranked
-    baseline = MX.score(base_rows.mapInArrow(base_kernel, score_schema), scoring, ["pair"], n_out).collect()
-    base_score = float(baseline[0]["score"])
-    per_pair = {int(r["pair"]): float(r["score"]) for r in permuted.collect()}
+    def sums_kernel(batches):
+        """Where a score is a mean over rows, a task sends its sums, not the scored rows."""
+        sc: Scorer = scorer.value
+        total, count = np.zeros((len(feats), n_repeats)), np.zeros(n_repeats, np.int64)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            X = sc.matrix(batch)
+            lent = batch.select([f"__d{j}" for j in range(len(feats))])
+            D = sc.matrix(pa.RecordBatch.from_arrays(lent.columns, names=[f"f{j}" for j in range(len(feats))]))
+            k = batch.column("k").to_numpy(zero_copy_only=False)
+            count += np.bincount(k, minlength=n_repeats)
+            for j in range(len(feats)):
+                own = X[:, j].copy()
+                X[:, j] = D[:, j]
+                rows = scored_rows(sc, X, batch.column("__t"), k)
+                y, pred = rows.column(1).to_numpy(), rows.column(2).to_numpy()
+                total[j] += np.bincount(k, weights=MX.ADDITIVE[scoring](y, pred), minlength=n_repeats)
+                X[:, j] = own
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int32)), pa.array(total.ravel()),
+                                          pa.array(np.tile(count, len(feats)))], names=["pair", "s", "n"])
+
+    base_scored = ranked.mapInArrow(base_kernel, score_schema)
+    base_score = float(MX.score(base_scored, scoring, ["pair"], n_out).collect()[0]["score"])
+    if scoring in MX.ADDITIVE:
+        spread = float(base_scored.agg(F.var_pop("y") * F.count(F.lit(1))).first()[0])
+        sums = joined.mapInArrow(sums_kernel, "pair int, s double, n long").groupBy("pair").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        per_pair = {int(r["pair"]): MX.from_sums(scoring, float(r["s"]), int(r["n"]), spread) for r in sums.collect()}
+    else:
+        permuted = MX.score(joined.mapInArrow(kernel, score_schema), scoring, ["pair"], n_out)
+        per_pair = {int(r["pair"]): float(r["score"]) for r in permuted.collect()}
     layout.unpersist()
     rows = []
     for j, name in enumerate(feats):

@@ -8,38 +8,31 @@ from pyspark.sql import types as T
 CLASSIFICATION = "classification"
 REGRESSION = "regression"
 
-_TEXTS = "array<string>"
-_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
-          "boolean": T.BooleanType(), "binary": T.BinaryType(), "array<string>": T.ArrayType(T.StringType(), False),
-          "array<string?>": T.ArrayType(T.StringType(), True)}
+def _schema(required: dict[str, T.DataType], optional: tuple[str, ...] = ()) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, name in optional) for name, kind in required.items()])
 
 
-def _schema(*columns: str) -> T.StructType:
-    """Columns written as "name type" or "name type?" where nulls are allowed."""
-    named = [column.split(" ", 1) for column in columns]
-    return T.StructType([T.StructField(name, _TYPES[kind.removesuffix("?")], kind.endswith("?")) for name, kind in named])
-
+_S, _L, _I, _D, _B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BinaryType()
 
 # Column names, types and nullability of the results.
 # fit: what was trained, on how much, how well it fits its own rows, and the model itself
-FIT_SCHEMA = _schema("model_name string", "estimator string", "task string", "n_samples bigint", "n_features bigint",
-                     "n_classes bigint?", "train_score double?", f"features {_TEXTS}", "model binary")
+FIT_SCHEMA = _schema({"model_name": _S, "estimator": _S, "task": _S, "n_samples": _L, "n_features": _L, "n_classes": _L, "train_score": _D,
+                      "features": T.ArrayType(_S, False), "model": _B}, ("n_classes", "train_score"))
 # list_models and model_info: the registry's entries without their trees
-MODEL_INFO_SCHEMA = _schema("model_name string", "estimator string", "task string", "target string", "n_features bigint",
-                            "n_samples bigint", "n_classes bigint?", "train_score double?", "format_version string?",
-                            "created_at string?", "features array<string?>")
+MODEL_INFO_SCHEMA = _schema({"model_name": _S, "estimator": _S, "task": _S, "target": _S, "n_features": _L, "n_samples": _L, "n_classes": _L,
+                             "train_score": _D, "format_version": _S, "created_at": _S, "features": T.ArrayType(_S, True)},
+                            ("n_classes", "train_score", "format_version", "created_at", "features"))
 # drop_model: whether there was something to delete
-DROP_SCHEMA = _schema("model_name string", "dropped boolean")
+DROP_SCHEMA = _schema({"model_name": _S, "dropped": T.BooleanType()})
 # cross_val_score: folds count from 0
-CV_SCORE_SCHEMA = _schema("fold bigint", "score double")
+CV_SCORE_SCHEMA = _schema({"fold": _L, "score": _D})
 # feature_importance and permutation_importance: rank 1 matters most
-IMPORTANCE_SCHEMA = _schema("feature string", "importance double", "rank int")
-PERM_SCHEMA = _schema("feature string", "importance_mean double", "importance_std double", "rank int")
+IMPORTANCE_SCHEMA = _schema({"feature": _S, "importance": _D, "rank": _I})
+PERM_SCHEMA = _schema({"feature": _S, "importance_mean": _D, "importance_std": _D, "rank": _I})
 # partial_dependence: class is null unless there is one curve per class
-PD_SCHEMA = _schema("feature_value double", "class bigint?", "partial_dependence double")
+PD_SCHEMA = _schema({"feature_value": _D, "class": _L, "partial_dependence": _D}, ("class",))
 # searches: a row per combination; only the best one carries its model, refitted on all rows
-SEARCH_SCHEMA = _schema("estimator string", "params string", "mean_test_score double", "std_test_score double",
-                        "rank bigint", "model binary?")
+SEARCH_SCHEMA = _schema({"estimator": _S, "params": _S, "mean_test_score": _D, "std_test_score": _D, "rank": _L, "model": _B}, ("model",))
 
 # One row per tree node; every interpretation operator is computed from this table.
 NODE_SCHEMA = T.StructType([

@@ -42,7 +42,12 @@ def validate_name(name: str) -> str:
 def root_dir(spark: SparkSession, root: str | None = None) -> str:
     if root:
         return root.rstrip("/")
-    return (spark.conf.get(ROOT_CONF, None) or "models").rstrip("/")
+    path = spark.conf.get(ROOT_CONF, None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"give root= or set {ROOT_CONF} to a folder that the driver and all executors share")
+        path = "models"
+    return path.rstrip("/")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -58,8 +63,8 @@ def exists(spark: SparkSession, name: str, root: str | None = None) -> bool:
 
 
 def save(spark: SparkSession, model: Model, name: str, root: str | None = None) -> None:
-    """Store the model under ``<root>/<name>``. All parts are written aside and then take the place of an older model
-    by a rename, so a reader finds a whole model or none."""
+    """Store the model under ``<root>/<name>``. All parts are written aside; an older model is renamed aside, the new one
+    takes its place by a rename, and only then the older one goes, so a crash in between loses neither."""
     validate_name(name)
     final = f"{root_dir(spark, root)}/{name}"
     base = f"{root_dir(spark, root)}/_writing-{uuid.uuid4().hex}"
@@ -73,10 +78,14 @@ def save(spark: SparkSession, model: Model, name: str, root: str | None = None)
     blob_schema = T.StructType([T.StructField("model", T.BinaryType(), False)])
     spark.createDataFrame([(bytearray(model.to_bytes()),)], blob_schema).coalesce(1).write.parquet(f"{base}/blob")
     fs, new = _fs(spark, base)
-    old = _fs(spark, final)[1]
-    fs.delete(old, True)
-    if not fs.rename(new, old):
+    place, aside = _fs(spark, final)[1], _fs(spark, f"{base}-before")[1]
+    replaced = bool(fs.exists(place)) and bool(fs.rename(place, aside))
+    if not fs.rename(new, place):
+        if replaced:
+            fs.rename(aside, place)
         raise OSError(f"could not move {base} to {final}")
+    if replaced:
+        fs.delete(aside, True)
 
 
 def load(spark: SparkSession, name: str, root: str | None = None) -> Model:

@@ -48,9 +48,9 @@ def li_reg(li):
 
 @pytest.fixture(scope="module")
 def cattrain(spark):
-    rows = [(1, "red", 1.0, 0), (2, "blue", 2.0, 1), (3, "red", None, 0), (4, "green", 4.0, 1), (5, "blue", 5.0, 1),
-            (6, "red", 1.5, 0), (7, "green", None, 1), (8, "blue", 2.5, 1), (9, "red", 0.5, 0), (10, "green", 6.0, 1),
-            (11, "blue", 3.0, 1), (12, "red", 0.2, 0)]
+    """Labels that follow from the colour alone, with scores missing in every fifth row."""
+    colors = ["amber", "teal", "red", "teal", "amber", "red"]
+    rows = [(i, colors[i % 6], None if i % 5 == 2 else i * 0.75, int(colors[i % 6] != "red")) for i in range(24)]
     return spark.createDataFrame(rows, "id int, color string, score double, target int")
 
 
