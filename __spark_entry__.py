@@ -618,6 +618,18 @@ def q_fit_approx_nodes(spark, sf_dir):
     return _tree_nodes(spark, data, "xgb_classifier", n_estimators=2, max_depth=2, max_bin=12, tree_method="approx")
 
 
+def q_early_stopping(spark, sf_dir):
+    """The metric of rows that are only evaluated, after every round, and the rounds that are kept."""
+    from boostframe import fit_model
+    li = _t(spark, sf_dir, "lineitem")
+    data = li.select(*[F.col(c).cast("double").alias(c) for c in LI_REG_FEATURES], (F.col("l_orderkey") % 5 == 0).alias("held"),
+                     F.expr("CAST(l_quantity * (1 - l_discount) + 20 * ((l_partkey % 7) - 3) AS DOUBLE)").alias("target"))
+    m = fit_model(data, target="target", estimator="xgb_regressor", validation="held",
+                  params={"n_estimators": 9, "max_depth": 2, "learning_rate": 0.9, "early_stopping_rounds": 2})
+    rows = [(i + 1, float(v), i + 1 == m.meta.best_round, m.n_trees) for i, v in enumerate(m.meta.eval_scores)]
+    return spark.createDataFrame(rows, "round int, score double, best boolean, kept int").withColumn("score", F.round("score", 4))
+
+
 def q_median_error(spark, sf_dir):
     """Exact median of the absolute error per ship mode-like group: the scorer by line status."""
     from boostframe.functions.metrics import score
@@ -682,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_absolute_nodes": q_fit_absolute_nodes,
     "fit_quantile_nodes": q_fit_quantile_nodes,
     "median_error": q_median_error,
+    "early_stopping": q_early_stopping,
     "fit_approx_nodes": q_fit_approx_nodes,
     "sql_predict": q_sql_predict,
     "sql_explain": q_sql_explain,

@@ -238,6 +238,21 @@ def gradients(objective: str, margin: np.ndarray, y: np.ndarray, scale_pos_weigh
     return g, h
 
 
+def row_losses(metric: str, margin: np.ndarray, y: np.ndarray, objective: str) -> np.ndarray:
+    """What a row adds to an evaluation metric (`P.EVAL_METRICS`); the metric is their mean, its root for rmse."""
+    if metric in ("rmse", "mae"):
+        gap = np.abs(link(objective, margin[:, 0]) - y)
+        return gap * gap if metric == "rmse" else gap
+    if metric == "error":
+        return ((margin[:, 0] > 0) != (y > 0.5)).astype(float)
+    if metric == "merror":
+        return (np.argmax(margin, axis=1) != y).astype(float)
+    p = sigmoid(margin[:, 0]) if metric == "logloss" else softmax(margin)[np.arange(len(y)), y.astype(np.int64)]
+    if metric == "logloss":
+        p = np.where(y > 0.5, p, 1.0 - p)
+    return -np.log(np.clip(p, 1e-15, 1.0))
+
+
 def scale_for(largest: float) -> float:
     """Fixed-point scale, a power of two, for sums of values up to ``largest``: 2^20 for ordinary magnitudes, else such
     that the largest value takes about 32 bits, so a task can add 2^30 of them."""

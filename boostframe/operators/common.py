@@ -16,6 +16,7 @@ from ..functions.kernel import LOG_LINK
 from ..model import Model
 from ..plans import ranks
 from ..plans.binning import DataStats, binned_table, collect_stats, fold_local, materialise, sum_value, target_sum  # noqa: F401
+from ..plans.features import feature_columns, quoted
 from ..plans.quantiles import group_quantiles
 from ..plans.train import ModelSpec
 from ..schemas import CLASSIFICATION
@@ -96,21 +97,31 @@ class Prepared:
 
 
 def prepare(df: DataFrame, target: str, id_col: str, task: str, params: dict, cv: int | None = None,
-            stats: DataStats | None = None) -> Prepared:
-    """Statistics + binned table (+ fold column); margins are added by ``with_margins``."""
+            stats: DataStats | None = None, validation: str = "") -> Prepared:
+    """Statistics + binned table (+ fold column); margins are added by ``with_margins``. Rows where the column
+    ``validation`` is true are only evaluated: they have no part in statistics and trees."""
     if not target:
         raise ValueError("fit requires 'target' (the label column name)")
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found in input; columns: {', '.join(df.columns)}")
     if id_col and id_col not in df.columns:
         raise ValueError(f"id column {id_col!r} not found in input; columns: {', '.join(df.columns)}")
+    if validation and validation not in df.columns:
+        raise ValueError(f"validation column {validation!r} not found in input; columns: {', '.join(df.columns)}")
+    if params.get("early_stopping_rounds") and not validation and cv is None:
+        raise ValueError("early_stopping_rounds needs 'validation', the column of the rows to evaluate")
+    if validation:
+        df = df.withColumn(validation, F.coalesce(quoted(validation).cast("boolean"), F.lit(False)))
+        learned = df.where(~quoted(validation))
+        features = [c for c in feature_columns(df, target, id_col) if c != validation]
+        stats = collect_stats(learned, target, id_col, task, params["max_bin"], params["tree_method"], features)
     if stats is None:
         method = "hist" if params.get("booster") == "gblinear" else params["tree_method"]      # linear models have no bins
         stats = collect_stats(df, target, id_col, task, params["max_bin"], method)
     if task != CLASSIFICATION:
         check_target_range(params.get("objective"), stats.y_min, stats.y_max)
     has_fold, linear = cv is not None, params.get("booster") == "gblinear"
-    binned = binned_table(df, stats, id_col, keep_raw=linear, keep_sketched=not linear and (has_fold or params["tree_method"] == "approx"))
+    binned = binned_table(df, stats, id_col, keep_raw=linear, keep_sketched=not linear and (has_fold or params["tree_method"] == "approx"), validation=validation)
     release = []
     order = (["__id"] if id_col else []) + ["__rid"]
     if has_fold:
@@ -185,7 +196,8 @@ def target_sums(prep: Prepared) -> dict:
 def order_centres(prep: Prepared, prob: float, folds: list[int]) -> dict[int, float]:
     """The ``prob`` quantile of the target of all rows (fold -1) or of those outside each fold."""
     outside = F.array(*[F.lit(f) if f < 0 else F.when(F.col("__fold") != f, F.lit(f)) for f in folds])
-    got = group_quantiles(prep.state.select(F.explode(outside).alias("g"), F.col("__y").alias("v")).where("g IS NOT NULL"), [prob])
+    rows = prep.state.where("NOT __val") if "__val" in prep.state.columns else prep.state
+    got = group_quantiles(rows.select(F.explode(outside).alias("g"), F.col("__y").alias("v")).where("g IS NOT NULL"), [prob])
     return {f: got[f][0] if f in got else 0.0 for f in folds}
 
 

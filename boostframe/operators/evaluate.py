@@ -164,6 +164,7 @@ def _search(df: DataFrame, combos: list[dict], estimator: str, target: str, id_c
     for i, p in enumerate(resolved):
         groups.setdefault((p["max_bin"], p["tree_method"], p["booster"] == "gblinear"), []).append(i)
     scores = np.full((len(combos), cv), np.nan)
+    kept: dict = {}                       # combination → rounds that its folds kept under early stopping
     stats = None
     for _, idx in groups.items():
         prep = prepare(df, target, id_col, task, resolved[idx[0]], cv=cv)
@@ -184,6 +185,8 @@ def _search(df: DataFrame, combos: list[dict], estimator: str, target: str, id_c
                 finally:
                     release()
                 scores[chunk] = s
+                for n, i in enumerate(chunk):
+                    kept[i] = [specs[n * cv + f].best_round for f in range(cv)]
         finally:
             for d in prep.release:
                 d.unpersist()
@@ -195,6 +198,8 @@ def _search(df: DataFrame, combos: list[dict], estimator: str, target: str, id_c
     best = int(np.argmax(order_key))
     # refit the best combination on every row; its stored score is the CV mean
     p_best = resolved[best]
+    if p_best["early_stopping_rounds"] is not None:       # all rows are learned from now, for as many rounds as the folds kept
+        p_best = {**p_best, "early_stopping_rounds": None, "n_estimators": max(1, round(sum(kept[best]) / cv))}
     prep = prepare(df, target, id_col, task, p_best, stats=stats if groups and len(groups) == 1 else None)
     specs = make_specs(prep, estimator, [p_best], None)
     results, _, release = train_specs(prep, specs)

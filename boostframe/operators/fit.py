@@ -33,6 +33,8 @@ def make_specs(prep: Prepared, estimator: str, plist: list[dict], folds: list[in
         rounds, parallel = P.training_shape(estimator, p)
         signs = P.monotone_signs(p, stats.names, categorical)
         quantile = P.order_quantile(objective, p)
+        watched = p["early_stopping_rounds"] is not None or "__val" in prep.state.columns
+        metric = P.eval_metric(objective, p) if watched and p["booster"] == "gbtree" else None
         centres = order_centres(prep, quantile, folds or [-1]) if quantile is not None and p["base_score"] is None else None
         for f in (folds or [-1]):
             if f < 0:
@@ -49,7 +51,8 @@ def make_specs(prep: Prepared, estimator: str, plist: list[dict], folds: list[in
                                    seed=int(p["random_state"]), g_scale=_gradient_scale(stats, objective, base),
                                    h_scale=_curvature_scale(stats, objective, p),
                                    monotone=None if signs is None else np.array(signs),
-                                   groups=P.interaction_groups(p, stats.names), leaf_quantile=quantile))
+                                   groups=P.interaction_groups(p, stats.names), leaf_quantile=quantile,
+                                   metric=metric, metric_scale=_metric_scale(stats, metric)))
     return specs
 
 
@@ -69,6 +72,14 @@ def _curvature_scale(stats, objective: str, p: dict) -> float:
     return scale_for(stats.y_max * math.exp(p["max_delta_step"] or 0.7))
 
 
+def _metric_scale(stats, metric: str | None) -> float:
+    """Fixed-point scale of the sums of an evaluation metric."""
+    if metric not in ("rmse", "mae"):
+        return FIXED_SCALE
+    spread = max(abs(stats.y_max), abs(stats.y_min), stats.y_max - stats.y_min)
+    return min(FIXED_SCALE, scale_for(spread * spread if metric == "rmse" else spread))
+
+
 def train_specs(prep: Prepared, specs: list[ModelSpec]):
     """Train (tree or linear boosters) and return ``(per-model results, final state, cleanup)``."""
     state = with_margins(prep, specs)
@@ -93,6 +104,7 @@ def margin_cols(specs: list[ModelSpec], mi: int) -> list[str]:
 
 def in_sample_score(final: DataFrame, spec: ModelSpec, cols: list[str], task: str, y_mean: float) -> float:
     ms = [F.col(c) for c in cols]
+    final = final.where("NOT __val") if "__val" in final.columns else final
     if task == CLASSIFICATION:
         code = code_column(ms, spec.objective)
         row = final.agg(F.avg((code.cast("double") == F.col("__y")).cast("double")).alias("acc")).first()
@@ -119,7 +131,8 @@ def build_model(prep: Prepared, estimator: str, target: str, p: dict, spec: Mode
         if stats.classes is not None else "double",
         n_samples=stats.n_rows, n_features=len(stats.features), train_score=train_score,
         created_at=now_utc(), objective=spec.objective, n_groups=spec.n_groups,
-        base_margin=[float(v) for v in spec.base], booster=p["booster"])
+        base_margin=[float(v) for v in spec.base], booster=p["booster"], eval_metric=spec.metric,
+        eval_scores=spec.history or None, best_round=spec.best_round)
     if p["booster"] == "gblinear":
         meta.linear_weights, meta.linear_bias = result
         return Model(meta, Model.empty_nodes(), [], [])
@@ -127,14 +140,19 @@ def build_model(prep: Prepared, estimator: str, target: str, p: dict, spec: Mode
 
 
 def fit_model(df: DataFrame, target: str = "", estimator: str = "xgb_classifier", id: str = "",
-              params: str | dict | None = "", model_name: str = "", root: str | None = None) -> Model:
-    """Train one model on all rows of ``df``; store it when ``model_name`` is given."""
+              params: str | dict | None = "", model_name: str = "", root: str | None = None, validation: str = "") -> Model:
+    """Train one model on all rows of ``df``; store it when ``model_name`` is given.
+
+    Rows where the column ``validation`` is true are not learned from; the model's ``eval_scores`` hold their
+    ``eval_metric`` after every round, and with ``early_stopping_rounds`` training ends when it has not fallen for so many
+    rounds and the model keeps the rounds up to the best one.
+    """
     task, p = P.resolve(estimator, params)
     if not target:
         raise ValueError("fit requires 'target' (the label column name)")
     if model_name:
         registry.validate_name(model_name)
-    prep = prepare(df, target, id, task, p)
+    prep = prepare(df, target, id, task, p, validation=validation)
     specs = make_specs(prep, estimator, [p], None)
     results, final, release = train_specs(prep, specs)
     try:
@@ -157,10 +175,10 @@ def summary_frame(spark, model: Model) -> DataFrame:
 
 
 def fit(df: DataFrame, target: str = "", model_name: str = "", estimator: str = "xgb_classifier",
-        id: str = "", params: str | dict | None = "", root: str | None = None) -> DataFrame:
+        id: str = "", params: str | dict | None = "", root: str | None = None, validation: str = "") -> DataFrame:
     """One summary row: model_name, estimator, task, n_samples, n_features, n_classes, train_score,
     features, model (BINARY)."""
-    model = fit_model(df, target, estimator, id, params, model_name, root)
+    model = fit_model(df, target, estimator, id, params, model_name, root, validation)
     return summary_frame(df.sparkSession, model)
 
 

@@ -6,6 +6,7 @@ by one vectorised routing loop over all trees. No shuffle; works on streaming Da
 
 from __future__ import annotations
 
+import re
 import warnings
 from typing import Any
 
@@ -71,7 +72,14 @@ def label_arrow_type(model: Model) -> pa.DataType:
 
 
 def _label_spark_type(model: Model) -> T.DataType:
-    return T._parse_datatype_string(model.meta.label_type) if model.meta.label_type else T.LongType()
+    """The type of the labels, from its name (without a session: table functions ask for it in a process of their own)."""
+    plain = (T.StringType(), T.LongType(), T.IntegerType(), T.ShortType(), T.ByteType(), T.DoubleType(), T.FloatType(),
+             T.BooleanType(), T.DateType(), T.TimestampType())
+    name = model.meta.label_type or "bigint"
+    digits = re.fullmatch(r"decimal\((\d+),(\d+)\)", name)
+    if digits:
+        return T.DecimalType(int(digits[1]), int(digits[2]))
+    return next((t for t in plain if t.simpleString() == name), None) or T._parse_datatype_string(name)
 
 
 def output_schema(df: DataFrame, model: Model, id_col: str, with_proba: bool, output_margin: bool,

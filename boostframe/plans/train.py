@@ -44,6 +44,19 @@ class ModelSpec:
     monotone: np.ndarray | None = None  # per feature: 1 rising, -1 falling, 0 free
     groups: list | None = None          # sets of features (by position) that may share a path
     leaf_quantile: float | None = None  # leaves are this quantile of the residuals
+    metric: str | None = None           # evaluated after every round on the rows that are not learned from
+    metric_scale: float = K.FIXED_SCALE
+    history: list = field(default_factory=list)
+    best_round: int | None = None
+    stopped: bool = False
+
+    def note(self, total: float, n: int) -> None:
+        """Take the metric after one more round; stop if it has not fallen for ``early_stopping_rounds``."""
+        value = total / n if n else float("nan")
+        self.history.append(value ** 0.5 if self.metric == "rmse" else value)
+        self.best_round = 1 + int(np.argmin(np.nan_to_num(self.history, nan=np.inf)))
+        patience = self.params["early_stopping_rounds"]
+        self.stopped = patience is not None and len(self.history) - self.best_round >= patience
 
 
 @dataclass
@@ -230,6 +243,9 @@ def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: b
     y = batch.column(cols.index("__y")).to_numpy(zero_copy_only=False)
     rid = batch.column(cols.index("__rid")).to_numpy(zero_copy_only=False)
     fold = batch.column(cols.index("__fold")).to_numpy(zero_copy_only=False) if has_fold else None
+    if "__val" in cols:                   # rows that are only evaluated are the held-out fold -1 of every model
+        val = batch.column(cols.index("__val")).to_numpy(zero_copy_only=False).astype(bool)
+        fold = np.where(val, -1, 0 if fold is None else fold)
     return codes, M, y, rid, fold
 
 
@@ -275,7 +291,7 @@ def _make_hist_kernel(ctx: dict):
     def kernel(batches):
         forest: K.Forest = ctx["forest"]
         slot_of = ctx["slot_of"]
-        sums = splits.PartialSums(n_slots * TB)
+        sums = splits.PartialSums((n_slots + len(ctx["watch"])) * TB)
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -290,10 +306,15 @@ def _make_hist_kernel(ctx: dict):
             # gradients for every (model, group) margin column, fixed point
             Gf = np.empty_like(M)
             Hf = np.empty_like(M)
+            known = y if fold is None else np.where(fold == -1, 0.0, y)       # targets of rows that are learned from
             for obj, kk, c0, options, g_scale, h_scale in ctx["models"]:
-                g, h = K.gradients(obj, M[:, c0:c0 + kk], y, *options)
+                g, h = K.gradients(obj, M[:, c0:c0 + kk], known, *options)
                 Gf[:, c0:c0 + kk] = K.to_fixed(g, g_scale)
                 Hf[:, c0:c0 + kk] = K.to_fixed(h, h_scale)
+            for slot, c0, kk, objective, metric, scale, test_fold in ctx["watch"]:
+                mine = (fold == test_fold) & ~np.isnan(y) if fold is not None else np.zeros(n, bool)
+                loss = K.to_fixed(K.row_losses(metric, M[mine, c0:c0 + kk], y[mine], objective), scale)
+                sums.add(np.full(len(loss), slot * TB, np.int64), loss, np.zeros(len(loss)))
             tree_folds = [t[1] for t in ctx["trees"]]
             slots = slot_of[codes.route(forest, tree_folds)]     # [n, T]
             valid = slots >= 0
@@ -301,7 +322,7 @@ def _make_hist_kernel(ctx: dict):
             pairs: dict = {}
             for t, (mcol, test_fold, sub, salt) in enumerate(ctx["trees"]):
                 v = valid[:, t]
-                if test_fold >= 0:
+                if fold is not None:
                     v &= fold != test_fold
                 if sub < 1.0:
                     v &= K.uniform(rid, *salt) < sub
@@ -425,10 +446,11 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     state0 = state
     older = None
     pending = Pending()
+    watch = [(i, s) for i, s in enumerate(specs) if s.metric is not None]
     for rnd in range(max_rounds):
         growers: list[Grower] = []
         for mi, s in enumerate(specs):
-            if rnd >= s.rounds:
+            if rnd >= s.rounds or s.stopped:
                 continue
             for k in range(s.n_groups):      # tree order within a round: class-major, then parallel tree
                 for p in range(s.parallel):
@@ -464,6 +486,8 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                              (s.seed, rnd, g.group, g.par)))
         level = 0
         level_allowed = {}
+        if not growers:
+            break
         while True:
             frontier = []
             for gi, g in enumerate(growers):
@@ -491,9 +515,18 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                     level_allowed[lk] = _colsample(rngs[g.model], g.allowed, s.params["colsample_bylevel"])
                 may = level_allowed[lk] & may_follow(s.groups, g.path[ni], n_feat)
                 allowed[i] = _colsample(rngs[g.model], may, s.params["colsample_bynode"])
+            asked = _waiting(watch, rnd) if level == 0 else []
             partials = level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest,
-                                      drop_col, pending.forest(), drop_fold, cuts, anew)
-            best = _level_splits(partials, stats, specs, growers, frontier, allowed, partitions)
+                                      drop_col, pending.forest(), drop_fold, cuts, anew,
+                                      _watched(asked, specs, col0, len(frontier)))
+            best, noted = _level_splits(partials, stats, specs, growers, frontier, allowed, partitions, asked)
+            for i, row in noted:
+                specs[i].note(row["gt"], row["nt"])
+            if any(specs[i].stopped for i, _ in noted):       # what grows of a model that has ended is not kept
+                for g in growers:
+                    if specs[g.model].stopped:
+                        g.open = [False] * len(g.open)
+                best = [None if specs[growers[gi].model].stopped else b for b, (gi, _) in zip(best, frontier)]
             # under a leaf limit the best-gain splits of the level come first; best-first growth makes one at a time
             order = sorted(range(len(frontier)), key=lambda i: -(best[i]["gain"] if best[i] else -1.0))
             leaves_now = {gi: growers[gi].n_leaves() for gi in {f[0] for f in frontier}}
@@ -517,6 +550,8 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 g.split_best(specs[g.model])
             level += 1
         # leaf values, pruning, compaction
+        growers, tree_ctx = (list(x) for x in zip(*[(g, c) for g, c in zip(growers, tree_ctx) if not specs[g.model].stopped])) \
+            if any(not specs[g.model].stopped for g in growers) else ([], [])
         done = []
         for g in growers:
             s = specs[g.model]
@@ -526,7 +561,7 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             _prune(g, s.params["gamma"], s.params)
             cg = _compact(g)
             done.append(cg)
-        if any(s.leaf_quantile is not None for s in specs):
+        if any(specs[g.model].leaf_quantile is not None for g in growers):
             _order_leaves(state, stats, specs, done, tree_ctx, n_margin, has_fold, pending.forest(), anew)
         # dart "tree" normalisation: new trees weigh 1/(k+lr), dropped trees are scaled by k/(k+lr)
         new_w = []
@@ -548,7 +583,10 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
                 pending.add(g_old.bin_tree(), w_old * factor - w_old, int(col0[mi] + g_old.group), s.test_fold)
         for cg, w in zip(done, new_w):
             trees[cg.model].append((cg, w))
-        last, save = rnd == max_rounds - 1, (rnd + 1) % CHECKPOINT_EVERY == 0
+        ended = rnd == max_rounds - 1 or all(s.stopped or rnd + 1 >= s.rounds for s in specs)
+        if ended and watch:
+            _finish_watch(state, stats, specs, watch, col0, models_ctx, n_margin, has_fold, pending, partitions, anew, trees)
+        last, save = ended, (rnd + 1) % CHECKPOINT_EVERY == 0
         if not (last or save or len(pending.trees) >= PENDING_TREES):
             continue
         # margin update: new persisted state (first read by the next round's root pass)
@@ -565,6 +603,8 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             older.unpersist()
         older = state if state is not state0 else None
         state = new_state
+        if ended:
+            break
 
     def cleanup() -> None:
         if older is not None:
@@ -575,6 +615,37 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     return trees, state, cleanup
 
 
+def _waiting(watch, rnd: int) -> list[int]:
+    """Models whose metric after ``rnd`` rounds is not known yet."""
+    return [i for i, s in watch if not s.stopped and len(s.history) == rnd - 1 and 1 <= rnd <= s.rounds]
+
+
+def _watched(models: list[int], specs, col0, slots: int) -> list:
+    """(slot, margin columns, loss) of the models whose metric a pass sums behind its own ``slots``."""
+    return [(slots + n, int(col0[i]), specs[i].n_groups, specs[i].objective, specs[i].metric, specs[i].metric_scale, specs[i].test_fold)
+            for n, i in enumerate(models)]
+
+
+def _finish_watch(state, stats, specs, watch, col0, models_ctx, n_margin, has_fold, pending, partitions, anew, trees) -> None:
+    """The metric after the last round of the models that went so far; then every watched model that may stop early keeps
+    the rounds up to its best one, in its trees and in the margins."""
+    rounds = {i: len(trees[i]) // (s.n_groups * s.parallel) for i, s in watch}
+    for rnd in sorted({r for i, r in rounds.items() if len(specs[i].history) < r}):
+        asked = _waiting([(i, s) for i, s in watch if rounds[i] == rnd], rnd)
+        partials = level_partials(state, stats, [], [], [], models_ctx, n_margin, has_fold, pending=pending.forest(), raw=anew,
+                                  watch=_watched(asked, specs, col0, 0))
+        _, noted = _level_splits(partials, stats, specs, [], [], np.zeros((0, len(stats.features)), bool), partitions, asked)
+        for i, row in noted:
+            specs[i].note(row["gt"], row["nt"])
+    for i, s in watch:
+        if s.params["early_stopping_rounds"] is None or not s.history:
+            continue
+        keep = s.best_round * s.n_groups * s.parallel
+        for grower, w in trees[i][keep:]:
+            pending.add(grower.bin_tree(), -w, int(col0[i] + grower.group), s.test_fold)
+        del trees[i][keep:]
+
+
 def _round_cuts(state, stats, specs, models_ctx, n_margin, has_fold, anew, pending) -> dict:
     """Margin column → feature → cuts of this round: quantiles of the column's training rows, weighted by its second
     derivatives, from one pass over the state."""
@@ -585,7 +656,7 @@ def _round_cuts(state, stats, specs, models_ctx, n_margin, has_fold, anew, pendi
         _add_pending(pending, codes, M)
         for (objective, k, c0, options, _, h_scale), test_fold in zip(models_ctx, folds):
             h = K.to_fixed(K.gradients(objective, M[:, c0:c0 + k], y, *options)[1], h_scale)
-            mine = np.ones(len(y), bool) if test_fold < 0 else fold != test_fold
+            mine = np.ones(len(y), bool) if fold is None else fold != test_fold
             for c in range(k):
                 for j in anew:
                     yield c0 + c, j, codes.raw[j][mine], h[mine, c]
@@ -612,7 +683,7 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
         slots, values = [], []
         for t, (mcol, test_fold, sub, salt) in enumerate(trees):
             used = np.ones(len(y), bool)
-            if test_fold >= 0:
+            if fold is not None:
                 used &= fold != test_fold
             if sub < 1.0:
                 used &= K.uniform(rid, *salt) < sub
@@ -628,7 +699,7 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
 
 
 def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_margin, has_fold, drop_forest=None,
-                   drop_col=None, pending=None, drop_fold=None, cuts=None, raw=()) -> DataFrame:
+                   drop_col=None, pending=None, drop_fold=None, cuts=None, raw=(), watch=()) -> DataFrame:
     """The partial histograms of one data pass (`splits.PARTIAL` rows) for all slots of ``frontier``."""
     nb, off, TB = _feature_offsets(stats)
     forest = K.build_forest([g.bin_tree() for g in growers], [0] * len(growers), [1.0] * len(growers))
@@ -638,32 +709,39 @@ def level_partials(state, stats, growers, frontier, tree_ctx, models_ctx, n_marg
     ctx = {"n_feat": len(stats.features), "n_margin": n_margin, "has_fold": has_fold, "nb": nb, "off": off, "TB": TB,
            "kind": code_type(stats.features), "n_slots": len(frontier), "forest": forest, "slot_of": slot_of,
            "trees": tree_ctx, "models": models_ctx, "drop_forest": drop_forest, "drop_col": drop_col or [],
-           "drop_fold": drop_fold or [], "maps": stats.fold_maps, "pending": pending, "cuts": cuts or {}, "raw": raw}
+           "drop_fold": drop_fold or [], "maps": stats.fold_maps, "pending": pending, "cuts": cuts or {}, "raw": raw, "watch": watch}
     return state.mapInArrow(_make_hist_kernel(ctx), splits.PARTIAL)
 
 
-def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed, partitions: int) -> list:
-    """Best split of every slot of the frontier (None for a slot that no row reached)."""
-    model_of = np.array([growers[gi].model for gi, _ in frontier])
-    models = np.unique(model_of)
-    n_bins = _feature_offsets(stats)[0]
+def _level_splits(partials: DataFrame, stats, specs, growers, frontier, allowed, partitions: int, watched: list[int]):
+    """Best split of every slot of the frontier (None for a slot that no row reached), and (model, its row) of the metrics
+    that the pass summed behind the slots for the models ``watched``."""
+    model_of = [growers[gi].model for gi, _ in frontier]
+    n_bins, n_feat, extra = _feature_offsets(stats)[0], len(stats.features), len(watched)
     own = None
     if stats.fold_maps is not None:
         of = [n_bins] + [np.array([n if m is None or info.categorical else int(m.max()) + 1 for n, m, info in zip(n_bins, row, stats.features)])
                          for row in stats.fold_maps]
-        own = np.stack([of[specs[m].test_fold + 1] for m in model_of])
+        own = np.stack([of[specs[m].test_fold + 1] for m in model_of + watched])
     if any(growers[gi].cuts for gi, _ in frontier):
-        own = np.tile(n_bins, (len(frontier), 1)) if own is None else own
+        own = np.tile(n_bins, (len(frontier) + extra, 1)) if own is None else own
         for i, (gi, _) in enumerate(frontier):
             for j, at in growers[gi].cuts.items():
                 own[i, j] = len(at) + 1
+    models = sorted(set(model_of + watched))
     search = splits.Search(
         n_bins=n_bins, own_bins=own, categorical=np.array([f.categorical for f in stats.features]),
-        params=[specs[m].params for m in models], params_of=np.searchsorted(models, model_of),
-        g_scale=np.array([specs[m].g_scale for m in model_of]), h_scale=np.array([specs[m].h_scale for m in model_of]),
-        allowed=allowed, low=np.array([growers[gi].low[ni] for gi, ni in frontier]),
-        high=np.array([growers[gi].high[ni] for gi, ni in frontier]), monotone=[specs[m].monotone for m in models])
+        params=[specs[m].params for m in models], params_of=np.searchsorted(models, model_of + watched),
+        g_scale=np.array([specs[m].g_scale for m in model_of] + [specs[m].metric_scale for m in watched]),
+        h_scale=np.array([specs[m].h_scale for m in model_of] + [1.0] * extra),
+        allowed=np.concatenate([allowed, np.zeros((extra, n_feat), bool)]),
+        low=np.array([growers[gi].low[ni] for gi, ni in frontier] + [-np.inf] * extra),
+        high=np.array([growers[gi].high[ni] for gi, ni in frontier] + [np.inf] * extra), monotone=[specs[m].monotone for m in models])
     best: list = [None] * len(frontier)
+    noted = []
     for row in splits.choose_splits(partials, search, partitions).collect():
-        best[row["slot"]] = row
-    return best
+        if row["slot"] < len(frontier):
+            best[row["slot"]] = row
+        else:
+            noted.append((watched[row["slot"] - len(frontier)], row))
+    return best, noted

@@ -7,6 +7,8 @@ The boosted-stump oracles rebuild the whole fit in SQL: exact bins from distinct
 
 from __future__ import annotations
 
+from tree_oracles import nodes_sql, tree_ctes
+
 S = "1048576.0"
 LI_ALL = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
           "l_returnflag, l_linestatus, l_shipdate")
@@ -159,8 +161,6 @@ def stump_nodes_sql(src, names, categorical, objective, rounds, label_cats=False
 
 def deep_tree_sql() -> dict[str, str]:
     """Node tables of trees of depth 2 and 3."""
-    from tree_oracles import nodes_sql, tree_ctes
-
     def table(src, names, categorical, objective, rounds=2, depth=3, **options):
         return tree_ctes(src, categorical, objective, rounds, depth, **options) + nodes_sql(names, categorical, rounds, depth)
 
@@ -473,6 +473,15 @@ SELECT id AS sample_id, round(x0, 6) AS feature_0, round(x1, 6) AS feature_1,
     out["model_lifecycle"] = """
 SELECT 'li_reg_stumps' AS model_name, 'xgb_regressor' AS estimator, 'regression' AS task, 'target' AS target,
        CAST(4 AS BIGINT) AS n_features, count(*) AS n_samples, CAST(NULL AS BIGINT) AS n_classes FROM lineitem"""
+    held = f"""SELECT {LI_X}, l_orderkey % 5 = 0 AS held, CAST(l_quantity * (1 - l_discount) + 20 * ((l_partkey % 7) - 3) AS DOUBLE) AS y FROM lineitem"""
+    scores = " UNION ALL ".join(f"SELECT {r} AS r, (SELECT sqrt(avg((y - m{r}) * (y - m{r}))) FROM st9 WHERE held) AS score" for r in range(1, 10))
+    out["early_stopping"] = tree_ctes(held, [False] * 4, "reg:squarederror", 9, 2, eta=0.9, train="NOT held") + f"""
+        , scores AS ({scores}),
+        so_far AS (SELECT r, score, (SELECT arg_min(b.r, b.score) FROM scores b WHERE b.r <= a.r) AS best FROM scores a),
+        stop AS (SELECT coalesce(min(r), 9) AS last FROM so_far WHERE r - best >= 2),
+        kept AS (SELECT best FROM so_far, stop WHERE r = last)
+        SELECT CAST(r AS INTEGER) AS round, round(score, 4) AS score, r = kept.best AS best, CAST(kept.best AS INTEGER) AS kept
+        FROM scores, stop, kept WHERE r <= last"""
     # approx: cuts where the weight of the second derivatives passes i/12 of the whole, per round
     def recut(rows: str, h: str) -> str:
         return f"""WITH rows_ AS MATERIALIZED ({rows}),
@@ -481,7 +490,6 @@ SELECT 'li_reg_stumps' AS model_name, 'xgb_regressor' AS estimator, 'regression'
             cuts AS MATERIALIZED (SELECT DISTINCT (SELECT min(x) FROM upto WHERE c > whole * i / 12.0) AS cut FROM range(1, 12) t(i))
             SELECT r.* EXCLUDE (x), x, coalesce((SELECT max(cut) FROM cuts WHERE cut <= r.x), -1.0) AS x0 FROM rows_ r"""
 
-    from tree_oracles import nodes_sql, tree_ctes
     plain = """SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_discount AS DOUBLE) AS x1,
         CAST(CAST(l_quantity > 37 AND l_discount >= 0.03 AS INTEGER) AS DOUBLE) AS y FROM lineitem"""
     first = tree_ctes(recut(plain, "0.25"), [False] * 2, "binary:logistic", 1, 2)

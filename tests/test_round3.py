@@ -356,3 +356,42 @@ def test_approx_takes_its_cuts_anew(spark):  # noqa: F811
     assert model.meta.train_score == pytest.approx(hit)
     folds = cross_val_predict(rows, target="y", id="id", params={**params, "tree_method": "approx"}, cv=3)
     assert folds.count() == 3000 and folds.join(rows, "id").where("prediction = y").count() > 2500
+
+
+# ------------------------------------------------------------------------------------------------ early stopping
+
+def test_early_stopping(spark):  # noqa: F811
+    from boostframe.operators.evaluate import cross_val_predict, grid_search
+    rows = spark.range(2000).select("id", (F.col("id") * 7919 % 1999 / 20).alias("x"), (F.col("id") % 13).cast("double").alias("z"),
+                                    (F.col("id") % 4 == 1).alias("held"),
+                                    F.when(F.col("id") * 31 % 17 > 4, F.when(F.col("id") * 7919 % 1999 > 900, "a").otherwise("b"))
+                                    .otherwise(F.when(F.col("id") % 2 == 0, "a").otherwise("b")).alias("y"))
+    params = {"n_estimators": 25, "max_depth": 5, "learning_rate": 0.8, "early_stopping_rounds": 3}
+    m = fit_model(rows, target="y", id="id", validation="held", params=params)
+    scores = m.meta.eval_scores
+    assert m.meta.best_round == 1 + int(np.argmin(scores)) == m.n_trees and len(scores) == m.meta.best_round + 3 < 25
+    assert m.meta.eval_metric == "logloss" and "held" not in m.meta.feature_names and m.meta.n_samples == 1500
+    learned = rows.where("NOT held").drop("held")
+    for r in (1, m.meta.best_round):                       # the same trees as a fit on the learned rows, with the same loss
+        w = fit_model(learned, target="y", id="id", params={"n_estimators": r, "max_depth": 5, "learning_rate": 0.8})
+        p = predict(rows.where("held"), model=w, id="id", with_proba=True).join(rows, "id")
+        loss = p.agg(F.avg(-F.log(F.when(F.col("y") == "b", F.col("proba_b")).otherwise(F.col("proba_a"))))).first()[0]
+        assert scores[r - 1] == pytest.approx(loss, abs=1e-5)
+    assert w.node_frame().equals(m.node_frame())
+    assert m.meta.train_score == pytest.approx(w.meta.train_score)
+    watched = fit_model(rows, target="y", id="id", validation="held", params={"n_estimators": 4, "max_depth": 2, "eval_metric": "error"})
+    assert len(watched.meta.eval_scores) == watched.n_trees == 4
+    odd = rows.withColumn("y", F.when(F.col("held") & (F.col("id") % 3 == 0), "never learned").otherwise(F.col("y")))
+    assert len(fit_model(odd, target="y", id="id", validation="held", params={"n_estimators": 2, "max_depth": 2}).meta.eval_scores) == 2
+    folds = cross_val_predict(rows.drop("held"), target="y", id="id", params=params, cv=3)
+    assert folds.count() == 2000
+    board = grid_search(rows.drop("held"), {"xgb_classifier": {"early_stopping_rounds": [2], "learning_rate": [0.8], "max_depth": [5], "n_estimators": [12]}},
+                        target="y", id="id", cv=2).collect()
+    from boostframe.model import Model
+    assert 1 <= Model.from_bytes(board[0]["model"]).n_trees < 12
+    for given, message in (({"early_stopping_rounds": 2}, "needs 'validation'"), ({"early_stopping_rounds": 0}, ">= 1"),
+                           ({"early_stopping_rounds": 2, "booster": "dart"}, "booster gbtree")):
+        with pytest.raises(ValueError, match=message):
+            fit_model(rows.drop("held"), target="y", params={"n_estimators": 1, **given})
+    with pytest.raises(ValueError, match="does not fit"):
+        fit_model(rows, target="y", validation="held", params={"n_estimators": 1, "eval_metric": "rmse"})
