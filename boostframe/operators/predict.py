@@ -38,6 +38,10 @@ class Scorer:
             self.B = np.asarray(model.meta.linear_bias, dtype=np.float64)
 
     def matrix(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Feature matrix of a batch that has its features by position (f0, f1, ...) or, lacking these, by name."""
+        places = [f"f{j}" for j in range(len(self.infos))]
+        if not set(places) <= set(batch.schema.names):
+            batch = pa.RecordBatch.from_arrays([batch.column(n) for n in self.meta.feature_names], names=places)
         return encode_features(batch, self.infos, value_space=True)
 
     def margins(self, X: np.ndarray) -> np.ndarray:
