@@ -203,9 +203,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     """
     key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.xxhash64("text").alias("print"))
     groups = simhash_groups(docs.select(key.alias("doc_id"), "text"), **options)
-    kept = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct(), "kept")
+    kept = cut(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.*").distinct(), "kept")
+    kept = kept.select(F.struct(F.coalesce("nameless", F.lit(False)).alias("nameless"), F.col("doc_id"),
+                                F.coalesce("print", F.lit(0).cast("long")).alias("print")).alias("kept"))
     rows = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"), key.alias("key"))
-    # the key is never null itself, so a plain equality serves, and one shuffle by it serves the join and what follows
+    # both sides have one type (a key's flag and hash are never null), so one shuffle by key serves the join and what follows
     return rows.join(kept, F.col("key") == F.col("kept"), "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
