@@ -331,6 +331,30 @@ def test_links_of_random_words_with_small_tiles(spark):  # noqa: F811
         assert {w: find(w) for w in words} == plain_groups(words)
 
 
+def test_toxicity_scores_are_plain_convolutions():
+    """Every text scores as a plain convolution of its own words does, whatever stands beside it in the batch."""
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    words = [f"w{i}" for i in range(60)] + ["foul", "vile"]
+    texts = [" ".join(rng.choice(words, size=rng.integers(0, 12))) for _ in range(300)]
+    m = toxicity.fit(texts, np.array([int("foul" in t.split() or "vile" in t.split()) for t in texts]))
+
+    def plain(text):
+        index, _, buckets, _ = toxicity.words_of(pa.array([text]))
+        vectors = [np.concatenate([m.tables[k][buckets[i, k]] for k in range(toxicity.TABLES)]).astype(float) for i in index]
+        act = []
+        for w, (width, taps) in enumerate(zip(toxicity.WIDTHS, m.filters)):
+            row = vectors + [np.zeros(taps.shape[1])] * width
+            maps = [sum(row[s + j] @ taps[j] for j in range(width)) for s in range(len(vectors) + 1)]
+            act.append(np.maximum(np.max(maps, axis=0) + m.bias[w], 0))
+        return float(np.concatenate(act) @ m.dense + m.offset)
+
+    together = m.logits(*toxicity.words_of(pa.array(texts))[:3])
+    assert np.abs(together - [plain(t) for t in texts]).max() < 1e-5
+    some = rng.permutation(len(texts))[:77]
+    assert np.abs(m.logits(*toxicity.words_of(pa.array([texts[i] for i in some]))[:3]) - together[some]).max() < 1e-5
+
+
 # ------------------------------------------------------------------------------------------------ benchmark
 
 ITEMS = [(1, "Anna has 12 apples and gives 5 of them to Peter who then walks 3 km home"),
