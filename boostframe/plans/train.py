@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import kernel as K
 from . import quantiles, splits, summaries
-from .binning import BINS_COL, DataStats, code_type, unpack_bins
+from .binning import BINS_COL, DataStats, code_type
 
 PENDING_TREES = 32          # trees applied inside the passes before the margins are rewritten
 CHECKPOINT_EVERY = 10       # rounds between reliable checkpoints of the state (when a dir is configured)
@@ -232,21 +234,87 @@ class _Codes:
         return out
 
 
-def _state_arrays(batch: pa.RecordBatch, n_feat: int, n_margin: int, has_fold: bool, kind: str, maps: list | None = None,
+#: Numbers of the state that a block holds as bytes, by the beginning of their name.
+_PACKED = {"__rid": "<i8", "__y": "<f8", "__fold": "<i4", "__val": "u1", "__w": "<f8", "__m": "<f8"}
+
+
+def _packed_kind(name: str) -> str | None:
+    return next((kind for start, kind in _PACKED.items() if name == start or name.startswith(start) and name[len(start):].isdigit()), None)
+
+
+def pack_state(state: DataFrame) -> DataFrame:
+    """The state as blocks of rows: one value of bytes per column, so a pass hands Python a few buffers instead of rows.
+    Other columns (an id) become an array per block."""
+    fields = [T.StructField("n", T.IntegerType(), False)]
+    for f in state.schema:
+        bytes_ = f.name == BINS_COL or _packed_kind(f.name)
+        fields.append(T.StructField(f.name, T.BinaryType() if bytes_ else T.ArrayType(f.dataType), False))
+
+    def kernel(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [pa.array([batch.num_rows], pa.int32())]
+            for name, col in zip(batch.schema.names, batch.columns):
+                kind = _packed_kind(name)
+                if name == BINS_COL:
+                    offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
+                    cols.append(pa.array([bytes(memoryview(col.buffers()[2])[offsets[0]:offsets[-1]])], pa.binary()))
+                elif kind:
+                    cols.append(pa.array([col.to_numpy(zero_copy_only=False).astype(kind).tobytes()], pa.binary()))
+                else:
+                    cols.append(pa.ListArray.from_arrays(pa.array([0, len(col)], pa.int32()), col))
+            yield pa.RecordBatch.from_arrays(cols, names=["n", *batch.schema.names])
+
+    return state.mapInArrow(kernel, T.StructType(fields))
+
+
+def unpack_state(packed: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of a packed state."""
+    arrow = {f.name: f.type for f in to_arrow_schema(schema)}
+
+    def kernel(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                n, cols = batch.column(0)[i].as_py(), []
+                for name, col in zip(batch.schema.names[1:], batch.columns[1:]):
+                    kind = _packed_kind(name)
+                    if name == BINS_COL:
+                        data = col[i].as_buffer()
+                        offsets = np.arange(n + 1, dtype=np.int32) * np.int32(data.size // n)
+                        cols.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), data]))
+                    elif kind:
+                        cols.append(pa.array(np.frombuffer(col[i].as_buffer(), kind)).cast(arrow[name]))
+                    else:
+                        cols.append(col.slice(i, 1).flatten())
+                yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[1:])
+
+    return packed.mapInArrow(kernel, schema)
+
+
+def _blocks(batch: pa.RecordBatch):
+    """The blocks of a batch of the packed state: name → numbers (bins: bytes)."""
+    names = batch.schema.names
+    for i in range(batch.num_rows):
+        block = {"n": batch.column(0)[i].as_py()}
+        for name, col in zip(names, batch.columns):
+            kind = "u1" if name == BINS_COL else _packed_kind(name)
+            if kind:
+                block[name] = np.frombuffer(col[i].as_buffer(), kind)
+        yield block
+
+
+def _state_arrays(block: dict, n_feat: int, n_margin: int, has_fold: bool, kind: str, maps: list | None = None,
                   raw: list | tuple = ()):
-    cols = batch.schema.names
-    values = {j: batch.column(cols.index(f"__w{j}")).to_numpy(zero_copy_only=False) for j in raw}
-    codes = _Codes(unpack_bins(batch.column(cols.index(BINS_COL)), n_feat, kind).astype(np.float64), maps, values)
-    M = np.empty((batch.num_rows, n_margin), dtype=np.float64)
+    n = block["n"]
+    codes = _Codes(block[BINS_COL].view(kind).reshape(n, n_feat).astype(np.float64), maps, {j: block[f"__w{j}"] for j in raw})
+    M = np.empty((n, n_margin), dtype=np.float64)
     for j in range(n_margin):
-        M[:, j] = batch.column(cols.index(f"__m{j}")).to_numpy(zero_copy_only=False)
-    y = batch.column(cols.index("__y")).to_numpy(zero_copy_only=False)
-    rid = batch.column(cols.index("__rid")).to_numpy(zero_copy_only=False)
-    fold = batch.column(cols.index("__fold")).to_numpy(zero_copy_only=False) if has_fold else None
-    if "__val" in cols:                   # rows that are only evaluated are the held-out fold -1 of every model
-        val = batch.column(cols.index("__val")).to_numpy(zero_copy_only=False).astype(bool)
-        fold = np.where(val, -1, 0 if fold is None else fold)
-    return codes, M, y, rid, fold
+        M[:, j] = block[f"__m{j}"]
+    fold = block["__fold"] if has_fold else None
+    if "__val" in block:                  # rows that are only evaluated are the held-out fold -1 of every model
+        fold = np.where(block["__val"].astype(bool), -1, 0 if fold is None else fold)
+    return codes, M, block["__y"], block["__rid"], fold
 
 
 @dataclass
@@ -292,11 +360,9 @@ def _make_hist_kernel(ctx: dict):
         forest: K.Forest = ctx["forest"]
         slot_of = ctx["slot_of"]
         sums = splits.PartialSums((n_slots + len(ctx["watch"])) * TB)
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            codes, M, y, rid, fold = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"], ctx["raw"])
+        for block in (b for batch in batches for b in _blocks(batch)):
+            n = block["n"]
+            codes, M, y, rid, fold = _state_arrays(block, F_, n_margin, has_fold, ctx["kind"], ctx["maps"], ctx["raw"])
             _add_pending(ctx["pending"], codes, M)
             drop = ctx.get("drop_forest")
             if drop is not None:   # dart: gradients at the margins without this round's dropped trees
@@ -355,15 +421,14 @@ def _make_update_kernel(ctx: dict):
 
     def kernel(batches):
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            codes, M, _, _, _ = _state_arrays(batch, F_, n_margin, has_fold, ctx["kind"], ctx["maps"], ctx["raw"])
-            _add_pending(ctx["pending"], codes, M)
-            cols = list(batch.columns)
             names = batch.schema.names
-            for j in range(n_margin):
-                cols[names.index(f"__m{j}")] = pa.array(M[:, j], pa.float64())
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            for i, block in enumerate(_blocks(batch)):
+                codes, M, _, _, _ = _state_arrays(block, F_, n_margin, has_fold, ctx["kind"], ctx["maps"], ctx["raw"])
+                _add_pending(ctx["pending"], codes, M)
+                cols = list(batch.slice(i, 1).columns)
+                for j in range(n_margin):
+                    cols[names.index(f"__m{j}")] = pa.array([M[:, j].tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return kernel
 
@@ -442,8 +507,9 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
     trees: list[list] = [[] for _ in specs]
     rngs = [np.random.RandomState(s.seed & 0x7FFFFFFF) for s in specs]
     max_rounds = max(s.rounds for s in specs)
-    partitions = state.rdd.getNumPartitions()
-    state0 = state
+    partitions, rows = state.rdd.getNumPartitions(), state.schema
+    state.unpersist()                     # what stays is the packed form
+    state0 = state = pack_state(state).persist(StorageLevel.MEMORY_AND_DISK)
     older = None
     pending = Pending()
     watch = [(i, s) for i, s in enumerate(specs) if s.metric is not None]
@@ -607,12 +673,11 @@ def train(state: DataFrame, stats: DataStats, specs: list[ModelSpec], has_fold:
             break
 
     def cleanup() -> None:
-        if older is not None:
-            older.unpersist()
-        if state is not state0:
-            state.unpersist()
+        for frame in (older, state, state0):
+            if frame is not None:
+                frame.unpersist()
 
-    return trees, state, cleanup
+    return trees, unpack_state(state, rows), cleanup
 
 
 def _waiting(watch, rnd: int) -> list[int]:
@@ -652,14 +717,16 @@ def _round_cuts(state, stats, specs, models_ctx, n_margin, has_fold, anew, pendi
     n_feat, kind, maps, folds = len(stats.features), code_type(stats.features), stats.fold_maps, [s.test_fold for s in specs]
 
     def weighed(batch):
-        codes, M, y, _, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind, maps, anew)
-        _add_pending(pending, codes, M)
-        for (objective, k, c0, options, _, h_scale), test_fold in zip(models_ctx, folds):
-            h = K.to_fixed(K.gradients(objective, M[:, c0:c0 + k], y, *options)[1], h_scale)
-            mine = np.ones(len(y), bool) if fold is None else fold != test_fold
-            for c in range(k):
-                for j in anew:
-                    yield c0 + c, j, codes.raw[j][mine], h[mine, c]
+        for block in _blocks(batch):
+            codes, M, y, _, fold = _state_arrays(block, n_feat, n_margin, has_fold, kind, maps, anew)
+            _add_pending(pending, codes, M)
+            known = y if fold is None else np.where(fold == -1, 0.0, y)
+            for (objective, k, c0, options, _, h_scale), test_fold in zip(models_ctx, folds):
+                h = K.to_fixed(K.gradients(objective, M[:, c0:c0 + k], known, *options)[1], h_scale)
+                mine = np.ones(len(y), bool) if fold is None else fold != test_fold
+                for c in range(k):
+                    for j in anew:
+                        yield c0 + c, j, codes.raw[j][mine], h[mine, c]
 
     found = summaries.weighted_cuts(state, weighed, specs[0].params["max_bin"])
     return {c: {j: found.get((c, j), np.empty(0)) for j in anew} for c in range(n_margin)}
@@ -677,18 +744,19 @@ def _order_leaves(state, stats, specs, growers, tree_ctx, n_margin, has_fold, pe
     n_feat, kind, maps, trees = len(stats.features), code_type(stats.features), stats.fold_maps, [tree_ctx[i] for i in mine]
 
     def pairs(batch):
-        codes, M, y, rid, fold = _state_arrays(batch, n_feat, n_margin, has_fold, kind, maps, raw)
-        _add_pending(pending, codes, M)
-        leaf = codes.route(forest, [t[1] for t in trees])
-        slots, values = [], []
-        for t, (mcol, test_fold, sub, salt) in enumerate(trees):
-            used = np.ones(len(y), bool)
-            if fold is not None:
-                used &= fold != test_fold
-            if sub < 1.0:
-                used &= K.uniform(rid, *salt) < sub
-            slots.append(slot_of[leaf[used, t]])
-            values.append((y - M[:, mcol])[used])
+        slots, values = [np.empty(0, np.int64)], [np.empty(0)]
+        for block in _blocks(batch):
+            codes, M, y, rid, fold = _state_arrays(block, n_feat, n_margin, has_fold, kind, maps, raw)
+            _add_pending(pending, codes, M)
+            leaf = codes.route(forest, [t[1] for t in trees])
+            for t, (mcol, test_fold, sub, salt) in enumerate(trees):
+                used = np.ones(len(y), bool)
+                if fold is not None:
+                    used &= fold != test_fold
+                if sub < 1.0:
+                    used &= K.uniform(rid, *salt) < sub
+                slots.append(slot_of[leaf[used, t]])
+                values.append((y - M[:, mcol])[used])
         return np.concatenate(slots), np.concatenate(values)
 
     counts = np.array([growers[i].N[n] for i, n in leaves])
