@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, prepare, releasing, shared_path, table
 
 END_ID = 1
-SHARD_TOKENS, SLICE_BYTES = 3_000_000, 6 << 20
+SHARD_TOKENS, SLICE_BYTES = 1_500_000, 3 << 20
 FIRST_PAIRS, MIN_COUNT = 8000, 16
 KNOWN_UNITS = 1_500_000
 
