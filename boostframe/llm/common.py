@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from boostframe.memory import releasing  # noqa: F401
 from boostframe.session import ensure_checkpoint_dir, ensure_session
 
 #: Words are runs of anything but the six ASCII white-space characters.
@@ -49,20 +48,6 @@ def prepare(spark: SparkSession) -> None:
     ensure_session(spark)
 
 
-def releasing(kernel):
-    """A ``mapInArrow`` function that hands freed memory back to the machine when its task ends: Python workers live on
-    between tasks and stages, beside a heap that grows meanwhile."""
-    def run(batches):
-        try:
-            yield from kernel(batches)
-        finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)        # where the C library has it
-            if trim:
-                trim(0)
-    return run
-
-
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of an undirected edge list, as (node, component) with the smallest node of each.
 
