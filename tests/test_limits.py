@@ -33,3 +33,37 @@ def test_a_smaller_limit_of_the_session_stays(spark):
         assert spark.conf.get(key) in ("1m", str(1 << 20), "1048576b")
     finally:
         spark.conf.set(key, before)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_are_numbered_without_python(spark):
+    """Ranks, also within groups, are column expressions, and equal to those of a sort of all rows."""
+    from boostframe.plans.ranks import with_rank
+    rows = [(k % 7, "abc"[k % 3], k % 4) for k in range(300)]
+    df = spark.createDataFrame(rows, "x int, g string, z int").repartition(5)
+    whole, _, a = with_rank(df, ["x", "z"])
+    assert "MapInArrow" not in _plan(whole)
+    got = sorted((r["__rank"], r["x"], r["z"]) for r in whole.collect())
+    assert [g[0] for g in got] == list(range(300)) and [g[1:] for g in got] == sorted((x, z) for x, _, z in rows)
+    grouped, info, b = with_rank(df, ["x", "z"], "g")
+    assert "MapInArrow" not in _plan(grouped) and info.totals == [100, 100, 100]
+    for g in "abc":
+        got = sorted((r["__rank"], r["x"], r["z"]) for r in grouped.where(F.col("g") == g).collect())
+        assert [v[0] for v in got] == list(range(100)) and [v[1:] for v in got] == sorted((x, z) for x, h, z in rows if h == g)
+    a.unpersist(), b.unpersist()
+
+
+def test_folds_are_dealt_without_encoding_the_rows_before(spark):
+    """The ranking that folds come from reads the input as it is: features are encoded once, after it."""
+    from boostframe.operators.common import prepare
+    from boostframe.params import resolve
+    df = spark.createDataFrame([(i, float(i % 9), float(i % 5)) for i in range(200)], "id long, x double, target double")
+    task, p = resolve("xgb_regressor", "")
+    prep = prepare(df, "target", "id", task, p, cv=4)
+    assert not any("MapInArrow" in d._jdf.queryExecution().withCachedData().toString() or "MapInArrow" in d._jdf.queryExecution().analyzed().toString()
+                   for d in prep.release)
+    for d in prep.release:
+        d.unpersist()
