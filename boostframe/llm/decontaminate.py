@@ -33,24 +33,29 @@ UNITS = ("%", "°C", "°F", "km/h", "mph", "mm", "cm", "dm", "m", "km", "ft", "i
          "year", "years", "$", "€", "£", "dollar", "dollars", "cent", "cents", "euro", "euros", "usd", "eur", "degrees",
          "kw", "kwh", "w", "v", "hz", "mb", "gb", "tb", "percent")
 _UNIT = "|".join(sorted((u.replace("$", r"\$") for u in UNITS), key=len, reverse=True))
-_NAME = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
+#: The look ahead asks for the capital, ranges first: most characters are passed over by a comparison, without a look at
+#: their category or at what stands before them.
+_NAME = r"(?=[A-Z\x{80}-\x{10FFFF}&&\p{Lu}])(?<![\p{L}\p{N}])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
 _NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
 _BREAK = r"[^\p{L}\p{M}\p{N}\x01-\x04]+"
 _NAME_MARK, _NUMBER_MARK, _UNIT_MARK, _POINT = "\x01", "\x02", "\x03", "\x04"
 
 
+def _bare(text: Column) -> Column:
+    """The text without the characters that serve as marks; null is empty."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01-\x04]+", "")
+
+
 def template(text: Column) -> Column:
     """The tokens of the canonical text: words in lower case, and one mark for each name, number and unit."""
-    t = F.translate(F.coalesce(text, F.lit("")), "\x01\x02\x03\x04", "")
-    t = F.regexp_replace(F.regexp_replace(t, _NAME, _NAME_MARK), _NUMBER, _NUMBER_MARK)
-    t = F.regexp_replace(t, rf"({_NUMBER_MARK}\s*)(?i:{_UNIT})(?!\p{{L}})", f"$1 {_UNIT_MARK}")
+    t = F.regexp_replace(F.regexp_replace(text, _NAME, _NAME_MARK), _NUMBER, _NUMBER_MARK)
+    t = F.regexp_replace(t, rf"{_NUMBER_MARK}(\s*)(?i:{_UNIT})(?!\p{{L}})", f"{_NUMBER_MARK}$1 {_UNIT_MARK}")
     return F.array_remove(F.split(F.lower(t), _BREAK), "")
 
 
 def marked(text: Column) -> Column:
     """The same tokens, with the values behind the marks."""
-    t = F.translate(F.coalesce(text, F.lit("")), "\x01\x02\x03\x04", "")
-    t = F.regexp_replace(t, _NAME, f"{_NAME_MARK}$0")
+    t = F.regexp_replace(text, _NAME, f"{_NAME_MARK}$0")
     t = F.regexp_replace(F.regexp_replace(t, _NUMBER, f"{_NUMBER_MARK}$0"), r"(?<=\p{N})[.,](?=\p{N})", _POINT)
     t = F.regexp_replace(t, rf"({_NUMBER_MARK}[\p{{N}}{_POINT}]+\s*)((?i:{_UNIT}))(?!\p{{L}})", f"$1 {_UNIT_MARK}$2")
     t = F.regexp_replace(t, rf"{_UNIT_MARK}([%°$€£][CFcf]?|(?i:km/h))", f"{_UNIT_MARK}u")
@@ -58,8 +63,8 @@ def marked(text: Column) -> Column:
 
 
 def _forms(text: Column) -> list[Column]:
-    """The text as it is, for templates with names, and without case, for those without: ß, SS and ẞ are all ss."""
-    return [text, F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS")))]
+    """The text as it is, for templates with names, and without case, for those without: ß, SS and ẞ are all ss. Both are bare."""
+    return [_bare(text), _bare(F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS"))))]
 
 
 def _let(value: Column, body) -> Column:
@@ -78,11 +83,13 @@ def _hashes(tokens: Column, window: int) -> Column:
 
 
 def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """(keys, form, h, place, values): every window of either form with the marked tokens it is made of."""
-    made = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("form"), template(t).alias("t"), marked(t).alias("m"))
-        for i, t in enumerate(_forms(F.col("text")))])).alias("f"))
-    made = made.select(*keys, "f.form", "f.m", F.posexplode(_hashes(F.col("f.t"), window)).alias("place", "h"))
+    """(keys, form, h, place, values): every window of either form with the marked tokens it is made of.
+
+    The hashes are a column before they are rows (outer, or the optimizer computes them twice, to filter empty texts first):
+    so the generator and what follows are one generated loop, which cuts values only out of windows that a join keeps."""
+    made = df.select(*keys, F.posexplode(F.array(*_forms(F.col("text")))).alias("form", "text"))
+    made = made.select(*keys, "form", _hashes(template(F.col("text")), window).alias("hs"), marked(F.col("text")).alias("m"))
+    made = made.select(*keys, "form", "m", F.posexplode_outer("hs").alias("place", "h")).where("h IS NOT NULL")
     return made.select(*keys, "form", "h", "place", F.slice("m", F.col("place") + 1, F.lit(window)).alias("values"))
 
 
@@ -128,7 +135,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
 
     rows = docs.select("doc_id", "text").withColumn("print", F.xxhash64("text"))
     hashes = F.array_distinct(F.concat(*[_hashes(template(t), window) for t in _forms(F.col("text"))]))
-    found = (rows.select("doc_id", "print", F.explode(hashes).alias("h"))
+    found = (rows.select("doc_id", "print", hashes.alias("hs"))
+             .select("doc_id", "print", F.explode_outer("hs").alias("h"))                       # outer: see `_windows`
              .join(keys, "h").groupBy("doc_id", "print", "item_id", "form", "n_windows").agg(F.count_distinct("h").alias("held"))
              .where(F.col("held") >= share * F.col("n_windows")).drop("held"))
     found = cut(found, "candidates")

@@ -406,6 +406,20 @@ def test_letter_case_hides_no_item(spark):  # noqa: F811
     assert sorted(r["doc_id"] for r in decontaminate.contaminated(make(spark, rows), upper).collect()) == [1, 2, 3, 4, 5]
 
 
+def test_windows_are_generated_code(spark):  # noqa: F811
+    """Windows come from one generated loop that copies no tokens for a window, and templates are computed once."""
+    rows = [(1, "Anna has 12 apples \x01and 5.5 KM", "s"), (2, "", "s"), (3, None, "s"), (4, "\U0001d400nd Zoë2Bob", "s")]
+    made = decontaminate._windows(make(spark, rows), ["doc_id"], 5)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) Generate posexplode\(hs", plan) and plan.count("(?i:kilo") == 2
+    got = {(r["doc_id"], r["form"], r["place"]): r["values"] for r in made.collect()}
+    assert got == {
+        (1, 0, 0): ["\x01anna", "has", "\x0212", "apples", "and"], (1, 0, 1): ["has", "\x0212", "apples", "and", "\x025\x045"],
+        (1, 0, 2): ["\x0212", "apples", "and", "\x025\x045", "\x03km"], (1, 1, 0): ["anna", "has", "\x0212", "apples", "and"],
+        (1, 1, 1): ["has", "\x0212", "apples", "and", "\x025\x045"], (1, 1, 2): ["\x0212", "apples", "and", "\x025\x045", "\x03km"],
+        (4, 0, 0): ["\x01\U0001d400nd", "\x01zoë\x022bob"], (4, 1, 0): ["\x01\U0001d400nd", "zoë\x022bob"]}
+
+
 def test_frames_elsewhere_do_not_outvote_an_item(spark):  # noqa: F811
     item = "In 1945 Harry Truman was the President of the United States and signed the papers for the Bank of the West in Paris"
     frames = " then came the Battle of the Somme" * 8
