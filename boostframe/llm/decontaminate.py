@@ -35,10 +35,14 @@ UNITS = ("%", "°C", "°F", "km/h", "mph", "mm", "cm", "dm", "m", "km", "ft", "i
 _UNIT = "|".join(sorted((u.replace("$", r"\$") for u in UNITS), key=len, reverse=True))
 #: The look ahead asks for the capital, ranges first: most characters are passed over by a comparison, without a look at
 #: their category or at what stands before them.
-_NAME = r"(?=[A-Z\x{80}-\x{10FFFF}&&\p{Lu}])(?<![\p{L}\p{N}])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
+_NAME = r"(?=[A-Z\x{80}-\x{10FFFF}&&\p{Lu}])(?<![\p{L}\p{N}\x02])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
 _NUMBER = r"\p{N}+(?:[.,]\p{N}+)*"
 _BREAK = r"[^\p{L}\p{M}\p{N}\x01-\x04]+"
 _NAME_MARK, _NUMBER_MARK, _UNIT_MARK, _POINT = "\x01", "\x02", "\x03", "\x04"
+#: Behind a marked number, where units of the text and of its forms may differ: a unit that is a name, a name behind a unit
+#: that is no word, and letters that become ASCII letters without case.
+_APART = (rf"{_NUMBER_MARK}(?:\s+(?=\p{{Lu}}\p{{Ll}})(?i:{_UNIT})(?!\p{{L}})|\s*[%$€£]\p{{Lu}}"
+          r"|\s*[A-Za-z/%$€£°]*[\x{130}\x{131}\x{17F}\x{345}\x{1E96}-\x{1E98}\x{212A}])")
 
 
 def _bare(text: Column) -> Column:
@@ -46,11 +50,25 @@ def _bare(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01-\x04]+", "")
 
 
+def _numbers(text: Column) -> Column:
+    return F.regexp_replace(text, _NUMBER, _NUMBER_MARK)
+
+
+def _names(text: Column) -> Column:
+    return F.regexp_replace(text, _NAME, _NAME_MARK)
+
+
+def _units(text: Column) -> Column:
+    return F.regexp_replace(text, rf"{_NUMBER_MARK}(\s*)(?i:{_UNIT})(?!\p{{L}})", f"{_NUMBER_MARK}$1 {_UNIT_MARK}")
+
+
+def _tokens(text: Column) -> Column:
+    return F.array_remove(F.split(text, _BREAK), "")
+
+
 def template(text: Column) -> Column:
     """The tokens of the canonical text: words in lower case, and one mark for each name, number and unit."""
-    t = F.regexp_replace(F.regexp_replace(text, _NAME, _NAME_MARK), _NUMBER, _NUMBER_MARK)
-    t = F.regexp_replace(t, rf"{_NUMBER_MARK}(\s*)(?i:{_UNIT})(?!\p{{L}})", f"{_NUMBER_MARK}$1 {_UNIT_MARK}")
-    return F.array_remove(F.split(F.lower(t), _BREAK), "")
+    return _tokens(F.lower(_units(_names(_numbers(text)))))
 
 
 def marked(text: Column) -> Column:
@@ -59,12 +77,17 @@ def marked(text: Column) -> Column:
     t = F.regexp_replace(F.regexp_replace(t, _NUMBER, f"{_NUMBER_MARK}$0"), r"(?<=\p{N})[.,](?=\p{N})", _POINT)
     t = F.regexp_replace(t, rf"({_NUMBER_MARK}[\p{{N}}{_POINT}]+\s*)((?i:{_UNIT}))(?!\p{{L}})", f"$1 {_UNIT_MARK}$2")
     t = F.regexp_replace(t, rf"{_UNIT_MARK}([%°$€£][CFcf]?|(?i:km/h))", f"{_UNIT_MARK}u")
-    return F.array_remove(F.split(F.lower(t), _BREAK), "")
+    return _tokens(F.lower(t))
+
+
+def _caseless(text: Column) -> Column:
+    """The text without case: ß, SS and ẞ are all ss."""
+    return F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS")))
 
 
 def _forms(text: Column) -> list[Column]:
-    """The text as it is, for templates with names, and without case, for those without: ß, SS and ẞ are all ss. Both are bare."""
-    return [_bare(text), _bare(F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS"))))]
+    """The text as it is, for templates with names, and without case, for those without. Both are bare."""
+    return [_bare(text), _bare(_caseless(text))]
 
 
 def _let(value: Column, body) -> Column:
@@ -72,14 +95,57 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _window_hashes(h: Column, window: int) -> Column:
+    starts = F.sequence(F.lit(0), F.greatest(F.size(h) - window, F.lit(0)))
+    return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(
+        F.size(h) < window, F.array(F.xxhash64(h))).otherwise(
+        F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(window)])))
+
+
 def _hashes(tokens: Column, window: int) -> Column:
     """Hash of every window; a shorter text is one window, an empty one none."""
-    def windows(h: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(h) - window, F.lit(0)))
-        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(
-            F.size(h) < window, F.array(F.xxhash64(h))).otherwise(
-            F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(window)])))
-    return _let(F.transform(tokens, lambda w: F.xxhash64(w)), windows)
+    return _let(F.transform(tokens, lambda w: F.xxhash64(w)), lambda h: _window_hashes(h, window))
+
+
+def _token_hashes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, forms): hashes of the template's tokens, an array for each of `_forms`, out of one split of the text with its
+    numbers and units marked.
+
+    Case is taken from the words, and names are looked for in words with a capital. Texts in which a form could have other
+    marks (`_APART`) or that hold a mark character or a sigma (its small form depends on what stands around) go the long way.
+    Columns used more than once are projected first: they are computed once, and what follows reads them."""
+    def ascii(w: Column) -> Column:
+        return F.octet_length(w) == F.char_length(w)
+
+    odd = F.lit(False)
+    for c in "\x01\x02\x03\x04Σσς":
+        odd = odd | F.contains("text", F.lit(c))
+    df = df.select(*keys, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    df = df.select(*keys, "text", ascii(F.col("text")).alias("plain"), odd.alias("odd"))
+    df = df.select(*keys, "text", "plain", "odd", F.when(~F.col("odd"), _numbers(F.col("text"))).alias("n"))
+    df = df.select(*keys, "text", "plain", "n", (F.col("odd") | F.rlike("n", F.lit(_APART))).alias("apart"))
+    df = df.select(*keys, "text", "plain", "apart", F.when(~F.col("apart"), _tokens(_units(F.col("n")))).alias("words"))
+    quick = [F.transform("words", lambda w: F.xxhash64(
+                 F.when((w == F.lower(w)) & (F.col("plain") | ascii(w)), w).otherwise(F.lower(_names(w))))),
+             F.transform("words", lambda w: F.xxhash64(
+                 F.when(F.col("plain") | ascii(w), F.lower(w)).otherwise(F.lower(_names(_caseless(w))))))]
+    return df.select(*keys, F.array(*[
+        F.when(F.col("apart"), F.transform(template(form), lambda w: F.xxhash64(w))).otherwise(hashes)
+        for form, hashes in zip(_forms(F.col("text")), quick)]).alias("forms"))
+
+
+def _document_windows(df: DataFrame, keys: list[str], window: int, distinct: bool) -> DataFrame:
+    """(keys, h): the windows' hashes in either form. Windows are cut by generated code, at less cost than in an array, and
+    come as often as they stand there; ``distinct`` ones go through an array, for when they are shuffled."""
+    made = _token_hashes(df, keys)
+    if distinct:
+        hs = F.flatten(F.transform("forms", lambda h: _window_hashes(h, window)))
+        return made.select(*keys, F.array_distinct(hs).alias("hs")).select(*keys, F.explode_outer("hs").alias("h"))
+    made = made.select(*keys, F.explode_outer("forms").alias("hs"))
+    made = made.select(*keys, "hs", F.posexplode_outer("hs").alias("place", "_"))
+    made = made.where(F.col("place") <= F.greatest(F.size("hs") - window, F.lit(0)))
+    whole = F.xxhash64(*[F.get("hs", F.col("place") + k) for k in range(window)])
+    return made.select(*keys, F.when(F.size("hs") < window, F.xxhash64("hs")).otherwise(whole).alias("h"))
 
 
 def _windows(df: DataFrame, keys: list[str], window: int) -> DataFrame:
@@ -134,9 +200,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     keys = F.broadcast(keys) if small else keys
 
     rows = docs.select("doc_id", "text").withColumn("print", F.xxhash64("text"))
-    hashes = F.array_distinct(F.concat(*[_hashes(template(t), window) for t in _forms(F.col("text"))]))
-    found = (rows.select("doc_id", "print", hashes.alias("hs"))
-             .select("doc_id", "print", F.explode_outer("hs").alias("h"))                       # outer: see `_windows`
+    found = (_document_windows(rows, ["doc_id", "print"], window, distinct=not small)
              .join(keys, "h").groupBy("doc_id", "print", "item_id", "form", "n_windows").agg(F.count_distinct("h").alias("held"))
              .where(F.col("held") >= share * F.col("n_windows")).drop("held"))
     found = cut(found, "candidates")

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from boostframe.llm import decontaminate, line_dedup, mixing, simhash, tokens, toxicity
 from tests.conftest import spark  # noqa: F401
@@ -420,6 +421,25 @@ def test_windows_are_generated_code(spark):  # noqa: F811
         (4, 0, 0): ["\x01\U0001d400nd", "\x01zoë\x022bob"], (4, 1, 0): ["\x01\U0001d400nd", "zoë\x022bob"]}
 
 
+def test_one_split_gives_the_windows_of_both_forms(spark):  # noqa: F811
+    """Windows of documents are those of the two templates, also where case, units and names meet; one split."""
+    texts = [None, "", "one", "Anna has 12 apples and 5.5 KM to go", "\U0001d400nd Zoë2Bob 3 \U0001d400\U0001d41b",
+             "5 Meters and 5 meters", "in 1995 Microsoft", "20 °Celsius 20 °C", "3 K\u212am", "3 \u212am", "5%Anna 5%anna 5 €Otto", "5 \u017f and 5 m\u0131n", "7 kw\u1e96", "12KM\u0345",
+             "1.5°C\u0345", "ΑΣ5 ⅷΣ σας", "Stra\x01ße STRASSE Straẞe", "ŉ ǰ ﬁ ﬆ Ⓐ ⓐ ϒa ℂb Dž", "Жуков 5 км. 中文 ½ ٣", "a b c d e f g " * 3]
+    rng = np.random.default_rng(3)
+    bits = sorted({b for t in texts if t for b in re.findall(r"\w+?|\W", t)} | {"km", "Km", "Euro", "Anna", "12", " ", "°C", "%"})
+    texts += ["".join(rng.choice(bits, rng.integers(1, 12))) for _ in range(4000)]
+    rows = make(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    forms = [decontaminate._hashes(decontaminate.template(t), 5) for t in decontaminate._forms(F.col("text"))]
+    expected = {r["doc_id"]: set(r["a"]) | set(r["b"]) for r in rows.select("doc_id", forms[0].alias("a"), forms[1].alias("b")).collect()}
+    for distinct in (False, True):
+        made = decontaminate._document_windows(rows, ["doc_id"], 5, distinct)
+        got = {r["doc_id"]: set(r["hs"]) for r in made.groupBy("doc_id").agg(F.collect_set("h").alias("hs")).collect()}
+        assert {i: got.get(i, set()) for i in expected} == expected
+    plan = decontaminate._document_windows(rows, ["doc_id"], 5, False)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) Generate posexplode\(hs", plan) and plan.count("split(") == 3     # two of them the long way
+
+
 def test_frames_elsewhere_do_not_outvote_an_item(spark):  # noqa: F811
     item = "In 1945 Harry Truman was the President of the United States and signed the papers for the Bank of the West in Paris"
     frames = " then came the Battle of the Somme" * 8
