@@ -81,7 +81,7 @@ def root_histogram(df: DataFrame, target: str, estimator: str = "xgb_regressor",
         tree_ctx = [(k, -1, 1.0, (0, 0, 0, 0)) for k in range(n_margin)]
         models_ctx = [(specs[0].objective, n_margin, 0, TR.gradient_options(p), specs[0].g_scale, specs[0].h_scale)]
         partials = TR.level_partials(TR.pack_state(state), prep.stats, growers, [(k, 0) for k in range(n_margin)], tree_ctx, models_ctx,
-                                     n_margin, False)
+                                     specs[0].base, False)
         cells = partials.mapInArrow(splits.unpack_partials, "slot int, feature int, bin int, g long, h long, n long")
         names = F.array(*[F.lit(info.name) for info in prep.stats.features])
         exact = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("long")

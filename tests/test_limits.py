@@ -67,3 +67,53 @@ def test_folds_are_dealt_without_encoding_the_rows_before(spark):
                    for d in prep.release)
     for d in prep.release:
         d.unpersist()
+
+
+def _regression(spark):
+    rows = [(i, float(i % 9), float(i * 7 % 5), float(i % 9 + i * 7 % 5)) for i in range(300)]
+    return spark.createDataFrame(rows, "id long, x double, z double, target double")
+
+
+def test_search_stores_no_margins_before_trees_are_written(spark, monkeypatch):
+    """A pass over rows that no written tree has moved needs no margin of any model: they are the starting ones."""
+    from boostframe.operators.evaluate import grid_search
+    from boostframe.plans import train as TR
+    seen, pack = [], TR.pack_state
+    monkeypatch.setattr(TR, "pack_state", lambda state: seen.append(state.columns) or pack(state))
+    grid_search(_regression(spark), {"xgb_regressor": {"learning_rate": [0.1, 0.3], "max_depth": [1, 2], "n_estimators": [2]}},
+                target="target", id="id", cv=3)
+    assert [sorted(c) for c in seen] == [["__bins", "__fold", "__y"], ["__bins", "__y"]]
+
+
+def test_margins_stored_or_added_when_read_are_the_same(spark, monkeypatch):
+    from boostframe.operators.evaluate import cross_val_predict, grid_search
+    from boostframe.plans import train as TR
+    df = _regression(spark)
+    grid = {"xgb_regressor": {"learning_rate": [0.3], "max_depth": [2], "n_estimators": [1, 4], "subsample": [0.7, 1.0]}}
+    found = []
+    for at_most in (1, 1000):
+        monkeypatch.setattr(TR, "PENDING_TREES", at_most)
+        board = grid_search(df, grid, target="target", id="id", cv=3).collect()
+        out = cross_val_predict(df, target="target", estimator="xgb_regressor", id="id", cv=3, params={"n_estimators": 4, "max_depth": 2})
+        model = fit_model(df, target="target", estimator="xgb_regressor", id="id", params={"n_estimators": 4, "max_depth": 2, "booster": "dart", "rate_drop": 0.5})
+        found.append(([tuple(r[:5]) for r in board], sorted(map(tuple, out.collect())), model.meta.train_score))
+    assert found[0] == found[1] and len(found[0][1]) == 300
+
+
+def test_a_large_training_state_is_kept_off_the_heap():
+    from boostframe.memory import DISK_ROWS, storage
+    assert storage(DISK_ROWS - 1).useMemory and not storage(DISK_ROWS).useMemory and storage(DISK_ROWS).useDisk
+
+
+def test_the_layout_of_a_ranking_is_on_disk_and_has_what_is_needed(spark):
+    from boostframe.plans.ranks import with_rank
+    df = spark.createDataFrame([(k * 7 % 50, "ab"[k % 2], float(k)) for k in range(50)], "x int, g string, v double").repartition(3)
+    want = sorted((k * 7 % 50, float(k)) for k in range(50))
+    ranked, _, layout = with_rank(df, ["x"], keep=["v"])
+    assert layout.columns == ["v", "__pid", "__pos"] and layout.storageLevel.useDisk and not layout.storageLevel.useMemory
+    assert [r["v"] for r in ranked.orderBy("__rank").collect()] == [v for _, v in want]
+    grouped, info, other = with_rank(df, ["x"], "g", keep=["v"])
+    assert info.totals == [25, 25] and info.first == [(min(x for x, v in want if v % 2 == i),) for i in (0, 1)]
+    for i, g in enumerate("ab"):
+        assert [r["v"] for r in grouped.where(F.col("g") == g).orderBy("__rank").collect()] == [v for _, v in want if v % 2 == i]
+    layout.unpersist(), other.unpersist()
