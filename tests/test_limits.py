@@ -117,3 +117,17 @@ def test_the_layout_of_a_ranking_is_on_disk_and_has_what_is_needed(spark):
     for i, g in enumerate("ab"):
         assert [r["v"] for r in grouped.where(F.col("g") == g).orderBy("__rank").collect()] == [v for _, v in want if v % 2 == i]
     layout.unpersist(), other.unpersist()
+
+
+def test_randomized_search_trains_on_bins_and_targets_alone(spark, monkeypatch):
+    """Neither ids nor row hashes go through the passes of a search that samples no rows; scores are those of the grid."""
+    from boostframe.operators.evaluate import grid_search, randomized_search
+    from boostframe.plans import train as TR
+    df = _regression(spark).withColumn("target", F.when(F.col("target") > 6, "high").otherwise("low"))
+    seen, pack = [], TR.pack_state
+    monkeypatch.setattr(TR, "pack_state", lambda state: seen.append(state.columns) or pack(state))
+    grid = {"xgb_classifier": {"learning_rate": [0.1, 0.9], "max_depth": [1], "n_estimators": [1, 2]}}
+    drawn = randomized_search(df, grid, target="target", id="id", n_iter=3, cv=3, random_state=1).collect()
+    assert [sorted(c) for c in seen] == [["__bins", "__fold", "__y"], ["__bins", "__y"]]
+    whole = {r["params"]: r["mean_test_score"] for r in grid_search(df, grid, target="target", id="id", cv=3).collect()}
+    assert len(drawn) == 3 and all(whole[r["params"]] == r["mean_test_score"] for r in drawn)
